@@ -18,6 +18,7 @@ from ebbline.functions.expressions import (
     json_entries, json_items, json_kind, json_text, like, like_pattern, literal_prefix, mark_json_strings,
 )
 from ebbline.functions.lookups import prefix_index
+from ebbline.session import work_dir
 
 # fixed values: keywords of the policy grammar
 ACTIVE, DELETED, OTHER = "#active_tenants#", "#deleted_tenants#", "#other_tenants#"
@@ -63,6 +64,11 @@ def _typed_entries(text, drop_comments: bool):
     return F.filter(entries, lambda e: ~e["key"].isin(*COMMENT_KEYS)) if drop_comments else entries
 
 
+def _once(value):
+    """Evaluate a costly expression once: filters and projections above see its result only."""
+    return F.explode(F.array(value))
+
+
 def _of_key(entries, *keys):
     return F.filter(entries, lambda e: e["key"].isin(*keys))
 
@@ -109,6 +115,17 @@ class PolicyCompiler:
     policies: DataFrame
     tenants: DataFrame
     entity: Entity = LOGS
+    stage_root: str | None = None
+
+    def _staged(self, df: DataFrame, name: str) -> DataFrame:
+        """Written once and read back: parsed rules and matches feed many branches.
+
+        Without ``stage_root`` the step stays lazy, which suits a caller that needs one branch.
+        """
+        if self.stage_root is None:
+            return df
+        df.write.mode("overwrite").parquet(f"{self.stage_root}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{self.stage_root}/{name}")
 
     # ---- parse -------------------------------------------------------------------
     @cached_property
@@ -119,22 +136,25 @@ class PolicyCompiler:
 
     @cached_property
     def items(self) -> DataFrame:
-        """Array items of the document: ``(policy_id, .., rule_no, kind, text)``."""
+        """Array items of the document: ``(policy_id, .., rule_no, kind, text)``.
+
+        A document that is no array of rules gives one row with ``rule_no`` 0.
+        """
         return self.documents.select(
-            "policy_id", "p_after", "p_delay", F.posexplode("items").alias("pos", "text"),
-        ).select("policy_id", "p_after", "p_delay", (F.col("pos") + 1).alias("rule_no"),
-                 json_kind(F.col("text")).alias("kind"), "text")
+            "policy_id", "p_after", "p_delay", F.posexplode_outer("items").alias("pos", "text"),
+        ).select("policy_id", "p_after", "p_delay", F.coalesce(F.col("pos") + 1, F.lit(0)).alias("rule_no"),
+                 F.when(F.col("pos").isNotNull(), json_kind(F.col("text"))).alias("kind"), "text")
 
     @cached_property
     def rules(self) -> DataFrame:
         """One row per rule with entries and settings; ``disabled`` given twice counts as not disabled."""
         entries = F.col("entries")
-        return self.items.where(F.col("kind") == "object").select(
-            "policy_id", "p_after", "p_delay", "rule_no", _typed_entries(F.col("text"), True).alias("entries"),
+        return self._staged(self.items.where(F.col("kind") == "object").select(
+            "policy_id", "p_after", "p_delay", "rule_no", _once(_typed_entries(F.col("text"), True)).alias("entries"),
         ).select(
             "*", _hours(entries, "after_hours").alias("after_hours"),
             _hours(entries, "delete_delay_hours").alias("delete_delay_hours"),
-            ((F.size(_of_key(entries, "disabled")) <= 1) & _is_disabled(entries)).alias("disabled"))
+            ((F.size(_of_key(entries, "disabled")) <= 1) & _is_disabled(entries)).alias("disabled")), "rules")
 
     @cached_property
     def rule_settings(self) -> DataFrame:
@@ -160,17 +180,17 @@ class PolicyCompiler:
         ).select("policy_id", "p_after", "p_delay", "rule_no", "r_after", "r_delay",
                  F.posexplode(json_items(F.col("e.text"))).alias("pos", "text"))
         entries = F.col("entries")
-        return (
+        return self._staged(
             subs.where(json_kind(F.col("text")) == "object")
             .select("policy_id", "rule_no", (F.col("pos") + 1).alias("sub_no"), "p_after", "p_delay", "r_after", "r_delay",
-                    _typed_entries(F.col("text"), False).alias("entries"))
+                    _once(_typed_entries(F.col("text"), False)).alias("entries"))
             .where(F.size("entries") > 0)
             .select("*", _hours(entries, "after_hours").alias("after_hours"),
                     _hours(entries, "delete_delay_hours").alias("delete_delay_hours"),
                     _is_disabled(entries).alias("disabled"),
                     (F.size(_of_key(entries, "archive", "delete")) > 0).alias("has_action"))
             .select("*", F.coalesce("after_hours", "r_after", "p_after").alias("use_after"),
-                    F.coalesce("delete_delay_hours", "r_delay", "p_delay").alias("use_delay")))
+                    F.coalesce("delete_delay_hours", "r_delay", "p_delay").alias("use_delay")), "sub_rules")
 
     @cached_property
     def sub_settings(self) -> DataFrame:
@@ -277,7 +297,7 @@ class PolicyCompiler:
             self.tenants, F.col("sel_id") == F.col("tenant_id"))
         alias = self._all_of_status(self._keyword_selectors.where(F.col("pattern") != OTHER))
         matches = reduce(DataFrame.unionByName, [m.select(*cols) for m in (named, by_id, alias)])
-        return self._with_keep(matches)
+        return self._staged(self._with_keep(matches), "resolved")
 
     def _all_of_status(self, selectors: DataFrame, salts: int = 16) -> DataFrame:
         """Keyword selectors with every tenant of the status they name.
@@ -337,9 +357,9 @@ class PolicyCompiler:
                          F.explode(found).alias("v")).select("policy_id", "rule_no", "sub_no", "v.code", "v.detail")
 
     def _document_checks(self) -> DataFrame:
-        empty = self.documents.where(F.col("items").isNull() | (F.size("items") == 0))
+        empty = self.items.where(F.col("rule_no") == 0)
         bad = self.items.where(F.col("kind") != "object")
-        return self._rows(empty, F.array(_violation("JSON", F.lit("array of objects expected"))), F.lit(0)).unionByName(
+        return self._rows(empty, F.array(_violation("JSON", F.lit("array of objects expected")))).unionByName(
             self._rows(bad, F.array(_violation("J0", F.col("kind")))))
 
     def _rule_checks(self) -> DataFrame:
@@ -486,9 +506,11 @@ class PolicyCompiler:
         return self.settings_of_all.join(self.valid_ids, "policy_id", "left_semi")
 
 
-def compile_policies(policies: DataFrame, tenants: DataFrame, entity: Entity = LOGS) -> DataFrame:
+def compile_policies(policies: DataFrame, tenants: DataFrame, entity: Entity = LOGS,
+                     stage_root: str | None = None) -> DataFrame:
     """``(policy_id, tenant_id, sub_id, delete_only, after_hours, delay_hours)`` of all valid policies."""
-    return PolicyCompiler(policies, tenants, entity).settings
+    root = stage_root or work_dir(policies.sparkSession, "policy")
+    return PolicyCompiler(policies, tenants, entity, root).settings
 
 
 def split_tenant_list(lists: DataFrame, tenants: DataFrame) -> DataFrame:
@@ -498,7 +520,7 @@ def split_tenant_list(lists: DataFrame, tenants: DataFrame) -> DataFrame:
     ``(list_id, tenant_id, name, error)``: a list with an unknown or unmatched keyword gives
     one row with the error and no tenants.
     """
-    tokens = F.transform(F.split(F.regexp_replace("items", r"[\r\n]", ""), ","), F.trim)
+    tokens = F.transform(F.split(F.regexp_replace("items", r"[\r\n]", ""), ","), lambda x: F.trim(x))
     items = lists.select("list_id", F.explode(tokens).alias("token")).where(F.col("token") != "")
     items = items.select(
         "list_id",

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ebbline.entities import AUDIT_LOGS, LOGS
 from ebbline.functions.lookups import level_id
-from ebbline.plans.policy import PolicyCompiler, expand_keywords, split_tenant_list
+from ebbline.plans.policy import PolicyCompiler, compile_policies, expand_keywords, split_tenant_list
+from ebbline.session import work_dir
 from workload.registry import query
 
 # The oracle parses with DuckDB's own JSON functions; every CTE follows the rule text, not the Spark plan.
@@ -153,9 +154,9 @@ def policy_oracle(select: str, last: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({ORACLE_CTES[n]})" for n in used) + "\n" + select
 
 
-def compiler(t, entity=LOGS) -> PolicyCompiler:
-    policies = expand_keywords(t.policies_raw, entity).select("policy_id", "after_hours", "delay_hours", "doc")
-    return PolicyCompiler(policies, t.tenants, entity)
+def compiler(t, staged: bool = False) -> PolicyCompiler:
+    policies = expand_keywords(t.policies_raw).select("policy_id", "after_hours", "delay_hours", "doc")
+    return PolicyCompiler(policies, t.tenants, LOGS, work_dir(t.spark, "policy") if staged else None)
 
 
 @query("""
@@ -194,24 +195,24 @@ def policy_subkeys(t):
 
 @query(policy_oracle("SELECT policy_id, rule_no, kind, COALESCE(pattern, sel_id::VARCHAR) AS selector, tenant_id, keep FROM resolved", "resolved"))
 def tenant_resolution(t):
-    return compiler(t).resolved.select(
+    return compiler(t, staged=True).resolved.select(
         "policy_id", "rule_no", "kind", F.coalesce("pattern", F.col("sel_id").cast("string")).alias("selector"),
         "tenant_id", "keep")
 
 
 @query(policy_oracle("SELECT policy_id, rule_no, tenant_id, keep FROM others", "others"))
 def tenant_others(t):
-    return compiler(t).others.select("policy_id", "rule_no", "tenant_id", "keep")
+    return compiler(t, staged=True).others.select("policy_id", "rule_no", "tenant_id", "keep")
 
 
 @query(policy_oracle("SELECT policy_id, rule_no, sub_no, code, detail FROM violations", "violations"))
 def policy_errors(t):
-    return compiler(t).violations
+    return compiler(t, staged=True).violations
 
 
 @query(policy_oracle("SELECT * FROM compiled", "compiled"))
 def policy_compiled(t):
-    return compiler(t).settings
+    return compiler(t, staged=True).settings
 
 
 @query("""
@@ -223,7 +224,7 @@ def policy_compiled_audit(t):
     """An entity without sub-keys: only the keyword documents, whose rules have no ``levels``."""
     keyword = F.upper("doc").isin("ALL", "ACTIVE_TENANTS", "#DELETED_TENANTS#")
     policies = expand_keywords(t.policies_raw.where(keyword), AUDIT_LOGS)
-    return PolicyCompiler(policies, t.tenants, AUDIT_LOGS).settings
+    return compile_policies(policies, t.tenants, AUDIT_LOGS)
 
 
 @query("""
@@ -246,7 +247,7 @@ def tenant_list(t):
 
 @query("""
     SELECT event_id, word, CASE lower(trim(word)) WHEN 'trace' THEN 0 WHEN '1' THEN 1 WHEN 'info' THEN 2 WHEN 'warn' THEN 3
-           WHEN '4' THEN 4 WHEN 'fatal' THEN 5 END AS level_id
+           WHEN '4' THEN 4 WHEN 'error' THEN 4 WHEN 'fatal' THEN 5 END AS level_id
     FROM $level_words""")
 def level_lookup(t):
     return t.level_words.withColumn("level_id", level_id(F.col("word")))
