@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("cleanup", "policy")
+MODULES = ("cleanup", "policy", "planning", "archive", "purge")
 
 
 def load():
