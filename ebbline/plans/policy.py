@@ -503,7 +503,7 @@ class PolicyCompiler:
     @cached_property
     def settings(self) -> DataFrame:
         """Compiled settings of the valid policies."""
-        return self.settings_of_all.join(self.valid_ids, "policy_id", "left_semi")
+        return self._staged(self.settings_of_all.join(self.valid_ids, "policy_id", "left_semi"), "settings")
 
 
 def compile_policies(policies: DataFrame, tenants: DataFrame, entity: Entity = LOGS,

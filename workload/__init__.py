@@ -2,7 +2,7 @@
 
 import importlib
 
-MODULES = ("cleanup", "policy", "planning", "archive", "purge")
+MODULES = ("cleanup", "policy", "planning", "archive", "purge", "schema", "reports", "streams")
 
 
 def load():

@@ -295,3 +295,10 @@ def oracle(sql: str) -> str:
     if ctes:
         body = f"WITH RECURSIVE {ctes}\n" + (", " + body[5:].lstrip() if body.upper().startswith("WITH ") else body)
     return _TS.sub(r"TIMESTAMP '\1'", _REF.sub(r"\1", body))
+
+
+def as_logs(events: DataFrame) -> DataFrame:
+    """The ``logs`` view over a given frame of events, static or streaming."""
+    name = "w_stream_events"
+    events.createOrReplaceTempView(name)
+    return events.sparkSession.sql(_TS.sub(r"timestamp_ntz'\1'", VIEWS["logs"].replace("$events", name)))

@@ -8,6 +8,7 @@ from ebbline.entities import LOGS
 from ebbline.operators.selection import select_rows
 from ebbline.plans import requests as rq
 from ebbline.plans import windows as w
+from ebbline.plans.policy import PolicyCompiler, compile_policies, expand_keywords
 from workload.fixtures import NOW_LOGS, NOW_ORDERS
 from workload.registry import query
 
@@ -130,16 +131,15 @@ def run_history(t):
 
 
 @query("""
-    SELECT p.policy_id, p.policy_id * 10 AS trigger_id, NOT json_valid(p.doc) AS is_error, p.policy_id % 7 = 0 AS is_finished,
-           CASE WHEN NOT json_valid(p.doc) THEN 'Invalid JSON string and parameters' WHEN p.policy_id % 7 = 0 THEN 'Dry Run'
-                ELSE 'Add Trigger' END AS message
-    FROM $policies p""")
+    SELECT policy_id, policy_id * 10 AS trigger_id, bad AS is_error, policy_id % 7 = 0 AS is_finished,
+           CASE WHEN bad THEN 'Invalid JSON string and parameters' WHEN policy_id % 7 = 0 THEN 'Dry Run' ELSE 'Add Trigger' END AS message
+    FROM (SELECT policy_id, NOT json_valid(doc) OR doc NOT LIKE '[%' AS bad FROM $policies)""")
 def trigger_insert(t):
-    """Trigger rows with error and dry-run flags; here an error is a document that is no JSON."""
+    """Trigger rows with error and dry-run flags; here an error is a document that is no JSON array."""
     requests = t.policies.select("policy_id", (F.col("policy_id") * 10).alias("trigger_id"),
                                  F.lit(NOW_LOGS).cast("timestamp_ntz").alias("trigger_time"),
                                  (F.col("policy_id") % 7 == 0).alias("is_dry_run"))
-    errors = t.policies.where(F.try_parse_json("doc").isNull())
+    errors = PolicyCompiler(t.policies, t.tenants).documents.where(F.col("items").isNull())
     return w.new_triggers(requests, errors).select("policy_id", "trigger_id", "is_error", "is_finished", "message")
 
 
@@ -154,7 +154,6 @@ def simple_archive(t):
     trigger = rq.simple_retention_date(request, NOW_LOGS).select(
         F.lit(1).alias("policy_id"), F.col("request_id").alias("trigger_id"), "trigger_time")
     policy = spark.createDataFrame([(1, 0, 0, "ALL")], "policy_id int, after_hours int, delay_hours int, doc string")
-    from ebbline.plans.policy import compile_policies, expand_keywords
     settings = compile_policies(expand_keywords(policy), t.tenants)
     plan = w.plan_windows(w.plan_dates(settings.join(trigger, "policy_id")), t.stored_windows.limit(0))
     windows = plan.withColumn("group_id", F.lit(1)).withColumn("no_delay", F.col("delete_after") == F.col("target_ts"))
