@@ -40,7 +40,7 @@ class Store:
         """First load: source by date, control tables ``windows``, ``groups``, ``triggers``."""
         dated = source.withColumn(DATE, F.to_date(self.entity.time))
         write_run(dated, self.root, "source", run_id, [DATE])
-        self._write_manifest(None, run_id, None)
+        self._write_manifest(None, run_id, None, dated)
         for name, df in control.items():
             write_run(df, self.root, name, run_id)
 
@@ -48,11 +48,10 @@ class Store:
         """The source as the given run left it; one directory per date, nothing to filter out."""
         entries = read_run(self.spark, self.root, "manifest", run_id).collect()  # one small row per date
         base = f"{self.root}/source"
+        if not entries:  # every row is gone: the columns are those of the older runs
+            return self.spark.read.parquet(base).drop("run_id").limit(0)
         paths = [f"{run_path(self.root, 'source', row.owner)}/{DATE}={row.event_date}" for row in entries]
-        schema_from = run_path(self.root, "source", entries[0].owner) if entries else None
-        if not paths:
-            raise ValueError("the source is empty")
-        schema = self.spark.read.parquet(schema_from).schema
+        schema = self.spark.read.parquet(run_path(self.root, "source", entries[0].owner)).schema
         return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).drop("run_id")
 
     def control(self, name: str, run_id: str) -> DataFrame:
@@ -65,26 +64,24 @@ class Store:
         empty = self.spark.createDataFrame([], "group_id bigint, id bigint")
         return read_table(self.spark, self.root, "ledger", empty).select("group_id", "id")
 
-    def _write_manifest(self, before: DataFrame | None, run_id: str, touched: DataFrame | None) -> None:
-        path = run_path(self.root, "source", run_id)
-        written = None
-        if touched is None or touched.limit(1).count():
-            written = self.spark.read.parquet(path).select(DATE).distinct().withColumn("owner", F.lit(run_id))
+    def _write_manifest(self, before: DataFrame | None, run_id: str, touched: DataFrame | None, like: DataFrame) -> None:
+        """Dates this run wrote, and the owners of the dates it left alone."""
+        files = self.spark.read.schema(like.schema).parquet(run_path(self.root, "source", run_id))
+        owners = files.select(DATE).distinct().withColumn("owner", F.lit(run_id))
         if before is not None:
-            untouched = before.join(touched, DATE, "left_anti")
-            written = untouched if written is None else untouched.unionByName(written)
-        write_run(written, self.root, "manifest", run_id)
+            owners = before.join(touched, DATE, "left_anti").unionByName(owners)
+        write_run(owners.coalesce(1), self.root, "manifest", run_id)
 
     def rewrite(self, gone: DataFrame, key: str, previous_run: str, run_id: str) -> None:
         """Remove ``gone(key, event_date)`` from the dates that hold such rows."""
         before = read_run(self.spark, self.root, "manifest", previous_run)
-        touched = gone.select(DATE).distinct()
-        dates = [row[0] for row in touched.collect()]  # dates, not rows
+        dates = [row[0] for row in gone.select(DATE).distinct().collect()]  # dates, not rows
+        touched = self.spark.createDataFrame([(d,) for d in dates], f"{DATE} date")
         rows = self.source(previous_run)
         affected = rows.where(F.col(DATE).isin(dates)) if dates else rows.limit(0)
         kept = arc.survivors(affected, gone, key)
         write_run(kept, self.root, "source", run_id, [DATE])
-        self._write_manifest(before, run_id, touched)
+        self._write_manifest(before, run_id, touched, kept)
 
 
 def archive_run(store: Store, previous_run: str, run_id: str, now: str, *, limit: int = 1000,

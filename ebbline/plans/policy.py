@@ -276,14 +276,19 @@ class PolicyCompiler:
 
     @cached_property
     def keyword_uses(self) -> DataFrame:
-        """Rules per keyword and policy, to find a keyword used by more than one rule."""
+        """``(policy_id, pattern, rules)``: the sorted rules that use a keyword.
+
+        The list is no longer than the document has rules.
+        """
         return self.selectors.where(F.col("kind") == "keyword").groupBy("policy_id", "pattern").agg(
-            F.countDistinct("rule_no").alias("rules"), F.min("rule_no").alias("first_rule"))
+            F.sort_array(F.collect_set("rule_no")).alias("rules"))
 
     @cached_property
     def _keyword_selectors(self) -> DataFrame:
-        single = self.keyword_uses.where(F.col("rules") == 1).select("policy_id", "pattern")
-        return self.selectors.where(F.col("kind") == "keyword").join(single, ["policy_id", "pattern"], "left_semi")
+        """Keywords used by one rule only; a repeated keyword selects nothing."""
+        return self.keyword_uses.where(F.size("rules") == 1).select(
+            "policy_id", F.col("rules")[0].alias("rule_no"), "pattern", F.lit(None).cast("int").alias("sel_id"),
+            F.lit("keyword").alias("kind"))
 
     @cached_property
     def resolved(self) -> DataFrame:
@@ -330,7 +335,7 @@ class PolicyCompiler:
 
     @cached_property
     def tenant_matches(self) -> DataFrame:
-        return self.resolved.unionByName(self.others)
+        return self._staged(self.resolved.unionByName(self.others), "tenant_matches")
 
     @cached_property
     def rule_tenants(self) -> DataFrame:
@@ -453,22 +458,22 @@ class PolicyCompiler:
         shown = F.coalesce("pattern", F.col("sel_id").cast("string"))
         return self._rows(asked.join(found, same, "left_anti"), F.array(_violation("T1", shown)))
 
+    @staticmethod
+    def _on_first_rule(df: DataFrame, code: str, shown) -> DataFrame:
+        """A violation on the first of the sorted ``rules`` for each of the others."""
+        others = F.transform(F.slice("rules", 2, F.size("rules")), lambda r: _violation(
+            code, F.concat_ws(" in #", shown.cast("string"), r.cast("string"))))
+        return PolicyCompiler._rows(df.where(F.size("rules") > 1), others, F.col("rules")[0])
+
     def _repeated_keywords(self) -> DataFrame:
         """T2: a keyword used by more than one rule, reported on the first."""
-        again = self.keyword_uses.where(F.col("rules") > 1).join(
-            self.selectors.where(F.col("kind") == "keyword"), ["policy_id", "pattern"]
-        ).where(F.col("rule_no") > F.col("first_rule"))
-        shown = F.concat_ws(" in #", "pattern", F.col("rule_no").cast("string"))
-        return self._rows(again, F.array(_violation("T2", shown)), "first_rule")
+        return self._on_first_rule(self.keyword_uses, "T2", F.col("pattern"))
 
     def _shared_tenants(self) -> DataFrame:
         """T3: a tenant kept by two rules, reported on the first."""
-        kept = self.rule_tenants
-        first = kept.groupBy("policy_id", "tenant_id").agg(
-            F.min("rule_no").alias("first_rule"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        again = first.join(kept, ["policy_id", "tenant_id"]).where(F.col("rule_no") > F.col("first_rule"))
-        shown = F.concat_ws(" in #", F.col("tenant_id").cast("string"), F.col("rule_no").cast("string"))
-        return self._rows(again, F.array(_violation("T3", shown)), "first_rule")
+        kept = self.tenant_matches.where("keep").groupBy("policy_id", "tenant_id").agg(
+            F.sort_array(F.collect_set("rule_no")).alias("rules"))
+        return self._on_first_rule(kept, "T3", F.col("tenant_id"))
 
     def report(self, limit: int = 100) -> DataFrame:
         """The first ``limit`` violations of each policy, ordered by rule and code.
@@ -479,12 +484,6 @@ class PolicyCompiler:
         return self.violations.withColumn("position", F.row_number().over(order)).where(F.col("position") <= limit)
 
     # ---- result ------------------------------------------------------------------
-    @cached_property
-    def valid_ids(self) -> DataFrame:
-        """Policies without a violation."""
-        return self.policies.select("policy_id").join(
-            self.violations.select("policy_id").distinct(), "policy_id", "left_anti")
-
     @cached_property
     def settings_of_all(self) -> DataFrame:
         """Flat settings without the validity check: sub-rule over rule over default hours."""
@@ -502,8 +501,9 @@ class PolicyCompiler:
 
     @cached_property
     def settings(self) -> DataFrame:
-        """Compiled settings of the valid policies."""
-        return self._staged(self.settings_of_all.join(self.valid_ids, "policy_id", "left_semi"), "settings")
+        """Compiled settings of the policies without a violation."""
+        return self._staged(
+            self.settings_of_all.join(self.violations.select("policy_id"), "policy_id", "left_anti"), "settings")
 
 
 def compile_policies(policies: DataFrame, tenants: DataFrame, entity: Entity = LOGS,
