@@ -13,11 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.entities import Entity
+from ebbline.functions.expressions import ts_ntz
 from ebbline.operators import archive as arc
 from ebbline.operators.purge import due_groups, purge_ids, purge_status, resume_point
 from ebbline.operators.rollup import group_rollup, trigger_rollup
 from ebbline.operators.selection import high_watermark, open_windows, select_rows, with_late_marker
 from ebbline.operators.sizing import budget_slices, profile_windows
+from ebbline.plans.policy import compile_policies, expand_keywords
+from ebbline.plans.requests import simple_retention_date
+from ebbline.plans.windows import plan_dates, plan_groups, plan_windows
 from ebbline.sources.store import read_run, read_table, run_label, run_path, write_run
 
 TAGS = ["trigger_id", "group_id", "delete_only", "no_delay", "is_late", "event_date"]
@@ -84,6 +88,57 @@ class Store:
         self._write_manifest(before, run_id, touched, kept)
 
 
+def log_run(store: Store, run_id: str, kind: str, started: str, messages: list[tuple[int, str]], status: int = 0) -> None:
+    """Run row and its messages ``(severity, text)``, in order."""
+    spark = store.spark
+    run = spark.createDataFrame([(run_id, kind, started, status)], "run_id string, type string, started string, error_status int")
+    write_run(run.withColumnRenamed("run_id", "id").withColumn("start_time", F.col("started").cast("timestamp_ntz")).drop("started"),
+              store.root, "runs", run_id)
+    rows = [(i, severity, text) for i, (severity, text) in enumerate(messages)]
+    write_run(spark.createDataFrame(rows, "seq int, severity int, message string"), store.root, "messages", run_id)
+
+
+def add_trigger(store: Store, previous_run: str, run_id: str, trigger_id: int, trigger_time: str, settings: DataFrame) -> None:
+    """Plan the windows of a new trigger from compiled settings and add them to the control tables."""
+    spark = store.spark
+    windows, groups, triggers = (store.control(n, previous_run) for n in ("windows", "groups", "triggers"))
+    timed = settings.withColumn("trigger_id", F.lit(trigger_id).cast("bigint")).withColumn("trigger_time", ts_ntz(trigger_time))
+    new = plan_windows(plan_dates(timed), windows)
+    first_free = groups.agg(F.coalesce(F.max("group_id"), F.lit(0))).first()[0]
+    numbered = plan_groups(new).withColumn("group_id", (F.col("group_no") + first_free).cast("bigint"))
+    null_id = F.lit(None).cast("bigint")
+    new_windows = new.join(numbered, ["trigger_id", "delete_after"]).select(
+        "group_id", "tenant_id", "sub_id", "delete_only", "previous_ts", "target_ts", F.lit(False).alias("is_archived"),
+        null_id.alias("current_id"), null_id.alias("target_id"))
+    flags = [F.lit(False).alias(c) for c in ("is_archived", "is_deleted", "is_synced")]
+    new_groups = numbered.select("group_id", "trigger_id", "delete_after", *flags,
+                                 *[null_id.alias(c) for c in ("first_id", "last_id", "id_count")])
+    new_trigger = spark.createDataFrame([(trigger_id,)], "trigger_id bigint").select(
+        "trigger_id", ts_ntz(trigger_time).alias("trigger_time"),
+        *[F.lit(False).alias(c) for c in ("is_archived", "is_finished", "is_dry_run", "is_error")])
+    write_run(windows.unionByName(new_windows), store.root, "windows", run_id)
+    write_run(groups.unionByName(new_groups), store.root, "groups", run_id)
+    write_run(triggers.unionByName(new_trigger), store.root, "triggers", run_id)
+    write_run(read_run(spark, store.root, "manifest", previous_run), store.root, "manifest", run_id)
+
+
+def simple_archive_run(store: Store, tenants: DataFrame, previous_run: str, run_id: str, now: str, trigger_id: int, *,
+                       retention_date=None, retention_days: int | None = None, retention_hours: int | None = None,
+                       round_to_day: bool = False) -> dict:
+    """Archive and delete at once everything of all tenants before a retention date."""
+    spark = store.spark
+    request = spark.createDataFrame(
+        [(retention_date, retention_days, retention_hours, round_to_day)],
+        "retention_date timestamp_ntz, retention_days int, retention_hours int, round_to_day boolean")
+    trigger_time, error = simple_retention_date(request, now).select("trigger_time", "error").first()
+    if error:
+        raise ValueError(f"retention date: {error}")
+    policy = spark.createDataFrame([(1, 0, 0, "ALL")], "policy_id int, after_hours int, delay_hours int, doc string")
+    settings = compile_policies(expand_keywords(policy, store.entity), tenants, store.entity)
+    add_trigger(store, previous_run, f"{run_id}-trigger", trigger_id, trigger_time, settings)
+    return archive_run(store, f"{run_id}-trigger", run_id, now)
+
+
 def archive_run(store: Store, previous_run: str, run_id: str, now: str, *, limit: int = 1000,
                 delete_if_no_delay: bool = True, ignore_delay: bool = False, rows_per_slice: int | None = None) -> dict:
     """One archive batch: from the state of ``previous_run`` to the state of ``run_id``."""
@@ -147,7 +202,12 @@ def archive_run(store: Store, previous_run: str, run_id: str, now: str, *, limit
         "is_archived", F.coalesce("_a", "is_archived")).withColumn("is_finished", F.coalesce("_f", "is_finished")).drop("_a", "_f")
     for name, df in (("windows", closed), ("groups", groups_out), ("triggers", triggers_out)):
         write_run(df, store.root, name, run_id)
-    return {"windows": profile.count, "rows": selected.count(), "watermark": watermark}
+    counts = arc.archive_metrics(selected, []).first()
+    log_run(store, run_id, f"Archive {entity.name}", now, [
+        (10, f"Archive Filter(s) found: {profile.count}"), (10, f"Target Id: {watermark}"),
+        (10, f"Total: {counts.row_count} (archive = {counts.archived}, delete only = {counts.delete_only_rows}) / "
+             f"delete (no delay = {counts.deleted_now}, async = {counts.deleted_later})")])
+    return {"windows": profile.count, "rows": counts.row_count, "watermark": watermark}
 
 
 def purge_run(store: Store, groups: DataFrame, status: DataFrame, previous_run: str, run_id: str, now: str,

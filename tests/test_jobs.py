@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ebbline.entities import LOGS
 from ebbline.operators import purge as p
-from ebbline.plans.jobs import Store, archive_run, purge_run
+from ebbline.plans.jobs import Store, archive_run, purge_run, simple_archive_run
 from ebbline.sources.store import read_run, read_table, write_run
 
 NOW = "2024-01-31 00:00:00"
@@ -135,3 +135,20 @@ def test_archive_gains_columns(spark, folder):
     write_run(spark.createDataFrame([(2, "b", 5)], "id long, x string, y int"), folder, "t", "2")
     got = {r.id: r.y for r in read_table(spark, folder, "t").collect()}
     assert got == {1: None, 2: 5}
+
+
+def test_simple_archive(spark, views, store):
+    out = simple_archive_run(store, views.tenants, "0", "1", NOW, 3, retention_days=5, round_to_day=True)
+    # the open generation 2 ends on the 21st, the new windows go on to the 26th without delay
+    left = store.source("1")
+    assert out["rows"] > 0
+    assert left.where("ts >= timestamp_ntz'2024-01-21 00:00:00' AND ts < timestamp_ntz'2024-01-26 00:00:00'").count() == 0
+    assert left.where("ts >= timestamp_ntz'2024-01-26 00:00:00'").count() == views.logs.where(
+        "ts >= timestamp_ntz'2024-01-26 00:00:00'").count()
+    log = read_table(spark, store.root, "messages").orderBy("seq").collect()
+    assert [r.severity for r in log] == [10, 10, 10] and f"Total: {out['rows']} " in log[2].message
+
+
+def test_simple_archive_needs_one_kind_of_date(views, store):
+    with pytest.raises(ValueError):
+        simple_archive_run(store, views.tenants, "0", "1", NOW, 3)

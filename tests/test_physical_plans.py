@@ -1,18 +1,13 @@
-"""Plans: windows broadcast after a count, filters at the scan, no all-pairs join, no one-task window."""
+"""Plans: windows broadcast after a count, filters at the scan, settings shuffled once."""
 
 import pytest
 
 import __spark_entry__ as entry
 from ebbline.entities import LOGS
 from ebbline.operators import cleanup
-from tests.conftest import SMALL
+from tests.conftest import SMALL, plan
 
 QUERIES = entry.queries()
-LAZY = [q for q in QUERIES if q not in ("stream_archive",)]
-
-
-def plan(df, mode="formatted") -> str:
-    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
 @pytest.mark.parametrize("name", ["select_logs", "select_jobs", "select_queues", "select_audit", "select_licence"])
@@ -42,16 +37,3 @@ def test_planning_shuffles_the_settings_once(spark, name):
     df.collect()
     text = plan(df)
     assert "_bucket" in text and "ReusedExchange" in text
-
-
-@pytest.mark.parametrize("name", LAZY)
-def test_no_all_pairs_join_and_no_single_partition_window(spark, name):
-    text = plan(QUERIES[name](spark, SMALL))
-    assert "CartesianProduct" not in text
-    if name not in ("space_totals",):
-        assert "BroadcastNestedLoopJoin" not in text, text
-    # a window over one partition only where its input is a batch or one row per bucket
-    if "Window" in text and "SinglePartition" in text:
-        assert name in ("open_windows", "batch_message", "late_marker", "window_close", "select_logs", "select_late",
-                        "archive_rows", "delete_ledger", "archive_metrics", "change_volume", "late_rows", "stream_archive",
-                        "simple_archive", "flagship"), name

@@ -40,9 +40,12 @@ LOG_SELECTED = """
 
 
 def log_batch(t):
-    windows = t.log_windows
-    batch = s.open_windows(windows, t.log_groups, t.log_triggers, NOW_LOGS)
-    return s.with_late_marker(batch, windows)
+    """The open batch with its late markers, stored like a run stores it."""
+    if "log_batch" not in t._stored:
+        windows = t.store("log_windows")
+        batch = s.open_windows(windows, t.log_groups, t.log_triggers, NOW_LOGS)
+        t.store("log_batch", s.with_late_marker(batch, windows))
+    return t._stored["log_batch"]
 
 
 def log_selection(t):

@@ -265,15 +265,17 @@ _REF = re.compile(r"\$([a-z_]+)")
 _TS = re.compile(r"@'([^']*)'")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A base table or a fixture view as a DataFrame."""
+def view(spark: SparkSession, sf_dir: str, name: str, stored: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A base table or a fixture view as a DataFrame; ``stored`` views are read instead of derived."""
+    if stored and name in stored:
+        return stored[name]
     if name in BASE:
         return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     prefix = "w" + hashlib.md5(sf_dir.encode()).hexdigest()[:8]
 
     def ref(match: re.Match) -> str:
         inner = match.group(1)
-        view(spark, sf_dir, inner).createOrReplaceTempView(f"{prefix}_{inner}")
+        view(spark, sf_dir, inner, stored).createOrReplaceTempView(f"{prefix}_{inner}")
         return f"{prefix}_{inner}"
 
     return spark.sql(_TS.sub(r"timestamp_ntz'\1'", _REF.sub(ref, VIEWS[name])))

@@ -150,9 +150,9 @@ def simple_archive(t):
     """Ten days kept from the start of the day: every tenant and level, no delay, deleted at once."""
     spark = t.spark
     request = spark.createDataFrame([(1, None, 10, None, True)],
-                                    "request_id long, retention_date timestamp_ntz, retention_days int, retention_hours int, round_to_day boolean")
+                                    "policy_id int, retention_date timestamp_ntz, retention_days int, retention_hours int, round_to_day boolean")
     trigger = rq.simple_retention_date(request, NOW_LOGS).select(
-        F.lit(1).alias("policy_id"), F.col("request_id").alias("trigger_id"), "trigger_time")
+        "policy_id", F.col("policy_id").alias("trigger_id"), "trigger_time")
     policy = spark.createDataFrame([(1, 0, 0, "ALL")], "policy_id int, after_hours int, delay_hours int, doc string")
     settings = compile_policies(expand_keywords(policy), t.tenants)
     plan = w.plan_windows(w.plan_dates(settings.join(trigger, "policy_id")), t.stored_windows.limit(0))

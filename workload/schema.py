@@ -37,9 +37,12 @@ def source_contract(t):
     for name, key in (("logs", ["id"]), ("queue_items", ["id"]), ("queue_item_events", ["queue_item_id", "l_linenumber"])):
         df = getattr(t, name)
         errors = ct.contract_violations(ct.schema_rows(t.spark, name, df), ct.contract_rows(t.spark, name, contracts()[name]))
-        count = errors.agg(F.count(F.lit(1)).alias("contract_errors")).select(F.lit(name).alias("table_name"), "contract_errors")
-        parts.append(ct.key_checks(df, name, key).join(count, "table_name"))
-    return _union(parts)
+        zero = F.lit(0).cast("bigint")
+        parts.append(ct.key_checks(df, name, key).withColumn("contract_errors", zero))
+        parts.append(errors.agg(F.count(F.lit(1)).alias("contract_errors")).select(
+            F.lit(name).alias("table_name"), *[zero.alias(c) for c in ("row_count", "null_keys", "duplicate_keys")], "contract_errors"))
+    counts = ("row_count", "null_keys", "duplicate_keys", "contract_errors")
+    return _union(parts).groupBy("table_name").agg(*[F.sum(c).alias(c) for c in counts])
 
 
 @query("SELECT id, tenant_id, level_id, ts, machine_id FROM $logs WHERE ts < @'2024-01-11 00:00:00'")

@@ -21,8 +21,6 @@ STREAM_SELECTED = LOG_SELECTED.replace("l.id <= (SELECT MAX(id) FROM $logs WHERE
 def stream_archive(t):
     root = work_dir(t.spark, "stream")
     windows = log_batch(t)
-    windows.write.parquet(f"{root}/windows")
-    windows = t.spark.read.parquet(f"{root}/windows")
     rows = as_logs(read_increments(t.spark, t.sf_dir, "events"))
     archive_stream(rows, windows, LOGS, root).awaitTermination()
     archived = read_table(t.spark, root, "archive").select(F.lit("archive").alias("kind"), "id")
