@@ -32,14 +32,14 @@ def _per_entity_sql(select: str) -> str:
 
 
 @query("""
-    SELECT CAST(ts AS DATE) AS day, COUNT(*) FILTER (WHERE gone) AS removed, COUNT(*) FILTER (WHERE NOT gone) AS kept
+    SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) FILTER (WHERE gone) AS removed, COUNT(*) FILTER (WHERE NOT gone) AS kept
     FROM (SELECT ts, ts < @'2024-01-21 00:00:00'
                  AND id <= (SELECT MAX(id) FROM $logs WHERE ts < @'2024-01-21 00:00:00') AS gone FROM $logs)
     GROUP BY 1""")
 def cleanup_summary(t):
     """What goes and what stays with 240 hours to keep at 2024-01-31."""
     gone = c.expired(LOGS, LOG_CUTOFF)
-    return t.logs.groupBy(F.to_date("ts").alias("day")).agg(
+    return t.logs.groupBy(F.to_date("ts").cast("string").alias("day")).agg(
         F.count_if(gone).alias("removed"), F.count_if(~gone).alias("kept"))
 
 
@@ -140,9 +140,10 @@ def cleanup_level(t):
 
 
 @query(_per_entity_sql(
-    "SELECT '{name}' AS entity, CAST({time} AS DATE) AS day, COUNT(*) AS row_count FROM ${view} WHERE {time} < @'{cutoff}' GROUP BY 2"))
+    "SELECT '{name}' AS entity, CAST(CAST({time} AS DATE) AS VARCHAR) AS day, COUNT(*) AS row_count FROM ${view} WHERE {time} < @'{cutoff}' GROUP BY 2"))
 def cleanup_preview(t):
-    return _union([c.preview(getattr(t, name), entity, cutoff) for entity, name, cutoff in CUTOFFS])
+    days = _union([c.preview(getattr(t, name), entity, cutoff) for entity, name, cutoff in CUTOFFS])
+    return days.withColumn("day", F.col("day").cast("string"))
 
 
 @query(_per_entity_sql(

@@ -45,16 +45,17 @@ def run_log(t):
 
 
 @query("""
-    SELECT 'logs' AS entity, tenant_id, level_id AS sub_id, CAST(ts AS DATE) AS day, COUNT(*) AS row_count, MIN(id) AS first_id, MAX(id) AS last_id
+    SELECT 'logs' AS entity, tenant_id, level_id AS sub_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS row_count, MIN(id) AS first_id, MAX(id) AS last_id
     FROM $logs GROUP BY ALL
-    UNION ALL SELECT 'queue_items', tenant_id, status_id, CAST(creation_time AS DATE), COUNT(*), MIN(id), MAX(id) FROM $queue_items GROUP BY ALL
-    UNION ALL SELECT 'audit_logs', tenant_id, 0, CAST(execution_time AS DATE), COUNT(*), MIN(id), MAX(id) FROM $audit_logs GROUP BY ALL""")
+    UNION ALL SELECT 'queue_items', tenant_id, status_id, CAST(CAST(creation_time AS DATE) AS VARCHAR), COUNT(*), MIN(id), MAX(id) FROM $queue_items GROUP BY ALL
+    UNION ALL SELECT 'audit_logs', tenant_id, 0, CAST(CAST(execution_time AS DATE) AS VARCHAR), COUNT(*), MIN(id), MAX(id) FROM $audit_logs GROUP BY ALL""")
 def volume_profile(t):
     parts = [r.volume_profile(getattr(t, e.name), e).withColumn("entity", F.lit(e.name)) for e in (LOGS, QUEUE_ITEMS, AUDIT_LOGS)]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.withColumn("day", F.col("day").cast("string"))
 
 
-@query("""SELECT tenant_id, COUNT(*) AS sessions, SUM(m) AS total_minutes, ROUND(SUM(m) / COUNT(*), 4) AS mean_minutes,
+@query("""SELECT tenant_id, COUNT(*) AS sessions, CAST(SUM(m) AS BIGINT) AS total_minutes, ROUND(SUM(m) / COUNT(*), 4) AS mean_minutes,
            MIN(start_date) AS first_start, MAX(end_date) AS last_end
     FROM (SELECT *, CAST(floor((epoch(end_date) - epoch(start_date)) / 60) AS BIGINT) AS m FROM $robot_license_logs) GROUP BY tenant_id""")
 def duration_stats(t):
@@ -87,7 +88,7 @@ def change_volume(t):
     return r.change_volume({"logs": log_selection(t), "queue_items": queue_selection(t)})
 
 
-@query(f"""WITH {LOG_SELECTED} SELECT tenant_id, level_id AS sub_id, CAST(ts AS DATE) AS day, COUNT(*) AS row_count
+@query(f"""WITH {LOG_SELECTED} SELECT tenant_id, level_id AS sub_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS row_count
     FROM sel WHERE is_late GROUP BY ALL""")
 def late_rows(t):
-    return r.late_rows(log_selection(t), LOGS)
+    return r.late_rows(log_selection(t), LOGS).withColumn("day", F.col("day").cast("string"))
