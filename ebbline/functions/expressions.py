@@ -37,14 +37,9 @@ def like_pattern(value: Column) -> Column:
     return F.lower(F.left(F.trim(F.replace(value, F.lit("*"), F.lit("%"))), F.lit(128)))
 
 
-def literal_prefix(pattern: Column) -> Column:
-    """The part of a LIKE pattern before its first wildcard."""
-    return F.regexp_extract(pattern, r"^([^%_\\]*)", 1)
-
-
 def like(value: Column, pattern: Column) -> Column:
-    """``value LIKE pattern`` for a pattern held in a column."""
-    return F.call_function("like", value, pattern)
+    """``value LIKE pattern`` for a pattern held in a column; a backslash is an ordinary character."""
+    return F.call_function("like", value, F.replace(pattern, F.lit("\\"), F.lit("\\\\")))
 
 
 def name_part(name: Column, position: int) -> Column:

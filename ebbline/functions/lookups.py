@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.entities import LOG_LEVELS
+from ebbline.functions.expressions import like
 
 
 def dictionary_id(text: Column, names: dict[int, str] | tuple[tuple[int, str], ...]) -> Column:
@@ -26,13 +27,39 @@ def level_id(text: Column) -> Column:
 
 
 def prefix_index(names: DataFrame, name: str, key: str = "prefix") -> DataFrame:
-    """Every prefix of every name, so that a LIKE join gets an equality on the pattern's prefix.
+    """Every lower-case prefix of every name, the whole name included."""
+    return names.withColumn(
+        key, F.explode(F.transform(F.sequence(F.lit(0), F.least(F.length(name), F.lit(128))),
+                                   lambda n: F.left(F.lower(F.col(name)), n))))
+
+
+def _masked(text: Column, mask: Column) -> Column:
+    """``text`` with ``_`` wherever the mask has one."""
+    places = F.sequence(F.lit(1), F.length(mask))
+    chars = F.transform(places, lambda i: F.when(F.substr(mask, i, F.lit(1)) == "_", F.lit("_")).otherwise(
+        F.substr(text, i, F.lit(1))))
+    return F.when(F.length(mask) == 0, F.lit("")).otherwise(F.array_join(chars, ""))
 
-    ``name LIKE pattern`` alone would compare all pairs. The literal start of a pattern is
-    one of the prefixes of each name it can match, so joining on it is exact and hashable.
+
+def like_matches(patterns: DataFrame, names: DataFrame, name: str) -> DataFrame:
+    """``(pattern, <names columns>)`` for the names each distinct pattern is LIKE, by equality joins.
+
+    ``name LIKE pattern`` alone would compare all pairs. The head of a pattern (up to its first
+    ``%``) fixes every character except at its ``_`` places, so names are indexed by their
+    prefixes, masked at those places: head = masked prefix is an equality. Patterns without
+    ``%`` need the whole name and nothing else; the rest is checked with LIKE. Masks are few
+    (one per shape of pattern) and join the index on their length. Only patterns that start
+    with ``%`` have no head, and are checked against every name once per distinct pattern.
     """
-    return names.withColumn(
-        key,
-        F.explode(F.transform(F.sequence(F.lit(0), F.least(F.length(name), F.lit(128))),
-                              lambda n: F.left(F.lower(F.col(name)), n))),
-    )
+    shaped = patterns.select("pattern").distinct().select(
+        "pattern", F.regexp_extract("pattern", "^([^%]*)", 1).alias("_head"), F.contains("pattern", F.lit("%")).alias("_open"))
+    shaped = shaped.withColumn("_mask", F.regexp_replace("_head", "[^_]", "x"))
+    masks = shaped.select("_mask", "_open").distinct()
+    index = prefix_index(names, name, "_prefix")
+    keyed = index.join(masks, F.length("_prefix") == F.length("_mask")).where(
+        F.col("_open") | (F.length("_prefix") == F.length(name)))
+    keyed = keyed.select(*names.columns, F.col("_open").alias("_nopen"), F.col("_mask").alias("_nmask"),
+                         _masked(F.col("_prefix"), F.col("_mask")).alias("_key"))
+    hits = shaped.join(keyed, (F.col("_head") == F.col("_key")) & (F.col("_open") == F.col("_nopen"))
+                       & (F.col("_mask") == F.col("_nmask")))
+    return hits.where(~F.col("_open") | like(F.lower(name), F.col("pattern"))).select("pattern", *names.columns)

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from ebbline.entities import LOGS, Entity
 from ebbline.functions.expressions import (
-    json_entries, json_items, json_kind, json_text, like, like_pattern, literal_prefix, mark_json_strings,
+    json_entries, json_items, json_kind, json_text, like_pattern, mark_json_strings,
 )
-from ebbline.functions.lookups import prefix_index
+from ebbline.functions.lookups import like_matches
 from ebbline.session import work_dir
 
 # fixed values: keywords of the policy grammar
@@ -255,15 +255,10 @@ class PolicyCompiler:
             .when(F.contains("pattern", F.lit("%")), "partial").otherwise("exact"))
         return self._selectors("tenants").withColumn("kind", kind)
 
-    @cached_property
-    def _prefixes(self) -> DataFrame:
-        return prefix_index(self.tenants.select("tenant_id", "name", "is_deleted"), "name")
-
     def _match_names(self, selectors: DataFrame) -> DataFrame:
-        """Selectors x tenants by LIKE, joined on the literal prefix (see ``prefix_index``)."""
-        s = selectors.withColumn("_prefix", literal_prefix(F.col("pattern")))
-        return s.join(self._prefixes, F.col("_prefix") == F.col("prefix")).where(
-            like(F.lower("name"), F.col("pattern"))).drop("_prefix", "prefix")
+        """Selectors x tenants by LIKE: distinct patterns are matched once, then joined back."""
+        names = self.tenants.select("tenant_id", "name", "is_deleted")
+        return selectors.join(like_matches(selectors, names, "name"), "pattern")
 
     @cached_property
     def excluded(self) -> DataFrame:
@@ -534,9 +529,7 @@ def split_tenant_list(lists: DataFrame, tenants: DataFrame) -> DataFrame:
     tags = F.array_compact(F.array(*[F.when(cond, F.lit(word)) for word, cond in flags]))
     tagged = tenants.select("tenant_id", "name", F.explode(tags).alias("_word"))
     by_word = items.join(tagged, F.col("pattern") == F.col("_word")).drop("_word")
-    names = prefix_index(tenants.select("tenant_id", "name"), "name")
-    by_name = items.withColumn("_p", literal_prefix(F.col("pattern"))).join(names, F.col("_p") == F.col("prefix")).where(
-        like(F.lower("name"), F.col("pattern"))).drop("_p", "prefix")
+    by_name = items.join(like_matches(items, tenants.select("tenant_id", "name"), "name"), "pattern")
     matched = by_word.unionByName(by_name).distinct()
     missing = items.join(matched.select("list_id", "item", "discard").distinct(),
                          ["list_id", "item", "discard"], "left_anti")

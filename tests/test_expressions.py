@@ -3,7 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ebbline.functions import expressions as e
-from ebbline.functions.lookups import level_id, prefix_index
+from ebbline.functions.lookups import level_id, like_matches, prefix_index
 
 
 def one(spark, *cols):
@@ -26,7 +26,7 @@ def test_hours_are_exact(spark):
 
 
 def test_like_pattern(spark):
-    assert one(spark, e.like_pattern(F.lit("  Ab*C ")), e.literal_prefix(F.lit("ab%c_")), e.literal_prefix(F.lit("%x"))) == ("ab%c", "ab", "")
+    assert one(spark, e.like_pattern(F.lit("  Ab*C "))) == ("ab%c",)
     assert len(one(spark, e.like_pattern(F.lit("x" * 300)))[0]) == 128
 
 
@@ -38,3 +38,20 @@ def test_levels(spark):
 def test_prefix_index(spark):
     df = spark.createDataFrame([("Abc",)], "name string")
     assert sorted(r.prefix for r in prefix_index(df, "name").collect()) == ["", "a", "ab", "abc"]
+
+
+def test_like_matches_equals_brute_force(spark):
+    names = ["Nation_1", "NATION_12", "nationX1", "abc", "a_c", "", "back\\slash", "x%y", "_", "a" * 130]
+    patterns = ["nation_1", "nation%", "nation_1%", "%1", "%", "_", "___", "a_c", "abc%", "%a%c%", "back\\slash", "back\\%", "", "x%y", "a" * 128]
+
+    def matches(text, pattern):
+        if not pattern:
+            return not text
+        if pattern[0] == "%":
+            return any(matches(text[i:], pattern[1:]) for i in range(len(text) + 1))
+        return bool(text) and pattern[0] in ("_", text[0]) and matches(text[1:], pattern[1:])
+
+    got = like_matches(spark.createDataFrame([(p,) for p in patterns * 2], "pattern string"),
+                       spark.createDataFrame([(n,) for n in names], "name string"), "name").collect()
+    want = sorted((p, n) for p in patterns for n in names if matches(n.lower(), p))
+    assert sorted((r.pattern, r.name) for r in got) == want

@@ -88,7 +88,7 @@ def high_watermark(t):
     SELECT b.group_id, b.tenant_id, b.sub_id, b.order_no, CASE WHEN b.order_no = 1 THEN m.m END AS last_id
     FROM batch b LEFT JOIN marks m ON m.tenant_id = b.tenant_id AND m.sub_id = b.sub_id""")
 def late_marker(t):
-    windows = t.c_window_rows
+    windows = t.store("c_window_rows")
     batch = s.open_windows(windows, t.c_groups, t.c_triggers, BATCH_NOW)
     return s.with_late_marker(batch, windows).select("group_id", "tenant_id", "sub_id", "order_no", "last_id")
 
@@ -213,7 +213,7 @@ def survivors_immediate(t):
            x.is_archived OR b.group_id IS NOT NULL AS is_archived
     FROM $c_window_rows x LEFT JOIN batch b ON b.group_id = x.group_id AND b.tenant_id = x.tenant_id AND b.sub_id = x.sub_id""")
 def window_close(t):
-    windows = t.c_window_rows
+    windows = t.store("c_window_rows")
     batch = s.open_windows(windows, t.c_groups, t.c_triggers, BATCH_NOW)
     watermark = t.logs.agg(F.max("id")).first()[0]
     return a.advance_windows(windows, batch, watermark).select(

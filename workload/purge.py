@@ -26,7 +26,8 @@ RESUME = DUE + """,
 
 
 def due(t):
-    return p.due_groups(t.c_groups, t.c_status, NOW)
+    """Control tables are stored tables in a run, so they are written once here."""
+    return p.due_groups(t.store("c_groups"), t.store("c_status"), NOW)
 
 
 def resume(t):
@@ -47,7 +48,7 @@ def resume_point(t):
     SELECT group_id, id FROM $c_ledger WHERE id NOT IN (SELECT id FROM gone)""")
 def purge_logs(t):
     """Rows of a flat entity that stay after the due ledger ids are deleted."""
-    ledger = t.c_ledger
+    ledger = t.store("c_ledger")
     return survivors(ledger, p.purge_ids(ledger, resume(t)), "id").select("group_id", "id")
 
 

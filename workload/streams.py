@@ -21,7 +21,7 @@ STREAM_SELECTED = LOG_SELECTED.replace("l.id <= (SELECT MAX(id) FROM $logs WHERE
 def stream_archive(t):
     root = work_dir(t.spark, "stream")
     windows = log_batch(t)
-    rows = as_logs(read_increments(t.spark, t.sf_dir, "events"))
+    rows = as_logs(read_increments(t.spark, t.sf_dir, "events", files_per_trigger=8))
     archive_stream(rows, windows, LOGS, root).awaitTermination()
     archived = read_table(t.spark, root, "archive").select(F.lit("archive").alias("kind"), "id")
     return archived.unionByName(read_table(t.spark, root, "ledger").select(F.lit("ledger").alias("kind"), "id"))
