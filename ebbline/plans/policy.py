@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ebbline.entities import LOGS, Entity
 from ebbline.functions.expressions import (
-    json_entries, json_items, json_kind, json_text, like_pattern, mark_json_strings,
+    entries_sql, items_sql, json_items, json_kind, json_text, kind_sql, like_pattern, mark_json_strings, text_sql,
 )
 from ebbline.functions.lookups import like_matches
 from ebbline.session import work_dir
@@ -51,57 +51,72 @@ def expand_keywords(policies: DataFrame, entity: Entity = LOGS) -> DataFrame:
     ).withColumn("doc", doc)
 
 
-def _entry_name(key):
-    name = F.lower(json_text(key))
-    return F.when(name.isin("disable", "disabled"), "disabled").otherwise(name)
+def _quoted(words) -> str:
+    return ", ".join(f"'{w}'" for w in words)
 
 
-def _typed_entries(text, drop_comments: bool):
-    """``array<struct<key,value,kind>>`` of a marked JSON object."""
-    entries = F.transform(json_entries(text), lambda e: F.struct(
-        _entry_name(e["key"]).alias("key"), json_text(e["value"]).alias("value"), json_kind(e["value"]).alias("kind"),
-        e["value"].alias("text")))
-    return F.filter(entries, lambda e: ~e["key"].isin(*COMMENT_KEYS)) if drop_comments else entries
+def _typed_entries(text: str, drop_comments: bool) -> str:
+    """``array<struct<key,value,kind,text>>`` of a marked JSON object; ``disable`` is ``disabled``."""
+    name = f"lower({text_sql('e.key')})"
+    name = f"CASE WHEN {name} IN ('disable', 'disabled') THEN 'disabled' ELSE {name} END"
+    entries = (f"transform({entries_sql(text)}, e -> struct({name} AS key, {text_sql('e.value')} AS value, "
+               f"{kind_sql('e.value')} AS kind, e.value AS text))")
+    return f"filter({entries}, e -> e.key NOT IN ({_quoted(COMMENT_KEYS)}))" if drop_comments else entries
 
 
-def _once(value):
+def _once(value: str):
     """Evaluate a costly expression once: filters and projections above see its result only."""
-    return F.explode(F.array(value))
+    return F.explode(F.array(F.expr(value)))
 
 
-def _of_key(entries, *keys):
-    return F.filter(entries, lambda e: e["key"].isin(*keys))
+def _of_key(*keys: str, kind: str | None = None, entries: str = "entries") -> str:
+    of_kind = f" AND e.kind = '{kind}'" if kind else ""
+    return f"filter({entries}, e -> e.key IN ({_quoted(keys)}){of_kind})"
 
 
-def _hours(entries, name):
-    numbers = F.filter(entries, lambda e: (e["key"] == name) & (e["kind"] == "number"))
-    return F.array_max(F.transform(numbers, lambda e: e["value"].try_cast("int")))
+def _hours(name: str):
+    return F.expr(f"array_max(transform({_of_key(name, kind='number')}, e -> try_cast(e.value AS INT)))")
 
 
-def _is_disabled(entries):
+def _is_disabled() -> str:
     """True when every usable ``disabled`` entry says true or at least 1."""
-    usable = F.filter(entries, lambda e: (e["key"] == "disabled") & e["kind"].isin("number", "true/false", "array"))
-    on = F.forall(usable, lambda e: F.coalesce(
-        ((e["kind"] == "true/false") & (e["value"] == "true"))
-        | ((e["kind"] == "number") & (e["value"].try_cast("double") >= 1)), F.lit(False)))
-    return (F.size(usable) > 0) & on
+    usable = "filter(entries, e -> e.key = 'disabled' AND e.kind IN ('number', 'true/false', 'array'))"
+    on = ("coalesce((e.kind = 'true/false' AND e.value = 'true') "
+          "OR (e.kind = 'number' AND try_cast(e.value AS DOUBLE) >= 1), false)")
+    return f"(size({usable}) > 0 AND forall({usable}, e -> {on}))"
 
 
-def _violation(code: str, detail):
-    return F.struct(F.lit(code).alias("code"), detail.cast("string").alias("detail"))
+NO_VIOLATION = "CAST(array() AS array<struct<code:string,detail:string>>)"
 
 
-def _violations(code: str, entries, test, detail):
+def _violation(code: str, detail: str) -> str:
+    return f"struct('{code}' AS code, CAST({detail} AS STRING) AS detail)"
+
+
+def _violations(code: str, test: str, detail: str, entries: str = "entries") -> str:
     """Distinct violations of the entries that fail a test."""
-    return F.array_distinct(F.transform(F.filter(entries, test), lambda e: _violation(code, detail(e))))
+    return f"array_distinct(transform(filter({entries}, e -> {test}), e -> {_violation(code, detail)}))"
+
+
+def _repeated(code: str) -> str:
+    keys = "transform(entries, e -> e.key)"
+    counted = f"transform(array_distinct({keys}), k -> struct(k AS key, size(filter({keys}, x -> x = k)) AS n))"
+    return f"transform(filter({counted}, c -> c.n > 1), c -> {_violation(code, NAMED_COUNT)})"
 
 
-def _repeated(code: str, entries):
-    keys = F.transform(entries, lambda e: e["key"])
-    counted = F.transform(F.array_distinct(keys), lambda k: F.struct(
-        k.alias("key"), F.size(F.filter(keys, lambda x: x == k)).alias("n")))
-    return F.transform(F.filter(counted, lambda c: c["n"] > 1),
-                       lambda c: _violation(code, F.concat_ws(":", c["key"], c["n"].cast("string"))))
+def _wrong_items(code: str, arrays: str, allowed: str) -> str:
+    """Kinds of array items that are not allowed, per entry."""
+    kinds = f"array_distinct(transform({items_sql('e.text')}, i -> {kind_sql('i')}))"
+    bad = f"transform(array_except({kinds}, {allowed}), k -> {_violation(code, CONCAT_KIND)})"
+    return f"array_distinct(flatten(transform({arrays}, e -> {bad})))"
+
+
+ARRAY_EXPECTED = "'array of objects expected'"
+NAMED_COUNT = "concat_ws(':', c.key, CAST(c.n AS STRING))"
+CONCAT_KIND = "concat_ws(':', e.key, k)"
+KEY_KIND = "concat_ws(':', e.key, e.kind)"
+HOURS_OR_FLAG = (f"(e.key IN ({_quoted(HOURS_KEYS)}) AND e.kind <> 'number') "
+                 "OR (e.key = 'disabled' AND e.kind NOT IN ('number', 'true/false'))")
 
 
 @dataclass(frozen=True)
@@ -132,7 +147,7 @@ class PolicyCompiler:
     def documents(self) -> DataFrame:
         return self.policies.select(
             "policy_id", F.col("after_hours").alias("p_after"), F.col("delay_hours").alias("p_delay"),
-            json_items(mark_json_strings(F.trim("doc"))).alias("items"))
+            mark_json_strings(F.trim("doc")).alias("marked")).withColumn("items", json_items("marked")).drop("marked")
 
     @cached_property
     def items(self) -> DataFrame:
@@ -143,18 +158,16 @@ class PolicyCompiler:
         return self.documents.select(
             "policy_id", "p_after", "p_delay", F.posexplode_outer("items").alias("pos", "text"),
         ).select("policy_id", "p_after", "p_delay", F.coalesce(F.col("pos") + 1, F.lit(0)).alias("rule_no"),
-                 F.when(F.col("pos").isNotNull(), json_kind(F.col("text"))).alias("kind"), "text")
+                 F.when(F.col("pos").isNotNull(), json_kind("text")).alias("kind"), "text")
 
     @cached_property
     def rules(self) -> DataFrame:
         """One row per rule with entries and settings; ``disabled`` given twice counts as not disabled."""
-        entries = F.col("entries")
         return self._staged(self.items.where(F.col("kind") == "object").select(
-            "policy_id", "p_after", "p_delay", "rule_no", _once(_typed_entries(F.col("text"), True)).alias("entries"),
+            "policy_id", "p_after", "p_delay", "rule_no", _once(_typed_entries("text", True)).alias("entries"),
         ).select(
-            "*", _hours(entries, "after_hours").alias("after_hours"),
-            _hours(entries, "delete_delay_hours").alias("delete_delay_hours"),
-            ((F.size(_of_key(entries, "disabled")) <= 1) & _is_disabled(entries)).alias("disabled")), "rules")
+            "*", _hours("after_hours").alias("after_hours"), _hours("delete_delay_hours").alias("delete_delay_hours"),
+            F.expr(f"size({_of_key('disabled')}) <= 1 AND {_is_disabled()}").alias("disabled")), "rules")
 
     @cached_property
     def rule_settings(self) -> DataFrame:
@@ -176,19 +189,17 @@ class PolicyCompiler:
         subs = self.live_rules.select(
             "policy_id", "p_after", "p_delay", "rule_no", F.col("after_hours").alias("r_after"),
             F.col("delete_delay_hours").alias("r_delay"),
-            F.explode(F.filter(_of_key(F.col("entries"), self.entity.sub_rule), lambda e: e["kind"] == "array")).alias("e"),
+            F.explode(F.expr(_of_key(self.entity.sub_rule, kind="array"))).alias("e"),
         ).select("policy_id", "p_after", "p_delay", "rule_no", "r_after", "r_delay",
-                 F.posexplode(json_items(F.col("e.text"))).alias("pos", "text"))
-        entries = F.col("entries")
+                 F.posexplode(json_items("e.text")).alias("pos", "text"))
         return self._staged(
-            subs.where(json_kind(F.col("text")) == "object")
+            subs.where(json_kind("text") == "object")
             .select("policy_id", "rule_no", (F.col("pos") + 1).alias("sub_no"), "p_after", "p_delay", "r_after", "r_delay",
-                    _once(_typed_entries(F.col("text"), False)).alias("entries"))
+                    _once(_typed_entries("text", False)).alias("entries"))
             .where(F.size("entries") > 0)
-            .select("*", _hours(entries, "after_hours").alias("after_hours"),
-                    _hours(entries, "delete_delay_hours").alias("delete_delay_hours"),
-                    _is_disabled(entries).alias("disabled"),
-                    (F.size(_of_key(entries, "archive", "delete")) > 0).alias("has_action"))
+            .select("*", _hours("after_hours").alias("after_hours"), _hours("delete_delay_hours").alias("delete_delay_hours"),
+                    F.expr(_is_disabled()).alias("disabled"),
+                    F.expr(f"size({_of_key('archive', 'delete')}) > 0").alias("has_action"))
             .select("*", F.coalesce("after_hours", "r_after", "p_after").alias("use_after"),
                     F.coalesce("delete_delay_hours", "r_delay", "p_delay").alias("use_delay")), "sub_rules")
 
@@ -208,13 +219,13 @@ class PolicyCompiler:
         """
         entry = self.live_sub_rules.select(
             "policy_id", "rule_no", "sub_no", "use_after", "use_delay",
-            F.explode(_of_key(F.col("entries"), "archive", "delete")).alias("e"))
-        values = F.when(F.col("e.kind") == "array", json_items(F.col("e.text"))).otherwise(F.array("e.text"))
-        text = json_text(F.col("text"))
+            F.explode(F.expr(_of_key("archive", "delete"))).alias("e"))
+        values = F.when(F.col("e.kind") == "array", json_items("e.text")).otherwise(F.array("e.text"))
+        text = json_text("text")
         return (
             entry.select("policy_id", "rule_no", "sub_no", "use_after", "use_delay", F.col("e.key").alias("action"),
                          F.explode(values).alias("text"))
-            .withColumn("kind", json_kind(F.col("text"))).where(F.col("kind").isin("string", "number"))
+            .withColumn("kind", json_kind("text")).where(F.col("kind").isin("string", "number"))
             .select("policy_id", "rule_no", "sub_no", "use_after", "use_delay", "action",
                     F.when(F.col("kind") == "string", F.lower(text)).alias("name"),
                     F.when(F.col("kind") == "number", text.try_cast("int")).alias("id"))
@@ -237,10 +248,10 @@ class PolicyCompiler:
 
     # ---- tenants -----------------------------------------------------------------
     def _selectors(self, key: str) -> DataFrame:
-        entry = self.live_rules.select("policy_id", "rule_no", F.explode(_of_key(F.col("entries"), key)).alias("e"))
-        values = F.when(F.col("e.kind") == "array", json_items(F.col("e.text"))).otherwise(F.array("e.text"))
-        text = json_text(F.col("text"))
-        kind = json_kind(F.col("text"))
+        entry = self.live_rules.select("policy_id", "rule_no", F.explode(F.expr(_of_key(key))).alias("e"))
+        values = F.when(F.col("e.kind") == "array", json_items("e.text")).otherwise(F.array("e.text"))
+        text = json_text("text")
+        kind = json_kind("text")
         return entry.select("policy_id", "rule_no", F.explode(values).alias("text")).where(
             kind.isin("string", "number")).select(
             "policy_id", "rule_no", F.when(kind == "string", like_pattern(text)).alias("pattern"),
@@ -359,76 +370,58 @@ class PolicyCompiler:
     def _document_checks(self) -> DataFrame:
         empty = self.items.where(F.col("rule_no") == 0)
         bad = self.items.where(F.col("kind") != "object")
-        return self._rows(empty, F.array(_violation("JSON", F.lit("array of objects expected")))).unionByName(
-            self._rows(bad, F.array(_violation("J0", F.col("kind")))))
+        return self._rows(empty, F.expr(f"array({_violation('JSON', ARRAY_EXPECTED)})")).unionByName(
+            self._rows(bad, F.expr(f"array({_violation('J0', 'kind')})")))
 
     def _rule_checks(self) -> DataFrame:
         """J1-J5 and T0 of a rule in one projection."""
         sub = self.entity.sub_rule
-        lists = ["tenants", "exclude"] + ([sub] if sub else [])
         required = ["tenants"] + ([sub] if sub else [])
-        entries = F.col("entries")
-        arrays = F.filter(_of_key(entries, *lists), lambda e: e["kind"] == "array")
-
-        def wrong_kind(e):
-            bad = ((e["key"] == "tenants") & ~e["kind"].isin("string", "number", "array")) | (
-                e["key"].isin(*HOURS_KEYS) & (e["kind"] != "number")) | (
-                (e["key"] == "disabled") & ~e["kind"].isin("number", "true/false"))
-            return bad | ((e["key"] == sub) & (e["kind"] != "array")) if sub else bad
-
-        def wrong_items(e):
-            allowed = F.when(e["key"].isin("tenants", "exclude"), F.array(F.lit("string"), F.lit("number"))).otherwise(
-                F.array(F.lit("object")))
-            kinds = F.array_distinct(F.transform(json_items(e["text"]), json_kind))
-            return F.transform(F.array_except(kinds, allowed),
-                               lambda k: _violation("T0", F.concat_ws(":", e["key"], k)))
-
-        missing = F.array_except(F.array(*[F.lit(k) for k in required]), F.transform(entries, lambda e: e["key"]))
-        found = F.concat(
-            _violations("J1", entries, lambda e: ~e["key"].isin(*lists, *HOURS_KEYS, "disabled"), lambda e: e["key"]),
-            F.transform(missing, lambda k: _violation("J2", k)),
-            _violations("J3", entries, wrong_kind, lambda e: F.concat_ws(":", e["key"], e["kind"])),
-            _repeated("J4", entries),
-            _violations("J5", arrays, lambda e: F.size(json_items(e["text"])) == 0, lambda e: e["key"]),
-            F.array_distinct(F.flatten(F.transform(arrays, wrong_items))),
-        )
-        return self._rows(self.live_rules, found)
+        lists = ["tenants", "exclude"] + ([sub] if sub else [])
+        arrays = _of_key(*lists, kind="array")
+        wrong_kind = f"(e.key = 'tenants' AND e.kind NOT IN ('string', 'number', 'array')) OR {HOURS_OR_FLAG}"
+        if sub:
+            wrong_kind += f" OR (e.key = '{sub}' AND e.kind <> 'array')"
+        allowed = "CASE WHEN e.key IN ('tenants', 'exclude') THEN array('string', 'number') ELSE array('object') END"
+        missing = f"array_except(array({_quoted(required)}), transform(entries, e -> e.key))"
+        known = _quoted([*lists, *HOURS_KEYS, "disabled"])
+        found = ", ".join([
+            _violations("J1", f"e.key NOT IN ({known})", "e.key"),
+            f"transform({missing}, k -> {_violation('J2', 'k')})",
+            _violations("J3", wrong_kind, KEY_KIND),
+            _repeated("J4"),
+            _violations("J5", f"size({items_sql('e.text')}) = 0", "e.key", arrays),
+            _wrong_items("T0", arrays, allowed),
+        ])
+        return self._rows(self.live_rules, F.expr(f"concat({found})"))
 
     def _sub_rule_checks(self) -> DataFrame:
         """L0-L6, H0 and H1 of a sub-rule in one projection."""
-        entries, live = F.col("entries"), ~F.col("disabled")
-        actions = F.filter(_of_key(entries, "archive", "delete"), lambda e: e["kind"] == "array")
-        nothing = F.array().cast("array<struct<code:string,detail:string>>")
-
-        def wrong_kind(e):
-            return (e["key"].isin("archive", "delete") & ~e["kind"].isin("string", "number", "array")) | (
-                e["key"].isin(*HOURS_KEYS) & (e["kind"] != "number")) | (
-                (e["key"] == "disabled") & ~e["kind"].isin("number", "true/false"))
-
-        def wrong_items(e):
-            kinds = F.array_distinct(F.transform(json_items(e["text"]), json_kind))
-            return F.transform(F.array_except(kinds, F.array(F.lit("string"), F.lit("number"))),
-                               lambda k: _violation("L6", F.concat_ws(":", e["key"], k)))
-
-        always = F.concat(
-            _violations("L0", entries, lambda e: ~e["key"].isin("archive", "delete", *HOURS_KEYS, "disabled", *COMMENT_KEYS),
-                        lambda e: e["key"]),
-            F.when(~F.col("has_action"), F.array(_violation("L1", F.lit("archive or delete")))).otherwise(nothing))
-        enabled = F.concat(
-            _violations("L3", entries, wrong_kind, lambda e: F.concat_ws(":", e["key"], e["kind"])),
-            _repeated("L4", entries),
-            _violations("L5", actions, lambda e: F.size(json_items(e["text"])) == 0, lambda e: e["key"]),
-            F.array_distinct(F.flatten(F.transform(actions, wrong_items))),
-            F.when(F.col("use_after").isNull(), F.array(_violation("H0", F.lit("after_hours")))).otherwise(nothing),
-            F.when(F.col("use_delay").isNull(), F.array(_violation("H1", F.lit("delete_delay_hours")))).otherwise(nothing))
-        return self._rows(self.sub_rules, F.concat(always, F.when(live, enabled).otherwise(nothing)))
+        arrays = _of_key("archive", "delete", kind="array")
+        wrong_kind = f"(e.key IN ('archive', 'delete') AND e.kind NOT IN ('string', 'number', 'array')) OR {HOURS_OR_FLAG}"
+        known = _quoted(["archive", "delete", *HOURS_KEYS, "disabled", *COMMENT_KEYS])
+
+        def when(test: str, code: str, detail: str) -> str:
+            return f"CASE WHEN {test} THEN array({_violation(code, repr(detail))}) ELSE {NO_VIOLATION} END"
+
+        enabled = ", ".join([
+            _violations("L3", wrong_kind, KEY_KIND), _repeated("L4"),
+            _violations("L5", f"size({items_sql('e.text')}) = 0", "e.key", arrays),
+            _wrong_items("L6", arrays, "array('string', 'number')"),
+            when("use_after IS NULL", "H0", "after_hours"), when("use_delay IS NULL", "H1", "delete_delay_hours"),
+        ])
+        found = ", ".join([
+            _violations("L0", f"e.key NOT IN ({known})", "e.key"), when("NOT has_action", "L1", "archive or delete"),
+            f"CASE WHEN disabled THEN {NO_VIOLATION} ELSE concat({enabled}) END",
+        ])
+        return self._rows(self.sub_rules, F.expr(f"concat({found})"))
 
     def _sub_value_checks(self) -> DataFrame:
         """L7: a value that names no sub-key."""
         unknown = self.sub_values.where(~F.col("is_all") & F.col("sub_id").isNull()
                                         & (F.col("name").isNotNull() | F.col("id").isNotNull()))
-        shown = F.concat_ws(":", "action", F.coalesce("name", F.col("id").cast("string")))
-        return self._rows(unknown, F.array(_violation("L7", shown))).distinct()
+        shown = "concat_ws(':', action, coalesce(name, CAST(id AS STRING)))"
+        return self._rows(unknown, F.expr(f"array({_violation('L7', shown)})")).distinct()
 
     def _shared_sub_keys(self) -> DataFrame:
         """L8: a sub-key in two sub-rules; L9: a sub-key beside ``all``. A rule's values are a bounded group."""
@@ -437,11 +430,10 @@ class PolicyCompiler:
         per_key = self.sub_values.groupBy("policy_id", "rule_no", name.alias("sub_name")).agg(
             F.countDistinct("sub_no").alias("n"), F.bool_or("is_all").alias("is_all"))
         marked = per_key.withColumn("has_all", F.bool_or("is_all").over(Window.partitionBy("policy_id", "rule_no")))
-        nothing = F.array().cast("array<struct<code:string,detail:string>>")
-        found = F.concat(
-            F.when(F.col("n") > 1, F.array(_violation("L8", F.concat_ws(":", "sub_name", F.col("n").cast("string")))))
-            .otherwise(nothing),
-            F.when(F.col("has_all"), F.array(_violation("L9", F.col("sub_name")))).otherwise(nothing))
+        counted = "concat_ws(':', sub_name, CAST(n AS STRING))"
+        found = F.expr(
+            f"concat(CASE WHEN n > 1 THEN array({_violation('L8', counted)}) ELSE {NO_VIOLATION} END, "
+            f"CASE WHEN has_all THEN array({_violation('L9', 'sub_name')}) ELSE {NO_VIOLATION} END)")
         return self._rows(marked.where(F.col("sub_name").isNotNull()), found)
 
     def _unknown_tenants(self) -> DataFrame:
@@ -450,25 +442,25 @@ class PolicyCompiler:
         label = F.coalesce("pattern", F.concat(F.lit("="), F.col("sel_id").cast("string")))
         asked = self.selectors.where(F.col("kind") != "keyword").withColumn("selector", label)
         found = self.resolved.withColumn("selector", label).select(*same)
-        shown = F.coalesce("pattern", F.col("sel_id").cast("string"))
-        return self._rows(asked.join(found, same, "left_anti"), F.array(_violation("T1", shown)))
+        shown = "coalesce(pattern, CAST(sel_id AS STRING))"
+        return self._rows(asked.join(found, same, "left_anti"), F.expr(f"array({_violation('T1', shown)})"))
 
     @staticmethod
-    def _on_first_rule(df: DataFrame, code: str, shown) -> DataFrame:
+    def _on_first_rule(df: DataFrame, code: str, shown: str) -> DataFrame:
         """A violation on the first of the sorted ``rules`` for each of the others."""
-        others = F.transform(F.slice("rules", 2, F.size("rules")), lambda r: _violation(
-            code, F.concat_ws(" in #", shown.cast("string"), r.cast("string"))))
+        detail = f"concat_ws(' in #', CAST({shown} AS STRING), CAST(r AS STRING))"
+        others = F.expr(f"transform(slice(rules, 2, size(rules)), r -> {_violation(code, detail)})")
         return PolicyCompiler._rows(df.where(F.size("rules") > 1), others, F.col("rules")[0])
 
     def _repeated_keywords(self) -> DataFrame:
         """T2: a keyword used by more than one rule, reported on the first."""
-        return self._on_first_rule(self.keyword_uses, "T2", F.col("pattern"))
+        return self._on_first_rule(self.keyword_uses, "T2", "pattern")
 
     def _shared_tenants(self) -> DataFrame:
         """T3: a tenant kept by two rules, reported on the first."""
         kept = self.tenant_matches.where("keep").groupBy("policy_id", "tenant_id").agg(
             F.sort_array(F.collect_set("rule_no")).alias("rules"))
-        return self._on_first_rule(kept, "T3", F.col("tenant_id"))
+        return self._on_first_rule(kept, "T3", "tenant_id")
 
     def report(self, limit: int = 100) -> DataFrame:
         """The first ``limit`` violations of each policy, ordered by rule and code.
