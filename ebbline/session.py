@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -34,14 +35,16 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: st
     return spark
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="ebbline-")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the shared folder the session names.
 
     Every executor must see it, so a machine-local folder is used only when the
     session names none (single-process tests).
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="ebbline-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    root = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -84,3 +84,11 @@ def test_bind_tables_and_usage(spark):
     frames = inv.bind_tables(spark, ["nation", "region"], "/root/testdata/sf0.001/#NAME#.parquet")
     usage = {r.table_name: r for r in inv.table_usage(frames).collect()}
     assert usage["nation"].row_count == 25 and usage["nation"].files == 1 and usage["region"].bytes > 0
+
+
+def test_work_folder_follows_the_session(spark):
+    from ebbline.session import work_dir
+
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    a, b = work_dir(spark, "x"), work_dir(spark, "x")
+    assert a != b and (not root or a.startswith(root))
