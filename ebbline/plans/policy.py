@@ -247,38 +247,42 @@ class PolicyCompiler:
         ).distinct()
 
     # ---- tenants -----------------------------------------------------------------
-    def _selectors(self, key: str) -> DataFrame:
-        entry = self.live_rules.select("policy_id", "rule_no", F.explode(F.expr(_of_key(key))).alias("e"))
+    @cached_property
+    def _all_selectors(self) -> DataFrame:
+        """Entries of ``tenants`` and ``exclude``: a lower-case LIKE pattern or an id, and ``(is_id, text)`` as join key."""
+        entry = self.live_rules.select("policy_id", "rule_no", F.explode(F.expr(_of_key("tenants", "exclude"))).alias("e"))
         values = F.when(F.col("e.kind") == "array", json_items("e.text")).otherwise(F.array("e.text"))
-        text = json_text("text")
-        kind = json_kind("text")
-        return entry.select("policy_id", "rule_no", F.explode(values).alias("text")).where(
+        text, kind = json_text("text"), json_kind("text")
+        return entry.select("policy_id", "rule_no", F.col("e.key").alias("role"), F.explode(values).alias("text")).where(
             kind.isin("string", "number")).select(
-            "policy_id", "rule_no", F.when(kind == "string", like_pattern(text)).alias("pattern"),
-            F.when(kind == "number", text.try_cast("int")).alias("sel_id")).distinct()
+            "policy_id", "rule_no", "role", F.when(kind == "string", like_pattern(text)).alias("pattern"),
+            F.when(kind == "number", text.try_cast("int")).alias("sel_id")).distinct().select(
+            "*", F.col("sel_id").isNotNull().alias("is_id"),
+            F.coalesce("pattern", F.col("sel_id").cast("string")).alias("text"))
 
     @cached_property
     def selectors(self) -> DataFrame:
-        """Tenant selectors: lower-case LIKE pattern or id, with their type."""
+        """Tenant selectors with their type."""
         kind = (
-            F.when(F.col("sel_id").isNotNull(), "exact")
-            .when(F.col("pattern").isin(ACTIVE, DELETED, OTHER), "keyword")
+            F.when(F.col("is_id"), "exact").when(F.col("pattern").isin(ACTIVE, DELETED, OTHER), "keyword")
             .when(F.contains("pattern", F.lit("%")), "partial").otherwise("exact"))
-        return self._selectors("tenants").withColumn("kind", kind)
+        return self._all_selectors.where(F.col("role") == "tenants").withColumn("kind", kind)
 
-    def _match_names(self, selectors: DataFrame) -> DataFrame:
-        """Selectors x tenants by LIKE: distinct patterns are matched once, then joined back."""
+    @cached_property
+    def selector_matches(self) -> DataFrame:
+        """``(is_id, text, tenant)``: distinct patterns are matched once, ids are the tenants' own."""
         names = self.tenants.select("tenant_id", "name", "is_deleted")
-        return selectors.join(like_matches(selectors, names, "name"), "pattern")
+        patterns = self._all_selectors.where(~F.col("is_id") & ~F.col("pattern").isin(ACTIVE, DELETED, OTHER))
+        by_name = like_matches(patterns, names, "name").select(
+            F.lit(False).alias("is_id"), F.col("pattern").alias("text"), *names.columns)
+        by_id = names.select(F.lit(True).alias("is_id"), F.col("tenant_id").cast("string").alias("text"), "*")
+        return self._staged(by_name.unionByName(by_id), "selector_matches")
 
     @cached_property
     def excluded(self) -> DataFrame:
         """``(policy_id, rule_no, tenant_id)`` a rule excludes, by name pattern or id."""
-        sel = self._selectors("exclude")
-        by_name = self._match_names(sel.where(F.col("pattern").isNotNull()))
-        by_id = sel.where(F.col("sel_id").isNotNull()).join(self.tenants, F.col("sel_id") == F.col("tenant_id"))
-        cols = ["policy_id", "rule_no", "tenant_id"]
-        return by_name.select(*cols).unionByName(by_id.select(*cols)).distinct()
+        asked = self._all_selectors.where(F.col("role") == "exclude")
+        return asked.join(self.selector_matches, ["is_id", "text"]).select("policy_id", "rule_no", "tenant_id").distinct()
 
     @cached_property
     def keyword_uses(self) -> DataFrame:
@@ -303,11 +307,9 @@ class PolicyCompiler:
         Exact selectors ignore ``exclude``; wildcards also leave deleted tenants out.
         """
         cols = ["policy_id", "rule_no", "pattern", "sel_id", "kind", "tenant_id", "name", "is_deleted"]
-        named = self._match_names(self.selectors.where(F.col("pattern").isNotNull() & (F.col("kind") != "keyword")))
-        by_id = self.selectors.where(F.col("sel_id").isNotNull()).join(
-            self.tenants, F.col("sel_id") == F.col("tenant_id"))
+        named = self.selectors.join(self.selector_matches, ["is_id", "text"])
         alias = self._all_of_status(self._keyword_selectors.where(F.col("pattern") != OTHER))
-        matches = reduce(DataFrame.unionByName, [m.select(*cols) for m in (named, by_id, alias)])
+        matches = reduce(DataFrame.unionByName, [m.select(*cols) for m in (named, alias)])
         return self._staged(self._with_keep(matches), "resolved")
 
     def _all_of_status(self, selectors: DataFrame, salts: int = 16) -> DataFrame:
@@ -438,12 +440,9 @@ class PolicyCompiler:
 
     def _unknown_tenants(self) -> DataFrame:
         """T1: a selector that matches no tenant, name or id."""
-        same = ["policy_id", "rule_no", "selector"]
-        label = F.coalesce("pattern", F.concat(F.lit("="), F.col("sel_id").cast("string")))
-        asked = self.selectors.where(F.col("kind") != "keyword").withColumn("selector", label)
-        found = self.resolved.withColumn("selector", label).select(*same)
-        shown = "coalesce(pattern, CAST(sel_id AS STRING))"
-        return self._rows(asked.join(found, same, "left_anti"), F.expr(f"array({_violation('T1', shown)})"))
+        asked = self.selectors.where(F.col("kind") != "keyword")
+        unknown = asked.join(self.selector_matches, ["is_id", "text"], "left_anti")
+        return self._rows(unknown, F.expr(f"array({_violation('T1', 'text')})"))
 
     @staticmethod
     def _on_first_rule(df: DataFrame, code: str, shown: str) -> DataFrame:
