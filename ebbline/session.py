@@ -41,10 +41,15 @@ def _local_folder() -> str:
 
 
 def work_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the shared folder the session names.
+    """A fresh folder under the shared folder the session names in ``spark.checkpoint.dir``.
 
-    Every executor must see it, so a machine-local folder is used only when the
-    session names none (single-process tests).
+    Every executor must see it, so without that setting only a session that runs in one process
+    (tests) gets a folder of this machine; on a cluster it is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        root = _local_folder()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

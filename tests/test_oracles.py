@@ -5,8 +5,10 @@ import pytest
 import __spark_entry__ as entry
 from check import compare, duck
 from tests.conftest import SMALL, plan
+from workload import load
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+REGISTRY = load()
+QUERIES, ORACLES = REGISTRY.QUERIES, REGISTRY.ORACLES
 
 
 def one_task_windows(text: str) -> list[str]:
