@@ -28,10 +28,15 @@ class UrlRule:
     pattern: str
     name: str | None = None
 
+    @property
+    def at_host(self) -> bool:
+        return self.pattern.startswith("||")
+
     def regex(self) -> str:
+        """Matched from the host on if ``at_host``, else against the whole URL."""
         body, out = self.pattern, ""
-        if body.startswith("||"):
-            body, out = body[2:], r"^.*?://(?:[^/?#]*\.)?"
+        if self.at_host:
+            body, out = body[2:], r"^(?:[^/?#]*\.)?"
         elif body.startswith("|"):
             body, out = body[1:], "^"
         last = body.endswith("|")
@@ -70,17 +75,17 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 
 def indexed(spark: SparkSession, tokens: DataFrame, rules: tuple[UrlRule, ...]) -> DataFrame:
-    """``token, verdict, regex, name`` with the rarest token of each rule, counted over all ``tokens(token)``.
+    """``token, verdict, regex, at_host, name`` with the rarest token of each rule, counted over all ``tokens(token)``.
 
     Rules without a bounded token are filed under the empty token, which every URL has.
     """
-    listed = spark.createDataFrame([(i, r.verdict, r.regex(), r.name, t) for i, r in enumerate(rules) for t in (r.tokens() or [""])],
-                                   "rule_no int, verdict string, regex string, name string, token string")
+    listed = spark.createDataFrame([(i, r.verdict, r.regex(), r.at_host, r.name, t) for i, r in enumerate(rules) for t in (r.tokens() or [""])],
+                                   "rule_no int, verdict string, regex string, at_host boolean, name string, token string")
     wanted = F.broadcast(listed.select("token").distinct())  # one row for each token of the given rules
     counts = tokens.join(wanted, "token").groupBy("token").agg(F.count("*").alias("n"))
-    filed = listed.join(counts, "token", "left").groupBy("rule_no", "verdict", "regex", "name").agg(
+    filed = listed.join(counts, "token", "left").groupBy("rule_no", "verdict", "regex", "at_host", "name").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")).alias("by"))
-    return filed.select(F.col("by.token").alias("token"), "verdict", "regex", "name")
+    return filed.select(F.col("by.token").alias("token"), "verdict", "regex", "at_host", "name")
 
 
 def judge(spark: SparkSession, pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, otherwise: str = ALLOW) -> DataFrame:
@@ -93,13 +98,14 @@ def judge(spark: SparkSession, pages: DataFrame, rules: tuple[UrlRule, ...] = RU
     url = F.coalesce(F.col("url"), F.lit(""))
     host, path = url_parts(url)
     # The host is lower-cased in the text that rules see; the rest is kept.
-    seen = F.when(F.length(host) > 0, F.concat(F.regexp_extract(url, "(?s)^(.*?://)", 1), host, F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(.*)$", 1))).otherwise(url)
-    rows = numbered(spark, pages.select("page_id", host.alias("host"), path.alias("path"), seen.alias("seen")), "urls")
+    rest = F.concat(host, F.regexp_extract(url, r"(?s)^.*?://[^/?#]*(.*)$", 1))
+    seen = F.when(F.length(host) > 0, F.concat(F.regexp_extract(url, "(?s)^(.*?://)", 1), rest)).otherwise(url)
+    rows = numbered(spark, pages.select("page_id", host.alias("host"), path.alias("path"), seen.alias("seen"), rest.alias("rest")), "urls")
     split = F.array_distinct(F.concat(F.array(F.lit("")), F.regexp_extract_all(lower_ascii(F.col("seen")), F.lit("[a-z0-9]+"), F.lit(0))))
-    tokens = rows.select("row_id", "seen", F.explode(split).alias("token"))
+    tokens = rows.select("row_id", "seen", "rest", F.explode(split).alias("token"))
     index = stage(spark, indexed(spark, tokens.select("token"), rules), "url_rules")
     candidates = tokens.join(small(index, len(rules)), "token")
-    fitting = candidates.where(F.regexp_like("seen", F.col("regex")))
+    fitting = candidates.where(F.regexp_like(F.when(F.col("at_host"), F.col("rest")).otherwise(F.col("seen")), F.col("regex")))
     rank = F.struct(F.col("name").isNotNull().alias("named"), F.coalesce(F.length("name"), F.lit(0)).alias("length"), (F.col("verdict") == ALLOW).alias("allows"),
                     "name", "verdict", "regex")
     best = fitting.groupBy("row_id").agg(F.max(rank).alias("best"))
@@ -111,12 +117,13 @@ def oracle() -> str:
     """DuckDB SQL of ``judge`` without the pattern column."""
     named = ", ".join(f"('{r.name}', '{r.name.split('/')[0]}', '/{r.name.split('/', 1)[1]}', '{r.verdict}')" for r in RULES if r.name)
     quote = lambda x: x.replace("'", "''")
-    fits = lambda v: " OR ".join(f"regexp_matches(seen, '{quote(r.regex())}')" for r in RULES if not r.name and r.verdict == v)
+    fits = lambda v: " OR ".join(f"regexp_matches({'rest' if r.at_host else 'seen'}, '{quote(r.regex())}')" for r in RULES if not r.name and r.verdict == v)
     return f"""
     WITH parts AS (SELECT page_id, row_number() OVER () AS k, coalesce(url, '') AS url,
              translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{UPPER}', '{LOWER}') AS host,
              regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages),
-    seen AS (SELECT *, CASE WHEN host = '' THEN url ELSE regexp_extract(url, '(?s)^(.*?://)', 1) || host || regexp_extract(url, '(?s)^.*?://[^/?#]*(.*)$', 1) END AS seen FROM parts),
+    cut AS (SELECT *, host || regexp_extract(url, '(?s)^.*?://[^/?#]*(.*)$', 1) AS rest FROM parts),
+    seen AS (SELECT *, CASE WHEN host = '' THEN url ELSE regexp_extract(url, '(?s)^(.*?://)', 1) || rest END AS seen FROM cut),
     named(name, rhost, rpath, verdict) AS (VALUES {named}),
     best AS (SELECT k, arg_max(name, length(name)) AS name, arg_max(n.verdict, length(name)) AS verdict FROM seen, named n
              WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY k)
