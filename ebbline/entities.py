@@ -15,8 +15,7 @@ LOG_LEVELS = {0: "trace", 1: "debug", 2: "info", 3: "warn", 4: "error", 5: "fata
 QUEUE_STATUS = {2: "failed", 3: "successful", 4: "abandoned", 5: "retried", 6: "deleted"}
 JOB_STATES = {4: "faulted", 5: "successful", 6: "stopped", 7: "suspended", 8: "resumed"}
 
-MAX_WINDOWS_PER_BATCH = 10_000
-DEFAULT_WINDOWS_PER_BATCH = 1_000
+MAX_BROADCAST_WINDOWS = 10_000
 RUN_LOG_DAYS = 30
 # ---------------------------------------------------------------------------------
 
@@ -27,7 +26,7 @@ class Child:
 
     name: str
     parent_id: str
-    key: tuple[str, ...]
+    key: tuple[str, ...] = ("id",)
     contract: tuple[tuple[str, str], ...] = ()
 
 
@@ -73,17 +72,14 @@ QUEUE_ITEMS = Entity(
     "queue_items", "id", "creation_time", "tenant_id", "status_id", "status", tuple(QUEUE_STATUS.items()),
     late=False, own_cursor=False,
     children=(
-        Child("queue_item_comments", "queue_item_id", ("queue_item_id", "l_linenumber", "l_partkey", "l_suppkey"),
-              (("queue_item_id", "bigint"), ("creation_time", "timestamp_ntz"))),
-        Child("queue_item_events", "queue_item_id", ("queue_item_id", "l_linenumber", "l_partkey", "l_suppkey"),
-              (("queue_item_id", "bigint"), ("ts", "timestamp_ntz"))),
+        Child("queue_item_comments", "queue_item_id", contract=(("queue_item_id", "bigint"), ("creation_time", "timestamp_ntz"))),
+        Child("queue_item_events", "queue_item_id", contract=(("queue_item_id", "bigint"), ("ts", "timestamp_ntz"))),
     ),
     contract=(("id", "bigint"), ("tenant_id", "int"), ("status_id", "int"), ("creation_time", "timestamp_ntz")),
 )
 AUDIT_LOGS = Entity(
     "audit_logs", "id", "execution_time", "tenant_id",
-    children=(Child("audit_log_entities", "audit_log_id", ("audit_log_id", "l_linenumber", "entity_id", "l_suppkey"),
-                    (("audit_log_id", "bigint"), ("entity_id", "bigint"))),),
+    children=(Child("audit_log_entities", "audit_log_id", contract=(("audit_log_id", "bigint"), ("entity_id", "bigint"))),),
     contract=(("id", "bigint"), ("tenant_id", "int"), ("execution_time", "timestamp_ntz")),
 )
 LICENCE_LOGS = Entity(
@@ -96,8 +92,7 @@ LEDGER_DELIVERIES = Entity("ledger_deliveries", "id", "last_updated_time",
                            contract=(("id", "bigint"), ("last_updated_time", "timestamp_ntz")))
 NOTIFICATIONS = Entity(
     "tenant_notifications", "id", "creation_time",
-    children=(Child("user_notifications", "tenant_notification_id", ("id",),
-                    (("id", "bigint"), ("tenant_notification_id", "string"))),),
+    children=(Child("user_notifications", "tenant_notification_id", contract=(("id", "bigint"), ("tenant_notification_id", "string"))),),
     contract=(("id", "string"), ("creation_time", "timestamp_ntz")),
 )
 

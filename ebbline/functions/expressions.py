@@ -33,8 +33,8 @@ def yes_no(value: Column) -> Column:
 
 
 def like_pattern(value: Column) -> Column:
-    """A selector as a lower-case LIKE pattern: ``*`` is ``%``, at most 128 characters."""
-    return F.lower(F.left(F.trim(F.replace(value, F.lit("*"), F.lit("%"))), F.lit(128)))
+    """A selector as a lower-case LIKE pattern: ``*`` is ``%``; the whole of it, however long."""
+    return F.lower(F.trim(F.replace(value, F.lit("*"), F.lit("%"))))
 
 
 def like(value: Column, pattern: Column) -> Column:
@@ -74,7 +74,8 @@ _MARK = "s:"
 
 
 def mark_json_strings(doc: Column) -> Column:
-    return F.regexp_replace(doc, r'"((?:[^"\\]|\\.)*)"', f'"{_MARK}$1"')
+    # Possessive and unrolled: the engine neither goes back nor recurses, whatever a string's length.
+    return F.regexp_replace(doc, r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"', f'"{_MARK}$1"')
 
 
 # The readers below are SQL text: they are used inside array lambdas, where one parsed

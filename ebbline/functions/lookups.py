@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ebbline.entities import LOG_LEVELS
 from ebbline.functions.expressions import like
 
+HEADLESS_SALTS = 16
+
 
 def dictionary_id(text: Column, names: dict[int, str] | tuple[tuple[int, str], ...]) -> Column:
     """Id for an id written as text or for a name in any case; NULL when unknown.
@@ -26,13 +28,6 @@ def level_id(text: Column) -> Column:
     return dictionary_id(text, LOG_LEVELS)
 
 
-def prefix_index(names: DataFrame, name: str, key: str = "prefix") -> DataFrame:
-    """Every lower-case prefix of every name, the whole name included."""
-    return names.withColumn(
-        key, F.explode(F.transform(F.sequence(F.lit(0), F.least(F.length(name), F.lit(128))),
-                                   lambda n: F.left(F.lower(F.col(name)), n))))
-
-
 def _masked(text: Column, mask: Column) -> Column:
     """``text`` with ``_`` wherever the mask has one."""
     places = F.sequence(F.lit(1), F.length(mask))
@@ -45,21 +40,27 @@ def like_matches(patterns: DataFrame, names: DataFrame, name: str) -> DataFrame:
     """``(pattern, <names columns>)`` for the names each distinct pattern is LIKE, by equality joins.
 
     ``name LIKE pattern`` alone would compare all pairs. The head of a pattern (up to its first
-    ``%``) fixes every character except at its ``_`` places, so names are indexed by their
-    prefixes, masked at those places: head = masked prefix is an equality. Patterns without
-    ``%`` need the whole name and nothing else; the rest is checked with LIKE. Masks are few
-    (one per shape of pattern) and join the index on their length. Only patterns that start
-    with ``%`` have no head, and are checked against every name once per distinct pattern.
+    ``%``) fixes every character except at its ``_`` places, so names are keyed by their prefixes of
+    the lengths that heads have, masked at those places: head = masked prefix is an equality. Patterns
+    without ``%`` need the whole name and nothing else; the rest is checked with LIKE. Patterns that
+    start with ``%`` have no head and are checked against every name once per distinct pattern; they
+    are spread over salts, so that they do not meet all names in one task.
     """
     shaped = patterns.select("pattern").distinct().select(
-        "pattern", F.regexp_extract("pattern", "^([^%]*)", 1).alias("_head"), F.contains("pattern", F.lit("%")).alias("_open"))
-    shaped = shaped.withColumn("_mask", F.regexp_replace("_head", "[^_]", "x"))
-    masks = shaped.select("_mask", "_open").distinct()
-    index = prefix_index(names, name, "_prefix")
-    keyed = index.join(masks, F.length("_prefix") == F.length("_mask")).where(
-        F.col("_open") | (F.length("_prefix") == F.length(name)))
-    keyed = keyed.select(*names.columns, F.col("_open").alias("_nopen"), F.col("_mask").alias("_nmask"),
-                         _masked(F.col("_prefix"), F.col("_mask")).alias("_key"))
+        "pattern", F.regexp_extract("pattern", "(?s)^([^%]*)", 1).alias("_head"), F.contains("pattern", F.lit("%")).alias("_open"))
+    headless = F.col("_open") & (F.col("_head") == "")
+    shaped = shaped.withColumn("_mask", F.regexp_replace("_head", "(?s)[^_]", "x")).withColumn(
+        "_salt", F.when(headless, F.pmod(F.xxhash64("pattern"), F.lit(HEADLESS_SALTS))).otherwise(F.lit(0)).cast("int"))
+    masks = shaped.select("_mask", "_open", "_salt").distinct().withColumn("_length", F.length("_mask"))
+    sized = names.withColumn("_size", F.length(name))
+    whole = sized.join(masks.where(~F.col("_open")), F.col("_size") == F.col("_length")).drop("_size")
+    # One row for each length of a head, at most the longest pattern's.
+    lengths = sorted(r[0] for r in masks.where("_open").select("_length").distinct().collect())
+    heads = sized.withColumn("_cut", F.explode(F.filter(F.array(*map(F.lit, lengths or [-1])), lambda n: (n >= 0) & (n <= F.col("_size")))))
+    headed = heads.join(masks.where("_open"), F.col("_cut") == F.col("_length")).drop("_size", "_cut")
+    prefix = F.left(F.lower(F.col(name)), F.col("_length"))
+    keyed = whole.unionByName(headed).select(*names.columns, F.col("_open").alias("_nopen"), F.col("_mask").alias("_nmask"),
+                                             F.col("_salt").alias("_nsalt"), _masked(prefix, F.col("_mask")).alias("_key"))
     hits = shaped.join(keyed, (F.col("_head") == F.col("_key")) & (F.col("_open") == F.col("_nopen"))
-                       & (F.col("_mask") == F.col("_nmask")))
+                       & (F.col("_mask") == F.col("_nmask")) & (F.col("_salt") == F.col("_nsalt")))
     return hits.where(~F.col("_open") | like(F.lower(name), F.col("pattern"))).select("pattern", *names.columns)

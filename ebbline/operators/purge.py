@@ -18,12 +18,12 @@ def due_groups(groups: DataFrame, status: DataFrame, now: str) -> DataFrame:
 
 
 def resume_point(due: DataFrame, status: DataFrame) -> DataFrame:
-    """First ledger id to delete per group that is not deleted yet."""
+    """First ledger id to delete per group that is not deleted yet, and the last one deleted before, if any."""
     s = status.select("group_id", F.col("is_deleted").alias("done"), F.col("first_id").alias("s_first"),
                       F.col("last_id").alias("s_last"))
     return (
         due.join(s, "group_id", "left").where(~F.coalesce("done", F.lit(False)))
-        .select("group_id", F.coalesce(F.col("s_last") + 1, "s_first", "first_id").alias("resume_id"))
+        .select("group_id", F.coalesce(F.col("s_last") + 1, "s_first", "first_id").alias("resume_id"), F.col("s_last").alias("reached_id"))
     )
 
 
@@ -33,16 +33,22 @@ def purge_ids(ledger: DataFrame, resume: DataFrame) -> DataFrame:
     No size hint: the ledger is data-sized and the groups are usually few, so Spark picks a
     broadcast from statistics or a shuffle with skew splitting for a group that holds most ids.
     """
-    return ledger.join(resume, "group_id").where(F.col("id") >= F.col("resume_id")).select("group_id", "id")
+    return ledger.join(resume, "group_id").where(F.col("id") >= F.col("resume_id")).select(*ledger.columns)
 
 
-def purge_status(resume: DataFrame, purged: DataFrame, complete: bool = True) -> DataFrame:
-    """Local status after the run: last id deleted, and deleted once nothing is left."""
+def purge_status(resume: DataFrame, purged: DataFrame, due: DataFrame | None = None) -> DataFrame:
+    """Local status after the run: last id deleted so far, and deleted once nothing of the group is left.
+
+    ``due`` are all ids that were to go; a run that was cut short purged fewer. A run that finds nothing left
+    keeps the last id of the run before.
+    """
     last = purged.groupBy("group_id").agg(F.max("id").alias("last_id"), F.count(F.lit(1)).alias("purged"))
+    whole = (due if due is not None else purged).groupBy("group_id").agg(F.max("id").alias("_due"))
     return (
-        resume.join(last, "group_id", "left")
-        .select("group_id", F.col("resume_id").alias("first_id"), "last_id",
-                F.coalesce("purged", F.lit(0)).cast("bigint").alias("purged"), F.lit(complete).alias("is_deleted"))
+        resume.join(last, "group_id", "left").join(whole, "group_id", "left")
+        .select("group_id", F.col("resume_id").alias("first_id"), F.coalesce("last_id", "reached_id").alias("last_id"),
+                F.coalesce("purged", F.lit(0)).cast("bigint").alias("purged"),
+                (F.col("_due").isNull() | F.coalesce(F.col("last_id") >= F.col("_due"), F.lit(False))).alias("is_deleted"))
     )
 
 
@@ -79,6 +85,6 @@ def purge_finish(groups: DataFrame, acked: DataFrame) -> DataFrame:
              F.max("deleted_on").alias("last_deleted"))
         .where("touched")
         .select("trigger_id", "is_finished", F.when(F.col("is_finished"), F.col("last_deleted")).alias("deleted_on"),
-                F.when(F.col("is_finished"), "All Archive Filter(s) and cleanup finished")
-                .otherwise("Partial Cleanup").alias("message"))
+                F.when(F.col("is_finished"), "every group purged")
+                .otherwise("groups left to purge").alias("message"))
     )

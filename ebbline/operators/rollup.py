@@ -37,7 +37,7 @@ def trigger_rollup(groups: DataFrame) -> DataFrame:
         .where("is_archived")
         .withColumn("is_deleted", F.col("is_finished"))
         .withColumn("is_success", F.col("is_finished"))
-        .withColumn("message", F.when(F.col("is_finished"), "Cleanup finished").otherwise("Archiving finished"))
+        .withColumn("message", F.when(F.col("is_finished"), "purged").otherwise("archived"))
     )
 
 
@@ -47,7 +47,7 @@ def close_empty(triggers: DataFrame, target_ts) -> DataFrame:
         with_to_do(triggers)
         .where(F.col("to_do") & (F.col("valid_windows") == 0) & (F.col("target_ts") <= ts_ntz(target_ts)))
         .select("trigger_id", F.lit(True).alias("is_finished"),
-                F.lit("Archive Trigger finished (no filters)").alias("message"))
+                F.lit("finished without windows").alias("message"))
     )
 
 
@@ -62,8 +62,6 @@ def remaining_work(windows: DataFrame, groups: DataFrame, triggers: DataFrame, n
 
 
 def batch_message(batch: DataFrame) -> DataFrame:
-    """``trigger(count), ...`` of one batch; bounded by the batch size."""
+    """One row for each trigger of the batch: ``trigger_id`` and the text ``trigger(count)``."""
     per = batch.groupBy("trigger_id").agg(F.count(F.lit(1)).alias("n"))
-    item = F.concat(F.col("trigger_id").cast("string"), F.lit("("), F.col("n").cast("string"), F.lit(")"))
-    ordered = F.sort_array(F.collect_list(F.struct("trigger_id", item.alias("text"))))
-    return per.agg(F.array_join(F.transform(ordered, lambda x: x["text"]), ", ").alias("message"))
+    return per.select("trigger_id", F.concat(F.col("trigger_id").cast("string"), F.lit("("), F.col("n").cast("string"), F.lit(")")).alias("message"))

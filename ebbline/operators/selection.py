@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.entities import DEFAULT_WINDOWS_PER_BATCH, MAX_WINDOWS_PER_BATCH, Entity
+from ebbline.entities import Entity
 from ebbline.functions.expressions import to_do, ts_ntz
-from ebbline.operators.sizing import WindowProfile, bound_source, join_windows, profile_windows
+from ebbline.operators.sizing import WindowProfile, bound_source, join_windows, profile_windows, running_number
 
 WINDOW_TAGS = ["trigger_id", "group_id", "delete_only", "no_delay", "is_late"]
 
@@ -36,27 +36,14 @@ def remaining_windows(windows: DataFrame, groups: DataFrame, triggers: DataFrame
 
 
 def open_windows(windows: DataFrame, groups: DataFrame, triggers: DataFrame, now: str, *,
-                 limit: int = DEFAULT_WINDOWS_PER_BATCH, delete_if_no_delay: bool = True,
-                 ignore_delay: bool = False) -> DataFrame:
-    """One batch of due, open windows, oldest first, with ``no_delay`` and ``order_no``.
-
-    The batch size is the operator's own limit (the next batch takes the rest) and what
-    makes the windows safe to broadcast. ``order_no`` numbers the windows of a key inside
-    the batch: windows of a key are taken oldest first, so it equals their overall order.
-    """
-    if not 1 <= limit <= MAX_WINDOWS_PER_BATCH:
-        raise ValueError(f"windows per batch must be 1 to {MAX_WINDOWS_PER_BATCH}")
+                 delete_if_no_delay: bool = True, ignore_delay: bool = False) -> DataFrame:
+    """Every due, open window with ``no_delay`` and ``order_no``, its number among those of its key, oldest first."""
     due = remaining_windows(windows, groups, triggers).where(F.col("trigger_time") < ts_ntz(now))
     no_delay = F.lit(delete_if_no_delay) & ((F.col("delete_after") == F.col("target_ts")) | F.lit(ignore_delay))
-    key = Window.partitionBy("tenant_id", "sub_id").orderBy("target_ts", "group_id")
-    return (
+    return running_number(
         due.select("trigger_id", "group_id", "tenant_id", "sub_id", "delete_only", no_delay.alias("no_delay"),
                    "previous_ts", "target_ts", F.coalesce("current_id", F.lit(0)).cast("bigint").alias("current_id"),
-                   "target_id")
-        .orderBy("previous_ts", "target_ts", "group_id", "tenant_id", "sub_id")
-        .limit(limit)
-        .withColumn("order_no", F.row_number().over(key))
-    )
+                   "target_id"), ["tenant_id", "sub_id"], "target_ts", "group_id", "order_no")
 
 
 def high_watermark(source: DataFrame, entity: Entity, last_target, max_target_id: int = 0,

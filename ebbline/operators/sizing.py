@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbline.entities import MAX_WINDOWS_PER_BATCH
+from ebbline.entities import MAX_BROADCAST_WINDOWS
 from ebbline.functions.expressions import ts_ntz
 
 
@@ -25,7 +25,7 @@ class WindowProfile:
 
     @property
     def broadcastable(self) -> bool:
-        return self.count <= MAX_WINDOWS_PER_BATCH
+        return self.count <= MAX_BROADCAST_WINDOWS
 
 
 def profile_windows(windows: DataFrame) -> WindowProfile:
@@ -69,8 +69,8 @@ def join_windows(rows: DataFrame, windows: DataFrame, keys: list[tuple[str, str]
                  profile: WindowProfile, row_id: str, salts: int = 64) -> DataFrame:
     """Rows x windows on equal keys plus a range residual.
 
-    (tenant, sub-key) is skewed, so rows are never shuffled by it alone. Up to one batch of
-    windows is broadcast (counted, not guessed). Beyond that each window is copied to
+    (tenant, sub-key) is skewed, so rows are never shuffled by it alone. Up to a bound the
+    windows are broadcast (counted, not guessed). Beyond that each window is copied to
     ``salts`` buckets and rows go to one of them by their id, so a hot key is spread evenly.
     """
     if profile.broadcastable:
@@ -109,6 +109,21 @@ def prior_max(df: DataFrame, keys: list[str], order: str, value: str, out: str,
     )
 
 
+def running_number(df: DataFrame, keys: list[str], time: str, then: str, out: str, days: int = 16) -> DataFrame:
+    """Number of a row among the rows of its key, ordered by ``time`` and ``then``.
+
+    Numbered inside buckets of ``days``, plus the rows of the earlier buckets: a hot key is never sorted
+    in one task.
+    """
+    tagged = df.withColumn("_bucket", F.floor(F.datediff(F.col(time), F.lit("1900-01-01")) / F.lit(days))).repartition(*keys, "_bucket")
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(time, then)
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = tagged.groupBy(*keys, "_bucket").agg(F.count("*").alias("_n")).select(
+        *keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    numbered = tagged.withColumn("_inside", F.row_number().over(inside)).join(earlier, [*keys, "_bucket"])
+    return numbered.withColumn(out, (F.col("_inside") + F.col("_before")).cast("int")).drop("_bucket", "_inside", "_before")
+
+
 def id_slices(df: DataFrame, id_col: str, width: int) -> DataFrame:
     """Slices of a fixed id width: ``(slice_no, first_id, last_id, row_count)``.
 

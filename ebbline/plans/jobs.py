@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from ebbline.entities import Entity
 from ebbline.functions.expressions import ts_ntz
 from ebbline.operators import archive as arc
-from ebbline.operators.purge import due_groups, purge_ids, purge_status, resume_point
-from ebbline.operators.rollup import group_rollup, trigger_rollup
+from ebbline.operators.purge import ack_groups, acknowledged_status, due_groups, purge_finish, purge_ids, purge_status, resume_point
+from ebbline.operators.rollup import close_empty, group_rollup, trigger_rollup
 from ebbline.operators.selection import high_watermark, open_windows, select_rows, with_late_marker
 from ebbline.operators.sizing import budget_slices, profile_windows
 from ebbline.plans.policy import compile_policies, expand_keywords
@@ -25,67 +25,108 @@ from ebbline.plans.windows import plan_dates, plan_groups, plan_windows
 from ebbline.sources.store import read_run, read_table, run_label, run_path, write_run
 
 TAGS = ["trigger_id", "group_id", "delete_only", "no_delay", "is_late", "event_date"]
-DATE = "event_date"
+DATE, SOURCE = "event_date", "source"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+LEDGER = "group_id bigint, id bigint, event_date date, run_id string"
+STATUS = "group_id bigint, is_deleted boolean, deleted_on timestamp_ntz, first_id bigint, last_id bigint"
+
+
+CONTROL = ("windows", "groups", "triggers")
 
 
 @dataclass(frozen=True)
 class Store:
-    """Tables of one entity under one root.
+    """Tables of one entity and its children under one root.
 
-    The source is copy-on-write by date: the manifest of a run says which run wrote the
-    files of each date, so a delete rewrites only the dates it touches.
+    The source tables are copy-on-write by date: the manifest of a run says which run wrote the
+    files of each date, so a delete rewrites only the dates it touches. A child row lies under its
+    parent's date. Every run leaves its full state under its id: manifests, control rows, status.
     """
 
     spark: SparkSession
     root: str
     entity: Entity
 
-    def create(self, source: DataFrame, run_id: str, **control: DataFrame) -> None:
-        """First load: source by date, control tables ``windows``, ``groups``, ``triggers``."""
+    @property
+    def tables(self) -> tuple[str, ...]:
+        return (SOURCE, *(c.name for c in self.entity.children))
+
+    def create(self, source: DataFrame, run_id: str, children: dict[str, DataFrame] | None = None, **control: DataFrame) -> None:
+        """First load: source and children by date, control tables ``windows``, ``groups``, ``triggers``."""
         dated = source.withColumn(DATE, F.to_date(self.entity.time))
-        write_run(dated, self.root, "source", run_id, [DATE])
-        self._write_manifest(None, run_id, None, dated)
+        days = dated.select(F.col(self.entity.id).alias("_parent"), DATE)
+        for name in self.tables:
+            rows = dated
+            if name != SOURCE:
+                parent = next(c.parent_id for c in self.entity.children if c.name == name)
+                rows = (children or {})[name]
+                rows = rows.join(days, rows[parent] == F.col("_parent"), "left").drop("_parent")
+            write_run(rows, self.root, name, run_id, [DATE])
+            self._write_manifest(name, None, run_id, None, rows)
+        write_run(self.spark.createDataFrame([], STATUS), self.root, "status", run_id)
         for name, df in control.items():
             write_run(df, self.root, name, run_id)
 
     def source(self, run_id: str) -> DataFrame:
-        """The source as the given run left it; one directory per date, nothing to filter out."""
-        entries = read_run(self.spark, self.root, "manifest", run_id).collect()  # one small row per date
-        base = f"{self.root}/source"
+        return self.rows(SOURCE, run_id)
+
+    def rows(self, table: str, run_id: str) -> DataFrame:
+        """A source table as the given run left it; one directory per date, nothing to filter out."""
+        entries = self._manifest(table, run_id).collect()  # one small row per date
+        base = f"{self.root}/{table}"
         if not entries:  # every row is gone: the columns are those of the older runs
             return self.spark.read.parquet(base).drop("run_id").limit(0)
-        paths = [f"{run_path(self.root, 'source', row.owner)}/{DATE}={row.event_date}" for row in entries]
-        schema = self.spark.read.parquet(run_path(self.root, "source", entries[0].owner)).schema
+        paths = [f"{run_path(self.root, table, row.owner)}/{DATE}={row.event_date or NO_DATE}" for row in entries]
+        schema = self.spark.read.parquet(run_path(self.root, table, entries[0].owner)).schema
         return self.spark.read.schema(schema).option("basePath", base).parquet(*paths).drop("run_id")
 
     def control(self, name: str, run_id: str) -> DataFrame:
         return read_run(self.spark, self.root, name, run_id)
 
-    def archived(self, like: DataFrame) -> DataFrame:
-        return read_table(self.spark, self.root, "archive", like)
+    def archived(self, like: DataFrame | None, table: str = SOURCE) -> DataFrame:
+        return read_table(self.spark, self.root, archive_name(table), like)
+
+    def ledger(self, run_id: str | None = None) -> DataFrame:
+        """Ledger rows of all runs; of the groups that ``run_id`` has not seen acknowledged, if given."""
+        listed = read_table(self.spark, self.root, "ledger", self.spark.createDataFrame([], LEDGER)).select("group_id", "id", DATE)
+        if run_id is None:
+            return listed
+        return listed.join(self.control("groups", run_id).where("is_synced").select("group_id"), "group_id", "left_anti")
 
-    def ledger(self) -> DataFrame:
-        empty = self.spark.createDataFrame([], "group_id bigint, id bigint")
-        return read_table(self.spark, self.root, "ledger", empty).select("group_id", "id")
+    def _manifest(self, table: str, run_id: str) -> DataFrame:
+        return read_run(self.spark, self.root, f"manifest_{table}", run_id)
 
-    def _write_manifest(self, before: DataFrame | None, run_id: str, touched: DataFrame | None, like: DataFrame) -> None:
+    def _write_manifest(self, table: str, before: DataFrame | None, run_id: str, touched: DataFrame | None, like: DataFrame) -> None:
         """Dates this run wrote, and the owners of the dates it left alone."""
-        files = self.spark.read.schema(like.schema).parquet(run_path(self.root, "source", run_id))
+        files = self.spark.read.schema(like.schema).parquet(run_path(self.root, table, run_id))
         owners = files.select(DATE).distinct().withColumn("owner", F.lit(run_id))
         if before is not None:
-            owners = before.join(touched, DATE, "left_anti").unionByName(owners)
-        write_run(owners.coalesce(1), self.root, "manifest", run_id)
+            kept = before.alias("b").join(touched.alias("t"), F.col(f"b.{DATE}").eqNullSafe(F.col(f"t.{DATE}")), "left_anti")
+            owners = kept.unionByName(owners)
+        write_run(owners.coalesce(1), self.root, f"manifest_{table}", run_id)
 
-    def rewrite(self, gone: DataFrame, key: str, previous_run: str, run_id: str) -> None:
-        """Remove ``gone(key, event_date)`` from the dates that hold such rows."""
-        before = read_run(self.spark, self.root, "manifest", previous_run)
+    def rewrite(self, gone: DataFrame, previous_run: str, run_id: str) -> None:
+        """Remove ``gone(id, event_date)`` and, before it, their child rows, from the dates that hold them."""
         dates = [row[0] for row in gone.select(DATE).distinct().collect()]  # dates, not rows
         touched = self.spark.createDataFrame([(d,) for d in dates], f"{DATE} date")
-        rows = self.source(previous_run)
-        affected = rows.where(F.col(DATE).isin(dates)) if dates else rows.limit(0)
-        kept = arc.survivors(affected, gone, key)
-        write_run(kept, self.root, "source", run_id, [DATE])
-        self._write_manifest(before, run_id, touched, kept)
+        for table in reversed(self.tables):
+            key = self.entity.id if table == SOURCE else next(c.parent_id for c in self.entity.children if c.name == table)
+            rows = self.rows(table, previous_run)
+            affected = rows.where(F.col(DATE).isin(dates)) if dates else rows.limit(0)
+            kept = arc.survivors(affected, gone, key, "id")
+            write_run(kept, self.root, table, run_id, [DATE])
+            self._write_manifest(table, self._manifest(table, previous_run), run_id, touched, kept)
+
+    def carry(self, previous_run: str, run_id: str, *but: str) -> None:
+        """State that a run leaves as it was: manifests, control rows and status, under the run's own id."""
+        names = (*(f"manifest_{t}" for t in self.tables), *CONTROL, "status")
+        for name in names:
+            if name not in but:
+                write_run(read_run(self.spark, self.root, name, previous_run), self.root, name, run_id)
+
+
+def archive_name(table: str) -> str:
+    return "archive" if table == SOURCE else f"archive_{table}"
 
 
 def log_run(store: Store, run_id: str, kind: str, started: str, messages: list[tuple[int, str]], status: int = 0) -> None:
@@ -118,8 +159,8 @@ def add_trigger(store: Store, previous_run: str, run_id: str, trigger_id: int, t
         *[F.lit(False).alias(c) for c in ("is_archived", "is_finished", "is_dry_run", "is_error")])
     write_run(windows.unionByName(new_windows), store.root, "windows", run_id)
     write_run(groups.unionByName(new_groups), store.root, "groups", run_id)
-    write_run(triggers.unionByName(new_trigger), store.root, "triggers", run_id)
-    write_run(read_run(spark, store.root, "manifest", previous_run), store.root, "manifest", run_id)
+    write_run(triggers.unionByName(new_trigger, allowMissingColumns=True), store.root, "triggers", run_id)
+    store.carry(previous_run, run_id, *CONTROL)
 
 
 def simple_archive_run(store: Store, tenants: DataFrame, previous_run: str, run_id: str, now: str, trigger_id: int, *,
@@ -139,22 +180,28 @@ def simple_archive_run(store: Store, tenants: DataFrame, previous_run: str, run_
     return archive_run(store, f"{run_id}-trigger", run_id, now)
 
 
-def archive_run(store: Store, previous_run: str, run_id: str, now: str, *, limit: int = 1000,
+def archive_run(store: Store, previous_run: str, run_id: str, now: str, *,
                 delete_if_no_delay: bool = True, ignore_delay: bool = False, rows_per_slice: int | None = None) -> dict:
-    """One archive batch: from the state of ``previous_run`` to the state of ``run_id``."""
+    """Archive every due window: from the state of ``previous_run`` to the state of ``run_id``.
+
+    Rows and their child rows are copied once; rows without delay leave the source, children first; the others
+    enter the ledger. With nothing to do the state is carried over.
+    """
     spark, entity, key = store.spark, store.entity, store.entity.id
     windows = store.control("windows", previous_run)
     groups, triggers = store.control("groups", previous_run), store.control("triggers", previous_run)
     source = store.source(previous_run)
 
-    # the batch is small, decides everything below and must not change if the run is repeated
+    # the windows decide everything below and must not change if the run is repeated
     write_run(
-        with_late_marker(open_windows(windows, groups, triggers, now, limit=limit, ignore_delay=ignore_delay,
+        with_late_marker(open_windows(windows, groups, triggers, now, ignore_delay=ignore_delay,
                                       delete_if_no_delay=delete_if_no_delay), windows),
         store.root, "batch", run_id)
     batch = read_run(spark, store.root, "batch", run_id)
     profile = profile_windows(batch)
     if profile.count == 0:
+        store.carry(previous_run, run_id)
+        log_run(store, run_id, f"Archive {entity.name}", now, [(10, "nothing due")])
         return {"windows": 0, "rows": 0}
     watermark = high_watermark(source, entity, profile.last_target, profile.max_target_id or 0).first()[0]
 
@@ -169,29 +216,38 @@ def archive_run(store: Store, previous_run: str, run_id: str, now: str, *, limit
         selected = read_run(spark, store.root, "selected", run_id)
 
     # (b) bound the archive side by the ids and dates it can share with this run
-    fresh = selected.where(~F.col("delete_only"))
     lo, hi, first_day, last_day = selected.agg(F.min(key), F.max(key), F.min(DATE), F.max(DATE)).first()
-    known = store.archived(source.withColumn("run_id", F.lit(""))).where(F.col("run_id") != run_label(run_id))
+
+    def other_runs(rows: DataFrame) -> DataFrame:
+        rows = rows.where(F.col("run_id") != run_label(run_id))
+        return rows if lo is None else rows.where(F.col(DATE).between(F.lit(first_day), F.lit(last_day)))
+
+    known = other_runs(store.archived(source.withColumn("run_id", F.lit(""))))
     if lo is not None:
-        known = known.where(F.col(key).between(lo, hi) & F.col(DATE).between(F.lit(first_day), F.lit(last_day)))
+        known = known.where(F.col(key).between(lo, hi))
     tags = [t for t in TAGS if t != DATE]
-    write_run(arc.archive_rows(fresh, known, key, tags), store.root, "archive", run_id, [DATE])
+    for child in entity.children:
+        rows = store.rows(child.name, previous_run)
+        rows = rows.limit(0) if lo is None else rows.where(F.col(DATE).between(F.lit(first_day), F.lit(last_day)))
+        copied = other_runs(store.archived(rows.withColumn("run_id", F.lit("")), child.name))
+        write_run(arc.archive_children(selected, rows, copied, key, child), store.root, archive_name(child.name), run_id, [DATE])
+    write_run(arc.archive_rows(selected.where(~F.col("delete_only")), known, key, tags), store.root, archive_name(SOURCE), run_id, [DATE])
 
     # (c)
-    listed = read_table(spark, store.root, "ledger", spark.createDataFrame([], "group_id bigint, id bigint, run_id string"))
-    listed = listed.where(F.col("run_id") != run_label(run_id))
+    listed = read_table(spark, store.root, "ledger", spark.createDataFrame([], LEDGER)).where(F.col("run_id") != run_label(run_id))
     if lo is not None:
-        listed = listed.where(F.col("id").between(lo, hi))
-    write_run(arc.delete_ledger(selected, listed, key), store.root, "ledger", run_id)
+        listed = listed.where(F.col("id").between(lo, hi) & F.col(DATE).between(F.lit(first_day), F.lit(last_day)))
+    days = selected.select(F.col(key).alias("id"), DATE)
+    write_run(arc.delete_ledger(selected, listed, key).join(days, "id"), store.root, "ledger", run_id, [DATE])
 
     # (d)
-    gone = selected.where(F.col("no_delay") | F.lit(ignore_delay)).select(key, DATE)
-    store.rewrite(gone, key, previous_run, run_id)
+    store.rewrite(selected.where(F.col("no_delay") | F.lit(ignore_delay)).select(F.col(key).alias("id"), DATE), previous_run, run_id)
 
     # (e)
     closed = arc.advance_windows(windows, batch, watermark)
-    rolled = group_rollup(groups, closed, store.ledger(), delete_if_no_delay=delete_if_no_delay)
     in_batch = batch.select("group_id").distinct()
+    own = store.ledger().join(in_batch, "group_id", "left_semi")
+    rolled = group_rollup(groups, closed, own, delete_if_no_delay=delete_if_no_delay)
     new = rolled.join(in_batch, "group_id", "left_semi").select(
         "group_id", *[F.col(c).alias(f"_{c}") for c in ("is_archived", "is_deleted", "is_synced", "first_id", "last_id", "id_count")])
     groups_out = groups.join(new, "group_id", "left").select(
@@ -200,38 +256,61 @@ def archive_run(store: Store, previous_run: str, run_id: str, now: str, *, limit
     done = trigger_rollup(groups_out).select("trigger_id", F.col("is_archived").alias("_a"), F.col("is_finished").alias("_f"))
     triggers_out = triggers.join(done, "trigger_id", "left").withColumn(
         "is_archived", F.coalesce("_a", "is_archived")).withColumn("is_finished", F.coalesce("_f", "is_finished")).drop("_a", "_f")
+    if {"valid_windows", "target_ts"} <= set(triggers.columns):  # triggers planned without a window end here
+        empty = close_empty(triggers, profile.last_target).select("trigger_id", F.lit(True).alias("_e"))
+        triggers_out = triggers_out.join(empty, "trigger_id", "left").withColumn(
+            "is_finished", F.coalesce("_e", "is_finished")).drop("_e")
     for name, df in (("windows", closed), ("groups", groups_out), ("triggers", triggers_out)):
         write_run(df, store.root, name, run_id)
+    store.carry(previous_run, run_id, *CONTROL, *(f"manifest_{t}" for t in store.tables))
     counts = arc.archive_metrics(selected, []).first()
     log_run(store, run_id, f"Archive {entity.name}", now, [
-        (10, f"Archive Filter(s) found: {profile.count}"), (10, f"Target Id: {watermark}"),
-        (10, f"Total: {counts.row_count} (archive = {counts.archived}, delete only = {counts.delete_only_rows}) / "
-             f"delete (no delay = {counts.deleted_now}, async = {counts.deleted_later})")])
+        (10, f"windows: {profile.count}"), (10, f"up to id: {watermark}"),
+        (10, f"rows: {counts.row_count} (copied {counts.archived}, not copied {counts.delete_only_rows}; "
+             f"deleted {counts.deleted_now}, to delete later {counts.deleted_later})")])
     return {"windows": profile.count, "rows": counts.row_count, "watermark": watermark}
 
 
-def purge_run(store: Store, groups: DataFrame, status: DataFrame, previous_run: str, run_id: str, now: str,
-              stop_at: int | None = None) -> DataFrame:
-    """Delete due ledger ids from the source; returns the new local status rows.
+def purge_run(store: Store, previous_run: str, run_id: str, now: str, stop_at: int | None = None) -> DataFrame:
+    """Delete due ledger ids and their child rows from the source; returns the new local status rows.
 
-    ``stop_at`` ends the run at that id, as a run out of time would; the next run resumes.
+    ``stop_at`` ends the run at that id, as a run out of time would; the next run resumes. The ledger holds the
+    date of each id, so only the dates concerned are read and rewritten.
     """
+    groups, status = store.control("groups", previous_run), store.control("status", previous_run)
     resume = resume_point(due_groups(groups, status, now), status)
-    ids = purge_ids(store.ledger(), resume)
-    if stop_at is not None:
-        ids = ids.where(F.col("id") <= stop_at)
-    write_run(ids, store.root, "purged", run_id)
-    ids = read_run(store.spark, store.root, "purged", run_id)
-    source = store.source(previous_run)
-    key = store.entity.id
-    lo, hi = ids.agg(F.min("id"), F.max("id")).first()
-    hit = source.select(key, DATE)
-    if lo is not None:
-        hit = hit.where(F.col(key).between(lo, hi))
-    gone = hit.join(ids.select(F.col("id").alias(key)), key, "left_semi")
-    store.rewrite(gone, key, previous_run, run_id)
-    local = purge_status(resume, ids, complete=stop_at is None).select(
+    due = purge_ids(store.ledger(previous_run), resume)
+    write_run(due, store.root, "due", run_id)
+    due = read_run(store.spark, store.root, "due", run_id)
+    ids = due if stop_at is None else due.where(F.col("id") <= stop_at)
+    store.rewrite(ids.select("id", DATE).distinct(), previous_run, run_id)
+    local = purge_status(resume, ids, due).select(
         "group_id", "is_deleted", F.when(F.col("is_deleted"), F.expr(f"timestamp_ntz'{now}'")).alias("deleted_on"),
         "first_id", "last_id")
-    write_run(local, store.root, "status", run_id)
+    others = status.join(local.select("group_id"), "group_id", "left_anti").select(*local.columns)
+    write_run(others.unionByName(local), store.root, "status", run_id)
+    store.carry(previous_run, run_id, "status", *(f"manifest_{t}" for t in store.tables))
+    log_run(store, run_id, f"Purge {store.entity.name}", now, [(10, f"groups: {resume.count()}"), (10, f"ids: {ids.count()}")])
     return read_run(store.spark, store.root, "status", run_id)
+
+
+def acknowledge_run(store: Store, previous_run: str, run_id: str, now: str) -> dict:
+    """Close on the archive side what the source side has purged, then drop the status rows that are closed.
+
+    A closed group is synced, so its ledger rows no longer count; a trigger is finished with its last group.
+    """
+    groups, triggers, status = (store.control(n, previous_run) for n in ("groups", "triggers", "status"))
+    acked = ack_groups(status, groups)
+    finish = purge_finish(groups, acked).where("is_finished").select("trigger_id", F.lit(True).alias("_done"))
+    closed = groups.join(acked.select("group_id", F.lit(True).alias("_acked")), "group_id", "left")
+    for flag in ("is_deleted", "is_synced"):
+        closed = closed.withColumn(flag, F.coalesce("_acked", flag))
+    write_run(closed.drop("_acked"), store.root, "groups", run_id)
+    write_run(triggers.join(finish, "trigger_id", "left").withColumn("is_finished", F.coalesce("_done", "is_finished")).drop("_done"),
+              store.root, "triggers", run_id)
+    removed = acknowledged_status(status, store.control("groups", run_id)).where("action = 'remove'")
+    write_run(status.join(removed.select("group_id"), "group_id", "left_anti").select(*status.columns), store.root, "status", run_id)
+    store.carry(previous_run, run_id, "groups", "triggers", "status")
+    count = acked.count()
+    log_run(store, run_id, f"Acknowledge {store.entity.name}", now, [(10, f"groups: {count}")])
+    return {"groups": count}

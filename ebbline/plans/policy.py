@@ -461,13 +461,13 @@ class PolicyCompiler:
             F.sort_array(F.collect_set("rule_no")).alias("rules"))
         return self._on_first_rule(kept, "T3", "tenant_id")
 
-    def report(self, limit: int = 100) -> DataFrame:
-        """The first ``limit`` violations of each policy, ordered by rule and code.
+    def report(self) -> DataFrame:
+        """All violations, numbered within each policy by rule and code.
 
         A policy's violations are bounded by its document, so the window stays small.
         """
         order = Window.partitionBy("policy_id").orderBy("rule_no", "code", "sub_no", "detail")
-        return self.violations.withColumn("position", F.row_number().over(order)).where(F.col("position") <= limit)
+        return self.violations.withColumn("position", F.row_number().over(order))
 
     # ---- result ------------------------------------------------------------------
     @cached_property

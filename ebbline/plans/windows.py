@@ -92,7 +92,7 @@ def repeat_schedule(triggers: DataFrame) -> DataFrame:
 def run_history(triggers: DataFrame, run_id: str, at: str) -> DataFrame:
     """Trigger history with the current run first."""
     return triggers.withColumn("history", prepend_history(
-        F.col("history"), F.lit(run_id), F.concat(F.lit("Process Filter(s) ["), F.col("window_count").cast("string"), F.lit("]")),
+        F.col("history"), F.lit(run_id), F.concat(F.lit("windows: "), F.col("window_count").cast("string")),
         ts_ntz(at)))
 
 
@@ -102,5 +102,5 @@ def new_triggers(requests: DataFrame, errors: DataFrame) -> DataFrame:
     return requests.join(bad, "policy_id", "left").select(
         "policy_id", "trigger_id", "trigger_time", F.coalesce("_bad", F.lit(False)).alias("is_error"),
         F.col("is_dry_run"), F.col("is_dry_run").alias("is_finished"), F.lit(False).alias("is_archived"),
-        F.when(F.coalesce("_bad", F.lit(False)), "Invalid JSON string and parameters")
-        .when(F.col("is_dry_run"), "Dry Run").otherwise("Add Trigger").alias("message"))
+        F.when(F.coalesce("_bad", F.lit(False)), "policy has violations")
+        .when(F.col("is_dry_run"), "dry run").otherwise("added").alias("message"))

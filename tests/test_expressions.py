@@ -3,7 +3,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from ebbline.functions import expressions as e
-from ebbline.functions.lookups import level_id, like_matches, prefix_index
+from ebbline.functions.lookups import level_id, like_matches
 
 
 def one(spark, *cols):
@@ -27,7 +27,7 @@ def test_hours_are_exact(spark):
 
 def test_like_pattern(spark):
     assert one(spark, e.like_pattern(F.lit("  Ab*C "))) == ("ab%c",)
-    assert len(one(spark, e.like_pattern(F.lit("x" * 300)))[0]) == 128
+    assert len(one(spark, e.like_pattern(F.lit("x" * 300)))[0]) == 300
 
 
 def test_levels(spark):
@@ -35,14 +35,9 @@ def test_levels(spark):
     assert one(spark, *[level_id(F.lit(w)).alias(f"c{i}") for i, w in enumerate(words)]) == (4, 5, None, None)
 
 
-def test_prefix_index(spark):
-    df = spark.createDataFrame([("Abc",)], "name string")
-    assert sorted(r.prefix for r in prefix_index(df, "name").collect()) == ["", "a", "ab", "abc"]
-
-
 def test_like_matches_equals_brute_force(spark):
-    names = ["Nation_1", "NATION_12", "nationX1", "abc", "a_c", "", "back\\slash", "x%y", "_", "a" * 130]
-    patterns = ["nation_1", "nation%", "nation_1%", "%1", "%", "_", "___", "a_c", "abc%", "%a%c%", "back\\slash", "back\\%", "", "x%y", "a" * 128]
+    names = ["Nation_1", "NATION_12", "nationX1", "abc", "a_c", "", "back\\slash", "x%y", "_", "a" * 130, "y" * 130, "x" * 126 + "a_prod", "x" * 126 + ".._test"]
+    patterns = ["nation_1", "nation%", "nation_1%", "%1", "%", "_", "___", "a_c", "abc%", "%a%c%", "back\\slash", "back\\%", "", "x%y", "a" * 128, "x" * 126 + "%_prod", "y" * 130]
 
     def matches(text, pattern):
         if not pattern:
@@ -55,3 +50,11 @@ def test_like_matches_equals_brute_force(spark):
                        spark.createDataFrame([(n,) for n in names], "name string"), "name").collect()
     want = sorted((p, n) for p in patterns for n in names if matches(n.lower(), p))
     assert sorted((r.pattern, r.name) for r in got) == want
+
+
+def test_long_strings_are_marked(spark):
+    text = "c" * 100_000 + '\\"' + "d" * 100_000
+    doc, odd = '{"comment": "' + text + '", "n": 1}', '{"a": "' + "e" * 100_000
+    marked = one(spark, e.mark_json_strings(F.lit(doc)))[0]
+    assert marked == '{"s:comment": "s:' + text + '", "s:n": 1}'
+    assert one(spark, e.mark_json_strings(F.lit(odd)))[0].startswith('{"s:a": "')

@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ebbline.entities import LOGS
+from ebbline.entities import AUDIT_LOGS, JOBS, LICENCE_LOGS, LOGS, QUEUE_ITEMS
 from ebbline.operators import purge as p
-from ebbline.plans.jobs import Store, archive_run, purge_run, simple_archive_run
+from ebbline.plans.jobs import Store, acknowledge_run, archive_run, purge_run, simple_archive_run
 from ebbline.sources.store import read_run, read_table, write_run
 
 NOW = "2024-01-31 00:00:00"
@@ -29,7 +29,7 @@ def store(spark, views, folder):
 def state(store, run):
     groups = {r.group_id: (r.is_archived, r.is_synced, r.first_id, r.last_id, r.id_count)
               for r in store.control("groups", run).collect()}
-    return (ids(store.archived(None)), sorted(map(tuple, store.ledger().collect())), ids(store.source(run)), groups)
+    return (ids(store.archived(None)), sorted(map(tuple, store.ledger().select("group_id", "id").collect())), ids(store.source(run)), groups)
 
 
 def test_archive_run(spark, views, store):
@@ -68,17 +68,6 @@ def test_slices_end_in_the_same_state(spark, views, store, folder):
     assert state(sliced, "1") == state(store, "1")
 
 
-def test_small_batches_end_in_the_same_state(spark, views, store, folder):
-    archive_run(store, "0", "1", NOW)
-    small = new_store(spark, views, folder + "-small")
-    run = 0
-    while archive_run(small, str(run), str(run + 1), NOW, limit=40)["windows"]:
-        run += 1
-    assert run > 1
-    a, b = state(small, str(run)), state(store, "1")
-    assert a == b
-
-
 def test_ignore_delay_deletes_everything_at_once(store, views):
     archive_run(store, "0", "1", NOW, ignore_delay=True)
     assert store.ledger().count() == 0
@@ -86,45 +75,94 @@ def test_ignore_delay_deletes_everything_at_once(store, views):
     assert left.count() == 0
 
 
-def empty_status(spark):
-    return spark.createDataFrame([], "group_id long, is_deleted boolean, deleted_on timestamp_ntz, first_id long, last_id long")
-
-
-def test_purge_and_acknowledge(spark, store):
+def test_purge_acknowledge_and_archive_again(spark, store):
     archive_run(store, "0", "1", NOW)
-    groups, before = store.control("groups", "1"), ids(store.source("1"))
-    due_ids = ids(store.ledger())
-    status = purge_run(store, groups, empty_status(spark), "1", "p1", NOW)
-    assert ids(store.source("p1")) == sorted(set(before) - set(due_ids))
-    acked = p.ack_groups(status, groups)
-    assert [r.group_id for r in acked.collect()] == [21]
-    assert p.ledger_survivors(store.ledger(), acked).count() == 0
-    done = p.purge_finish(groups, acked).collect()
-    assert [(r.trigger_id, r.is_finished) for r in done] == [(2, True)]
+    before, due_ids = ids(store.source("1")), ids(store.ledger())
+    status = purge_run(store, "1", "2", NOW)
+    assert ids(store.source("2")) == sorted(set(before) - set(due_ids))
+    assert [r.group_id for r in status.where("is_deleted").collect()] == [21]
+    assert acknowledge_run(store, "2", "3", NOW) == {"groups": 1}
+    assert store.control("status", "3").count() == 0 and store.ledger("3").count() == 0
+    assert {r.group_id: r.is_synced for r in store.control("groups", "3").collect()}[21]
+    assert {r.trigger_id: r.is_finished for r in store.control("triggers", "3").collect()}[2]
+    assert archive_run(store, "3", "4", NOW) == {"windows": 0, "rows": 0}
+    assert purge_run(store, "4", "5", NOW).count() == 0 and ids(store.source("5")) == ids(store.source("2"))
 
 
 def test_purge_resumes_after_a_cut(spark, store):
     archive_run(store, "0", "1", NOW)
-    groups = store.control("groups", "1")
-    once = purge_run(store, groups, empty_status(spark), "1", "whole", NOW)
+    once = purge_run(store, "1", "whole", NOW)
     middle = ids(store.ledger())[store.ledger().count() // 2]
-    part = purge_run(store, groups, empty_status(spark), "1", "half", NOW, stop_at=middle)
+    part = purge_run(store, "1", "half", NOW, stop_at=middle)
     assert not part.first().is_deleted and part.first().last_id == middle
-    rest = purge_run(store, groups, part, "half", "rest", NOW)
+    rest = purge_run(store, "half", "rest", NOW)
     assert rest.first().is_deleted
     assert ids(store.source("rest")) == ids(store.source("whole"))
     assert rest.first().last_id == once.first().last_id
+    complete = purge_run(store, "1", "past", NOW, stop_at=max(ids(store.ledger())))
+    assert complete.first().is_deleted  # the cut came after the last id of the group
+
+
+def test_a_resumed_purge_that_finds_nothing_keeps_the_last_id(spark):
+    resume = spark.createDataFrame([(1, 12, 11)], "group_id long, resume_id long, reached_id long")
+    row = p.purge_status(resume, spark.createDataFrame([], "group_id long, id long")).first()
+    assert (row.first_id, row.last_id, row.is_deleted) == (12, 11, True)
 
 
 def test_nothing_due_leaves_the_source(spark, store):
     archive_run(store, "0", "1", NOW)
-    status = purge_run(store, store.control("groups", "1"), empty_status(spark), "1", "early", "2024-01-01 00:00:00")
+    status = purge_run(store, "1", "early", "2024-01-01 00:00:00")
     assert status.count() == 0 and ids(store.source("early")) == ids(store.source("1"))
 
 
+@pytest.mark.parametrize("entity", [JOBS, QUEUE_ITEMS, AUDIT_LOGS, LICENCE_LOGS], ids=lambda e: e.name)
+def test_whole_run_of_an_entity(spark, views, folder, entity):
+    """Nothing is lost and nothing is there twice; children follow their parents, now and after the delay."""
+    source = getattr(views, entity.name)
+    child_id = F.monotonically_increasing_id()
+    children = {c.name: getattr(views, c.name).withColumn("id", child_id) for c in entity.children}
+    store = Store(spark, folder, entity)
+    lo, mid, hi = (source.agg(F.expr(f"percentile_approx(cast({entity.time} as timestamp), {q})")).first()[0] for q in (0.05, 0.4, 0.8))
+    keys = source.select(entity.tenant, *([entity.sub] if entity.sub else [])).distinct()
+    sub = F.col(entity.sub) if entity.sub else F.lit(0)
+    one = keys.select(F.col(entity.tenant).alias("tenant_id"), sub.cast("int").alias("sub_id"))
+    null_id = F.lit(None).cast("bigint")
+    parts = [one.select(F.lit(g).cast("bigint").alias("group_id"), "tenant_id", "sub_id", F.lit(g == 3).alias("delete_only"),
+                        F.lit(str(a)).cast("timestamp_ntz").alias("previous_ts"), F.lit(str(b)).cast("timestamp_ntz").alias("target_ts"),
+                        F.lit(False).alias("is_archived"), null_id.alias("current_id"), null_id.alias("target_id"))
+             for g, a, b in ((1, lo, mid), (2, mid, hi))]
+    after = {1: mid, 2: "2030-01-01 00:00:00"}
+    groups = spark.createDataFrame([(g, 1, str(t), False, False, False, None, None, None) for g, t in after.items()],
+                                   "group_id long, trigger_id long, t string, is_archived boolean, is_deleted boolean, is_synced boolean, first_id long, last_id long, id_count long")
+    groups = groups.withColumn("delete_after", F.col("t").cast("timestamp_ntz")).drop("t")
+    triggers = spark.createDataFrame([(1, "2020-01-01 00:00:00", False, False, False, False)],
+                                     "trigger_id long, t string, is_archived boolean, is_finished boolean, is_dry_run boolean, is_error boolean")
+    triggers = triggers.withColumn("trigger_time", F.col("t").cast("timestamp_ntz")).drop("t")
+    store.create(source, "0", children, windows=parts[0].unionByName(parts[1]), groups=groups, triggers=triggers)
+    whole = {t: store.rows(t, "0").count() for t in store.tables}
+    assert archive_run(store, "0", "1", "2031-01-01 00:00:00")["rows"] > 0
+    archived = ids(store.archived(None))
+    assert len(archived) == len(set(archived)) and set(ids(store.source("1"))) | set(archived) >= set(ids(source))
+    later = set(ids(store.ledger()))
+    assert set(archived) - set(ids(store.source("1"))) == set(archived) - later and later
+    for child in entity.children:
+        parents = {r[0] for r in store.rows(child.name, "1").select(child.parent_id).distinct().collect()}
+        gone = set(archived) - later
+        assert not parents & gone
+        copied = store.archived(None, child.name)
+        assert {r[0] for r in copied.select(child.parent_id).distinct().collect()} <= set(archived)
+        assert store.rows(child.name, "1").count() + copied.where(F.col(child.parent_id).isin(*gone)).count() == whole[child.name]
+    purge_run(store, "1", "2", "2031-01-01 00:00:00")
+    assert set(ids(store.source("2"))) == set(ids(source)) - set(archived)
+    for child in entity.children:
+        assert store.rows(child.name, "2").count() + store.archived(None, child.name).count() == whole[child.name]
+    assert acknowledge_run(store, "2", "3", "2031-01-01 00:00:00") == {"groups": 1}
+    assert archive_run(store, "3", "4", "2031-01-01 00:00:00") == {"windows": 0, "rows": 0}
+
+
 def test_untouched_dates_are_not_rewritten(spark, store):
     archive_run(store, "0", "1", NOW)
-    owners = {r.event_date: r.owner for r in read_run(spark, store.root, "manifest", "1").collect()}
+    owners = {r.event_date: r.owner for r in read_run(spark, store.root, "manifest_source", "1").collect()}
     touched = {r[0] for r in read_run(spark, store.root, "selected", "1").where("no_delay").select("event_date").distinct().collect()}
     assert set(owners.values()) == {"0", "1"}
     assert all((day in touched) == (owner == "1") for day, owner in owners.items())
@@ -146,7 +184,7 @@ def test_simple_archive(spark, views, store):
     assert left.where("ts >= timestamp_ntz'2024-01-26 00:00:00'").count() == views.logs.where(
         "ts >= timestamp_ntz'2024-01-26 00:00:00'").count()
     log = read_table(spark, store.root, "messages").orderBy("seq").collect()
-    assert [r.severity for r in log] == [10, 10, 10] and f"Total: {out['rows']} " in log[2].message
+    assert [r.severity for r in log] == [10, 10, 10] and f"rows: {out['rows']} " in log[2].message
 
 
 def test_simple_archive_needs_one_kind_of_date(views, store):

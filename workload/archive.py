@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from ebbline.entities import AUDIT_LOGS, JOBS, LICENCE_LOGS, LOGS, QUEUE_ITEMS
+from ebbline.functions.expressions import EPOCH, ts_ntz
 from ebbline.operators import archive as a
 from ebbline.operators import rollup as r
 from ebbline.operators import selection as s
@@ -16,6 +19,12 @@ from ebbline.sources.archive_table import map_columns
 from workload.fixtures import NOW_LOGS
 from workload.registry import query
 
+# The stand-in views have no single child id; these columns identify a child row in them.
+QUEUE_CHILD_KEY = ("queue_item_id", "l_linenumber", "l_partkey", "l_suppkey")
+EVENTS = replace(QUEUE_ITEMS.children[1], key=QUEUE_CHILD_KEY)
+COMMENTS = replace(QUEUE_ITEMS.children[0], key=QUEUE_CHILD_KEY)
+AUDITED = replace(AUDIT_LOGS.children[0], key=("audit_log_id", "l_linenumber", "entity_id", "l_suppkey"))
+
 BATCH_NOW = "1999-01-01 00:00:00"
 
 OPEN = """
@@ -26,7 +35,7 @@ OPEN = """
         FROM $c_window_rows x JOIN $c_groups g ON g.group_id = x.group_id JOIN $c_triggers t ON t.trigger_id = g.trigger_id
         WHERE NOT x.is_archived AND NOT g.is_archived AND (x.target_id IS NULL OR x.current_id IS NULL OR x.current_id < x.target_id)
           AND NOT (t.is_archived OR t.is_finished OR t.is_dry_run OR t.is_error) AND t.trigger_time < @'1999-01-01 00:00:00'),
-    batch AS (SELECT * FROM open_rows ORDER BY previous_ts, target_ts, group_id, tenant_id, sub_id LIMIT 1000)"""
+    batch AS (SELECT * FROM open_rows)"""
 
 # generation 2 windows of the log fixture with their late marker; generation 1 is closed
 LOG_SELECTED = """
@@ -62,8 +71,7 @@ def open_windows(t):
     return s.open_windows(t.c_window_rows, t.c_groups, t.c_triggers, BATCH_NOW)
 
 
-@query(f"""WITH {OPEN} SELECT string_agg(trigger_id || '(' || n || ')', ', ' ORDER BY trigger_id) AS message
-    FROM (SELECT trigger_id, COUNT(*) AS n FROM batch GROUP BY trigger_id)""")
+@query(f"""WITH {OPEN} SELECT trigger_id, trigger_id || '(' || COUNT(*) || ')' AS message FROM batch GROUP BY trigger_id""")
 def batch_message(t):
     return r.batch_message(s.open_windows(t.c_window_rows, t.c_groups, t.c_triggers, BATCH_NOW))
 
@@ -144,9 +152,9 @@ def select_licence(t):
 
 
 @query("""SELECT CAST(floor(id / 1000) AS BIGINT) AS slice_no, MIN(id) AS first_id, MAX(id) AS last_id, COUNT(*) AS row_count
-    FROM $logs WHERE ts < @'2024-01-21 00:00:00' GROUP BY 1""")
+    FROM $logs GROUP BY 1""")
 def id_slices(t):
-    return slices(t.logs.where(F.col("ts") < F.expr("timestamp_ntz'2024-01-21 00:00:00'")), "id", 1000)
+    return slices(t.logs, "id", 1000)
 
 
 @query(f"""WITH {LOG_SELECTED} SELECT id, tenant_id, level_id, ts, arrived_at, machine_id, message FROM sel
@@ -169,21 +177,21 @@ def child_archive(children):
                                                      child="queue_item_events", parent="queue_item_id", third="l_partkey"))
 def archive_item_events(t):
     rows = t.queue_item_events
-    return a.archive_children(queue_selection(t), rows, child_archive(rows), "id", QUEUE_ITEMS.children[1])
+    return a.archive_children(queue_selection(t), rows, child_archive(rows), "id", EVENTS)
 
 
 @query(f"WITH {QUEUE_SELECTED} " + CHILD_SQL.format(cols="queue_item_id, c.l_linenumber, c.l_partkey, c.l_suppkey, c.creation_time",
                                                      child="queue_item_comments", parent="queue_item_id", third="l_partkey"))
 def archive_item_comments(t):
     rows = t.queue_item_comments
-    return a.archive_children(queue_selection(t), rows, child_archive(rows), "id", QUEUE_ITEMS.children[0])
+    return a.archive_children(queue_selection(t), rows, child_archive(rows), "id", COMMENTS)
 
 
 @query(f"WITH {AUDIT_SELECTED} " + CHILD_SQL.format(cols="audit_log_id, c.l_linenumber, c.entity_id, c.l_suppkey",
                                                      child="audit_log_entities", parent="audit_log_id", third="entity_id"))
 def archive_audit_entities(t):
     rows = t.audit_log_entities
-    return a.archive_children(audit_selection(t), rows, child_archive(rows), "id", AUDIT_LOGS.children[0])
+    return a.archive_children(audit_selection(t), rows, child_archive(rows), "id", AUDITED)
 
 
 @query(f"WITH {LOG_SELECTED} SELECT group_id, id FROM sel WHERE NOT no_delay AND id NOT IN (SELECT id FROM $archive_logs)")
@@ -231,7 +239,7 @@ def group_rollup(t):
 
 @query("""
     SELECT trigger_id, true AS is_archived, f AS is_finished, f AS is_deleted, f AS is_success,
-           CASE WHEN f THEN 'Cleanup finished' ELSE 'Archiving finished' END AS message
+           CASE WHEN f THEN 'purged' ELSE 'archived' END AS message
     FROM (SELECT trigger_id, NOT EXISTS (SELECT 1 FROM $c_groups z WHERE z.trigger_id = g.trigger_id AND NOT z.is_synced) AS f
           FROM (SELECT DISTINCT trigger_id FROM $c_groups) g
           WHERE NOT EXISTS (SELECT 1 FROM $c_groups z WHERE z.trigger_id = g.trigger_id AND NOT z.is_archived))""")
@@ -239,7 +247,7 @@ def trigger_rollup(t):
     return r.trigger_rollup(t.c_groups)
 
 
-@query("""SELECT trigger_id, true AS is_finished, 'Archive Trigger finished (no filters)' AS message FROM $c_triggers
+@query("""SELECT trigger_id, true AS is_finished, 'finished without windows' AS message FROM $c_triggers
     WHERE NOT (is_archived OR is_finished OR is_dry_run OR is_error) AND valid_windows = 0 AND target_ts <= @'1998-01-01 00:00:00'""")
 def close_empty(t):
     return r.close_empty(t.c_triggers, "1998-01-01 00:00:00")
@@ -281,19 +289,18 @@ from workload.policy import policy_oracle  # noqa: E402  (shares the policy CTEs
     SELECT s.policy_id, l.tenant_id, l.level_id, s.delete_only, COUNT(*) AS row_count
     FROM compiled s JOIN $logs l ON l.tenant_id = s.tenant_id AND l.level_id = s.sub_id
          AND l.ts < @'2024-01-31 00:00:00' - INTERVAL '1' HOUR * s.after_hours
-    WHERE s.policy_id = (SELECT MIN(policy_id) FROM compiled)
     GROUP BY s.policy_id, l.tenant_id, l.level_id, s.delete_only""", "compiled"))
 def flagship(t):
     """Policy documents -> settings -> windows -> rows to archive or delete, per tenant and level.
 
-    All documents are compiled; the first valid policy is the one put in force.
+    All documents are compiled and every valid policy is put in force, one trigger each.
     """
     settings = compile_policies(
         expand_keywords(t.policies_raw).select("policy_id", "after_hours", "delay_hours", "doc"), t.tenants)
-    first = settings.agg(F.min("policy_id").alias("policy_id"))
-    trigger = first.select("policy_id", F.col("policy_id").alias("trigger_id"),
-                           F.expr(f"timestamp_ntz'{NOW_LOGS}'").alias("trigger_time"))
-    plan = w.plan_windows(w.plan_dates(settings.join(trigger, "policy_id")), t.log_windows.limit(0))
+    trigger = settings.select("policy_id").distinct().select("policy_id", F.col("policy_id").alias("trigger_id"),
+                                                             F.expr(f"timestamp_ntz'{NOW_LOGS}'").alias("trigger_time"))
+    # Each policy on its own: none has an earlier window, so all of them begin in 1900.
+    plan = w.plan_dates(settings.join(trigger, "policy_id")).withColumn("previous_ts", ts_ntz(EPOCH))
     windows = plan.withColumn("group_id", F.lit(1)).withColumn("no_delay", F.lit(False))
     chosen = s.select_rows(t.logs, windows, LOGS)
     return chosen.groupBy(F.col("trigger_id").alias("policy_id"), "tenant_id", "level_id", "delete_only").agg(

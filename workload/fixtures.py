@@ -145,7 +145,7 @@ VIEWS = {
                CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_orderdate + INTERVAL '9' DAY END AS repeat_until,
                o_orderkey % 13 = 0 AS is_archived, o_orderkey % 26 = 0 AS is_finished, o_orderkey % 17 = 0 AS is_dry_run,
                o_orderkey % 19 = 0 AS is_error, CASE WHEN o_orderkey % 8 = 0 THEN 0 ELSE 3 END AS valid_windows,
-               '[{"runid":"' || CAST(o_orderkey AS STRING) || '","message":"Add Trigger","timestamp":"2001-01-01T00:00:00"}]' AS history,
+               '[{"runid":"' || CAST(o_orderkey AS STRING) || '","message":"added","timestamp":"2001-01-01T00:00:00"}]' AS history,
                CAST(o_custkey % 7 AS BIGINT) AS window_count
         FROM $orders""",
     "c_windows": """

@@ -120,7 +120,7 @@ def repeat_schedule(t):
 
 
 @query("""
-    SELECT trigger_id, 2 AS entries, 'run-7' AS head_run, 'Process Filter(s) [' || window_count || ']' AS head_message,
+    SELECT trigger_id, 2 AS entries, 'run-7' AS head_run, 'windows: ' || window_count AS head_message,
            '2001-08-02T00:00:00' AS head_time, CAST(trigger_id AS VARCHAR) AS tail_run
     FROM $c_triggers""")
 def run_history(t):
@@ -132,7 +132,7 @@ def run_history(t):
 
 @query("""
     SELECT policy_id, policy_id * 10 AS trigger_id, bad AS is_error, policy_id % 7 = 0 AS is_finished,
-           CASE WHEN bad THEN 'Invalid JSON string and parameters' WHEN policy_id % 7 = 0 THEN 'Dry Run' ELSE 'Add Trigger' END AS message
+           CASE WHEN bad THEN 'policy has violations' WHEN policy_id % 7 = 0 THEN 'dry run' ELSE 'added' END AS message
     FROM (SELECT policy_id, NOT json_valid(doc) OR doc NOT LIKE '[%' AS bad FROM $policies)""")
 def trigger_insert(t):
     """Trigger rows with error and dry-run flags; here an error is a document that is no JSON array."""

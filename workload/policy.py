@@ -60,7 +60,7 @@ ORACLE_CTES = {
         FROM sub_items WHERE kind IN ('string', 'number')""",
     "sub_keys": """SELECT DISTINCT v.policy_id, v.rule_no, v.sub_no, v.action, d.sub_id
         FROM sub_values v JOIN level_names d ON d.sub_id = v.id OR d.sub_name = v.name OR v.name = 'all'""",
-    "sel_all": """SELECT DISTINCT policy_id, rule_no, key, lower(left(trim(replace(s, '*', '%')), 128)) AS pattern, n AS sel_id FROM (
+    "sel_all": """SELECT DISTINCT policy_id, rule_no, key, lower(trim(replace(s, '*', '%'))) AS pattern, n AS sel_id FROM (
             SELECT policy_id, rule_no, key, CASE WHEN kind = 'string' THEN value END AS s,
                    CASE WHEN kind = 'number' THEN TRY_CAST(value AS INT) END AS n
             FROM live WHERE key IN ('tenants', 'exclude') AND kind IN ('string', 'number')

@@ -21,13 +21,12 @@ DUE = """
         SELECT g.group_id, g.delete_after, g.first_id, g.last_id, g.id_count, g.is_deleted, g.is_synced
         FROM $c_status s JOIN $c_groups g ON g.group_id = s.group_id WHERE s.is_deleted)"""
 RESUME = DUE + """,
-    resume AS (SELECT d.group_id, COALESCE(s.last_id + 1, s.first_id, d.first_id) AS resume_id FROM due d
+    resume AS (SELECT d.group_id, COALESCE(s.last_id + 1, s.first_id, d.first_id) AS resume_id, s.last_id AS reached_id FROM due d
         LEFT JOIN $c_status s ON s.group_id = d.group_id WHERE s.is_deleted IS NULL OR NOT s.is_deleted)"""
 
 
 def due(t):
-    """Control tables are stored tables in a run, so they are written once here."""
-    return p.due_groups(t.store("c_groups"), t.store("c_status"), NOW)
+    return p.due_groups(t.c_groups, t.c_status, NOW)
 
 
 def resume(t):
@@ -48,7 +47,7 @@ def resume_point(t):
     SELECT group_id, id FROM $c_ledger WHERE id NOT IN (SELECT id FROM gone)""")
 def purge_logs(t):
     """Rows of a flat entity that stay after the due ledger ids are deleted."""
-    ledger = t.store("c_ledger")
+    ledger = t.c_ledger
     return survivors(ledger, p.purge_ids(ledger, resume(t)), "id").select("group_id", "id")
 
 
@@ -88,7 +87,7 @@ def purge_jobs(t):
 
 
 @query(f"""WITH {RESUME}
-    SELECT r.group_id, r.resume_id AS first_id, MAX(l.id) AS last_id, COUNT(l.id) AS purged, true AS is_deleted
+    SELECT r.group_id, r.resume_id AS first_id, COALESCE(MAX(l.id), MAX(r.reached_id)) AS last_id, COUNT(l.id) AS purged, true AS is_deleted
     FROM resume r LEFT JOIN $c_ledger l ON l.group_id = r.group_id AND l.id >= r.resume_id GROUP BY r.group_id, r.resume_id""")
 def purge_status(t):
     points = resume(t)
@@ -118,7 +117,7 @@ def ledger_survivors(t):
 
 @query(f"""WITH {ACKED}
     SELECT trigger_id, f AS is_finished, CASE WHEN f THEN d END AS deleted_on,
-           CASE WHEN f THEN 'All Archive Filter(s) and cleanup finished' ELSE 'Partial Cleanup' END AS message
+           CASE WHEN f THEN 'every group purged' ELSE 'groups left to purge' END AS message
     FROM (SELECT a.trigger_id, MAX(a.deleted_on) AS d, NOT EXISTS (SELECT 1 FROM $c_groups g WHERE g.trigger_id = a.trigger_id
                  AND NOT g.is_synced AND g.group_id NOT IN (SELECT group_id FROM acked)) AS f
           FROM acked a GROUP BY a.trigger_id)""")

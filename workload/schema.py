@@ -45,18 +45,17 @@ def source_contract(t):
     return _union(parts).groupBy("table_name").agg(*[F.sum(c).alias(c) for c in counts])
 
 
-@query("SELECT id, tenant_id, level_id, ts, machine_id FROM $logs WHERE ts < @'2024-01-11 00:00:00'")
+@query("SELECT id, tenant_id, level_id, ts, machine_id FROM $logs")
 def archive_projection(t):
-    rows = t.logs.where(F.col("ts") < F.expr("timestamp_ntz'2024-01-11 00:00:00'"))
-    return at.archive_projection(rows, '["Message", "arrived_at"]', "id")
+    return at.archive_projection(t.logs, '["Message", "arrived_at"]', "id")
 
 
 @query("""SELECT id, tenant_id, NULL AS level_id, NULL AS machine_id, ts FROM $logs WHERE id % 7 = 0
-    UNION ALL SELECT id, tenant_id, level_id, machine_id, ts FROM $logs WHERE id % 7 <> 0 AND ts < @'2024-01-11 00:00:00'""")
+    UNION ALL SELECT id, tenant_id, level_id, machine_id, ts FROM $logs WHERE id % 7 <> 0""")
 def archive_evolve(t):
     """An archive written before two columns existed, and new rows with them."""
     old = t.logs.where(F.col("id") % 7 == 0).select("id", "tenant_id", "ts")
-    new = t.logs.where((F.col("id") % 7 != 0) & (F.col("ts") < F.expr("timestamp_ntz'2024-01-11 00:00:00'"))).select(
+    new = t.logs.where(F.col("id") % 7 != 0).select(
         "id", "tenant_id", "level_id", "machine_id", "ts")
     return at.evolve(old, new, "id")
 
@@ -77,10 +76,9 @@ def schema_drift(t):
     return ct.schema_drift(left, right)
 
 
-@query("""SELECT id AS event_id, tenant_id AS tenant, level_id, ts AS event_time FROM $logs WHERE ts < @'2024-01-11 00:00:00'""")
+@query("""SELECT id AS event_id, tenant_id AS tenant, level_id, ts AS event_time FROM $logs""")
 def column_mapping(t):
-    rows = t.logs.where(F.col("ts") < F.expr("timestamp_ntz'2024-01-11 00:00:00'"))
-    return at.map_columns(rows, "id=event_id, [tenant_id] = [tenant], ts = event_time, message=, machine_id =, arrived_at=",
+    return at.map_columns(t.logs, "id=event_id, [tenant_id] = [tenant], ts = event_time, message=, machine_id =, arrived_at=",
                           "id", copy_key=True)
 
 
