@@ -79,8 +79,9 @@ def indexed(spark: SparkSession, tokens: DataFrame, rules: tuple[UrlRule, ...])
 
     Rules without a bounded token are filed under the empty token, which every URL has.
     """
-    listed = spark.createDataFrame([(i, r.verdict, r.regex(), r.at_host, r.name, t) for i, r in enumerate(rules) for t in (r.tokens() or [""])],
-                                   "rule_no int, verdict string, regex string, at_host boolean, name string, token string")
+    rows = [(i, r.verdict, r.regex(), r.at_host, r.name, t) for i, r in enumerate(rules) for t in (r.tokens() or [""])]
+    columns = (("rule_no", "int"), ("verdict", "string"), ("regex", "string"), ("at_host", "boolean"), ("name", "string"), ("token", "string"))
+    listed = spark.range(1).select(F.inline(F.array(*[F.struct(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(columns, row)]) for row in rows])))
     wanted = F.broadcast(listed.select("token").distinct())  # one row for each token of the given rules
     counts = tokens.join(wanted, "token").groupBy("token").agg(F.count("*").alias("n"))
     filed = listed.join(counts, "token", "left").groupBy("rule_no", "verdict", "regex", "at_host", "name").agg(
