@@ -8,8 +8,9 @@ from ebbline.entities import LOGS
 from ebbline.operators.selection import select_rows
 from ebbline.plans import requests as rq
 from ebbline.plans import windows as w
-from ebbline.plans.policy import PolicyCompiler, compile_policies, expand_keywords
+from ebbline.plans.policy import compile_policies, expand_keywords
 from workload.fixtures import NOW_LOGS, NOW_ORDERS
+from workload.policy import compiler, policy_oracle
 from workload.registry import query
 
 PLANNED = """
@@ -130,16 +131,16 @@ def run_history(t):
                       h[0]["message"].alias("head_message"), h[0]["timestamp"].alias("head_time"), h[1]["runid"].alias("tail_run"))
 
 
-@query("""
+@query(policy_oracle("""
     SELECT policy_id, policy_id * 10 AS trigger_id, bad AS is_error, policy_id % 7 = 0 AS is_finished,
            CASE WHEN bad THEN 'policy has violations' WHEN policy_id % 7 = 0 THEN 'dry run' ELSE 'added' END AS message
-    FROM (SELECT policy_id, NOT json_valid(doc) OR doc NOT LIKE '[%' AS bad FROM $policies)""")
+    FROM (SELECT policy_id, EXISTS (SELECT 1 FROM violations v WHERE v.policy_id = r.policy_id) AS bad FROM $policies_raw r)""", "violations"))
 def trigger_insert(t):
-    """Trigger rows with error and dry-run flags; here an error is a document that is no JSON array."""
-    requests = t.policies.select("policy_id", (F.col("policy_id") * 10).alias("trigger_id"),
-                                 F.lit(NOW_LOGS).cast("timestamp_ntz").alias("trigger_time"),
-                                 (F.col("policy_id") % 7 == 0).alias("is_dry_run"))
-    errors = PolicyCompiler(t.policies, t.tenants).documents.where(F.col("items").isNull())
+    """Trigger rows with error and dry-run flags; a policy with any violation is an error."""
+    requests = t.policies_raw.select("policy_id", (F.col("policy_id") * 10).alias("trigger_id"),
+                                     F.lit(NOW_LOGS).cast("timestamp_ntz").alias("trigger_time"),
+                                     (F.col("policy_id") % 7 == 0).alias("is_dry_run"))
+    errors = compiler(t, staged=True).violations
     return w.new_triggers(requests, errors).select("policy_id", "trigger_id", "is_error", "is_finished", "message")
 
 

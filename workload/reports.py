@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ebbline.entities import AUDIT_LOGS, LOGS, QUEUE_ITEMS
+from ebbline.functions.expressions import name_part, yes_no
 from ebbline.operators import reports as r
 from workload.archive import LOG_SELECTED, QUEUE_SELECTED, log_selection, queue_selection
 from workload.registry import query
@@ -92,3 +93,20 @@ def change_volume(t):
     FROM sel WHERE is_late GROUP BY ALL""")
 def late_rows(t):
     return r.late_rows(log_selection(t), LOGS).withColumn("day", F.col("day").cast("string"))
+
+
+@query("""
+    SELECT event_id, list_extract(parts, -1) AS object, list_extract(parts, -2) AS schema, list_extract(parts, -3) AS database, list_extract(parts, -4) AS server
+    FROM (SELECT event_id, string_split(CASE event_id % 3 WHEN 0 THEN 'srv.db.' WHEN 1 THEN 'db.' ELSE '' END || event_type || '.t' || event_id, '.') AS parts FROM $events)""")
+def name_parts(t):
+    head = F.when(F.col("event_id") % 3 == 0, "srv.db.").when(F.col("event_id") % 3 == 1, "db.").otherwise("")
+    name = F.concat(head, "event_type", F.lit(".t"), F.col("event_id").cast("string"))
+    return t.events.select("event_id", *[name_part(name, i).alias(n) for i, n in enumerate(("object", "schema", "database", "server"), 1)])
+
+
+@query("""
+    SELECT event_id, CASE WHEN upper(trim(word)) IN ('YES', 'Y', '1') THEN true WHEN upper(trim(word)) IN ('NO', 'N', '0') THEN false END AS flag
+    FROM (SELECT event_id, list_extract([' yes', 'Y', '1 ', 'No', 'n', '0', 'maybe', event_type], CAST(event_id % 8 AS INT) + 1) AS word FROM $events)""")
+def yes_no_flags(t):
+    words = F.array(*[F.lit(w) for w in (" yes", "Y", "1 ", "No", "n", "0", "maybe")], F.col("event_type"))
+    return t.events.select("event_id", yes_no(F.element_at(words, (F.col("event_id") % 8 + 1).cast("int"))).alias("flag"))
