@@ -15,6 +15,7 @@ reach the manifest count, so a repeated or lost task leaves no trace in the resu
 
 from __future__ import annotations
 
+import math
 import re
 import struct
 import uuid
@@ -32,91 +33,71 @@ from ebbline.session import work_dir
 
 # Fixed values of the seekable zstandard format.
 SEEK_MAGIC, SEEK_FRAME, META_FRAME = 0x8F92EAB1, 0x184D2A5E, 0x184D2A50
-CACHED_WORDS = 400_000
-PLAIN = re.compile(r"([A-Za-z]+)([.,;:!?%$&#*|-]*)")
-ODD_SPACE = re.compile("[\x1c-\x1f]")
+CACHED_PIECES = 600_000
+FRAMES_PER_TASK = 16
+SPECIAL = "<|"
+# The tokenizer's own cut, for texts of ASCII and Latin-1 letters.
+SIMPLE = re.compile("[\x20-\x7e\t\n\rÀ-ÖØ-öø-ÿ]*")
+PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
 MANIFEST = "shard int, path string, n_docs long, n_tokens long, n_frames long"
 DOCUMENT = "doc_id long, shard int, frame int, place int, start long, n_tokens long, ids_crc32 long"
 
 
 class WordEncoder:
-    """Encodes with the given tokenizer, each white-space-separated word once while it is cached.
+    """Encodes with the given tokenizer, each piece of a text once while it is cached.
 
-    The tokenizer of this format never joins words over white space, so the ids of a text are the
-    ids of its words in order. The cache keeps two generations of bounded size.
+    The tokenizer lower-cases, cuts a text into pieces (letters, single digits, other marks) and encodes each
+    alone. Where a text has only ASCII and Latin-1 letters the same cut is made here, and pieces that are not
+    cached are encoded together, without the cut. All other texts go through the tokenizer as they are. The cache
+    keeps two generations of bounded size.
     """
 
-    def __init__(self, path: str, mark: str = "<|endoftext|>"):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer, pre_tokenizers
 
-        self.model, self.mark = Tokenizer.from_file(path), mark
-        self.mark_id = self.model.token_to_id(mark)
+        self.full = Tokenizer.from_file(path)
+        self.pieces = Tokenizer(self.full.model)
+        self.pieces.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        size = self.full.get_vocab_size()
+        self.ends = np.array([(self.full.id_to_token(i) or "").endswith("</w>") for i in range(size)])
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _plain(self, text: str) -> bytes:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def _learn(self, words: list[str]) -> None:
-        """Many words in one call, told apart by the mark between them."""
-        for at in range(0, len(words), 4096):
-            some = words[at:at + 4096]
-            ids = np.array(self.model.encode(self.mark.join(some), add_special_tokens=False).ids, dtype="<u4")
-            cuts = np.flatnonzero(ids == self.mark_id)
-            if len(cuts) != len(some) - 1:
+        return np.array(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _need(self, pieces: set[str]) -> None:
+        """Make every piece known in the young generation."""
+        unknown = [p for p in pieces if p not in self.new]
+        if unknown and len(self.new) > CACHED_PIECES:
+            self.old, self.new = self.new, {}
+            unknown = list(pieces)
+        learn = []
+        for piece in unknown:
+            known = self.old.get(piece)
+            if known is None:
+                learn.append(piece)
+            else:
+                self.new[piece] = known
+        for at in range(0, len(learn), 2048):
+            some = learn[at:at + 2048]
+            ids = np.array(self.pieces.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4  # a piece ends with the only token that ends a word
+            if len(cuts) != len(some):
                 self.new.update((w, self._plain(w)) for w in some)
                 continue
-            starts, ends = np.append(0, cuts + 1).tolist(), np.append(cuts, len(ids)).tolist()
-            raw = ids.tobytes()
-            self.new.update((w, raw[4 * a:4 * b]) for w, a, b in zip(some, starts, ends))
-
-    def _need(self, words: set[str]) -> None:
-        """Make every word known in the young generation."""
-        new, old = self.new, self.old
-        unknown = words - new.keys()
-        if not unknown:
-            return
-        if len(new) > CACHED_WORDS:
-            self.old, self.new = new, {}
-            old, new = self.old, self.new
-            unknown = words
-        parts: dict[str, tuple[str, str]] = {}
-        learn: set[str] = set()
-        for word in unknown:
-            known = old.get(word)
-            if known is not None:
-                new[word] = known
-                continue
-            match = PLAIN.fullmatch(word)
-            if match:
-                core, tail = match[1].lower(), match[2]
-                if core == word:
-                    learn.add(word)
-                    continue
-                parts[word] = (core, tail)
-                for part in (core, tail):
-                    if part and part not in new:
-                        if part in old:
-                            new[part] = old[part]
-                        else:
-                            learn.add(part)
-            else:
-                learn.add(word)
-        if learn:
-            self._learn(sorted(learn))
-        for word, (core, tail) in parts.items():
-            new[word] = new[core] + (new[tail] if tail else b"")
+            raw, cuts = ids.tobytes(), cuts.tolist()
+            self.new.update(zip(some, map(raw.__getitem__, map(slice, [0, *cuts], cuts))))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Token ids of each text as little-endian u32 bytes; null is empty."""
-        words = [None if t is None or ODD_SPACE.search(t) or self.mark[:2] in t else t.split() for t in texts]
         out = []
         for at in range(0, len(texts), 64):
-            block = words[at:at + 64]
-            self._need(set().union(*[w for w in block if w]))
+            block = [t or "" for t in texts[at:at + 64]]
+            cut = [PIECE.findall(t.lower()) if SIMPLE.fullmatch(t) and SPECIAL not in t else None for t in block]
+            self._need(set().union(*[c for c in cut if c]))
             get = self.new.__getitem__
-            for text, split in zip(texts[at:at + 64], block):
-                out.append(b"".join(map(get, split)) if split is not None else self._plain(text or ""))
+            out += [self._plain(t) if c is None else b"".join(map(get, c)) for t, c in zip(block, cut)]
         return out
 
 
@@ -273,12 +254,14 @@ def read_tokens(spark: SparkSession, manifest: DataFrame) -> DataFrame:
                     yield pd.DataFrame({"doc_id": pd.array(ids, dtype="Int64"), "shard": shard, "frame": k, "place": range(len(ids)),
                                         "start": before + ends - sizes, "n_tokens": sizes, "ids_crc32": crcs})
 
-    listed = manifest.select("shard", "path").repartition("path").mapInPandas(frames, "shard int, path string, n_tokens long, frame int")
+    # Few bytes stand for much work here, so the numbers of tasks are given.
+    listed = manifest.select("shard", "path").repartition(math.ceil(max(1, manifest.count()) / 4), "path").mapInPandas(frames, "shard int, path string, n_tokens long, frame int")
     listed = stage(spark, listed, "token_frames")
     # One row for each file, so at most one for each partition of the writing job.
     bases = listed.where("frame = 0").select("shard", F.coalesce(F.sum("n_tokens").over(
         Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    read = listed.select("path", "shard", "frame").repartition("path", (F.col("frame") / 16).cast("int")).mapInPandas(documents, DOCUMENT)
+    tasks = math.ceil(max(1, listed.count()) / FRAMES_PER_TASK)
+    read = listed.select("path", "shard", "frame").repartition(tasks, "path", (F.col("frame") / FRAMES_PER_TASK).cast("int")).mapInPandas(documents, DOCUMENT)
     return read.join(bases, "shard").withColumn("start", F.col("base") + F.col("start")).drop("base")
 
 
@@ -299,4 +282,4 @@ def fetch_documents(spark: SparkSession, manifest: DataFrame, ids: list[int]) ->
                     if hits:
                         yield pd.DataFrame(hits, columns=["doc_id", "tokens"])
 
-    return manifest.select("path").repartition("path").mapInPandas(fetch, "doc_id long, tokens array<long>")
+    return manifest.select("path").repartition(math.ceil(max(1, manifest.count()) / 4), "path").mapInPandas(fetch, "doc_id long, tokens array<long>")
