@@ -1,7 +1,7 @@
 """N-gram Jaccard join: a blocked sparse product of the document by n-gram incidence.
 
 Documents with equal n-gram sets form one class, a row of the incidence. Its columns are ordered by
-rarity (a fixed-size table of column counts, taken over all documents), so two rows that reach the
+rarity (fixed-size tables of column and word counts, taken over all documents), so two rows that reach the
 similarity must meet in the first, rarest, columns of both: only these enter the postings. Rows that
 meet are checked by the product itself: overlap counts grow block of columns by block of columns,
 and a pair is dropped as soon as what is left cannot reach the bound its sizes imply.
@@ -22,11 +22,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import components, small, stage
+from ebbline.llm.common import components, numbered, small, stage
 
 COUNT_BITS = 18
 BLOCKS = 8
+LOW_BLOCKS = 2
+BLOCK_SHIFT = np.uint64(61)
 MIX = np.uint64(0x9E3779B97F4A7C15)
+COLUMN = np.uint64((1 << COUNT_BITS) - 1)
 
 
 class WordHashes(dict):
@@ -39,21 +42,27 @@ class WordHashes(dict):
         return value
 
 
-def shingles(text: bytes | None, n: int, table: WordHashes) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct ``n``-word shingles; the whole sequence if it has fewer words.
-
-    A-Z are lower-cased; words are what stands between ASCII white space (bytes.split() splits at exactly these).
-    """
+def word_hashes(text: bytes | None, table: WordHashes) -> np.ndarray:
+    """Hashes of the words; A-Z are lower-cased, and bytes.split() cuts at exactly the ASCII white space."""
     words = text.lower().split() if text else []
-    if not words:
-        return np.empty(0, np.uint64)
-    h = np.fromiter(map(table.__getitem__, words), np.uint64, len(words))
+    return np.fromiter(map(table.__getitem__, words), np.uint64, len(words))
+
+
+def rolled(h: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each ``n``-word shingle in order; one of the whole sequence if it has fewer words."""
     width = min(n, len(h))
-    rolled = np.full(len(h) - width + 1, np.uint64(width))
+    if not width:
+        return np.empty(0, np.uint64)
+    out = np.full(len(h) - width + 1, np.uint64(width))
     for i in range(width):
-        rolled = (rolled ^ h[i:len(h) - width + 1 + i]) * MIX
-        rolled ^= rolled >> np.uint64(29)
-    return np.unique(rolled)
+        out = (out ^ h[i:len(h) - width + 1 + i]) * MIX
+        out ^= out >> np.uint64(29)
+    return out
+
+
+def shingles(text: bytes | None, n: int, table: WordHashes) -> np.ndarray:
+    """Sorted 64-bit hashes of the distinct shingles of a whole text."""
+    return np.unique(rolled(word_hashes(text, table), n))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -66,27 +75,48 @@ def needed(t: int, a, b):
 
 
 def column_counts(docs: DataFrame, n: int) -> np.ndarray:
-    """How many shingles fall on each of ``2 ** COUNT_BITS`` columns, over all documents.
+    """How many shingles, and how many words, fall on each of ``2 ** COUNT_BITS`` columns, over all documents.
 
     The size is fixed, so the result may be broadcast. Tasks send the counts of their own rows.
     """
     size = 1 << COUNT_BITS
 
     def count(batches):
-        table, total = WordHashes(), np.zeros(size, np.int64)
+        table, total = WordHashes(), np.zeros(2 * size, np.int64)
         for batch in batches:
             for raw in batch.raw:
-                np.add.at(total, shingles(raw, n, table) & np.uint64(size - 1), 1)
+                h = word_hashes(raw, table)
+                np.add.at(total, (np.unique(rolled(h, n)) & COLUMN).astype(np.int64), 1)
+                np.add.at(total, (h & COLUMN).astype(np.int64) + size, 1)
         held = np.flatnonzero(total)
         for at in range(0, len(held), 1 << 16):
             some = held[at:at + (1 << 16)]
             yield pd.DataFrame({"place": some, "n": total[some]})
 
-    counts = np.zeros(size, np.int64)
-    summed = _texts(docs).select("raw").mapInPandas(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    table = summed.toArrow()
+    counts = np.zeros(2 * size, np.int64)
+    table = _texts(docs).select("raw").mapInPandas(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     counts[table["place"].to_numpy()] = table["n"].to_numpy()
-    return counts
+    return counts.reshape(2, size)
+
+
+def rarest(h: np.ndarray, n: int, counts: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """The set of a document, and its first columns in one order that all documents share, rarest first.
+
+    Columns whose count stands out come last, by how far; among the others those of the rarest words come first.
+    Any shared order gives all links; this one keeps the postings that documents share few.
+    """
+    every = rolled(h, n)
+    s, at = np.unique(every, return_index=True)
+    m = len(s)
+    if not m:
+        return s, s
+    # Words only: the estimate is the same in every document, as a shingle holds the same words.
+    weight = np.log2(counts[1][(h & COLUMN).astype(np.int64)]).round(3) if len(h) else h
+    width = min(n, len(h))
+    estimate = sum(weight[i:len(h) - width + 1 + i] for i in range(width))[at].round(2)
+    usual = 2 * counts[0].mean() + 16
+    level = np.log2(np.maximum(counts[0][(s & COLUMN).astype(np.int64)] / usual, 1)).astype(np.int64)
+    return s, s[np.lexsort((s, estimate, level))[:m + (-t * m) // 100 + 1]]
 
 
 def incidence(spark: SparkSession, docs: DataFrame, n: int, t: int) -> DataFrame:
@@ -94,47 +124,49 @@ def incidence(spark: SparkSession, docs: DataFrame, n: int, t: int) -> DataFrame
 
     ``head`` holds the columns that the prefix bound asks for, rarest first.
     """
-    counts = spark.sparkContext.broadcast(column_counts(docs, n))
-    mask = np.uint64((1 << COUNT_BITS) - 1)
+    shared = spark.sparkContext.broadcast(column_counts(docs, n))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, weight = WordHashes(), counts.value
+        table, counts = WordHashes(), shared.value
         for batch in batches:
             out = []
             for doc_id, raw, key in zip(batch.doc_id, batch.raw, batch.text_key):
-                s = shingles(raw, n, table)
-                m = len(s)
-                first = s[np.lexsort((s, weight[s & mask]))[:m + (-t * m) // 100 + 1]] if m else s
-                out.append((doc_id, key, hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if m else None, m, first.view(np.int64)))
+                s, first = rarest(word_hashes(raw, table), n, counts, t)
+                out.append((doc_id, key, hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None, len(s), first.view(np.int64)))
             yield pd.DataFrame(out, columns=["doc_id", "text_key", "cls", "m", "head"]).astype({"doc_id": "Int64"})
 
     return stage(spark, _texts(docs).mapInPandas(rows, "doc_id long, text_key long, cls string, m int, head array<long>"), "incidence")
 
 
 def class_sets(docs: DataFrame, n: int, classes: DataFrame, rows: int) -> DataFrame:
-    """``cls, cols`` of the classes asked for: the whole sets, made again from the texts."""
+    """``cls, size, low, high`` of the classes asked for: their whole sets, made again from the texts, in two parts of blocks."""
     def rows_of(batches):
         table = WordHashes()
         for batch in batches:
-            yield pd.DataFrame([(c, shingles(raw, n, table).view(np.int64)) for c, raw in zip(batch.cls, batch.raw)], columns=["cls", "cols"])
+            out = []
+            for c, raw in zip(batch.cls, batch.raw):
+                s = shingles(raw, n, table)
+                cut = int(np.searchsorted(s, np.uint64(LOW_BLOCKS) << BLOCK_SHIFT))
+                out.append((c, len(s), s[:cut].view(np.int64), s[cut:].view(np.int64)))
+            yield pd.DataFrame(out, columns=["cls", "size", "low", "high"])
 
     keys = small(classes.select("cls", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")), rows, 200_000)
     held = _texts(docs).join(keys, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")))
-    return held.select("cls", "raw").dropDuplicates(["cls"]).mapInPandas(rows_of, "cls string, cols array<long>")
+    return held.select("cls", "raw").dropDuplicates(["cls"]).mapInPandas(rows_of, "cls long, size int, low array<long>, high array<long>")
 
 
-def overlaps(xs: list[np.ndarray], ys: list[np.ndarray], t: int) -> np.ndarray:
-    """True for the pairs whose sets reach the similarity.
+def accumulate(xs: list[np.ndarray], ys: list[np.ndarray], count: np.ndarray, need: np.ndarray, left_x: np.ndarray, left_y: np.ndarray,
+               first: int = 0, last: int = BLOCKS) -> tuple[np.ndarray, np.ndarray]:
+    """Overlap counts after blocks ``first`` to ``last`` of the columns, and which pairs can still reach ``need``.
 
-    The sets are sorted, so a block of columns is a slice. The product of all pairs is taken block by
-    block; pairs whose count plus what is left is below the bound of their sizes leave at once.
+    ``xs`` and ``ys`` are the sorted columns of these blocks, ``left_x`` and ``left_y`` what the sets hold from
+    here on. The product of all pairs is taken block by block; pairs that cannot reach the bound leave at once.
     """
-    a, b = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
-    need, count, alive = needed(t, a, b), np.zeros(len(xs), np.int64), np.arange(len(xs))
-    edges = np.arange(1, BLOCKS, dtype=np.uint64) << np.uint64(61)
-    cut = lambda v: np.concatenate(([0], np.searchsorted(v.view(np.uint64), edges), [len(v)]))
+    count, alive = count.astype(np.int64), np.arange(len(xs))
+    edges = np.arange(first + 1, last, dtype=np.uint64) << BLOCK_SHIFT
+    cut = lambda v: np.concatenate(([0], np.searchsorted(v.view(np.uint64), edges), [len(v)])).astype(np.int64)
     cx, cy = [cut(x) for x in xs], [cut(y) for y in ys]
-    for k in range(BLOCKS):
+    for k in range(last - first):
         px = [xs[i][cx[i][k]:cx[i][k + 1]] for i in alive]
         py = [ys[i][cy[i][k]:cy[i][k + 1]] for i in alive]
         values = np.concatenate(px + py)
@@ -143,28 +175,52 @@ def overlaps(xs: list[np.ndarray], ys: list[np.ndarray], t: int) -> np.ndarray:
         values, pair = values[order], pair[order]
         same = (values[1:] == values[:-1]) & (pair[1:] == pair[:-1])
         count[alive] += np.bincount(pair[1:][same], minlength=len(alive))
-        left = np.array([min(len(xs[i]) - cx[i][k + 1], len(ys[i]) - cy[i][k + 1]) for i in alive])
+        left = np.array([min(left_x[i] - cx[i][k + 1], left_y[i] - cy[i][k + 1]) for i in alive])
         alive = alive[count[alive] + left >= need[alive]]
         if not len(alive):
             break
-    return count >= need
+    reach = np.zeros(len(xs), bool)
+    reach[alive] = True
+    return count, reach
+
+
+def overlaps(xs: list[np.ndarray], ys: list[np.ndarray], t: int) -> np.ndarray:
+    """True for the pairs of whole sets that reach the similarity."""
+    a, b = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
+    return accumulate(xs, ys, np.zeros(len(xs)), needed(t, a, b), a, b)[1]
 
 
 def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, t: int) -> DataFrame:
-    """The pairs ``(a, b)`` of classes that link."""
+    """The pairs ``(a, b)`` of classes that link.
+
+    All pairs get the first blocks of both sets; only those that can still reach their bound get the others.
+    """
     asked = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     asked = stage(spark, classes.join(asked, "cls", "left_semi"), "asked")
     sets = stage(spark, class_sets(docs, n, asked, asked.count()), "sets")
 
-    def check(batches):
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at:at + 256]
-                good = overlaps([np.asarray(v, np.int64) for v in part.x], [np.asarray(v, np.int64) for v in part.y], t)
-                yield part.loc[good, ["a", "b"]]
+    def part(name: str, first: int, last: int):
+        def check(batches):
+            for batch in batches:
+                for at in range(0, len(batch), 256):
+                    some = batch.iloc[at:at + 256]
+                    sx, sy, count = some.sx.to_numpy(), some.sy.to_numpy(), some["count"].to_numpy()
+                    count, reach = accumulate([np.asarray(v, np.int64) for v in some.x], [np.asarray(v, np.int64) for v in some.y], count,
+                                              needed(t, sx, sy), sx - some.past_x.to_numpy(), sy - some.past_y.to_numpy(), first, last)
+                    past_x, past_y = some.past_x + some.x.map(len), some.past_y + some.y.map(len)
+                    yield some.assign(count=count, past_x=past_x, past_y=past_y).loc[reach, ["a", "b", "count", "past_x", "past_y"]]
+
+        def side(key: str, size: str, cols: str) -> DataFrame:
+            return sets.select(F.col("cls").alias(key), F.col("size").alias(size), F.col(name).alias(cols))
+
+        def run(some: DataFrame) -> DataFrame:
+            both = some.join(side("a", "sx", "x"), "a").join(side("b", "sy", "y"), "b")
+            return stage(spark, both.mapInPandas(check, "a long, b long, count long, past_x long, past_y long"), f"pairs_{name}")
+
+        return run
 
-    both = pairs.join(sets.select(F.col("cls").alias("a"), F.col("cols").alias("x")), "a").join(sets.select(F.col("cls").alias("b"), F.col("cols").alias("y")), "b")
-    return stage(spark, both.select("a", "b", "x", "y").mapInPandas(check, "a string, b string"), "links")
+    begun = pairs.select("a", "b", *[F.lit(0).cast("long").alias(c) for c in ("count", "past_x", "past_y")])
+    return part("high", LOW_BLOCKS, BLOCKS)(part("low", 0, LOW_BLOCKS)(begun)).select("a", "b")
 
 
 def _bounded(x: str, y: str, t: int) -> F.Column:
@@ -183,12 +239,15 @@ def ngram_join(spark: SparkSession, docs: DataFrame, n: int = 5, t: int = 80) ->
     unless nothing else is in reach. Other columns are ignored; an empty table gives no rows.
     """
     rows = incidence(spark, docs, n, t)
-    classes = stage(spark, rows.where("cls is not null").groupBy("cls").agg(
+    classes = numbered(spark, rows.where("cls is not null").groupBy("cls").agg(
         F.min(F.struct(F.col("doc_id"), F.col("text_key"))).alias("one"), F.min("doc_id").alias("least_id"), F.first("m").alias("m"), F.first("head").alias("head"),
-    ).select("cls", "one.*", "least_id", "m", "head"), "classes")
+    ).select(F.col("cls").alias("digest"), "one.*", "least_id", "m", "head"), "classes", "cls")
     posted = classes.select("cls", "m", F.posexplode("head").alias("place", "col"))
-    shared = posted.groupBy("col").agg(F.count("*").alias("n"), F.min(F.struct("place", "m", "cls")).alias("hub")).where("n > 1")
-    lists = stage(spark, posted.join(shared, "col"), "postings")
+    # Columns are counted alone first, so that the many that one class holds travel as two numbers and no further.
+    shared = stage(spark, posted.groupBy("col").agg(F.count("*").alias("n")).where("n > 1").select("col"), "shared_columns")
+    posted = stage(spark, posted.join(small(shared, shared.count()), "col"), "postings")
+    hubs = posted.groupBy("col").agg(F.min(F.struct("place", "m", "cls")).alias("hub"))
+    lists = stage(spark, posted.join(hubs, "col"), "lists")
     keys = classes.select("cls", "doc_id", "text_key")
 
     first = lists.select("col", F.struct("cls", "m", "place").alias("x"), F.col("hub").alias("y")).where(
@@ -207,8 +266,8 @@ def ngram_join(spark: SparkSession, docs: DataFrame, n: int = 5, t: int = 80) ->
     more = verified(spark, docs, keys, stage(spark, more, "pairs"), n, t)
     labels = components(spark, links.union(more))
 
-    reached = classes.select("cls", "least_id").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
+    reached = classes.select("digest", "cls", "least_id").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     least = reached.groupBy("component").agg(F.min("least_id").alias("least"))
-    ids = reached.join(least, "component").select("cls", F.col("component").alias("grp"), F.col("least").alias("component_id"))
+    ids = reached.join(least, "component").select(F.col("digest").alias("cls"), F.col("component").alias("grp"), F.col("least").alias("component_id"))
     return rows.select("doc_id", "text_key", "cls", F.col("m").cast("long").alias("n_shingles")).join(ids, "cls", "left").select(
         "doc_id", "text_key", "n_shingles", "cls", "grp", F.coalesce("component_id", "doc_id").alias("component"))
