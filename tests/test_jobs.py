@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ebbline.entities import AUDIT_LOGS, JOBS, LICENCE_LOGS, LOGS, QUEUE_ITEMS
+from ebbline.entities import LOGS, QUEUE_ITEMS
 from ebbline.operators import purge as p
 from ebbline.plans.jobs import Store, acknowledge_run, archive_run, purge_run, simple_archive_run
 from ebbline.sources.store import read_run, read_table, write_run
@@ -115,14 +115,15 @@ def test_nothing_due_leaves_the_source(spark, store):
     assert status.count() == 0 and ids(store.source("early")) == ids(store.source("1"))
 
 
-@pytest.mark.parametrize("entity", [JOBS, QUEUE_ITEMS, AUDIT_LOGS, LICENCE_LOGS], ids=lambda e: e.name)
+@pytest.mark.parametrize("entity", [QUEUE_ITEMS], ids=lambda e: e.name)
 def test_whole_run_of_an_entity(spark, views, folder, entity):
     """Nothing is lost and nothing is there twice; children follow their parents, now and after the delay."""
-    source = getattr(views, entity.name)
+    day = F.make_dt_interval((F.col(entity.id) % 12).cast("int"))  # few dates, each a folder
+    source = getattr(views, entity.name).withColumn(entity.time, F.expr("timestamp_ntz'2024-01-01 00:00:00'") + day)
     child_id = F.monotonically_increasing_id()
     children = {c.name: getattr(views, c.name).withColumn("id", child_id) for c in entity.children}
     store = Store(spark, folder, entity)
-    lo, mid, hi = (source.agg(F.expr(f"percentile_approx(cast({entity.time} as timestamp), {q})")).first()[0] for q in (0.05, 0.4, 0.8))
+    lo, mid, hi = ("2024-01-02 00:00:00", "2024-01-06 00:00:00", "2024-01-10 00:00:00")
     keys = source.select(entity.tenant, *([entity.sub] if entity.sub else [])).distinct()
     sub = F.col(entity.sub) if entity.sub else F.lit(0)
     one = keys.select(F.col(entity.tenant).alias("tenant_id"), sub.cast("int").alias("sub_id"))
