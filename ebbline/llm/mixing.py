@@ -3,7 +3,7 @@
 For each source the documents are counted by exact length. The budget of a source is whole passes over
 all its documents plus a rest; the rest is met by taking a number of documents of each length: a
 seeded share of each count first, then a bounded knapsack over the counts that are left for the last
-words. Which documents of a length are taken follows from a seeded hash.
+words, which may end on either side of the budget: the nearer one is taken. Which documents of a length are taken follows from a seeded hash.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from ebbline.llm.common import WHITE, hash_share, numbered, stage
 WEIGHTS = (5, 2, 1)
 MOST_REPEATS = 3
 KNAPSACK_WORDS = 4096
+EXCHANGED_PARTS = 28
 HASH_BUCKETS = 1024
 DRAWS = 24
 
@@ -56,25 +57,26 @@ def source_targets(spark: SparkSession, sizes: DataFrame, weights: tuple[int, ..
     return held.select("source", "source_size", F.least(cap.cast("double"), level * F.col("weight")).alias("target"))
 
 
-def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int) -> np.ndarray:
-    """How many documents of each length to take so that their words come as near to ``budget``, from below, as the search finds.
+def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: float, seed: int) -> np.ndarray:
+    """How many documents of each length to take so that their words come as near to ``budget``, from either side, as the search finds.
 
     A share of every count, rounded by a seeded draw; then whole counts in seeded order until at most
     ``KNAPSACK_WORDS`` are open; then a bounded knapsack over lengths and counts left, exact for what is open.
-    Where words stay open (few documents), further draws are tried and the nearest is taken.
+    Where the budget is not met (few documents), further draws are tried, counts are exchanged (``exchange``),
+    and the nearest is taken; of two that are equally near the smaller one.
     """
-    total = int((lengths * counts).sum())
+    total, whole = int((lengths * counts).sum()), round(budget)
     take = np.zeros(len(lengths), np.int64)
-    if budget <= 0 or total <= 0:
+    if whole <= 0 or total <= 0:
         return take
-    if budget >= total:
+    if whole >= total:
         return counts.astype(np.int64)
     draw = np.random.Generator(np.random.PCG64(seed))
-    best, open_words = take, budget
+    best, words = take, 0
     for _ in range(DRAWS):
         order = draw.permutation(len(lengths))
         take = np.minimum(counts, np.floor(counts * (budget / total) + draw.random(len(lengths))).astype(np.int64))
-        left = budget - int((lengths * take).sum())
+        left = whole - int((lengths * take).sum())
         for i in order:
             size = int(lengths[i])
             if left < 0 and size:
@@ -87,23 +89,87 @@ def fit_counts(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int)
                 more = min(int(counts[i] - take[i]), left // size)
                 take[i] += more
                 left -= more * size
-        take = take + knapsack(lengths, counts - take, left)
-        left = budget - int((lengths * take).sum())
-        if left < open_words:
-            best, open_words = take, left
-        if not open_words:
-            break
-    return best
+        for more in (knapsack(lengths, counts - take, left), overshoot(lengths, counts - take, left)):
+            best, words = nearer(lengths, best, words, take + more, budget)
+        if words == whole:
+            return best
+    return nearer(lengths, best, words, exchange(lengths, counts, best, budget, draw.permutation(len(lengths))), budget)[0]
+
+
+def nearer(lengths: np.ndarray, best: np.ndarray, words: int, take: np.ndarray, budget: float) -> tuple[np.ndarray, int]:
+    """``best`` with its words, or ``take`` with its own where these are nearer to the budget, or as near and fewer."""
+    found = int((lengths * take).sum())
+    return (take, found) if (abs(found - budget), found) < (abs(words - budget), words) else (best, words)
+
 
+def overshoot(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    """Numbers of each length whose sum is the smallest one above ``budget`` that can be nearer than taking nothing.
 
-def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
+    Up to ``KNAPSACK_WORDS`` by the knapsack; above that every length left is longer than the budget, so that
+    one document of the shortest length is the nearest. No numbers where no such sum is reachable.
+    """
+    if budget <= KNAPSACK_WORDS:
+        return knapsack(lengths, counts, budget, over=True)
+    take = np.zeros(len(lengths), np.int64)
+    held = np.flatnonzero((lengths > 0) & (counts > 0))
+    if len(held):
+        take[held[np.argmin(lengths[held])]] = 1
+    return take
+
+
+def exchange(lengths: np.ndarray, counts: np.ndarray, take: np.ndarray, budget: float, order: np.ndarray) -> np.ndarray:
+    """``take`` with the counts of some lengths chosen anew, so that the sum is the nearest one these can give.
+
+    Counts are split in powers of two, and lengths are opened in the given order up to ``EXCHANGED_PARTS``
+    parts: all lengths where documents are few. The sums of one half of the parts are looked up among the
+    sorted sums of the other half, so documents may have any length.
+    """
+    parts: list[tuple[int, int]] = []
+    fixed = take.copy()
+    for i in order:
+        powers, count = [], int(counts[i]) if lengths[i] > 0 else 0
+        while count:
+            powers.append(min(1 << len(powers), count))
+            count -= powers[-1]
+        if len(parts) + len(powers) > EXCHANGED_PARTS:
+            continue
+        if powers:
+            fixed[i] = 0
+        parts += [(int(i), n) for n in powers]
+    goal = budget - int((lengths * fixed).sum())
+
+    def sums(some: list[tuple[int, int]]) -> np.ndarray:
+        every = np.zeros(1, np.int64)  # bit k of a place tells whether part k is in the sum
+        for i, n in some:
+            every = np.concatenate([every, every + n * int(lengths[i])])
+        return every
+
+    halves = parts[::2], parts[1::2]
+    left, right = sums(halves[0]), sums(halves[1])
+    by = np.argsort(right, kind="stable")
+    at = np.searchsorted(right[by], goal - left, side="right")
+    best = None
+    for other in (np.maximum(at - 1, 0), np.minimum(at, len(by) - 1)):
+        gap = np.abs(left + right[by[other]] - goal)
+        near = int(np.argmin(gap))
+        if best is None or gap[near] < best[0]:
+            best = gap[near], near, int(by[other[near]])
+    for some, place in zip(halves, best[1:]):
+        for k, (i, n) in enumerate(some):
+            fixed[i] += n * (place >> k & 1)
+    return fixed
+
+
+def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int, over: bool = False) -> np.ndarray:
     """Bounded knapsack: numbers of each length whose sum is the largest one reachable within ``budget``.
 
-    Counts are split in powers of two; ``by[s]`` is the first part that reached the sum ``s``, so going back
+    ``over`` gives the smallest sum above the budget and below twice the budget instead, or no numbers. Counts
+    are split in powers of two; ``by[s]`` is the first part that reached the sum ``s``, so going back
     from any sum uses each part once at most.
     """
     take = np.zeros(len(lengths), np.int64)
-    budget = min(budget, KNAPSACK_WORDS)
+    within = min(budget, KNAPSACK_WORDS)
+    budget = 2 * within if over else within  # a sum above twice the budget is farther away than none
     by = np.full(budget + 1, -1, np.int64)
     reached = np.zeros(budget + 1, bool)
     reached[0] = True
@@ -121,9 +187,10 @@ def knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray
             reached |= fresh
             parts.append((i, n))
             count, power = count - n, power * 2
-        if reached[budget]:
+        if reached[within + 1 if over and within else budget]:
             break
-    at = int(np.flatnonzero(reached)[-1])
+    above = np.flatnonzero(reached[within + 1:])
+    at = int(np.flatnonzero(reached)[-1]) if not over else within + 1 + int(above[0]) if len(above) else 0
     while at:
         i, n = parts[by[at]]
         take[i] += n
@@ -135,14 +202,15 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
     """``doc_id, text_key, source, size, source_size, target, copies``: how often the mix takes each document.
 
     Null texts have size zero, a null source is a source, repeated rows are documents of their own, and other
-    columns are ignored. Documents without words are taken as often as the whole passes over their source.
+    columns are ignored. The words taken from a source are the nearest to its target that the search finds, below
+    or above it: a source of one document has it as often as the target, rounded. Documents without words are taken as often as the whole passes over their source.
     An empty table gives no rows. The same input gives the same mix.
     """
     rows = numbered(spark, docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "source", word_count().alias("size")), "sizes")
     targets = source_targets(spark, rows, weights, most)
     rest = F.when(F.col("passes") < most, F.col("target") - F.col("passes") * F.col("source_size")).otherwise(0.0)
     passes = F.when(F.col("source_size") > 0, F.least(F.lit(most), F.floor(F.col("target") / F.col("source_size")))).otherwise(0).cast("int")
-    plan = stage(spark, targets.withColumn("passes", passes).withColumn("budget", F.round(rest).cast("long")), "targets")
+    plan = stage(spark, targets.withColumn("passes", passes).withColumn("budget", rest.cast("double")), "targets")
 
     # Lengths of a source: bounded by the longest document, not by the number of documents.
     lengths = rows.groupBy("source", "size").agg(F.count("*").alias("n"))
@@ -152,7 +220,7 @@ def mix(spark: SparkSession, docs: DataFrame, weights: tuple[int, ...] = WEIGHTS
     def choose(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("size").reset_index(drop=True)
         mark = int(pd.util.hash_pandas_object(group["source"].iloc[:1].astype(str), index=False).iloc[0] % (1 << 32))
-        take = fit_counts(group["size"].to_numpy(), group["n"].to_numpy(), int(group["budget"].iloc[0]), seed + mark)
+        take = fit_counts(group["size"].to_numpy(), group["n"].to_numpy(), float(group["budget"].iloc[0]), seed + mark)
         return pd.DataFrame({"source": group["source"], "size": group["size"], "n": group["n"], "take": take})
 
     chosen = stage(spark, counted.groupBy("source").applyInPandas(choose, "source string, size long, n long, take long"), "take")

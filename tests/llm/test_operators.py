@@ -102,6 +102,23 @@ def test_large_budgets_are_met():
     assert (take >= 0).all() and (take <= counts).all() and int((lengths * take).sum()) == 7_654_321
 
 
+def test_budgets_are_met_from_the_nearer_side():
+    draw = random.Random(7)
+    for turn in range(80):
+        lengths = np.array(sorted(draw.sample(range(1, 40) if turn % 2 else range(3000, 90_000), draw.randint(1, 5))))
+        counts = np.array([draw.randint(1, 3) for _ in lengths])
+        budget = draw.uniform(0, float((lengths * counts).sum()))
+        take = mixing.fit_counts(lengths, counts, budget, turn)
+        nearest = min(abs(int((np.array(c) * lengths).sum()) - budget) for c in itertools.product(*[range(n + 1) for n in counts]))
+        assert (take >= 0).all() and (take <= counts).all() and abs(int((take * lengths).sum()) - budget) == nearest
+
+
+def test_sources_of_one_document_are_taken_as_often_as_is_nearest(spark):
+    rows = [(i, " ".join(["w"] * 40), f"s{i:03d}") for i in range(30)]
+    mixed = mixing.mix(spark, spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert [r.copies for r in sorted(mixed, key=lambda r: r.doc_id)] == [2, 1, 0] * 10
+
+
 def test_components(spark):
     draw = random.Random(2)
     edges = [(draw.randint(0, 300), draw.randint(0, 300)) for _ in range(220)] + [(1000, i) for i in range(1001, 1100)] + [(i, i + 1) for i in range(2000, 2060)]
