@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import replace
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.entities import AUDIT_LOGS, JOBS, LICENCE_LOGS, LOGS, QUEUE_ITEMS
@@ -91,6 +93,20 @@ def high_watermark(t):
     return out
 
 
+@query("""
+    SELECT 'logs' AS entity, greatest(MAX(id), 100) AS watermark FROM $logs WHERE ts <= @'2024-01-21 00:00:00'
+    UNION ALL SELECT 'jobs', greatest(MAX(id), 100) FROM $jobs WHERE creation_time <= @'1998-01-01 00:00:00'
+    UNION ALL SELECT 'queue_items', greatest(MAX(id), 100) FROM $queue_items
+    UNION ALL SELECT 'audit_logs', greatest(MAX(id), 100) FROM $audit_logs WHERE execution_time <= @'1997-01-01 00:00:00'
+    UNION ALL SELECT 'robot_license_logs', greatest(MAX(id), 100) FROM $robot_license_logs WHERE end_date <= @'2024-01-15 00:00:00'""")
+def high_watermark_all(t):
+    """``high_watermark`` of every archived entity, all read from the source itself."""
+    targets = ((LOGS, "2024-01-21 00:00:00"), (JOBS, "1998-01-01 00:00:00"), (QUEUE_ITEMS, "1998-01-01 00:00:00"),
+               (AUDIT_LOGS, "1997-01-01 00:00:00"), (LICENCE_LOGS, "2024-01-15 00:00:00"))
+    parts = [s.high_watermark(getattr(t, e.name), e, target, 100).select(F.lit(e.name).alias("entity"), "watermark") for e, target in targets]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query(f"""WITH {OPEN}, marks AS (SELECT tenant_id, sub_id, MAX(target_id) AS m FROM $c_window_rows
         WHERE is_archived AND current_id = target_id GROUP BY tenant_id, sub_id)
     SELECT b.group_id, b.tenant_id, b.sub_id, b.order_no, CASE WHEN b.order_no = 1 THEN m.m END AS last_id

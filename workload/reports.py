@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ebbline.entities import AUDIT_LOGS, LOGS, QUEUE_ITEMS
+from ebbline.entities import ARCHIVED, AUDIT_LOGS, JOBS, LICENCE_LOGS, LOGS, QUEUE_ITEMS
 from ebbline.functions.expressions import name_part, yes_no
 from ebbline.operators import reports as r
-from workload.archive import LOG_SELECTED, QUEUE_SELECTED, log_selection, queue_selection
+from ebbline.operators import selection as s
+from workload.archive import LOG_SELECTED, QUEUE_SELECTED, audit_selection, log_selection, queue_selection
 from workload.registry import query
 
 NOW, CURRENT_RUN = "2024-02-02 06:00:00", 3
@@ -56,6 +60,15 @@ def volume_profile(t):
     return rows.withColumn("day", F.col("day").cast("string"))
 
 
+@query(" UNION ALL ".join(
+    f"""SELECT '{e.name}' AS entity, {e.tenant} AS tenant_id, {e.sub or 0} AS sub_id, CAST(CAST({e.time} AS DATE) AS VARCHAR) AS day,
+        COUNT(*) AS row_count, MIN({e.id}) AS first_id, MAX({e.id}) AS last_id FROM ${e.name} GROUP BY ALL""" for e in ARCHIVED))
+def volume_profile_all(t):
+    """``volume_profile`` of every archived entity."""
+    parts = [r.volume_profile(getattr(t, e.name), e).withColumn("entity", F.lit(e.name)) for e in ARCHIVED]
+    return reduce(DataFrame.unionByName, parts).withColumn("day", F.col("day").cast("string"))
+
+
 @query("""SELECT tenant_id, COUNT(*) AS sessions, CAST(SUM(m) AS BIGINT) AS total_minutes, ROUND(SUM(m) / COUNT(*), 4) AS mean_minutes,
            MIN(start_date) AS first_start, MAX(end_date) AS last_end
     FROM (SELECT *, CAST(floor((epoch(end_date) - epoch(start_date)) / 60) AS BIGINT) AS m FROM $robot_license_logs) GROUP BY tenant_id""")
@@ -89,12 +102,52 @@ def change_volume(t):
     return r.change_volume({"logs": log_selection(t), "queue_items": queue_selection(t)})
 
 
+@query(f"""WITH {LOG_SELECTED.replace('sel AS', 'sel_logs AS')}, {QUEUE_SELECTED.replace('sel AS', 'sel_queues AS')}
+    SELECT 'logs' AS table_name, trigger_id, COUNT(*) FILTER (WHERE NOT delete_only) AS inserted,
+           COUNT(*) FILTER (WHERE no_delay) AS deleted FROM sel_logs GROUP BY trigger_id
+    UNION ALL SELECT 'queue_items', 1, COUNT(*) FILTER (WHERE NOT delete_only), COUNT(*) FILTER (WHERE no_delay) FROM sel_queues HAVING COUNT(*) > 0
+    UNION ALL SELECT 'jobs', x.trigger_id, COUNT(*) FILTER (WHERE NOT x.delete_only), COUNT(*) FILTER (WHERE x.no_delay)
+        FROM $jobs j JOIN $job_windows x ON x.tenant_id = j.tenant_id AND x.sub_id = j.state_id
+        WHERE j.creation_time > x.previous_ts AND j.creation_time <= x.target_ts GROUP BY x.trigger_id
+    UNION ALL SELECT 'audit_logs', x.trigger_id, COUNT(*) FILTER (WHERE NOT x.delete_only), COUNT(*) FILTER (WHERE x.no_delay)
+        FROM $audit_logs a JOIN $audit_windows x ON x.tenant_id = a.tenant_id
+        WHERE a.execution_time >= x.previous_ts AND a.execution_time < x.target_ts GROUP BY x.trigger_id
+    UNION ALL SELECT 'robot_license_logs', x.trigger_id, COUNT(*) FILTER (WHERE NOT x.delete_only), COUNT(*) FILTER (WHERE x.no_delay)
+        FROM $robot_license_logs a JOIN $licence_windows x ON x.tenant_id = a.tenant_id
+        WHERE a.end_date >= x.previous_ts AND a.end_date < x.target_ts GROUP BY x.trigger_id""")
+def change_volume_all(t):
+    """``change_volume`` of every archived entity."""
+    return r.change_volume({"logs": log_selection(t), "queue_items": queue_selection(t), "audit_logs": audit_selection(t),
+                            "jobs": s.select_rows(t.jobs, t.job_windows, JOBS),
+                            "robot_license_logs": s.select_rows(t.robot_license_logs, t.licence_windows, LICENCE_LOGS)})
+
+
 @query(f"""WITH {LOG_SELECTED} SELECT tenant_id, level_id AS sub_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS row_count
     FROM sel WHERE is_late GROUP BY ALL""")
 def late_rows(t):
     return r.late_rows(log_selection(t), LOGS).withColumn("day", F.col("day").cast("string"))
 
 
+LATE = ((JOBS, "job_windows", "<="), (AUDIT_LOGS, "audit_windows", "<"), (LICENCE_LOGS, "licence_windows", "<"))
+
+
+@query(f"""WITH {LOG_SELECTED} SELECT 'logs' AS entity, tenant_id, level_id AS sub_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS row_count
+    FROM sel WHERE is_late GROUP BY ALL UNION ALL """ + " UNION ALL ".join(
+    f"""SELECT '{e.name}', q.{e.tenant}, x.sub_id, CAST(CAST(q.{e.time} AS DATE) AS VARCHAR), COUNT(*)
+        FROM ${e.name} q JOIN ${windows} x ON x.tenant_id = q.{e.tenant} AND x.sub_id = {f'q.{e.sub}' if e.sub else '0'}
+        WHERE q.{e.time} {before} x.previous_ts AND q.{e.id} > (SELECT MAX({e.id}) // 20 FROM ${e.name}) GROUP BY ALL""" for e, windows, before in LATE))
+def late_rows_all(t):
+    """``late_rows`` of every entity with a late branch. The windows of the others than logs have no
+    closed generation before them; the lowest twentieth of the ids stands for what it reached."""
+    parts = [r.late_rows(log_selection(t), LOGS).withColumn("entity", F.lit(LOGS.name))]
+    for e, windows, _ in LATE:
+        rows = getattr(t, e.name)
+        reached = rows.agg(F.expr(f"max({e.id}) div 20")).first()[0]
+        marked = getattr(t, windows).withColumn("last_id", F.lit(reached).cast("bigint"))
+        parts.append(r.late_rows(s.select_rows(rows, marked, e), e).withColumn("entity", F.lit(e.name)))
+    return reduce(DataFrame.unionByName, parts).withColumn("day", F.col("day").cast("string"))
+
+
 @query("""
     SELECT event_id, list_extract(parts, -1) AS object, list_extract(parts, -2) AS schema, list_extract(parts, -3) AS database, list_extract(parts, -4) AS server
     FROM (SELECT event_id, string_split(CASE event_id % 3 WHEN 0 THEN 'srv.db.' WHEN 1 THEN 'db.' ELSE '' END || event_type || '.t' || event_id, '.') AS parts FROM $events)""")

@@ -33,8 +33,12 @@ def _union(parts):
 def source_contract(t):
     """Columns and types against the contract, and NULL and duplicate keys. Events are checked on
     ``(item, line)``, which is not their key, so that duplicates show."""
+    return checked_sources(t, (("logs", ["id"]), ("queue_items", ["id"]), ("queue_item_events", ["queue_item_id", "l_linenumber"])))
+
+
+def checked_sources(t, keys):
     parts = []
-    for name, key in (("logs", ["id"]), ("queue_items", ["id"]), ("queue_item_events", ["queue_item_id", "l_linenumber"])):
+    for name, key in keys:
         df = getattr(t, name)
         errors = ct.contract_violations(ct.schema_rows(t.spark, name, df), ct.contract_rows(t.spark, name, contracts()[name]))
         zero = F.lit(0).cast("bigint")
@@ -45,6 +49,20 @@ def source_contract(t):
     return _union(parts).groupBy("table_name").agg(*[F.sum(c).alias(c) for c in counts])
 
 
+LINE_KEY = {"queue_item_comments": ["queue_item_id", "l_linenumber"], "queue_item_events": ["queue_item_id", "l_linenumber"],
+            "audit_log_entities": ["audit_log_id", "l_linenumber"], "tenants": ["tenant_id"], "ledger": ["ledger_id"]}
+SOURCE_KEYS = tuple((name, LINE_KEY.get(name, ["id"])) for name in SOURCES)
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE {' OR '.join(f'{k} IS NULL' for k in key)}) AS null_keys,
+        (SELECT COUNT(*) FROM (SELECT 1 FROM ${name} WHERE {' AND '.join(f'{k} IS NOT NULL' for k in key)}
+            GROUP BY {', '.join(key)} HAVING COUNT(*) > 1)) AS duplicate_keys, 0 AS contract_errors FROM ${name}""" for name, key in SOURCE_KEYS))
+def source_contract_all(t):
+    """``source_contract`` of every source table; line tables on ``(parent, line)``."""
+    return checked_sources(t, SOURCE_KEYS)
+
+
 @query("SELECT id, tenant_id, level_id, ts, machine_id FROM $logs")
 def archive_projection(t):
     return at.archive_projection(t.logs, '["Message", "arrived_at"]', "id")
