@@ -7,8 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ebbline.functions.expressions import ts_ntz
 from ebbline.operators import purge as p
 from ebbline.operators.archive import survivors
+from workload.archive import LOG_SELECTED, log_selection
 from workload.registry import query
 
 NOW = "1999-06-01 00:00:00"
@@ -51,12 +53,36 @@ def purge_logs(t):
     return survivors(ledger, p.purge_ids(ledger, resume(t)), "id").select("group_id", "id")
 
 
+def _purged(ledger: DataFrame, is_due, reached) -> DataFrame:
+    """Ids of the ledger that a run deletes: groups made from the ledger, those not due yet dated after the run.
+
+    Every other group has a status of a run that was cut short; ``reached`` is the last id it deleted, if any.
+    """
+    groups = ledger.groupBy("group_id").agg(F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count(F.lit(1)).alias("id_count")).select(
+        "*", F.when(is_due, ts_ntz("1999-05-31 00:00:00")).otherwise(ts_ntz("1999-06-02 00:00:00")).alias("delete_after"),
+        F.lit(True).alias("is_archived"), F.lit(False).alias("is_deleted"), F.lit(False).alias("is_synced"))
+    status = groups.where(F.col("group_id") % 2 == 0).select(
+        "group_id", F.lit(False).alias("is_deleted"), "first_id", reached.cast("bigint").alias("last_id"))
+    return p.purge_ids(ledger, p.resume_point(p.due_groups(groups, status, NOW), status))
+
+
+@query(f"""WITH {LOG_SELECTED},
+    listed AS (SELECT tenant_id % 4 AS group_id, id FROM sel WHERE NOT no_delay),
+    gone AS (SELECT l.id FROM listed l WHERE l.group_id < 3
+             AND (l.group_id <> 2 OR l.id > (SELECT MIN(f.id) FROM listed f WHERE f.group_id = 2)))
+    SELECT id, tenant_id, level_id, ts FROM $logs WHERE id NOT IN (SELECT id FROM gone)""")
+def purge_log_rows(t):
+    """Logs that stay after the due groups of their own ledger are deleted. Group 3 is not due, and a run
+    that was cut short had deleted the first id of group 2."""
+    ledger = log_selection(t).where("not no_delay").select((F.col("tenant_id") % 4).alias("group_id"), "id")
+    gone = _purged(ledger, F.col("group_id") < 3, F.when(F.col("group_id") == 2, F.col("first_id")))
+    return survivors(t.logs, gone, "id").select("id", "tenant_id", "level_id", "ts")
+
+
 def _cascade(t, entity: str, children: list[tuple[str, str]]):
-    """Survivors per table when a ledger of orders is purged; counts per parent id."""
-    ledger = t.orders.where(F.col("o_orderkey") % 3 != 1).select(
-        (F.col("o_orderkey") % 10).alias("group_id"), F.col("o_orderkey").alias("id"))
-    points = ledger.groupBy("group_id").agg(F.min("id").alias("resume_id")).where(F.col("group_id") < 6)
-    gone = p.purge_ids(ledger, points)
+    """Survivors per table when the due groups of a ledger of the entity's rows are purged; counts per parent id."""
+    ledger = getattr(t, entity).where(F.col("id") % 3 != 1).select((F.col("id") % 10).alias("group_id"), "id")
+    gone = _purged(ledger, F.col("group_id") < 6, F.lit(None))
     tables = [(entity, "id")] + children
     parts = [
         survivors(getattr(t, name), gone, key, "id").groupBy(F.col(key).alias("id")).agg(F.count(F.lit(1)).alias("row_count"))
