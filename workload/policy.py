@@ -221,9 +221,8 @@ def policy_compiled(t):
          OR (UPPER(p.doc) = 'ACTIVE_TENANTS' AND NOT t.is_deleted) OR (UPPER(p.doc) = '#DELETED_TENANTS#' AND t.is_deleted)
     WHERE UPPER(p.doc) IN ('ALL', 'ACTIVE_TENANTS', '#DELETED_TENANTS#')""")
 def policy_compiled_audit(t):
-    """An entity without sub-keys: only the keyword documents, whose rules have no ``levels``."""
-    keyword = F.upper("doc").isin("ALL", "ACTIVE_TENANTS", "#DELETED_TENANTS#")
-    policies = expand_keywords(t.policies_raw.where(keyword), AUDIT_LOGS)
+    """An entity without sub-keys: every document is compiled, and the violations reject those with ``levels``."""
+    policies = expand_keywords(t.policies_raw, AUDIT_LOGS)
     return compile_policies(policies, t.tenants, AUDIT_LOGS)
 
 
