@@ -35,6 +35,7 @@ def item_words(benchmark: DataFrame) -> DataFrame:
     """``item_id, pos, term, n`` of the benchmark; items without words give no row.
 
     Inside this module an item is known by its id and its text's digest, so two texts under one id stay two items.
+    A text without an id is an item of its own, named ``null:`` and its digest.
     """
     def split(batches):
         for batch in batches:
@@ -44,7 +45,8 @@ def item_words(benchmark: DataFrame) -> DataFrame:
                 rows += [(item, i, w.decode("utf-8", "replace"), len(words)) for i, w in enumerate(words)]
             yield pd.DataFrame(rows, columns=["item_id", "pos", "term", "n"])
 
-    return benchmark.where("item_id is not null").select(F.concat_ws("\x01", F.col("item_id").cast("string"), F.md5("text")).alias("item_id"), F.col("text").cast("binary").alias("raw")).where(
+    named = F.coalesce(F.col("item_id").cast("string"), F.concat(F.lit("null:"), F.md5("text")))
+    return benchmark.select(F.concat_ws("\x01", named, F.md5("text")).alias("item_id"), F.col("text").cast("binary").alias("raw")).where(
         "raw is not null").distinct().mapInPandas(split, "item_id string, pos int, term string, n int")
 
 
@@ -134,7 +136,7 @@ class Matcher:
     """Index of ``docs`` for the windows of ``benchmark``, and the matches it yields.
 
     Null and empty texts have no words. Repeated documents are matched row by row; items with the same id
-    and text count once. Null item ids are passed over. Extra columns are ignored; empty tables give no
+    and text count once. A text under a null item id is an item of its own, listed as ``null:`` and its md5. Extra columns are ignored; empty tables give no
     matches.
     """
 

@@ -76,6 +76,17 @@ def test_proximity_finds_what_phrases_do_not(spark):
     assert {ids[r.row_id] for r in matcher.proximity(4).collect()} >= {1, 2}
 
 
+def test_items_without_an_id_contaminate(spark):
+    items = ["alpha beta gamma delta epsilon zeta eta theta iota kappa lam mu nu xi", "one two three"]
+    docs = [(1, items[0]), (2, items[1]), (3, f"{items[0]} {items[1]}"), (4, "nothing of it")]
+    benchmark = [(None, items[0]), (None, items[1]), (None, items[1]), (None, None), (7, items[1])]
+    judged = decontaminate.Matcher(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(benchmark, "item_id long, text string")).judged()
+    named = ["null:" + hashlib.md5(t.encode()).hexdigest() for t in items]
+    got = {r.doc_id: (r.n_hit, r.n_items, list(r["items"]), r.contaminated) for r in judged.collect()}
+    assert got == {1: (14, 1, [named[0]], True), 2: (3, 2, sorted(["7", named[1]]), True),
+                   3: (17, 3, sorted(["7", *named]), True), 4: (0, 0, [], False)}
+
+
 def test_patterns_discover_identifiers_that_seeds_miss(spark):
     rows = [(i, f"some words write to address user{i}@mail{i}.example.org today") for i in range(12)]
     rows += [(100, "please write to address joe@localhost soon"), (101, "year 2024x nothing joe@nowhere")]
