@@ -166,6 +166,16 @@ def test_long_texts_are_counted_once(monkeypatch):
     assert np.allclose(language_id.score_batch(model, [text, "ab", text[:700]]), scores, rtol=1e-5)
 
 
+def test_more_languages_than_one_matrix_holds(spark, edge, monkeypatch):
+    docs = queries.table(spark, edge["dir"], "documents").withColumn("lang", F.concat(F.lit("l"), F.floor(F.col("doc_id") / 3) % 7))
+    found = lambda: sorted(((r.doc_id is None, r.doc_id or 0, r.lang_pred, r.score) for r in language_id.identify(spark, docs, language_id.fit(spark, docs)).collect()))
+    whole = found()
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 2)
+    blocks = found()
+    assert [r[:3] for r in blocks] == [r[:3] for r in whole] and len({r[2] for r in whole}) > 3
+    assert np.allclose([r[3] for r in blocks], [r[3] for r in whole], rtol=1e-5)
+
+
 def test_top_k_beyond_doubles():
     draw = np.random.default_rng(5)
     cells = draw.integers(-(2**29), 2**29, (20, 300))
