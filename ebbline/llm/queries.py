@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm import decontaminate, language_id, line_dedup, mixing, ngram_join, pii, rule_ensemble, token_files, topk, url_filters
+from ebbline.llm import (
+    decontaminate, divergence, language_id, line_dedup, mixing, ngram_join, pii, rule_ensemble, sharding, token_files, topk, url_filters, whitening,
+)
 from ebbline.llm.common import held_out
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,4 +92,20 @@ def op10_top_k(spark, sf_dir):
     return topk.top_k(spark, table(spark, sf_dir, "embeddings"), k=5, every=50)
 
 
+@query
+def op11_source_divergence(spark, sf_dir):
+    return divergence.audit(spark, table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings"), k=16)
+
+
+@query
+def op13_sharding(spark, sf_dir):
+    return sharding.shard_documents(spark, table(spark, sf_dir, "documents"), shards=40)
+
+
+ORACLES["op11_source_divergence"] = divergence.oracle()
 ORACLES["op2_url_filters"] = url_filters.oracle()

@@ -132,3 +132,32 @@ def top_k(rows, k=5, every=50):
         if query % every == 0:
             scored = sorted(((-int(v @ w), i) for b, (i, w) in enumerate(fine) if b != a and len(w) == len(v)))
             yield from ((query, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k]))
+
+
+LEAST_DOCS = 30
+LETTERS = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def divergence(docs):
+    """``lang, source, part, item, value, rank`` from ``(text, lang, source)``, term by term."""
+    words = [(re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(LETTERS)), lang or "", source or "") for t, lang, source in docs]
+    out = []
+    for lang in {x[1] for x in words}:
+        own = [(w, s) for w, x, s in words if x == lang]
+        df = Counter(t for w, _ in own for t in set(w))
+        kept = {t for t, n in df.items() if n >= LEAST_DOCS}
+        count = {s: Counter() for _, s in own}
+        for w, s in own:
+            count[s].update(t for t in w if t in kept)
+        every = sum(count.values(), Counter())
+
+        def weights(c):
+            return {t: 1 + 1_000_000_000 * (c[t] + 5) // (sum(c.values()) + 5 * len(kept)) for t in kept}
+
+        p, q = {s: weights(c) for s, c in count.items()}, weights(every)
+        for s in p:
+            pair = sorted(((-sum(abs(p[s][t] - p[o][t]) for t in kept), o.encode(), o) for o in p if o != s))
+            out += [(lang, s, "pair", o, -v, i) for i, (v, _, o) in enumerate(pair, 1)]
+            term = sorted((q[t] - p[s][t], t.encode(), t) for t in kept if count[s][t] and p[s][t] > q[t])
+            out += [(lang, s, "term", t, -v, i) for i, (v, _, t) in enumerate(term[:50], 1)]
+    return out
