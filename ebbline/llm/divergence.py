@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ebbline.llm.common import docs_column, stage
 
 SLICE_BYTES = 8 << 20
-BLOCK_CELLS = 1 << 20
+BLOCK_CELLS = 1 << 15
 TILE = 256
 LEAST_DOCS = 30
 TOP_TERMS = 50
@@ -174,7 +174,8 @@ def pairs(kept: DataFrame, roster: DataFrame) -> DataFrame:
     Terms of a language are dealt to blocks and sources to tiles of 256, so a task holds the weights of two tiles for one
     block of terms; a term that a source lacks has that source's least weight.
     """
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("terms") * F.least("sources", F.lit(TILE)) / F.lit(BLOCK_CELLS))).cast("int")
+    wide = F.least("sources", F.lit(TILE))  # a block gives a row for each two sources, so it is to hold some times as many weights
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("terms") * wide / F.greatest(F.lit(BLOCK_CELLS), 4 * wide * wide))).cast("int")
     tiles = F.ceil(F.col("sources") / F.lit(TILE)).cast("int")
     known = roster.where("sources > 1").select(
         "lang", "source", "place", "total", "terms", blocks.alias("blocks"), tiles.alias("tiles"), F.floor(F.col("place") / TILE).cast("int").alias("tile"),
