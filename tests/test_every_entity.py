@@ -11,7 +11,7 @@ NAMES = {e.name for e in ARCHIVED}
 
 
 @pytest.mark.parametrize("name, column, wanted", [
-    ("volume_profile_all", "entity", NAMES), ("change_volume_all", "table_name", NAMES), ("high_watermark_all", "entity", NAMES),
-    ("late_rows_all", "entity", {e.name for e in ARCHIVED if e.late}), ("source_contract_all", "table_name", set(SOURCES))])
+    ("volume_profile", "entity", NAMES), ("change_volume", "table_name", NAMES), ("high_watermark", "entity", NAMES),
+    ("late_rows", "entity", {e.name for e in ARCHIVED if e.late}), ("source_contract", "table_name", set(SOURCES))])
 def test_report_names_every_entity(spark, name, column, wanted):
     assert {r[column] for r in load().QUERIES[name](spark, SMALL).collect()} == wanted

@@ -88,7 +88,7 @@ def test_budget_slices_cover_every_id_once(spark, views):
 
 def test_every_open_window_is_taken_in_order(views):
     rows = s.open_windows(views.c_window_rows, views.c_groups, views.c_triggers, "1999-01-01 00:00:00").collect()
-    assert len(rows) > 1000
+    assert len(rows) > 500
     keys = {}
     for r in rows:
         keys.setdefault((r.tenant_id, r.sub_id), []).append((r.target_ts, r.group_id, r.order_no))

@@ -78,29 +78,14 @@ def batch_message(t):
     return r.batch_message(s.open_windows(t.c_window_rows, t.c_groups, t.c_triggers, BATCH_NOW))
 
 
-@query("""
-    SELECT 'logs' AS entity, greatest(MAX(id), 100) AS watermark FROM $logs WHERE ts <= @'2024-01-21 00:00:00'
-    UNION ALL SELECT 'jobs', greatest(MAX(id), 100) FROM $jobs WHERE creation_time <= @'1998-01-01 00:00:00'
-    UNION ALL SELECT 'queue_items', greatest(MAX(id), 100) FROM $queue_items
-    UNION ALL SELECT 'audit_logs', greatest(MAX(id), 100) FROM $audit_logs""")
-def high_watermark(t):
-    parts = [("logs", LOGS, "2024-01-21 00:00:00", False), ("jobs", JOBS, "1998-01-01 00:00:00", False),
-             ("queue_items", QUEUE_ITEMS, "1998-01-01 00:00:00", False), ("audit_logs", AUDIT_LOGS, "1998-01-01 00:00:00", True)]
-    out = None
-    for name, entity, target, external in parts:
-        one = s.high_watermark(getattr(t, name), entity, target, 100, external).select(F.lit(name).alias("entity"), "watermark")
-        out = one if out is None else out.unionByName(one)
-    return out
-
-
 @query("""
     SELECT 'logs' AS entity, greatest(MAX(id), 100) AS watermark FROM $logs WHERE ts <= @'2024-01-21 00:00:00'
     UNION ALL SELECT 'jobs', greatest(MAX(id), 100) FROM $jobs WHERE creation_time <= @'1998-01-01 00:00:00'
     UNION ALL SELECT 'queue_items', greatest(MAX(id), 100) FROM $queue_items
     UNION ALL SELECT 'audit_logs', greatest(MAX(id), 100) FROM $audit_logs WHERE execution_time <= @'1997-01-01 00:00:00'
     UNION ALL SELECT 'robot_license_logs', greatest(MAX(id), 100) FROM $robot_license_logs WHERE end_date <= @'2024-01-15 00:00:00'""")
-def high_watermark_all(t):
-    """``high_watermark`` of every archived entity, all read from the source itself."""
+def high_watermark(t):
+    """Every archived entity, read from the source itself."""
     targets = ((LOGS, "2024-01-21 00:00:00"), (JOBS, "1998-01-01 00:00:00"), (QUEUE_ITEMS, "1998-01-01 00:00:00"),
                (AUDIT_LOGS, "1997-01-01 00:00:00"), (LICENCE_LOGS, "2024-01-15 00:00:00"))
     parts = [s.high_watermark(getattr(t, e.name), e, target, 100).select(F.lit(e.name).alias("entity"), "watermark") for e, target in targets]

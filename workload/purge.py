@@ -45,14 +45,6 @@ def resume_point(t):
     return resume(t)
 
 
-@query(f"""WITH {RESUME}, gone AS (SELECT l.id FROM $c_ledger l JOIN resume r ON r.group_id = l.group_id WHERE l.id >= r.resume_id)
-    SELECT group_id, id FROM $c_ledger WHERE id NOT IN (SELECT id FROM gone)""")
-def purge_logs(t):
-    """Rows of a flat entity that stay after the due ledger ids are deleted."""
-    ledger = t.c_ledger
-    return survivors(ledger, p.purge_ids(ledger, resume(t)), "id").select("group_id", "id")
-
-
 def _purged(ledger: DataFrame, is_due, reached) -> DataFrame:
     """Ids of the ledger that a run deletes: groups made from the ledger, those not due yet dated after the run.
 
@@ -71,7 +63,7 @@ def _purged(ledger: DataFrame, is_due, reached) -> DataFrame:
     gone AS (SELECT l.id FROM listed l WHERE l.group_id < 3
              AND (l.group_id <> 2 OR l.id > (SELECT MIN(f.id) FROM listed f WHERE f.group_id = 2)))
     SELECT id, tenant_id, level_id, ts FROM $logs WHERE id NOT IN (SELECT id FROM gone)""")
-def purge_log_rows(t):
+def purge_logs(t):
     """Logs that stay after the due groups of their own ledger are deleted. Group 3 is not due, and a run
     that was cut short had deleted the first id of group 2."""
     ledger = log_selection(t).where("not no_delay").select((F.col("tenant_id") % 4).alias("group_id"), "id")

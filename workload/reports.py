@@ -49,22 +49,11 @@ def run_log(t):
     return r.run_log(t.runs, t.messages).select("run_id", "start_time", "seq", "severity", "message")
 
 
-@query("""
-    SELECT 'logs' AS entity, tenant_id, level_id AS sub_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS row_count, MIN(id) AS first_id, MAX(id) AS last_id
-    FROM $logs GROUP BY ALL
-    UNION ALL SELECT 'queue_items', tenant_id, status_id, CAST(CAST(creation_time AS DATE) AS VARCHAR), COUNT(*), MIN(id), MAX(id) FROM $queue_items GROUP BY ALL
-    UNION ALL SELECT 'audit_logs', tenant_id, 0, CAST(CAST(execution_time AS DATE) AS VARCHAR), COUNT(*), MIN(id), MAX(id) FROM $audit_logs GROUP BY ALL""")
-def volume_profile(t):
-    parts = [r.volume_profile(getattr(t, e.name), e).withColumn("entity", F.lit(e.name)) for e in (LOGS, QUEUE_ITEMS, AUDIT_LOGS)]
-    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return rows.withColumn("day", F.col("day").cast("string"))
-
-
 @query(" UNION ALL ".join(
     f"""SELECT '{e.name}' AS entity, {e.tenant} AS tenant_id, {e.sub or 0} AS sub_id, CAST(CAST({e.time} AS DATE) AS VARCHAR) AS day,
         COUNT(*) AS row_count, MIN({e.id}) AS first_id, MAX({e.id}) AS last_id FROM ${e.name} GROUP BY ALL""" for e in ARCHIVED))
-def volume_profile_all(t):
-    """``volume_profile`` of every archived entity."""
+def volume_profile(t):
+    """Every archived entity."""
     parts = [r.volume_profile(getattr(t, e.name), e).withColumn("entity", F.lit(e.name)) for e in ARCHIVED]
     return reduce(DataFrame.unionByName, parts).withColumn("day", F.col("day").cast("string"))
 
@@ -94,14 +83,6 @@ def report_sections(t):
         {"levels": 1, "states": 2})
 
 
-@query(f"""WITH {LOG_SELECTED.replace('sel AS', 'sel_logs AS')}, {QUEUE_SELECTED.replace('sel AS', 'sel_queues AS')}
-    SELECT 'logs' AS table_name, trigger_id, COUNT(*) FILTER (WHERE NOT delete_only) AS inserted,
-           COUNT(*) FILTER (WHERE no_delay) AS deleted FROM sel_logs GROUP BY trigger_id
-    UNION ALL SELECT 'queue_items', 1, COUNT(*) FILTER (WHERE NOT delete_only), COUNT(*) FILTER (WHERE no_delay) FROM sel_queues""")
-def change_volume(t):
-    return r.change_volume({"logs": log_selection(t), "queue_items": queue_selection(t)})
-
-
 @query(f"""WITH {LOG_SELECTED.replace('sel AS', 'sel_logs AS')}, {QUEUE_SELECTED.replace('sel AS', 'sel_queues AS')}
     SELECT 'logs' AS table_name, trigger_id, COUNT(*) FILTER (WHERE NOT delete_only) AS inserted,
            COUNT(*) FILTER (WHERE no_delay) AS deleted FROM sel_logs GROUP BY trigger_id
@@ -115,19 +96,13 @@ def change_volume(t):
     UNION ALL SELECT 'robot_license_logs', x.trigger_id, COUNT(*) FILTER (WHERE NOT x.delete_only), COUNT(*) FILTER (WHERE x.no_delay)
         FROM $robot_license_logs a JOIN $licence_windows x ON x.tenant_id = a.tenant_id
         WHERE a.end_date >= x.previous_ts AND a.end_date < x.target_ts GROUP BY x.trigger_id""")
-def change_volume_all(t):
-    """``change_volume`` of every archived entity."""
+def change_volume(t):
+    """Every archived entity."""
     return r.change_volume({"logs": log_selection(t), "queue_items": queue_selection(t), "audit_logs": audit_selection(t),
                             "jobs": s.select_rows(t.jobs, t.job_windows, JOBS),
                             "robot_license_logs": s.select_rows(t.robot_license_logs, t.licence_windows, LICENCE_LOGS)})
 
 
-@query(f"""WITH {LOG_SELECTED} SELECT tenant_id, level_id AS sub_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS row_count
-    FROM sel WHERE is_late GROUP BY ALL""")
-def late_rows(t):
-    return r.late_rows(log_selection(t), LOGS).withColumn("day", F.col("day").cast("string"))
-
-
 LATE = ((JOBS, "job_windows", "<="), (AUDIT_LOGS, "audit_windows", "<"), (LICENCE_LOGS, "licence_windows", "<"))
 
 
@@ -136,7 +111,7 @@ LATE = ((JOBS, "job_windows", "<="), (AUDIT_LOGS, "audit_windows", "<"), (LICENC
     f"""SELECT '{e.name}', q.{e.tenant}, x.sub_id, CAST(CAST(q.{e.time} AS DATE) AS VARCHAR), COUNT(*)
         FROM ${e.name} q JOIN ${windows} x ON x.tenant_id = q.{e.tenant} AND x.sub_id = {f'q.{e.sub}' if e.sub else '0'}
         WHERE q.{e.time} {before} x.previous_ts AND q.{e.id} > (SELECT MAX({e.id}) // 20 FROM ${e.name}) GROUP BY ALL""" for e, windows, before in LATE))
-def late_rows_all(t):
+def late_rows(t):
     """``late_rows`` of every entity with a late branch. The windows of the others than logs have no
     closed generation before them; the lowest twentieth of the ids stands for what it reached."""
     parts = [r.late_rows(log_selection(t), LOGS).withColumn("entity", F.lit(LOGS.name))]

@@ -23,19 +23,6 @@ def _union(parts):
     return reduce(DataFrame.unionByName, parts)
 
 
-@query("""
-    SELECT 'logs' AS table_name, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE id IS NULL) AS null_keys,
-           (SELECT COUNT(*) FROM (SELECT id FROM $logs GROUP BY id HAVING COUNT(*) > 1)) AS duplicate_keys, 0 AS contract_errors FROM $logs
-    UNION ALL SELECT 'queue_items', COUNT(*), COUNT(*) FILTER (WHERE id IS NULL),
-           (SELECT COUNT(*) FROM (SELECT id FROM $queue_items GROUP BY id HAVING COUNT(*) > 1)), 0 FROM $queue_items
-    UNION ALL SELECT 'queue_item_events', COUNT(*), 0, (SELECT COUNT(*) FROM (SELECT 1 FROM $queue_item_events
-           GROUP BY queue_item_id, l_linenumber HAVING COUNT(*) > 1)), 0 FROM $queue_item_events""")
-def source_contract(t):
-    """Columns and types against the contract, and NULL and duplicate keys. Events are checked on
-    ``(item, line)``, which is not their key, so that duplicates show."""
-    return checked_sources(t, (("logs", ["id"]), ("queue_items", ["id"]), ("queue_item_events", ["queue_item_id", "l_linenumber"])))
-
-
 def checked_sources(t, keys):
     parts = []
     for name, key in keys:
@@ -58,8 +45,8 @@ SOURCE_KEYS = tuple((name, LINE_KEY.get(name, ["id"])) for name in SOURCES)
     f"""SELECT '{name}' AS table_name, COUNT(*) AS row_count, COUNT(*) FILTER (WHERE {' OR '.join(f'{k} IS NULL' for k in key)}) AS null_keys,
         (SELECT COUNT(*) FROM (SELECT 1 FROM ${name} WHERE {' AND '.join(f'{k} IS NOT NULL' for k in key)}
             GROUP BY {', '.join(key)} HAVING COUNT(*) > 1)) AS duplicate_keys, 0 AS contract_errors FROM ${name}""" for name, key in SOURCE_KEYS))
-def source_contract_all(t):
-    """``source_contract`` of every source table; line tables on ``(parent, line)``."""
+def source_contract(t):
+    """Columns and types against the contract, and NULL and duplicate keys of every source table; line tables on ``(parent, line)``."""
     return checked_sources(t, SOURCE_KEYS)
 
 
