@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ebbline.entities import LOG_LEVELS
 from ebbline.functions.expressions import like
 
-HEADLESS_SALTS = 16
-
 
 def dictionary_id(text: Column, names: dict[int, str] | tuple[tuple[int, str], ...]) -> Column:
     """Id for an id written as text or for a name in any case; NULL when unknown.
@@ -36,6 +34,37 @@ def _masked(text: Column, mask: Column) -> Column:
     return F.when(F.length(mask) == 0, F.lit("")).otherwise(F.array_join(chars, ""))
 
 
+def _runs(pattern: Column) -> Column:
+    """Literal parts of a LIKE pattern between its wildcards."""
+    return F.filter(F.split(pattern, "[%_]+"), lambda x: x != "")
+
+
+def _grams(text: Column, size: int) -> Column:
+    """Distinct pieces of ``size`` characters."""
+    places = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - (size - 1))).otherwise(F.array().cast("array<int>"))
+    return F.array_distinct(F.transform(places, lambda i: F.substr(text, i, F.lit(size))))
+
+
+def gram_candidates(patterns: DataFrame, names: DataFrame, name: str) -> DataFrame:
+    """``(pattern, <names columns>)`` that share the rarest gram of the pattern; to be checked with LIKE.
+
+    Names are filed under their pieces of up to three characters. A pattern takes pieces as long as its longest literal part
+    allows and is filed under the one that the fewest names hold, so ``%x%`` meets the names with that piece only. A pattern of
+    wildcards alone is filed under the empty piece, which every name holds: all names are its matches, but for their length.
+    """
+    longest = F.array_max(F.transform(_runs(F.col("pattern")), F.length))
+    size = F.least(F.coalesce(longest, F.lit(0)), F.lit(3))
+    pieces = F.when(size == 0, F.array(F.lit("")))
+    for n in (1, 2, 3):
+        pieces = pieces.when(size == n, F.array_distinct(F.flatten(F.transform(_runs(F.col("pattern")), lambda r, n=n: _grams(r, n)))))
+    low = F.lower(F.col(name))
+    filed = names.withColumn("_gram", F.explode(F.concat(F.array(F.lit("")), *[_grams(low, n) for n in (1, 2, 3)])))
+    held = filed.groupBy("_gram").agg(F.count(F.lit(1)).alias("_held"))
+    asked = patterns.select("pattern").distinct().withColumn("_gram", F.explode(pieces)).join(held, "_gram", "left")
+    rarest = asked.groupBy("pattern").agg(F.min(F.struct(F.coalesce("_held", F.lit(0)).alias("held"), F.col("_gram").alias("gram"))).alias("_least"))
+    return rarest.select("pattern", F.col("_least.gram").alias("_gram")).join(filed, "_gram").select("pattern", *names.columns)
+
+
 def like_matches(patterns: DataFrame, names: DataFrame, name: str) -> DataFrame:
     """``(pattern, <names columns>)`` for the names each distinct pattern is LIKE, by equality joins.
 
@@ -43,15 +72,15 @@ def like_matches(patterns: DataFrame, names: DataFrame, name: str) -> DataFrame:
     ``%``) fixes every character except at its ``_`` places, so names are keyed by their prefixes of
     the lengths that heads have, masked at those places: head = masked prefix is an equality. Patterns
     without ``%`` need the whole name and nothing else; the rest is checked with LIKE. Patterns that
-    start with ``%`` have no head and are checked against every name once per distinct pattern; they
-    are spread over salts, so that they do not meet all names in one task.
+    start with ``%`` have no head: they meet the names that hold their rarest piece.
     """
-    shaped = patterns.select("pattern").distinct().select(
+    distinct = patterns.select("pattern").distinct()
+    headless = F.startswith(F.col("pattern"), F.lit("%"))
+    found = gram_candidates(distinct.where(headless), names, name).where(like(F.lower(name), F.col("pattern")))
+    shaped = distinct.where(~headless).select(
         "pattern", F.regexp_extract("pattern", "(?s)^([^%]*)", 1).alias("_head"), F.contains("pattern", F.lit("%")).alias("_open"))
-    headless = F.col("_open") & (F.col("_head") == "")
-    shaped = shaped.withColumn("_mask", F.regexp_replace("_head", "(?s)[^_]", "x")).withColumn(
-        "_salt", F.when(headless, F.pmod(F.xxhash64("pattern"), F.lit(HEADLESS_SALTS))).otherwise(F.lit(0)).cast("int"))
-    masks = shaped.select("_mask", "_open", "_salt").distinct().withColumn("_length", F.length("_mask"))
+    shaped = shaped.withColumn("_mask", F.regexp_replace("_head", "(?s)[^_]", "x"))
+    masks = shaped.select("_mask", "_open").distinct().withColumn("_length", F.length("_mask"))
     sized = names.withColumn("_size", F.length(name))
     whole = sized.join(masks.where(~F.col("_open")), F.col("_size") == F.col("_length")).drop("_size")
     # One row for each length of a head, at most the longest pattern's.
@@ -60,7 +89,6 @@ def like_matches(patterns: DataFrame, names: DataFrame, name: str) -> DataFrame:
     headed = heads.join(masks.where("_open"), F.col("_cut") == F.col("_length")).drop("_size", "_cut")
     prefix = F.left(F.lower(F.col(name)), F.col("_length"))
     keyed = whole.unionByName(headed).select(*names.columns, F.col("_open").alias("_nopen"), F.col("_mask").alias("_nmask"),
-                                             F.col("_salt").alias("_nsalt"), _masked(prefix, F.col("_mask")).alias("_key"))
-    hits = shaped.join(keyed, (F.col("_head") == F.col("_key")) & (F.col("_open") == F.col("_nopen"))
-                       & (F.col("_mask") == F.col("_nmask")) & (F.col("_salt") == F.col("_nsalt")))
-    return hits.where(~F.col("_open") | like(F.lower(name), F.col("pattern"))).select("pattern", *names.columns)
+                                             _masked(prefix, F.col("_mask")).alias("_key"))
+    hits = shaped.join(keyed, (F.col("_head") == F.col("_key")) & (F.col("_open") == F.col("_nopen")) & (F.col("_mask") == F.col("_nmask")))
+    return hits.where(~F.col("_open") | like(F.lower(name), F.col("pattern"))).select("pattern", *names.columns).unionByName(found)

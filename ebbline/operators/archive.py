@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbline.entities import Child
+from ebbline.operators.idsets import not_in
 
 
 def archive_rows(selected: DataFrame, archived: DataFrame, key: str, tags: list[str]) -> DataFrame:
-    """Selected rows to copy: delete-only rows and rows already archived are left out."""
-    fresh = selected.where(~F.col("delete_only")).drop(*tags)
-    return fresh.join(archived.select(key), key, "left_anti")
+    """Selected rows to copy: delete-only rows and rows already archived are left out.
+
+    The archive takes part as words of 64 ids, so its ids are not shuffled one by one.
+    """
+    return not_in(selected.where(~F.col("delete_only")).drop(*tags), key, archived)
 
 
 def archive_children(selected: DataFrame, children: DataFrame, archived: DataFrame, parent_key: str,
@@ -29,7 +32,7 @@ def archive_children(selected: DataFrame, children: DataFrame, archived: DataFra
 def delete_ledger(selected: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
     """``(group_id, id)`` of rows to delete later, not listed before."""
     delayed = selected.where(~F.col("no_delay")).select("group_id", F.col(key).alias("id"))
-    return delayed.join(ledger.select("id"), "id", "left_anti").select("group_id", "id")
+    return not_in(delayed, "id", ledger).select("group_id", "id")
 
 
 def immediate_ids(selected: DataFrame, key: str, ignore_delay: bool = False) -> DataFrame:

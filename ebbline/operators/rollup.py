@@ -16,17 +16,49 @@ def group_rollup(groups: DataFrame, windows: DataFrame, ledger: DataFrame, *,
     Without ledger ids an immediate run has nothing left to delete: deleted and synced.
     The ledger is data-sized, so it is aggregated per group before it meets the groups.
     """
-    closed = windows.groupBy("group_id").agg(F.bool_and("is_archived").alias("all_archived")).where("all_archived")
-    ids = ledger.groupBy("group_id").agg(
+    return rollup_from_partials(groups, windows, ledger_partials(ledger), delete_if_no_delay=delete_if_no_delay)
+
+
+EDGES = ["first_id", "last_id", "id_count"]
+
+
+def ledger_partials(ledger: DataFrame, *by: str) -> DataFrame:
+    """First, last and number of the ids of each group: partial results of a run that can be merged."""
+    return ledger.groupBy("group_id", *by).agg(
         F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count(F.lit(1)).alias("id_count"))
+
+
+def merge_partials(*partials: DataFrame) -> DataFrame:
+    """One partial of several over different ids: of all runs, or of what was stored and what a run added."""
+    rows = partials[0].select("group_id", *EDGES)
+    for other in partials[1:]:
+        rows = rows.unionByName(other.select("group_id", *EDGES))
+    return rows.groupBy("group_id").agg(F.min("first_id").alias("first_id"), F.max("last_id").alias("last_id"), F.sum("id_count").alias("id_count"))
+
+
+def partials_after_delete(stored: DataFrame, removed: DataFrame, ledger_left: DataFrame) -> DataFrame:
+    """Stored partials after ``removed(group_id, id)`` left the ledger.
+
+    A group that lost neither its first nor its last id only counts down. One that lost an edge is built again, from
+    its own ledger rows alone; one without rows goes.
+    """
+    gone = ledger_partials(removed).select("group_id", *[F.col(c).alias(f"_{c}") for c in EDGES])
+    met = stored.select("group_id", *EDGES).join(gone, "group_id", "left")
+    lost = (F.col("_first_id") <= F.col("first_id")) | (F.col("_last_id") >= F.col("last_id"))
+    kept = met.where(~F.coalesce(lost, F.lit(False))).select("group_id", "first_id", "last_id", (F.col("id_count") - F.coalesce("_id_count", F.lit(0))).alias("id_count"))
+    again = ledger_partials(ledger_left.join(met.where(lost).select("group_id"), "group_id", "left_semi"))
+    return kept.unionByName(again)
+
+
+def rollup_from_partials(groups: DataFrame, windows: DataFrame, partials: DataFrame, *, delete_if_no_delay: bool = True) -> DataFrame:
+    """``group_rollup`` from stored partials: the ledger itself is not read."""
+    closed = windows.groupBy("group_id").agg(F.bool_and("is_archived").alias("all_archived")).where("all_archived")
     done = F.lit(delete_if_no_delay) & F.col("first_id").isNull()
     return (
         groups.select("group_id", "trigger_id").join(closed.select("group_id"), "group_id", "left_semi")
-        .join(ids, "group_id", "left")
-        .select("group_id", "trigger_id", F.lit(True).alias("is_archived"), done.alias("is_deleted"),
-                done.alias("is_synced"), "first_id", "last_id",
-                F.coalesce("id_count", F.lit(0)).cast("bigint").alias("id_count"))
-    )
+        .join(partials.select("group_id", *EDGES), "group_id", "left")
+        .select("group_id", "trigger_id", F.lit(True).alias("is_archived"), done.alias("is_deleted"), done.alias("is_synced"),
+                "first_id", "last_id", F.coalesce("id_count", F.lit(0)).cast("bigint").alias("id_count")))
 
 
 def trigger_rollup(groups: DataFrame) -> DataFrame:

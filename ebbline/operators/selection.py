@@ -100,13 +100,12 @@ def select_rows(source: DataFrame, windows: DataFrame, entity: Entity, *, waterm
         inside, before = (ts > F.col("_previous")) & (ts <= F.col("_target")), ts <= F.col("_previous")
     else:
         inside, before = (ts >= F.col("_previous")) & (ts < F.col("_target")), ts < F.col("_previous")
-    late = before & (key > F.col("_last")) if entity.late else F.lit(False)
-    residual = inside | late if entity.late else inside
+    late = before & (key > F.col("_last")) if entity.late else None
     if entity.own_cursor:
-        residual = residual & (key >= F.col("_cursor"))
+        inside, late = inside & (key >= F.col("_cursor")), None if late is None else late & (key >= F.col("_cursor"))
     keys = [(entity.tenant, "_tenant")]
     if entity.sub:
         keys.append((entity.sub, "_sub"))
-    joined = join_windows(rows, w, keys, residual, profile, entity.id)
+    joined = join_windows(rows, w, keys, inside, late, profile, entity.id, entity.time)
     return joined.withColumn("is_late", before if entity.late else F.lit(False)).drop(
         "_tenant", "_sub", "_previous", "_target", "_cursor", "_last")

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from ebbline.entities import MAX_BROADCAST_WINDOWS
 from ebbline.functions.expressions import ts_ntz
+from ebbline.operators.intervals import indexed_join
+
+MAX_DIRECT_WINDOWS = 16
 
 
 @dataclass(frozen=True)
@@ -22,6 +25,7 @@ class WindowProfile:
     first_cursor: int | None
     max_target_id: int | None
     first_last_id: int | None
+    most_of_key: int = 1
 
     @property
     def broadcastable(self) -> bool:
@@ -29,15 +33,14 @@ class WindowProfile:
 
 
 def profile_windows(windows: DataFrame) -> WindowProfile:
-    """A single small aggregate over the control rows; one row reaches the driver."""
-    row = windows.agg(
-        F.count(F.lit(1)).alias("count"),
-        F.min("previous_ts").alias("first_previous"),
-        F.max("target_ts").alias("last_target"),
-        F.min(F.coalesce("current_id", F.lit(0))).alias("first_cursor"),
-        F.max(F.coalesce("target_id", F.lit(0))).alias("max_target_id"),
-        F.min("last_id").alias("first_last_id"),
-    ).first()
+    """A small aggregate over the control rows, first by key; one row reaches the driver."""
+    by_key = windows.groupBy("tenant_id", "sub_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("previous_ts").alias("previous"), F.max("target_ts").alias("target"),
+        F.min(F.coalesce("current_id", F.lit(0))).alias("cursor"), F.max(F.coalesce("target_id", F.lit(0))).alias("reached"),
+        F.min("last_id").alias("last_id"))
+    row = by_key.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"), F.min("previous"), F.max("target"), F.min("cursor"), F.max("reached"),
+        F.min("last_id"), F.coalesce(F.max("n"), F.lit(0))).first()
     return WindowProfile(*row)
 
 
@@ -65,25 +68,21 @@ def bound_source(source: DataFrame, id_col: str, time_col: str, profile: WindowP
     return bounded
 
 
-def join_windows(rows: DataFrame, windows: DataFrame, keys: list[tuple[str, str]], residual: Column,
-                 profile: WindowProfile, row_id: str, salts: int = 64) -> DataFrame:
-    """Rows x windows on equal keys plus a range residual.
+def join_windows(rows: DataFrame, windows: DataFrame, keys: list[tuple[str, str]], inside: Column, late: Column | None,
+                 profile: WindowProfile, row_id: str, time: str) -> DataFrame:
+    """Rows x windows on equal keys plus a range: ``inside`` the window, or ``late`` for it.
 
-    (tenant, sub-key) is skewed, so rows are never shuffled by it alone. Up to a bound the
-    windows are broadcast (counted, not guessed). Beyond that each window is copied to
-    ``salts`` buckets and rows go to one of them by their id, so a hot key is spread evenly.
+    (tenant, sub-key) is skewed, so rows are never shuffled by it alone. A few windows of each key are broadcast
+    and compared directly (counted, not guessed); more go through the interval index, so a row meets the windows that
+    cover it and not all of its key.
     """
-    if profile.broadcastable:
-        on = residual
+    if profile.broadcastable and profile.most_of_key <= MAX_DIRECT_WINDOWS:
+        on = inside if late is None else inside | late
         for left, right in keys:
             on = on & (F.col(left) == F.col(right))
         return rows.join(F.broadcast(windows), on)
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(row_id), F.lit(salts)).cast("int"))
-    salted = windows.withColumn("_wsalt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    on = residual & (F.col("_salt") == F.col("_wsalt"))
-    for left, right in keys:
-        on = on & (F.col(left) == F.col(right))
-    return salted_rows.join(salted, on).drop("_salt", "_wsalt")
+    return indexed_join(rows, windows, keys, time, "_previous", "_target", inside, None if late is None else "_last", late, row_id,
+                        8 * MAX_BROADCAST_WINDOWS)
 
 
 def prior_max(df: DataFrame, keys: list[str], order: str, value: str, out: str, bucket: int = 4096) -> DataFrame:
@@ -134,24 +133,34 @@ def id_slices(df: DataFrame, id_col: str, width: int) -> DataFrame:
         F.min(id_col).alias("first_id"), F.max(id_col).alias("last_id"), F.count(F.lit(1)).alias("row_count"))
 
 
-def budget_slices(df: DataFrame, id_col: str, budget: int, cells: int = 4096) -> list[tuple[int, int]]:
-    """Id ranges of about ``budget`` rows each, in id order, for a run with a row budget.
+def exact_slices(df: DataFrame, id_col: str, budget: int, cells: int = 4096, width: int = 65_536) -> DataFrame:
+    """``slice_no, first_id, last_id, row_count``: slices of exactly ``budget`` rows in id order, the last with the rest.
 
-    A histogram of at most ``cells`` id cells is the only thing that reaches the driver,
-    whatever the number of rows. One cell is never split, so a slice may exceed the budget
-    by what its last cell holds; every id is in exactly one slice.
+    Ids are cut into at most ``cells`` ranges, whose counts are all that reaches the driver, and these into parts of ``width`` ids.
+    A row's number is the rows of the earlier ranges, of the earlier parts of its range and of the earlier ids of its part, so no
+    task orders more than a part. Ids are keys: a part holds no more rows than ids. Rows that share an id share a slice.
     """
     lo, hi = df.agg(F.min(id_col), F.max(id_col)).first()
     if lo is None:
-        return []
-    width = max(1, -(-(hi - lo + 1) // cells))
-    cell = F.floor((F.col(id_col) - F.lit(lo)) / F.lit(width)).cast("bigint")
-    histogram = sorted(df.groupBy(cell.alias("cell")).count().collect())
-    slices, start, held = [], lo, 0
-    for position, (number, count) in enumerate(histogram):
-        held += count
-        if held >= budget or position == len(histogram) - 1:
-            end = min(hi, lo + (number + 1) * width - 1)
-            slices.append((start, end))
-            start, held = end + 1, 0
-    return slices
+        return df.sparkSession.createDataFrame([], "slice_no bigint, first_id bigint, last_id bigint, row_count bigint")
+    span = max(1, -(-(hi - lo + 1) // cells))
+    at = F.col(id_col) - F.lit(lo)
+    ids = df.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.floor(at / span).cast("int").alias("cell"),
+                                                     F.floor((at % span) / width).cast("int").alias("part"))
+    parts = ids.groupBy("cell", "part").agg(F.count(F.lit(1)).alias("n"))
+    offsets, total = {}, 0
+    for cell, n in sorted(parts.groupBy("cell").agg(F.sum("n")).collect()):
+        offsets[cell], total = total, total + n
+    carried = F.try_element_at(F.create_map(*[F.lit(x) for pair in offsets.items() for x in pair]), F.col("cell"))
+    before = Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = parts.select("cell", "part", (carried + F.coalesce(F.sum("n").over(before), F.lit(0))).alias("start"))
+    inside = F.rank().over(Window.partitionBy("cell", "part").orderBy("id")) - 1
+    numbered = ids.withColumn("inside", inside).join(starts, ["cell", "part"])
+    slice_no = F.floor((F.col("start") + F.col("inside")) / budget).cast("bigint")
+    return numbered.groupBy(slice_no.alias("slice_no")).agg(
+        F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.count(F.lit(1)).alias("row_count"))
+
+
+def budget_slices(df: DataFrame, id_col: str, budget: int, cells: int = 4096) -> list[tuple[int, int]]:
+    """The bounds of ``exact_slices`` in id order, for a run with a row budget: one pair for each slice the run makes."""
+    return sorted((r.first_id, r.last_id) for r in exact_slices(df, id_col, budget, cells).select("first_id", "last_id").collect())

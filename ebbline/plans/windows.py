@@ -89,6 +89,48 @@ def repeat_schedule(triggers: DataFrame) -> DataFrame:
         "trigger_id", F.posexplode(F.sequence("trigger_time", "repeat_until", step)).alias("repeat_no", "trigger_time"))
 
 
+def repeat_chain(triggers: DataFrame, now) -> DataFrame:
+    """Every repeat due before ``now`` of each repeating trigger, in one run: ``root_id, repeat_no, trigger_time, ..``.
+
+    Repeat 1 follows the stored trigger, repeat n follows repeat n - 1; a trigger that already has a later child leaves its
+    repeats to that child. ``is_last`` marks the repeat from which the next run goes on.
+    """
+    step = hours(F.col("repeat_hours"))
+    repeating = with_to_do(triggers).where(F.col("to_do") & F.col("repeats") & (F.col("repeat_hours") > 0))
+    children = triggers.where(F.col("trigger_id") > F.col("parent_id")).select(F.col("parent_id").alias("trigger_id"))
+    first, end = F.col("trigger_time") + step, F.least(F.coalesce("repeat_until", ts_ntz(now)), ts_ntz(now))
+    return (
+        repeating.join(children, "trigger_id", "left_anti").where(first <= end)
+        .select(F.col("trigger_id").alias("root_id"), "repeat_hours", "repeat_until", F.posexplode(F.sequence(first, end, step)).alias("pos", "trigger_time"))
+        .where(F.col("trigger_time") < ts_ntz(now))
+        .select("root_id", (F.col("pos") + 1).alias("repeat_no"), "trigger_time", "repeat_hours", "repeat_until",
+                ((F.col("trigger_time") + step) >= end).alias("is_last")))
+
+
+def chain_roots(triggers: DataFrame, written) -> DataFrame:
+    """``trigger_id, root_id``: the first trigger of each chain of parents.
+
+    Links double in length every round, so a chain of n triggers takes log2(n) rounds. ``written`` stores a round and reads it
+    back. A parent is older than its child and may be missing; then the child is a root.
+    """
+    ids = triggers.select(F.col("trigger_id").alias("_up"))
+    up = triggers.where(F.col("parent_id") < F.col("trigger_id")).select("trigger_id", F.col("parent_id").alias("_up")).join(ids, "_up", "left_semi")
+    links = written(triggers.select("trigger_id").join(up, "trigger_id", "left").select("trigger_id", F.coalesce("_up", "trigger_id").alias("root_id")))
+    while True:
+        further = links.select(F.col("trigger_id").alias("root_id"), F.col("root_id").alias("_next"))
+        links = written(links.join(further, "root_id").select("trigger_id", F.col("_next").alias("root_id"), (F.col("_next") != F.col("root_id")).alias("_moved")))
+        if not links.where("_moved").limit(1).count():
+            return links.select("trigger_id", "root_id")
+        links = links.drop("_moved")
+
+
+def chain_status(triggers: DataFrame, roots: DataFrame) -> DataFrame:
+    """Per chain: its triggers, the latest time, and whether all of it is finished; only then its first trigger is."""
+    return triggers.join(roots, "trigger_id").groupBy("root_id").agg(
+        F.count(F.lit(1)).alias("triggers"), F.max("trigger_time").alias("last_time"), F.bool_and("is_finished").alias("is_finished"),
+        F.count_if(~F.col("is_finished")).alias("unfinished"))
+
+
 def run_history(triggers: DataFrame, run_id: str, at: str) -> DataFrame:
     """Trigger history with the current run first."""
     return triggers.withColumn("history", prepend_history(

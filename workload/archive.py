@@ -13,6 +13,7 @@ from ebbline.functions.expressions import EPOCH, ts_ntz
 from ebbline.operators import archive as a
 from ebbline.operators import rollup as r
 from ebbline.operators import selection as s
+from ebbline.operators.sizing import exact_slices
 from ebbline.operators.sizing import id_slices as slices
 from ebbline.plans import windows as w
 from ebbline.plans.policy import compile_policies, expand_keywords
@@ -152,6 +153,53 @@ def select_licence(t):
     return s.select_rows(t.robot_license_logs, t.licence_windows, LICENCE_LOGS).select("id", "tenant_id", "group_id", "no_delay")
 
 
+@query("""SELECT l.id, l.tenant_id, l.level_id, x.group_id, l.ts < x.previous_ts AS is_late FROM $hot_logs l
+    JOIN $many_windows x ON x.tenant_id = l.tenant_id AND x.sub_id = l.level_id
+    WHERE (l.ts >= x.previous_ts AND l.ts < x.target_ts) OR (l.ts < x.previous_ts AND l.id > x.last_id)""")
+def select_logs_many(t):
+    """As many windows as events, all on the tenant with a third of the rows, through the interval index."""
+    return s.select_rows(t.hot_logs, t.many_windows, LOGS).select("id", "tenant_id", "level_id", "group_id", "is_late")
+
+
+GENERATIONS = ((JOBS, "1998-01-01 00:00:00"), (AUDIT_LOGS, "1997-01-01 00:00:00"), (LICENCE_LOGS, "2024-01-15 00:00:00"))
+
+
+def next_generation(t, entity, target: str):
+    """Rows for the open windows of an entity, with marker, cursor and watermark that its closed windows left."""
+    windows = getattr(t, f"{entity.name}_generations")
+    batch = s.with_late_marker(windows.where(~F.col("is_archived")).withColumn("order_no", F.lit(1)), windows)
+    rows = getattr(t, entity.name)
+    reached = batch.agg(F.coalesce(F.max("target_id"), F.lit(0))).first()[0]
+    return s.select_rows(rows, batch, entity, watermark=s.high_watermark(rows, entity, target, reached).first()[0])
+
+
+def generation_sql(entity, target: str) -> str:
+    """``id, tenant_id, sub_id, ts, group_id, trigger_id, delete_only, no_delay, is_late`` of one entity."""
+    name, ts, low, high = entity.name, f"q.{entity.time}", (">" if entity.right_closed else ">="), ("<=" if entity.right_closed else "<")
+    before = "<=" if entity.right_closed else "<"
+    return f"""SELECT '{name}' AS entity, q.id, q.tenant_id, x.sub_id, {ts} AS ts, x.group_id, x.trigger_id, x.delete_only, x.no_delay, {ts} {before} x.previous_ts AS is_late
+        FROM ${name} q JOIN ${name}_generations x ON x.tenant_id = q.tenant_id AND x.sub_id = {f'q.{entity.sub}' if entity.sub else '0'} AND NOT x.is_archived
+        JOIN ${name}_generations c ON c.tenant_id = x.tenant_id AND c.sub_id = x.sub_id AND c.is_archived
+        WHERE q.id <= (SELECT greatest(MAX(z.id), (SELECT MAX(y.target_id) FROM ${name}_generations y WHERE NOT y.is_archived), 0) FROM ${name} z WHERE z.{entity.time} <= @'{target}')
+          AND q.id >= COALESCE(x.current_id, 0)
+          AND (({ts} {low} x.previous_ts AND {ts} {high} x.target_ts) OR ({ts} {before} x.previous_ts AND q.id > c.target_id))"""
+
+
+@query(" UNION ALL ".join(f"SELECT entity, id, tenant_id, group_id, delete_only, is_late FROM ({generation_sql(e, target)})" for e, target in GENERATIONS))
+def select_resumed(t):
+    """Jobs, audit and licence rows: late marker from closed windows, own cursor, watermark."""
+    parts = [next_generation(t, e, target).select(F.lit(e.name).alias("entity"), "id", "tenant_id", "group_id", "delete_only", "is_late")
+             for e, target in GENERATIONS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("""SELECT CAST((n - 1) // 700 AS BIGINT) AS slice_no, MIN(id) AS first_id, MAX(id) AS last_id, COUNT(*) AS row_count
+    FROM (SELECT id, row_number() OVER (ORDER BY id) AS n FROM $logs) GROUP BY 1""")
+def budget_slices(t):
+    """Slices of exactly 700 rows, the last with the rest."""
+    return exact_slices(t.logs, "id", 700, width=512)
+
+
 @query("""SELECT CAST(floor(id / 1000) AS BIGINT) AS slice_no, MIN(id) AS first_id, MAX(id) AS last_id, COUNT(*) AS row_count
     FROM $logs GROUP BY 1""")
 def id_slices(t):
@@ -238,6 +286,20 @@ def group_rollup(t):
     return r.group_rollup(t.c_groups, t.c_window_rows, t.c_ledger)
 
 
+@query("""
+    SELECT g.group_id, g.trigger_id, true AS is_archived, COUNT(l.id) = 0 AS is_deleted, COUNT(l.id) = 0 AS is_synced,
+           MIN(l.id) AS first_id, MAX(l.id) AS last_id, COUNT(l.id) AS id_count
+    FROM $c_groups g LEFT JOIN (SELECT * FROM $c_ledger WHERE id % 7 <> 3) l ON l.group_id = g.group_id
+    WHERE g.group_id NOT IN (SELECT group_id FROM $c_window_rows WHERE NOT is_archived) GROUP BY g.group_id, g.trigger_id""")
+def group_rollup_incremental(t):
+    """Two runs add ledger rows, a third removes some: merged partials, and only groups that lost an edge are read again."""
+    ledger = t.store("c_ledger")
+    stored = t.store("partials_1", r.ledger_partials(ledger.where("id % 3 = 0")))
+    stored = t.store("partials_2", r.merge_partials(stored, r.ledger_partials(ledger.where("id % 3 <> 0"))))
+    left = r.partials_after_delete(stored, ledger.where("id % 7 = 3"), ledger.where("id % 7 <> 3"))
+    return r.rollup_from_partials(t.c_groups, t.c_window_rows, left)
+
+
 @query("""
     SELECT trigger_id, true AS is_archived, f AS is_finished, f AS is_deleted, f AS is_success,
            CASE WHEN f THEN 'purged' ELSE 'archived' END AS message

@@ -148,6 +148,10 @@ VIEWS = {
                '[{"runid":"' || CAST(o_orderkey AS STRING) || '","message":"added","timestamp":"2001-01-01T00:00:00"}]' AS history,
                CAST(o_custkey % 7 AS BIGINT) AS window_count
         FROM $orders""",
+    "chain_triggers": """
+        SELECT trigger_id, CASE WHEN trigger_id % 40 > 1 THEN trigger_id - 1 WHEN trigger_id % 40 = 1 THEN 0 END AS parent_id, trigger_time,
+               trigger_id % 40 < 20 OR trigger_id % 7 < 6 AS is_finished
+        FROM $c_triggers""",
     "c_windows": """
         SELECT l_orderkey * 2 + CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS group_id,
                CAST(l_suppkey % 25 AS INT) AS tenant_id, CAST(l_linenumber % 6 AS INT) AS sub_id,
@@ -222,6 +226,28 @@ VIEWS = {
         SELECT 1 AS trigger_id, 60 AS group_id, tenant_id, 0 AS sub_id, false AS delete_only,
                tenant_id % 2 = 0 AS no_delay, @'2024-01-05 00:00:00' AS previous_ts, @'2024-01-15 00:00:00' AS target_ts
         FROM $robot_license_logs GROUP BY tenant_id""",
+    # --- many windows on one tenant that holds a third of the logs ---------------------
+    "hot_logs": """
+        SELECT id, CASE WHEN id % 3 = 0 THEN 7 ELSE tenant_id END AS tenant_id, level_id, ts, message FROM $logs""",
+    "many_windows": """
+        SELECT 1 AS trigger_id, event_id AS group_id, 7 AS tenant_id, CAST(event_id % 5 AS INT) AS sub_id, false AS delete_only,
+               false AS no_delay, @'2024-01-02 00:00:00' + INTERVAL '1' MINUTE * CAST(FLOOR(event_id / 5) * 25 AS INT) AS previous_ts,
+               @'2024-01-02 00:00:00' + INTERVAL '1' MINUTE * CAST(FLOOR(event_id / 5) * 25 + 25 AS INT) AS target_ts,
+               CASE WHEN event_id < 5 THEN CAST(2000 AS BIGINT) END AS last_id
+        FROM $events""",
+    # --- two generations of windows of the entities with a late branch: the closed one had reached the middle of the ids of its key
+    **{f"{name}_generations": f"""
+        SELECT 1 AS trigger_id, {group} AS group_id, tenant_id, {sub} AS sub_id, tenant_id % 5 = 0 AS delete_only, tenant_id % 2 = 0 AS no_delay,
+               @'1900-01-01 00:00:00' AS previous_ts, @'{previous}' AS target_ts, true AS is_archived,
+               CAST(FLOOR(AVG(id)) AS BIGINT) AS current_id, CAST(FLOOR(AVG(id)) AS BIGINT) AS target_id
+        FROM ${name} GROUP BY {by}
+        UNION ALL
+        SELECT 2, {group + 1}, tenant_id, {sub}, tenant_id % 5 = 0, tenant_id % 2 = 0, @'{previous}', @'{target}', false,
+               CASE WHEN tenant_id % 4 = 0 THEN CAST(FLOOR(AVG(id) / 2) AS BIGINT) END, CASE WHEN tenant_id % 4 = 0 THEN MAX(id) - 10 END
+        FROM ${name} GROUP BY {by}"""
+       for name, sub, by, group, previous, target in (
+           ("jobs", "state_id", "tenant_id, state_id", 70, "1996-01-01 00:00:00", "1998-01-01 00:00:00"), ("audit_logs", "0", "tenant_id", 80, "1996-01-01 00:00:00", "1997-01-01 00:00:00"),
+           ("robot_license_logs", "0", "tenant_id", 90, "2024-01-05 00:00:00", "2024-01-15 00:00:00"))},
     # --- request tables ---------------------------------------------------------------
     "cutoff_request_rows": """
         SELECT o_orderkey AS request_id,
@@ -295,7 +321,8 @@ def oracle(sql: str) -> str:
     ctes = ",\n".join(f"{n} AS ({VIEWS[n]})" for n in ordered)
     body = sql.strip()
     if ctes:
-        body = f"WITH RECURSIVE {ctes}\n" + (", " + body[5:].lstrip() if body.upper().startswith("WITH ") else body)
+        own = re.sub(r"(?is)^WITH\s+(RECURSIVE\s+)?", ", ", body)
+        body = f"WITH RECURSIVE {ctes}\n{own}"
     return _TS.sub(r"TIMESTAMP '\1'", _REF.sub(r"\1", body))
 
 

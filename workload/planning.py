@@ -111,6 +111,33 @@ def repeat_next(t):
     return w.repeat_next(t.c_triggers, batch, "1998-01-01 00:00:00")
 
 
+@query("""
+    WITH RECURSIVE r AS (
+        SELECT trigger_id AS root_id, 0 AS repeat_no, trigger_time, repeat_hours, repeat_until FROM $c_triggers a
+        WHERE NOT (is_archived OR is_finished OR is_dry_run OR is_error) AND repeats
+          AND NOT EXISTS (SELECT 1 FROM $c_triggers x WHERE x.parent_id = a.trigger_id AND x.trigger_id > a.trigger_id)
+        UNION ALL
+        SELECT root_id, repeat_no + 1, trigger_time + INTERVAL '1' HOUR * repeat_hours, repeat_hours, repeat_until FROM r
+        WHERE trigger_time + INTERVAL '1' HOUR * repeat_hours < @'1997-06-01 00:00:00'
+          AND (repeat_until IS NULL OR repeat_until >= trigger_time + INTERVAL '1' HOUR * repeat_hours))
+    SELECT root_id, repeat_no, trigger_time FROM r WHERE repeat_no > 0""")
+def repeat_chain(t):
+    return w.repeat_chain(t.c_triggers, "1997-06-01 00:00:00").select("root_id", "repeat_no", "trigger_time")
+
+
+@query("""
+    WITH RECURSIVE r AS (
+        SELECT trigger_id, trigger_id AS root_id FROM $chain_triggers a
+        WHERE parent_id IS NULL OR NOT EXISTS (SELECT 1 FROM $chain_triggers p WHERE p.trigger_id = a.parent_id)
+        UNION ALL SELECT c.trigger_id, r.root_id FROM r JOIN $chain_triggers c ON c.parent_id = r.trigger_id AND c.trigger_id > c.parent_id)
+    SELECT r.root_id, COUNT(*) AS triggers, MAX(c.trigger_time) AS last_time, BOOL_AND(c.is_finished) AS is_finished,
+           COUNT(*) FILTER (WHERE NOT c.is_finished) AS unfinished FROM r JOIN $chain_triggers c ON c.trigger_id = r.trigger_id GROUP BY r.root_id""")
+def chain_status(t):
+    """Chains of up to 39 triggers by parent links; a chain is finished with its last trigger."""
+    triggers, rounds = t.chain_triggers, iter(range(64))
+    return w.chain_status(triggers, w.chain_roots(triggers, lambda df: t.store(f"chain_{next(rounds)}", df)))
+
+
 @query("""
     SELECT trigger_id, CAST(n - 1 AS INT) AS repeat_no, trigger_time + INTERVAL '1' HOUR * repeat_hours * (n - 1) AS trigger_time
     FROM (SELECT trigger_id, trigger_time, repeat_hours, unnest(generate_series(1,

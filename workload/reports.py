@@ -11,7 +11,7 @@ from ebbline.entities import ARCHIVED, AUDIT_LOGS, JOBS, LICENCE_LOGS, LOGS, QUE
 from ebbline.functions.expressions import name_part, yes_no
 from ebbline.operators import reports as r
 from ebbline.operators import selection as s
-from workload.archive import LOG_SELECTED, QUEUE_SELECTED, audit_selection, log_selection, queue_selection
+from workload.archive import LOG_SELECTED, QUEUE_SELECTED, audit_selection, log_selection, queue_selection, GENERATIONS, generation_sql, next_generation
 from workload.registry import query
 
 NOW, CURRENT_RUN = "2024-02-02 06:00:00", 3
@@ -103,23 +103,14 @@ def change_volume(t):
                             "robot_license_logs": s.select_rows(t.robot_license_logs, t.licence_windows, LICENCE_LOGS)})
 
 
-LATE = ((JOBS, "job_windows", "<="), (AUDIT_LOGS, "audit_windows", "<"), (LICENCE_LOGS, "licence_windows", "<"))
-
-
 @query(f"""WITH {LOG_SELECTED} SELECT 'logs' AS entity, tenant_id, level_id AS sub_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, COUNT(*) AS row_count
     FROM sel WHERE is_late GROUP BY ALL UNION ALL """ + " UNION ALL ".join(
-    f"""SELECT '{e.name}', q.{e.tenant}, x.sub_id, CAST(CAST(q.{e.time} AS DATE) AS VARCHAR), COUNT(*)
-        FROM ${e.name} q JOIN ${windows} x ON x.tenant_id = q.{e.tenant} AND x.sub_id = {f'q.{e.sub}' if e.sub else '0'}
-        WHERE q.{e.time} {before} x.previous_ts AND q.{e.id} > (SELECT MAX({e.id}) // 20 FROM ${e.name}) GROUP BY ALL""" for e, windows, before in LATE))
+    f"SELECT entity, tenant_id, sub_id, CAST(CAST(ts AS DATE) AS VARCHAR), COUNT(*) FROM ({generation_sql(e, target)}) WHERE is_late GROUP BY ALL"
+    for e, target in GENERATIONS))
 def late_rows(t):
-    """``late_rows`` of every entity with a late branch. The windows of the others than logs have no
-    closed generation before them; the lowest twentieth of the ids stands for what it reached."""
+    """Every entity with a late branch; what is late follows from the windows closed before."""
     parts = [r.late_rows(log_selection(t), LOGS).withColumn("entity", F.lit(LOGS.name))]
-    for e, windows, _ in LATE:
-        rows = getattr(t, e.name)
-        reached = rows.agg(F.expr(f"max({e.id}) div 20")).first()[0]
-        marked = getattr(t, windows).withColumn("last_id", F.lit(reached).cast("bigint"))
-        parts.append(r.late_rows(s.select_rows(rows, marked, e), e).withColumn("entity", F.lit(e.name)))
+    parts += [r.late_rows(next_generation(t, e, target), e).withColumn("entity", F.lit(e.name)) for e, target in GENERATIONS]
     return reduce(DataFrame.unionByName, parts).withColumn("day", F.col("day").cast("string"))
 
 
