@@ -18,6 +18,7 @@ from ebbline.functions.expressions import (
     entries_sql, items_sql, json_items, json_kind, json_text, kind_sql, like_pattern, mark_json_strings, text_sql,
 )
 from ebbline.functions.lookups import like_matches
+from ebbline.operators.idsets import bit_of, expanded, word_of
 from ebbline.session import work_dir
 
 # fixed values: keywords of the policy grammar
@@ -111,7 +112,7 @@ def _wrong_items(code: str, arrays: str, allowed: str) -> str:
     return f"array_distinct(flatten(transform({arrays}, e -> {bad})))"
 
 
-ARRAY_EXPECTED = "'array of objects expected'"
+ARRAY_EXPECTED = "'no array of rules'"
 NAMED_COUNT = "concat_ws(':', c.key, CAST(c.n AS STRING))"
 CONCAT_KIND = "concat_ws(':', e.key, k)"
 KEY_KIND = "concat_ws(':', e.key, e.kind)"
@@ -279,10 +280,25 @@ class PolicyCompiler:
         return self._staged(by_name.unionByName(by_id), "selector_matches")
 
     @cached_property
-    def excluded(self) -> DataFrame:
-        """``(policy_id, rule_no, tenant_id)`` a rule excludes, by name pattern or id."""
+    def selector_words(self) -> DataFrame:
+        """``(is_id, text, word, bits, active)``: the tenants of each distinct selector as words of 64 ids."""
+        active = F.when(~F.col("is_deleted"), bit_of("tenant_id")).otherwise(F.lit(0).cast("bigint"))
+        return self._staged(self.selector_matches.groupBy("is_id", "text", word_of("tenant_id").alias("word")).agg(
+            F.bit_or(bit_of("tenant_id")).alias("bits"), F.bit_or(active).alias("active")), "selector_words")
+
+    @cached_property
+    def status_words(self) -> DataFrame:
+        """``(word, active, deleted)``: all tenants as words."""
+        none, bit = F.lit(0).cast("bigint"), bit_of("tenant_id")
+        return self.tenants.groupBy(word_of("tenant_id").alias("word")).agg(
+            F.bit_or(F.when(~F.col("is_deleted"), bit).otherwise(none)).alias("active"),
+            F.bit_or(F.when(F.col("is_deleted"), bit).otherwise(none)).alias("deleted"))
+
+    @cached_property
+    def excluded_words(self) -> DataFrame:
+        """``(policy_id, rule_no, word, excluded)``: tenants a rule excludes, by name pattern or id."""
         asked = self._all_selectors.where(F.col("role") == "exclude")
-        return asked.join(self.selector_matches, ["is_id", "text"]).select("policy_id", "rule_no", "tenant_id").distinct()
+        return asked.join(self.selector_words, ["is_id", "text"]).groupBy("policy_id", "rule_no", "word").agg(F.bit_or("bits").alias("excluded"))
 
     @cached_property
     def keyword_uses(self) -> DataFrame:
@@ -301,53 +317,64 @@ class PolicyCompiler:
             F.lit("keyword").alias("kind"))
 
     @cached_property
-    def resolved(self) -> DataFrame:
-        """Matches of exact, wildcard and status selectors with ``keep``.
+    def resolved_words(self) -> DataFrame:
+        """Matches of exact, wildcard and status selectors: ``bits``, and of them ``keep``.
 
         Exact selectors ignore ``exclude``; wildcards also leave deleted tenants out.
         """
-        cols = ["policy_id", "rule_no", "pattern", "sel_id", "kind", "tenant_id", "name", "is_deleted"]
-        named = self.selectors.join(self.selector_matches, ["is_id", "text"])
-        alias = self._all_of_status(self._keyword_selectors.where(F.col("pattern") != OTHER))
-        matches = reduce(DataFrame.unionByName, [m.select(*cols) for m in (named, alias)])
-        return self._staged(self._with_keep(matches), "resolved")
+        cols = ["policy_id", "rule_no", "pattern", "sel_id", "kind", "word", "bits", "active"]
+        named = self.selectors.join(self.selector_words, ["is_id", "text"])
+        alias = self._all_words(self._keyword_selectors.where(F.col("pattern") != OTHER)).withColumn(
+            "bits", F.when(F.col("pattern") == DELETED, F.col("deleted")).otherwise(F.col("active"))).where("bits <> 0")
+        return self._staged(self._with_keep(named.select(*cols).unionByName(alias.select(*cols))), "resolved_words")
 
-    def _all_of_status(self, selectors: DataFrame, salts: int = 16) -> DataFrame:
-        """Keyword selectors with every tenant of the status they name.
+    def _all_words(self, selectors: DataFrame, salts: int = 16) -> DataFrame:
+        """Keyword selectors next to the words of all tenants.
 
-        The status alone has two values, so selectors are spread over salts by policy and the
-        tenant dictionary is copied to each salt; no join key collects all policies.
+        Every selector needs every word, 64 tenants each, so selectors are spread over salts by policy and the
+        words are copied to each salt; no join key collects all policies.
         """
-        status = F.when(F.col("pattern") == DELETED, True).otherwise(False)
-        salted = self.tenants.select("tenant_id", "name", "is_deleted").withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        asked = selectors.withColumn("_status", status).withColumn(
-            "_asalt", F.pmod(F.xxhash64("policy_id"), F.lit(salts)).cast("int"))
-        return asked.join(salted, (F.col("_status") == F.col("is_deleted")) & (F.col("_asalt") == F.col("_salt"))).drop(
-            "_status", "_salt", "_asalt")
+        salted = self.status_words.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        asked = selectors.withColumn("_asalt", F.pmod(F.xxhash64("policy_id"), F.lit(salts)).cast("int"))
+        return asked.join(salted, F.col("_asalt") == F.col("_salt")).drop("_salt", "_asalt")
 
     def _with_keep(self, matches: DataFrame) -> DataFrame:
-        flagged = matches.join(self.excluded.withColumn("_excluded", F.lit(True)),
-                               ["policy_id", "rule_no", "tenant_id"], "left")
-        free = F.col("_excluded").isNull()
-        keep = F.when(F.col("kind") == "exact", True).when(
-            F.col("kind") == "partial", free & ~F.col("is_deleted")).otherwise(free)
-        return flagged.withColumn("keep", keep).drop("_excluded")
+        met = matches.join(self.excluded_words, ["policy_id", "rule_no", "word"], "left")
+        free = F.bitwise_not(F.coalesce("excluded", F.lit(0).cast("bigint")))
+        keep = F.when(F.col("kind") == "exact", F.col("bits")).when(
+            F.col("kind") == "partial", F.col("active").bitwiseAND(free)).otherwise(F.col("bits").bitwiseAND(free))
+        return met.withColumn("keep", keep).drop("excluded", "active")
 
     @cached_property
-    def others(self) -> DataFrame:
+    def other_words(self) -> DataFrame:
         """``#OTHER_TENANTS#``: active tenants no other selector of the policy keeps."""
-        candidates = self._all_of_status(self._keyword_selectors.where(F.col("pattern") == OTHER))
-        taken = self.resolved.where("keep").select("policy_id", "tenant_id").distinct()
-        return self._with_keep(candidates.join(taken, ["policy_id", "tenant_id"], "left_anti"))
+        taken = self.resolved_words.groupBy("policy_id", "word").agg(F.bit_or("keep").alias("taken"))
+        free = self._all_words(self._keyword_selectors.where(F.col("pattern") == OTHER)).join(taken, ["policy_id", "word"], "left")
+        rest = F.col("active").bitwiseAND(F.bitwise_not(F.coalesce("taken", F.lit(0).cast("bigint"))))
+        return self._with_keep(free.withColumn("bits", rest).where("bits <> 0").select(
+            "policy_id", "rule_no", "pattern", "sel_id", "kind", "word", "bits", "active"))
 
     @cached_property
-    def tenant_matches(self) -> DataFrame:
-        return self._staged(self.resolved.unionByName(self.others), "tenant_matches")
+    def rule_words(self) -> DataFrame:
+        """``(policy_id, rule_no, word, bits)``: the tenants each rule keeps."""
+        kept = self.resolved_words.unionByName(self.other_words).where("keep <> 0")
+        return self._staged(kept.groupBy("policy_id", "rule_no", "word").agg(F.bit_or("keep").alias("bits")), "rule_words")
+
+    @staticmethod
+    def _one_by_one(words: DataFrame) -> DataFrame:
+        kept = F.col("keep").bitwiseAND(bit_of("tenant_id")) != 0
+        return expanded(words, "tenant_id").select(
+            "policy_id", "rule_no", "pattern", "sel_id", "kind", F.col("tenant_id").cast("int").alias("tenant_id"), kept.alias("keep"))
 
     @cached_property
-    def rule_tenants(self) -> DataFrame:
-        return self.tenant_matches.where("keep").select("policy_id", "rule_no", "tenant_id").distinct()
+    def resolved(self) -> DataFrame:
+        """``resolved_words`` with a row for each tenant, for reports."""
+        return self._one_by_one(self.resolved_words)
+
+    @cached_property
+    def others(self) -> DataFrame:
+        """``other_words`` with a row for each tenant, for reports."""
+        return self._one_by_one(self.other_words)
 
     # ---- checks ------------------------------------------------------------------
     @cached_property
@@ -456,10 +483,16 @@ class PolicyCompiler:
         return self._on_first_rule(self.keyword_uses, "T2", "pattern")
 
     def _shared_tenants(self) -> DataFrame:
-        """T3: a tenant kept by two rules, reported on the first."""
-        kept = self.tenant_matches.where("keep").groupBy("policy_id", "tenant_id").agg(
-            F.sort_array(F.collect_set("rule_no")).alias("rules"))
-        return self._on_first_rule(kept, "T3", "tenant_id")
+        """T3: a tenant kept by two rules, reported on the first.
+
+        Rules of a policy are bounded by its document; only the tenants in two of them become rows.
+        """
+        held = self.rule_words.groupBy("policy_id", "word").agg(F.collect_list(F.struct("rule_no", "bits")).alias("held")).where(F.size("held") > 1)
+        twice = ("aggregate(held, named_struct('once', 0L, 'twice', 0L), "
+                 "(a, h) -> named_struct('once', a.once | h.bits, 'twice', a.twice | (a.once & h.bits)), a -> a.twice)")
+        shared = expanded(held.withColumn("twice", F.expr(twice)).where("twice <> 0"), "tenant_id", "twice")
+        rules = F.sort_array(F.transform(F.filter("held", lambda h: h["bits"].bitwiseAND(bit_of("tenant_id")) != 0), lambda h: h["rule_no"]))
+        return self._on_first_rule(shared.select("policy_id", "tenant_id", rules.alias("rules")), "T3", "tenant_id")
 
     def report(self) -> DataFrame:
         """All violations, numbered within each policy by rule and code.
@@ -481,9 +514,10 @@ class PolicyCompiler:
                 "policy_id", "rule_no", F.lit(0).alias("sub_id"), F.lit(False).alias("delete_only"),
                 F.coalesce("after_hours", "p_after").alias("after_hours"),
                 F.coalesce("delete_delay_hours", "p_delay").alias("delay_hours"))
-        return subs.join(self.rule_tenants, ["policy_id", "rule_no"]).select(
-            "policy_id", "tenant_id", "sub_id", "delete_only", "after_hours",
-            F.coalesce("delay_hours", F.lit(0)).alias("delay_hours")).distinct()
+        by = ["policy_id", "sub_id", "delete_only", "after_hours", F.coalesce("delay_hours", F.lit(0)).alias("delay_hours"), "word"]
+        words = subs.join(self.rule_words, ["policy_id", "rule_no"]).groupBy(*by).agg(F.bit_or("bits").alias("bits"))
+        return expanded(words, "tenant_id").select(
+            "policy_id", F.col("tenant_id").cast("int").alias("tenant_id"), "sub_id", "delete_only", "after_hours", "delay_hours")
 
     @cached_property
     def settings(self) -> DataFrame:

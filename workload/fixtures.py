@@ -52,6 +52,9 @@ POLICY_TEMPLATES = [
     'ALL',
     '#deleted_tenants#',
     'active_tenants',
+    '[{"tenants": ["NATION_%N", "*_1*"], "exclude": ["NATION_11"], "after_hours": %H, "delete_delay_hours": 24}, {"tenants": "#OTHER_TENANTS#", "after_hours": 30}]',
+    '[{"tenants": "#DELETED_TENANTS#", "after_hours": %H, "exclude": "NATION_%N"}, {"tenants": "NATION_%N", "disabled": true}]',
+    '[{"tenants": ["NATION_%N", 3], "after_hours": 10}, {"tenants": [3, "NATION_4"], "after_hours": 20, "keep": 1}]',
 ]
 
 
@@ -59,6 +62,14 @@ def _values(rows) -> str:
     return ", ".join(f"({i}, '{doc}')" for i, doc in enumerate(rows))
 
 
+def _reworded(rule: str, names: tuple[str, ...]) -> str:
+    """SQL for a document with another name of the sub-rules and other sub-keys in place of log levels."""
+    sql = f"""REPLACE(doc, '"levels"', '"{rule}"')"""
+    for old, new in zip(("trace", "debug", "info", "warn", "error"), names):
+        sql = f"""REPLACE({sql}, '"{old}"', '"{new}"')"""
+    return sql
+
+
 VIEWS = {
     "tenants": "SELECT n_nationkey AS tenant_id, n_name AS name, (n_regionkey = 4) AS is_deleted FROM $nation",
     "tenants_active": "SELECT tenant_id, name, (tenant_id % 3 <> 0) AS is_active, is_deleted FROM $tenants",
@@ -126,6 +137,17 @@ VIEWS = {
                  WHEN '#DELETED_TENANTS#' THEN '[{"tenants": "#DELETED_TENANTS#", "levels": [{"archive": "all"}]}]'
                  ELSE doc END AS doc
         FROM $policies_raw""",
+    # the same documents in the words of the other entities
+    **{f"policies_{name}": f"""
+        SELECT policy_id, after_hours, delay_hours, {doc} AS doc
+        FROM (SELECT r.policy_id, r.after_hours, r.delay_hours, CASE UPPER(r.doc)
+                 WHEN 'ALL' THEN '[{{"tenants": "#ACTIVE_TENANTS#"{tail}}}, {{"tenants": "#DELETED_TENANTS#"{tail}}}]'
+                 WHEN 'ACTIVE_TENANTS' THEN '[{{"tenants": "#ACTIVE_TENANTS#"{tail}}}]'
+                 WHEN '#DELETED_TENANTS#' THEN '[{{"tenants": "#DELETED_TENANTS#"{tail}}}]' ELSE r.doc END AS doc FROM $policies_raw r)"""
+       for name, doc, tail in (
+           ("jobs", _reworded("states", ("faulted", "successful", "stopped", "suspended", "resumed")), ', "levels": [{"archive": "all"}]'),
+           ("queues", _reworded("status", ("failed", "successful", "abandoned", "retried", "deleted")), ', "levels": [{"archive": "all"}]'),
+           ("plain", "doc", ""))},
     # --- settings and stored windows for planning: one trigger per order -------------
     "trigger_settings": """
         SELECT l.l_orderkey AS trigger_id, o.o_orderdate AS trigger_time, CAST(l.l_suppkey % 25 AS INT) AS tenant_id,

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ebbline.entities import AUDIT_LOGS, LOGS
+from ebbline.entities import AUDIT_LOGS, JOBS, LICENCE_LOGS, LOGS, QUEUE_ITEMS, Entity
 from ebbline.functions.lookups import level_id
-from ebbline.plans.policy import PolicyCompiler, compile_policies, expand_keywords, split_tenant_list
+from ebbline.plans.policy import PolicyCompiler, expand_keywords, split_tenant_list
 from ebbline.session import work_dir
 from workload.registry import query
 
@@ -97,7 +97,7 @@ ORACLE_CTES = {
             COALESCE(s.delete_delay_hours, r.delete_delay_hours, p.delay_hours) AS d
         FROM sub_settings s JOIN rule_settings r USING (policy_id, rule_no) JOIN $policies p USING (policy_id) WHERE NOT s.disabled""",
     "violations": """
-        SELECT policy_id, 0 AS rule_no, NULL::INT AS sub_no, 'JSON' AS code, 'array of objects expected' AS detail FROM j_docs d
+        SELECT policy_id, 0 AS rule_no, NULL::INT AS sub_no, 'JSON' AS code, 'no array of rules' AS detail FROM j_docs d
         WHERE d.j IS NULL OR json_type(d.j) <> 'ARRAY' OR json_array_length(d.j) = 0
         UNION ALL SELECT policy_id, rule_no, NULL, 'J0', kind FROM j_items JOIN j_kinds USING (t) WHERE t <> 'OBJECT'
         UNION ALL SELECT DISTINCT policy_id, rule_no, NULL, 'J1', key FROM live
@@ -148,10 +148,28 @@ ORACLE_CTES = {
 _DEPENDS = list(ORACLE_CTES)
 
 
-def policy_oracle(select: str, last: str) -> str:
+def _ctes_of(entity: Entity, policies: str) -> dict[str, str]:
+    """The CTEs in the words of an entity, over its view of the documents."""
+    rows = ", ".join(f"({i}, '{n}')" for i, n in entity.sub_names) or "(0, 'none')"
+    out = {}
+    for name, sql in ORACLE_CTES.items():
+        sql = sql.replace("$policies", f"${policies}")
+        if not entity.sub_rule:
+            sql = sql.replace("('tenants'), ('levels')) m(k)", "('tenants')) m(k)")
+        out[name] = sql.replace("'levels'", f"'{entity.sub_rule or '-'}'")
+    out["level_names"] = f"SELECT * FROM (VALUES {rows}) d(sub_id, sub_name)"
+    if not entity.sub_rule:
+        out["compiled"] = f"""SELECT DISTINCT r.policy_id, t.tenant_id, 0 AS sub_id, false AS delete_only, COALESCE(r.after_hours, p.after_hours) AS after_hours,
+            COALESCE(r.delete_delay_hours, p.delay_hours, 0) AS delay_hours
+        FROM rule_settings r JOIN ${policies} p USING (policy_id) JOIN rule_tenants t USING (policy_id, rule_no)
+        WHERE NOT r.disabled AND NOT EXISTS (SELECT 1 FROM violations v WHERE v.policy_id = r.policy_id)"""
+    return out
+
+
+def policy_oracle(select: str, last: str, entity: Entity = LOGS, policies: str = "policies") -> str:
     """The CTEs up to ``last`` (they are in dependency order) and the select."""
-    used = _DEPENDS[:_DEPENDS.index(last) + 1]
-    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({ORACLE_CTES[n]})" for n in used) + "\n" + select
+    used, ctes = _DEPENDS[:_DEPENDS.index(last) + 1], _ctes_of(entity, policies)
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({ctes[n]})" for n in used) + "\n" + select
 
 
 def compiler(t, staged: bool = False) -> PolicyCompiler:
@@ -215,15 +233,37 @@ def policy_compiled(t):
     return compiler(t, staged=True).settings
 
 
-@query("""
-    SELECT p.policy_id, t.tenant_id, 0 AS sub_id, false AS delete_only, p.after_hours, COALESCE(p.delay_hours, 0) AS delay_hours
-    FROM $policies_raw p JOIN $tenants t ON UPPER(p.doc) = 'ALL'
-         OR (UPPER(p.doc) = 'ACTIVE_TENANTS' AND NOT t.is_deleted) OR (UPPER(p.doc) = '#DELETED_TENANTS#' AND t.is_deleted)
-    WHERE UPPER(p.doc) IN ('ALL', 'ACTIVE_TENANTS', '#DELETED_TENANTS#')""")
-def policy_compiled_audit(t):
-    """An entity without sub-keys: every document is compiled, and the violations reject those with ``levels``."""
-    policies = expand_keywords(t.policies_raw, AUDIT_LOGS)
-    return compile_policies(policies, t.tenants, AUDIT_LOGS)
+def compiler_of(t, entity: Entity, policies: str) -> PolicyCompiler:
+    return PolicyCompiler(getattr(t, policies), t.tenants, entity, work_dir(t.spark, "policy"))
+
+
+def _register(entity: Entity, short: str, policies: str) -> None:
+    """``policy_compiled_<entity>`` and ``policy_errors_<entity>``: every document compiled, or rejected with its violations."""
+    def compiled(t):
+        return compiler_of(t, entity, policies).settings
+
+    def errors(t):
+        return compiler_of(t, entity, policies).violations
+
+    compiled.__name__, errors.__name__ = f"policy_compiled_{short}", f"policy_errors_{short}"
+    query(policy_oracle("SELECT * FROM compiled", "compiled", entity, policies))(compiled)
+    query(policy_oracle("SELECT policy_id, rule_no, sub_no, code, detail FROM violations", "violations", entity, policies))(errors)
+
+
+_register(JOBS, "jobs", "policies_jobs")
+_register(QUEUE_ITEMS, "queues", "policies_queues")
+_register(AUDIT_LOGS, "audit", "policies_plain")
+_register(LICENCE_LOGS, "licence", "policies_plain")
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{e.name}' AS entity, k.policy_id, k.rule_no, k.sub_no, k.action, k.sub_id FROM ({policy_oracle('SELECT * FROM sub_keys', 'sub_keys', e, p)}) k"
+    for e, p in ((JOBS, "policies_jobs"), (QUEUE_ITEMS, "policies_queues"))))
+def policy_subkeys_of_states(t):
+    """Names and numbers of job states and queue statuses through their dictionaries."""
+    parts = [PolicyCompiler(getattr(t, p), t.tenants, e).sub_keys.select(F.lit(e.name).alias("entity"), "policy_id", "rule_no", "sub_no", "action", "sub_id")
+             for e, p in ((JOBS, "policies_jobs"), (QUEUE_ITEMS, "policies_queues"))]
+    return parts[0].unionByName(parts[1])
 
 
 @query("""
