@@ -39,6 +39,10 @@ def _runs(pattern: Column) -> Column:
     return F.filter(F.split(pattern, "[%_]+"), lambda x: x != "")
 
 
+def _grams_of_runs(pattern: Column, size: int) -> Column:
+    return F.array_distinct(F.flatten(F.transform(_runs(pattern), lambda run: _grams(run, size))))
+
+
 def _grams(text: Column, size: int) -> Column:
     """Distinct pieces of ``size`` characters."""
     places = F.when(F.length(text) >= size, F.sequence(F.lit(1), F.length(text) - (size - 1))).otherwise(F.array().cast("array<int>"))
@@ -56,7 +60,7 @@ def gram_candidates(patterns: DataFrame, names: DataFrame, name: str) -> DataFra
     size = F.least(F.coalesce(longest, F.lit(0)), F.lit(3))
     pieces = F.when(size == 0, F.array(F.lit("")))
     for n in (1, 2, 3):
-        pieces = pieces.when(size == n, F.array_distinct(F.flatten(F.transform(_runs(F.col("pattern")), lambda r, n=n: _grams(r, n)))))
+        pieces = pieces.when(size == n, _grams_of_runs(F.col("pattern"), n))
     low = F.lower(F.col(name))
     filed = names.withColumn("_gram", F.explode(F.concat(F.array(F.lit("")), *[_grams(low, n) for n in (1, 2, 3)])))
     held = filed.groupBy("_gram").agg(F.count(F.lit(1)).alias("_held"))

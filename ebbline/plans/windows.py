@@ -104,7 +104,7 @@ def repeat_chain(triggers: DataFrame, now) -> DataFrame:
         .select(F.col("trigger_id").alias("root_id"), "repeat_hours", "repeat_until", F.posexplode(F.sequence(first, end, step)).alias("pos", "trigger_time"))
         .where(F.col("trigger_time") < ts_ntz(now))
         .select("root_id", (F.col("pos") + 1).alias("repeat_no"), "trigger_time", "repeat_hours", "repeat_until",
-                ((F.col("trigger_time") + step) >= end).alias("is_last")))
+                ((F.col("trigger_time") + step > end) | (F.col("trigger_time") + step >= ts_ntz(now))).alias("is_last")))
 
 
 def chain_roots(triggers: DataFrame, written) -> DataFrame:
