@@ -21,6 +21,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -68,10 +69,10 @@ class WordEncoder:
 
     def _need(self, pieces: set[str]) -> None:
         """Make every piece known in the young generation."""
-        unknown = [p for p in pieces if p not in self.new]
+        unknown = pieces.difference(self.new)
         if unknown and len(self.new) > CACHED_PIECES:
             self.old, self.new = self.new, {}
-            unknown = list(pieces)
+            unknown = pieces
         learn = []
         for piece in unknown:
             known = self.old.get(piece)
@@ -79,9 +80,9 @@ class WordEncoder:
                 learn.append(piece)
             else:
                 self.new[piece] = known
-        for at in range(0, len(learn), 2048):
-            some = learn[at:at + 2048]
-            ids = np.array(self.pieces.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+        for at in range(0, len(learn), 256):
+            some = learn[at:at + 256]
+            ids = np.array(self.pieces.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, dtype="<u4")
             cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4  # a piece ends with the only token that ends a word
             if len(cuts) != len(some):
                 self.new.update((w, self._plain(w)) for w in some)
@@ -101,6 +102,12 @@ class WordEncoder:
         return out
 
 
+@cache
+def worker_encoder(path: str) -> WordEncoder:
+    """One encoder for each Python worker: what it has learned serves the later tasks of the worker."""
+    return WordEncoder(path)
+
+
 def _filesystem(path: str):
     from pyarrow import fs
 
@@ -219,7 +226,7 @@ def write_tokens(spark: SparkSession, docs: DataFrame, tokenizer: str, end_id: i
             if writer is None:
                 system, name = _filesystem(path)
                 system.create_dir(name.rsplit("/", 1)[0], recursive=True)
-                encoder, writer = WordEncoder(tokenizer), ShardWriter(system.open_output_stream(name, compression=None), frame_tokens, level)
+                encoder, writer = worker_encoder(tokenizer), ShardWriter(system.open_output_stream(name, compression=None), frame_tokens, level)
             ids = [None if pd.isna(i) else int(i) for i in batch.doc_id]
             texts = [None if t is None or t != t else t for t in batch.text]
             for doc_id, tokens in zip(ids, encoder.encode(texts)):
