@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,26 @@ def stage(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of at most ``rows`` rows for what is written inside: rows with arrays or whole texts are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def discard(spark: SparkSession, *tables: DataFrame) -> None:
+    """Remove written tables that nothing reads any more, their successors being written."""
+    for table in tables:
+        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def numbered(spark: SparkSession, df: DataFrame, purpose: str, name: str = "row_id") -> DataFrame:
     """``stage`` with a row number that is written, and so never changes when a task is run again."""
     return stage(spark, df.withColumn(name, F.monotonically_increasing_id()), purpose)
@@ -63,7 +85,8 @@ def components(spark: SparkSession, edges: DataFrame, purpose: str = "components
         large = star(both(current)).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
         linked = star(large)
         small_star = linked.select("b", "m").union(linked.select(F.col("a").alias("b"), "m")).where("b <> m").distinct()
-        current = stage(spark, small_star.select(F.col("b").alias("a"), F.col("m").alias("b")), purpose)
+        last, current = current, stage(spark, small_star.select(F.col("b").alias("a"), F.col("m").alias("b")), purpose)
+        discard(spark, last)
         now = current.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

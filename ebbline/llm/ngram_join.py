@@ -22,11 +22,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbline.llm.common import components, numbered, small, stage
+from ebbline.llm.common import batches_of, components, discard, numbered, small, stage
 
 COUNT_BITS = 18
 BLOCKS = 8
-LOW_BLOCKS = 2
+LOW_BLOCKS = 1
+BATCH_ROWS = 512
 BLOCK_SHIFT = np.uint64(61)
 MIX = np.uint64(0x9E3779B97F4A7C15)
 COLUMN = np.uint64((1 << COUNT_BITS) - 1)
@@ -94,7 +95,8 @@ def column_counts(docs: DataFrame, n: int) -> np.ndarray:
             yield pd.DataFrame({"place": some, "n": total[some]})
 
     counts = np.zeros(2 * size, np.int64)
-    table = _texts(docs).select("raw").mapInPandas(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        table = _texts(docs).select("raw").mapInPandas(count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     counts[table["place"].to_numpy()] = table["n"].to_numpy()
     return counts.reshape(2, size)
 
@@ -135,7 +137,8 @@ def incidence(spark: SparkSession, docs: DataFrame, n: int, t: int) -> DataFrame
                 out.append((doc_id, key, hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None, len(s), first.view(np.int64)))
             yield pd.DataFrame(out, columns=["doc_id", "text_key", "cls", "m", "head"]).astype({"doc_id": "Int64"})
 
-    return stage(spark, _texts(docs).mapInPandas(rows, "doc_id long, text_key long, cls string, m int, head array<long>"), "incidence")
+    with batches_of(spark, BATCH_ROWS):
+        return stage(spark, _texts(docs).mapInPandas(rows, "doc_id long, text_key long, cls string, m int, head array<long>"), "incidence")
 
 
 def class_sets(docs: DataFrame, n: int, classes: DataFrame, rows: int) -> DataFrame:
@@ -197,7 +200,8 @@ def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Da
     """
     asked = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     asked = stage(spark, classes.join(asked, "cls", "left_semi"), "asked")
-    sets = stage(spark, class_sets(docs, n, asked, asked.count()), "sets")
+    with batches_of(spark, BATCH_ROWS):
+        sets = stage(spark, class_sets(docs, n, asked, asked.count()), "sets")
 
     def part(name: str, first: int, last: int):
         def check(batches):
@@ -215,12 +219,15 @@ def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: Da
 
         def run(some: DataFrame) -> DataFrame:
             both = some.join(side("a", "sx", "x"), "a").join(side("b", "sy", "y"), "b")
-            return stage(spark, both.mapInPandas(check, "a long, b long, count long, past_x long, past_y long"), f"pairs_{name}")
+            with batches_of(spark, BATCH_ROWS):
+                return stage(spark, both.mapInPandas(check, "a long, b long, count long, past_x long, past_y long"), f"pairs_{name}")
 
         return run
 
     begun = pairs.select("a", "b", *[F.lit(0).cast("long").alias(c) for c in ("count", "past_x", "past_y")])
-    return part("high", LOW_BLOCKS, BLOCKS)(part("low", 0, LOW_BLOCKS)(begun)).select("a", "b")
+    found = part("high", LOW_BLOCKS, BLOCKS)(part("low", 0, LOW_BLOCKS)(begun)).select("a", "b")
+    discard(spark, asked, sets)
+    return found
 
 
 def _bounded(x: str, y: str, t: int) -> F.Column:
@@ -252,6 +259,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, n: int = 5, t: int = 80) ->
 
     first = lists.select("col", F.struct("cls", "m", "place").alias("x"), F.col("hub").alias("y")).where(
         (F.col("x.cls") != F.col("y.cls")) & _bounded("x", "y", t))
+    discard(spark, shared, posted)
     pairs = stage(spark, first.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct(), "pairs")
     links = verified(spark, docs, keys, pairs, n, t)
     labels = components(spark, links)
@@ -259,11 +267,14 @@ def ngram_join(spark: SparkSession, docs: DataFrame, n: int = 5, t: int = 80) ->
         labels.select(F.col("node").alias("__hub"), F.col("component").alias("hub_component")), F.col("hub.cls") == F.col("__hub"), "left").select(
         "col", "cls", "m", "place", F.coalesce("component", "cls").alias("component"), F.coalesce("hub_component", "hub.cls").alias("hub_component")), "named")
 
+    discard(spark, lists)
     x, y = named.where("component <> hub_component").alias("x"), named.alias("y")
     apart = (F.col("x.component") != F.col("y.component")) & ((F.col("y.component") == F.col("y.hub_component")) | (F.col("x.cls") < F.col("y.cls")))
     crossed = x.join(y, (F.col("x.col") == F.col("y.col")) & apart & _bounded("x", "y", t))
     more = crossed.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = verified(spark, docs, keys, stage(spark, more, "pairs"), n, t)
+    more = stage(spark, more, "pairs")
+    discard(spark, named, pairs)
+    more = verified(spark, docs, keys, more, n, t)
     labels = components(spark, links.union(more))
 
     reached = classes.select("digest", "cls", "least_id").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
