@@ -139,9 +139,18 @@ def log_run(store: Store, run_id: str, kind: str, started: str, messages: list[t
     write_run(spark.createDataFrame(rows, "seq int, severity int, message string"), store.root, "messages", run_id)
 
 
-def add_trigger(store: Store, previous_run: str, run_id: str, trigger_id: int, trigger_time: str, settings: DataFrame) -> None:
-    """Plan the windows of a new trigger from compiled settings and add them to the control tables."""
+def add_trigger(store: Store, previous_run: str, run_id: str, trigger_id: int, trigger_time: str, settings: DataFrame,
+                violations: DataFrame | None = None) -> bool:
+    """Plan the windows of a new trigger from compiled settings and add them to the control tables.
+
+    A policy with violations stops the trigger: its row is stored as an error, without windows, and the run's log says
+    which codes. Returns whether the trigger was planned.
+    """
     spark = store.spark
+    codes = sorted(r.code for r in violations.select("code").distinct().collect()) if violations is not None else []  # a few fixed codes
+    if codes:
+        settings = settings.limit(0)
+        log_run(store, run_id, f"Add trigger {store.entity.name}", trigger_time, [(16, f"policy has violations: {', '.join(codes)}")], status=1)
     windows, groups, triggers = (store.control(n, previous_run) for n in ("windows", "groups", "triggers"))
     timed = settings.withColumn("trigger_id", F.lit(trigger_id).cast("bigint")).withColumn("trigger_time", ts_ntz(trigger_time))
     new = plan_windows(plan_dates(timed), windows)
@@ -156,11 +165,12 @@ def add_trigger(store: Store, previous_run: str, run_id: str, trigger_id: int, t
                                  *[null_id.alias(c) for c in ("first_id", "last_id", "id_count")])
     new_trigger = spark.createDataFrame([(trigger_id,)], "trigger_id bigint").select(
         "trigger_id", ts_ntz(trigger_time).alias("trigger_time"),
-        *[F.lit(False).alias(c) for c in ("is_archived", "is_finished", "is_dry_run", "is_error")])
+        *[F.lit(False).alias(c) for c in ("is_archived", "is_finished", "is_dry_run")], F.lit(bool(codes)).alias("is_error"))
     write_run(windows.unionByName(new_windows), store.root, "windows", run_id)
     write_run(groups.unionByName(new_groups), store.root, "groups", run_id)
     write_run(triggers.unionByName(new_trigger, allowMissingColumns=True), store.root, "triggers", run_id)
     store.carry(previous_run, run_id, *CONTROL)
+    return not codes
 
 
 def simple_archive_run(store: Store, tenants: DataFrame, previous_run: str, run_id: str, now: str, trigger_id: int, *,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ebbline.entities import LOGS, QUEUE_ITEMS
 from ebbline.operators import purge as p
-from ebbline.plans.jobs import Store, acknowledge_run, archive_run, purge_run, simple_archive_run
+from ebbline.plans.jobs import Store, acknowledge_run, add_trigger, archive_run, purge_run, simple_archive_run
 from ebbline.sources.store import read_run, read_table, write_run
 
 NOW = "2024-01-31 00:00:00"
@@ -191,3 +191,16 @@ def test_simple_archive(spark, views, store):
 def test_simple_archive_needs_one_kind_of_date(views, store):
     with pytest.raises(ValueError):
         simple_archive_run(store, views.tenants, "0", "1", NOW, 3)
+
+
+def test_violations_stop_a_trigger(spark, views, store):
+    settings = spark.createDataFrame([(1, 4, False, 24, 0)], "tenant_id int, sub_id int, delete_only boolean, after_hours int, delay_hours int")
+    found = spark.createDataFrame([(1, "J2"), (1, "T1"), (2, "J2")], "policy_id int, code string")
+    before = store.control("windows", "0").count()
+    assert not add_trigger(store, "0", "bad", 77, NOW, settings, found)
+    assert store.control("windows", "bad").count() == before
+    assert [r.is_error for r in store.control("triggers", "bad").where("trigger_id = 77").collect()] == [True]
+    assert [(r.severity, r.message) for r in read_run(spark, store.root, "messages", "bad").collect()] == [(16, "policy has violations: J2, T1")]
+    assert add_trigger(store, "0", "good", 78, NOW, settings, found.limit(0))
+    assert [r.is_error for r in store.control("triggers", "good").where("trigger_id = 78").collect()] == [False]
+    assert store.control("windows", "good").count() == before + 1

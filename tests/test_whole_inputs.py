@@ -10,5 +10,6 @@ def test_purge_takes_its_ledger_from_the_entity(spark):
     held = SimpleNamespace(queue_items=ids("id", [2, 3, 4, 6, 12, 18]), queue_item_events=ids("queue_item_id", [2, 2, 4, 18]),
                            queue_item_comments=ids("queue_item_id", [3, 6]), orders=ids("o_orderkey", []))
     left = {(r.table_name, r.id) for r in purge.purge_queues(held).collect()}
-    assert left == {("queue_items", 4), ("queue_items", 6), ("queue_items", 18), ("queue_item_events", 4),
-                    ("queue_item_events", 18), ("queue_item_comments", 6)}
+    # 4, 6 and 18 are not listed or not due; 2 is the first id of group 2, which the earlier run had reached
+    assert left == {("queue_items", 2), ("queue_items", 4), ("queue_items", 6), ("queue_items", 18), ("queue_item_events", 2),
+                    ("queue_item_events", 4), ("queue_item_events", 18), ("queue_item_comments", 6)}

@@ -277,6 +277,18 @@ def window_close(t):
         "group_id", "tenant_id", "sub_id", "current_id", "target_id", "is_archived")
 
 
+@query(f"""WITH {OPEN}, mark AS (SELECT MAX(id) AS m, MIN(id) + 100 AS n FROM $logs)
+    SELECT x.group_id, x.tenant_id, x.sub_id, CASE WHEN b.group_id IS NOT NULL THEN (SELECT n FROM mark) ELSE x.current_id END AS current_id,
+           CASE WHEN b.group_id IS NOT NULL THEN (SELECT m FROM mark) ELSE x.target_id END AS target_id, x.is_archived
+    FROM $c_window_rows x LEFT JOIN batch b ON b.group_id = x.group_id AND b.tenant_id = x.tenant_id AND b.sub_id = x.sub_id""")
+def window_advance(t):
+    """After a slice the windows of the batch stay open, with their cursor at the next id."""
+    windows = t.store("c_window_rows")
+    batch = s.open_windows(windows, t.c_groups, t.c_triggers, BATCH_NOW)
+    reached, first = t.logs.agg(F.max("id"), F.min("id")).first()
+    return a.advance_windows(windows, batch, reached, first + 100).select("group_id", "tenant_id", "sub_id", "current_id", "target_id", "is_archived")
+
+
 @query("""
     SELECT g.group_id, g.trigger_id, true AS is_archived, COUNT(l.id) = 0 AS is_deleted, COUNT(l.id) = 0 AS is_synced,
            MIN(l.id) AS first_id, MAX(l.id) AS last_id, COUNT(l.id) AS id_count

@@ -74,7 +74,8 @@ def purge_logs(t):
 def _cascade(t, entity: str, children: list[tuple[str, str]]):
     """Survivors per table when the due groups of a ledger of the entity's rows are purged; counts per parent id."""
     ledger = getattr(t, entity).where(F.col("id") % 3 != 1).select((F.col("id") % 10).alias("group_id"), "id")
-    gone = _purged(ledger, F.col("group_id") < 6, F.lit(None))
+    # a run that was cut short had deleted the first id of group 2; group 4 was begun without deleting any
+    gone = _purged(ledger, F.col("group_id") < 6, F.when(F.col("group_id") == 2, F.col("first_id")))
     tables = [(entity, "id")] + children
     parts = [
         survivors(getattr(t, name), gone, key, "id").groupBy(F.col(key).alias("id")).agg(F.count(F.lit(1)).alias("row_count"))
@@ -82,8 +83,10 @@ def _cascade(t, entity: str, children: list[tuple[str, str]]):
     return reduce(DataFrame.unionByName, parts)
 
 
-def _cascade_sql(tables: list[tuple[str, str]]) -> str:
-    gone = "SELECT o_orderkey FROM $orders WHERE o_orderkey % 3 <> 1 AND o_orderkey % 10 < 6"
+def _cascade_sql(tables: list[tuple[str, str]], source: str = "$orders", key: str = "o_orderkey") -> str:
+    listed = f"{key} % 3 <> 1 AND {key} % 10"
+    gone = f"""SELECT {key} FROM {source} WHERE {listed} < 6
+        AND NOT ({key} % 10 = 2 AND {key} <= (SELECT MIN({key}) FROM {source} WHERE {listed} = 2))"""
     return " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, {key} AS id, COUNT(*) AS row_count FROM ${name} WHERE {key} NOT IN ({gone}) GROUP BY {key}"
         for name, key in tables)
@@ -104,6 +107,11 @@ def purge_jobs(t):
     return _cascade(t, "jobs", [])
 
 
+@query(_cascade_sql([("robot_license_logs", "id")], "$events", "event_id"))
+def purge_licence(t):
+    return _cascade(t, "robot_license_logs", [])
+
+
 @query(f"""WITH {RESUME}
     SELECT r.group_id, r.resume_id AS first_id, COALESCE(MAX(l.id), MAX(r.reached_id)) AS last_id, COUNT(l.id) AS purged, true AS is_deleted
     FROM resume r LEFT JOIN $c_ledger l ON l.group_id = r.group_id AND l.id >= r.resume_id GROUP BY r.group_id, r.resume_id""")
