@@ -257,19 +257,20 @@ VIEWS = {
                @'2024-01-02 00:00:00' + INTERVAL '1' MINUTE * CAST(FLOOR(event_id / 5) * 25 + 25 AS INT) AS target_ts,
                CASE WHEN event_id < 5 THEN CAST(2000 AS BIGINT) END AS last_id
         FROM $events""",
-    # --- two generations of windows of the entities with a late branch: the closed one had reached the middle of the ids of its key
+    # --- two generations of windows of the entities with a late branch: the closed one had reached the middle
+    # of the ids of its key, of licence logs (whose ids follow time) the first sixteenth
     **{f"{name}_generations": f"""
         SELECT 1 AS trigger_id, {group} AS group_id, tenant_id, {sub} AS sub_id, tenant_id % 5 = 0 AS delete_only, tenant_id % 2 = 0 AS no_delay,
                @'1900-01-01 00:00:00' AS previous_ts, @'{previous}' AS target_ts, true AS is_archived,
-               CAST(FLOOR(AVG(id)) AS BIGINT) AS current_id, CAST(FLOOR(AVG(id)) AS BIGINT) AS target_id
+               CAST(FLOOR(AVG(id) / {part}) AS BIGINT) AS current_id, CAST(FLOOR(AVG(id) / {part}) AS BIGINT) AS target_id
         FROM ${name} GROUP BY {by}
         UNION ALL
         SELECT 2, {group + 1}, tenant_id, {sub}, tenant_id % 5 = 0, tenant_id % 2 = 0, @'{previous}', @'{target}', false,
                CASE WHEN tenant_id % 4 = 0 THEN CAST(FLOOR(AVG(id) / 2) AS BIGINT) END, CASE WHEN tenant_id % 4 = 0 THEN MAX(id) - 10 END
         FROM ${name} GROUP BY {by}"""
-       for name, sub, by, group, previous, target in (
-           ("jobs", "state_id", "tenant_id, state_id", 70, "1996-01-01 00:00:00", "1998-01-01 00:00:00"), ("audit_logs", "0", "tenant_id", 80, "1996-01-01 00:00:00", "1997-01-01 00:00:00"),
-           ("robot_license_logs", "0", "tenant_id", 90, "2024-01-05 00:00:00", "2024-01-15 00:00:00"))},
+       for name, sub, by, group, part, previous, target in (
+           ("jobs", "state_id", "tenant_id, state_id", 70, 1, "1996-01-01 00:00:00", "1998-01-01 00:00:00"), ("audit_logs", "0", "tenant_id", 80, 1, "1996-01-01 00:00:00", "1997-01-01 00:00:00"),
+           ("robot_license_logs", "0", "tenant_id", 90, 8, "2024-01-05 00:00:00", "2024-01-15 00:00:00"))},
     # --- request tables ---------------------------------------------------------------
     "cutoff_request_rows": """
         SELECT o_orderkey AS request_id,
