@@ -153,9 +153,13 @@ def class_sets(docs: DataFrame, n: int, classes: DataFrame, rows: int) -> DataFr
                 out.append((c, len(s), s[:cut].view(np.int64), s[cut:].view(np.int64)))
             yield pd.DataFrame(out, columns=["cls", "size", "low", "high"])
 
-    keys = small(classes.select("cls", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")), rows, 200_000)
+    keys = small(classes.select("cls", F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "repeated"), rows, 200_000)
     held = _texts(docs).join(keys, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")))
-    return held.select("cls", "raw").dropDuplicates(["cls"]).mapInPandas(rows_of, "cls long, size int, low array<long>, high array<long>")
+    # Only rows that share id and text need a shuffle to leave one of them.
+    texts = held.where("not repeated").select("cls", "raw")
+    if classes.where("repeated").limit(1).count():
+        texts = texts.union(held.where("repeated").select("cls", "raw").dropDuplicates(["cls"]))
+    return texts.mapInPandas(rows_of, "cls long, size int, low array<long>, high array<long>")
 
 
 def accumulate(xs: list[np.ndarray], ys: list[np.ndarray], count: np.ndarray, need: np.ndarray, left_x: np.ndarray, left_y: np.ndarray,
@@ -245,17 +249,24 @@ def ngram_join(spark: SparkSession, docs: DataFrame, n: int = 5, t: int = 80) ->
     Repeated rows and equal texts are one class. A null id stays null and is passed over as smallest id,
     unless nothing else is in reach. Other columns are ignored; an empty table gives no rows.
     """
-    rows = incidence(spark, docs, n, t)
-    classes = numbered(spark, rows.where("cls is not null").groupBy("cls").agg(
+    whole = incidence(spark, docs, n, t)
+    heads = numbered(spark, whole.where("cls is not null").groupBy("cls").agg(
         F.min(F.struct(F.col("doc_id"), F.col("text_key"))).alias("one"), F.min("doc_id").alias("least_id"), F.first("m").alias("m"), F.first("head").alias("head"),
     ).select(F.col("cls").alias("digest"), "one.*", "least_id", "m", "head"), "classes", "cls")
-    posted = classes.select("cls", "m", F.posexplode("head").alias("place", "col"))
+    # The columns are read from the classes only, and once: what stays on disk is narrow.
+    rows = stage(spark, whole.drop("head"), "rows")
+    discard(spark, whole)
+    again = rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.lit(True).alias("repeated"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key"))
+    classes = stage(spark, heads.drop("head").join(again, same, "left").drop("__id", "__key").withColumn("repeated", F.col("repeated").isNotNull()), "keys")
+    posted = heads.select("cls", "m", F.posexplode("head").alias("place", "col"))
     # Columns are counted alone first, so that the many that one class holds travel as two numbers and no further.
     shared = stage(spark, posted.groupBy("col").agg(F.count("*").alias("n")).where("n > 1").select("col"), "shared_columns")
     posted = stage(spark, posted.join(small(shared, shared.count()), "col"), "postings")
+    discard(spark, heads)
     hubs = posted.groupBy("col").agg(F.min(F.struct("place", "m", "cls")).alias("hub"))
     lists = stage(spark, posted.join(hubs, "col"), "lists")
-    keys = classes.select("cls", "doc_id", "text_key")
+    keys = classes.select("cls", "doc_id", "text_key", "repeated")
 
     first = lists.select("col", F.struct("cls", "m", "place").alias("x"), F.col("hub").alias("y")).where(
         (F.col("x.cls") != F.col("y.cls")) & _bounded("x", "y", t))
