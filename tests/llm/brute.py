@@ -1,9 +1,12 @@
 """Plain-Python versions of the contracts, for small tables."""
 
 import hashlib
+import math
+import operator
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 
@@ -127,11 +130,15 @@ def tokens(docs, path):
 
 
 def top_k(rows, k=5, every=50):
-    fine = [(i, np.floor(256 * np.array(v, float)).astype(int)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    def usable(i, v):
+        return i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+
+    fine = [(i, [math.floor(Fraction(float(x)) * 256) for x in v]) for i, v in rows if usable(i, v)]
     for a, (query, v) in enumerate(fine):
         if query % every == 0:
-            scored = sorted(((-int(v @ w), i) for b, (i, w) in enumerate(fine) if b != a and len(w) == len(v)))
-            yield from ((query, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k]))
+            scored = sorted(((-sum(map(operator.mul, v, w)), i) for b, (i, w) in enumerate(fine) if b != a and len(w) == len(v)))
+            yield from ((query, r + 1, i, -s if -(1 << 63) <= -s < 1 << 63 else None) for r, (s, i) in enumerate(scored[:k]))
+
 
 
 LEAST_DOCS = 30

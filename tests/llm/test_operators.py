@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 from collections import Counter
 
@@ -10,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ebbline.llm import common, decontaminate, language_id, line_dedup, mixing, ngram_join, pii, queries, rule_ensemble, token_files, topk, url_filters
+from tests.llm import brute
 
 
 def test_cuckoo_filter_inserts_and_deletes():
@@ -186,6 +188,32 @@ def test_top_k_beyond_doubles():
         assert [b[1:] for b in best if b[0] == q] == [(i, scores[i]) for i in order]
 
 
+def large_vectors():
+    draw = random.Random(11)
+    wide = [1e30, -1e30, 1.7e308, -1.7e308, 1e16, 2.0**55, 2.0**54 - 1, -(2.0**55)]
+    rows = [(i, [draw.choice(wide) if draw.random() < 0.3 else draw.gauss(0, 1), draw.gauss(0, 1)]) for i in range(60)]
+    at_bound = math.isqrt((1 << 62) // 2) / 256
+    rows += [(100 + i, [sign * (at_bound + step), at_bound]) for i, (sign, step) in enumerate(itertools.product((1, -1), (-1.0, 0.0, 1.0)))]
+    # Scores of exactly the least and the largest long, and one beyond either.
+    rows += [(200, [2.0**23, 2.0**-8, 0.0]), (201, [-(2.0**24), 0.0, 0.0]), (202, [-(2.0**24), -(2.0**-8), 0.0]), (203, [2.0**24, -(2.0**-8), 0.0]), (204, [2.0**24, 0.0, 0.0])]
+    rows += [(250 + i, [x * 2.0**8 for x in v]) for i, (_, v) in enumerate(rows[-5:])]
+    return rows + [(300, []), (301, []), (350, []), (352, None)]
+
+
+def test_top_k_of_components_of_any_size(spark):
+    rows = large_vectors()
+    got = topk.top_k(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5, every=5)
+    want = Counter(brute.top_k(rows, 5, 5))
+    assert Counter(map(tuple, got.collect())) == want and any(r[3] is None for r in want) and (300, 1, 301, 0) in want
+
+
+def test_top_k_of_long_vectors(spark):
+    draw = np.random.default_rng(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(draw.normal(size=(120, 1024)))]
+    got = topk.top_k(spark, spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=3, every=40)
+    assert Counter(map(tuple, got.collect())) == Counter(brute.top_k(rows, 3, 40))
+
+
 def test_rules_are_read_from_trees():
     tree = "T\n  If (feature 2 <= 0.5)\n   If (feature 1 > 3.0)\n    Predict: 1.0\n   Else (feature 1 <= 3.0)\n    Predict: 0.0\n  Else (feature 2 > 0.5)\n   Predict: 0.0\n"
     inf = float("inf")
