@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ebbline.llm.common import hash_share, held_out, stage
+from ebbline.llm.common import hash_share, held_out, small, stage
 
 STATISTICS = (
     "n_words", "word_length", "distinct_words", "repeated_next", "distinct_triples", "short_words", "upper", "digits", "marks",
@@ -116,12 +116,14 @@ class RuleEnsemble:
 
 
 def training_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: int = 7) -> DataFrame:
-    """Statistics and label of at most about ``max_rows`` labelled documents outside the held-out third, drawn by a hash of the id."""
-    usable = labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("double").alias("label")).where("__id is not null and label in (0, 1)").where(~held_out("__id"))
+    """Statistics and label of at most about ``max_rows`` labelled documents outside the held-out third, drawn by a hash of the id.
+
+    Repeated labels count once; an id with both labels keeps both. Rows of ``docs`` that share a drawn id are all taken.
+    """
+    usable = labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("double").alias("label")).where("__id is not null and label in (0, 1)").where(~held_out("__id")).distinct()
     share = max_rows / max(1, usable.count())
-    usable = usable.where(hash_share("__id", seed) < share)
-    # Bounded by max_rows, up to the spread of the draw and repeated ids.
-    rows = docs.select("doc_id", "text").join(F.broadcast(usable), F.col("doc_id") == F.col("__id"))
+    usable = stage(spark, usable.where(hash_share("__id", seed) < share), "quality_labels")
+    rows = docs.select("doc_id", "text").join(small(usable, usable.count()), F.col("doc_id") == F.col("__id"))
     return stage(spark, rows.select("label", statistics().alias("s")), "quality_sample")
 
 
@@ -145,7 +147,18 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int =
     return RuleEnsemble(float(fitted.intercept), tuple((r, float(w)) for r, w in zip(rules, weights) if w))
 
 
+def with_statistics(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with the statistics of its texts, and the name of that column, which no given column has."""
+    name, taken = "__statistics", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return docs.withColumn(name, statistics()), name
+
+
 def scored(docs: DataFrame, model: RuleEnsemble) -> DataFrame:
-    """``docs`` with ``score``; other columns stay. Null and empty texts are scored by their (zero) statistics."""
-    held = docs.withColumn("__statistics", statistics())
-    return held.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "score"], model.score("__statistics").alias("score"))
+    """``docs`` with ``score``; a given ``score``, in any case of letters, is replaced, all other columns stay.
+
+    Whole texts of any length are scored, null and empty ones by their (zero) statistics, repeated rows each; an empty table gives no rows.
+    """
+    held, name = with_statistics(docs)
+    return held.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "score"], model.score(name).alias("score"))

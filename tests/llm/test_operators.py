@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import math
 import random
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -220,6 +221,15 @@ def test_rules_are_read_from_trees():
     assert {r.bounds for r in rule_ensemble.rules_of(tree)} == {((2, -inf, 0.5),), ((2, 0.5, inf),), ((1, 3.0, inf), (2, -inf, 0.5)), ((1, -inf, 3.0), (2, -inf, 0.5))}
 
 
+def test_scores_beside_clashing_columns_and_repeated_labels(spark):
+    docs = spark.createDataFrame([(i, "good words " * (i + 1), "kept", "kept", 9.0) for i in range(12)], "doc_id long, text string, __statistics string, `a.b` string, Score double")
+    labels = spark.createDataFrame([(i % 4, i % 2) for i in range(40)], "doc_id long, quality int")
+    assert rule_ensemble.training_rows(spark, docs, labels).count() == sum(zlib.crc32(str(i).encode()) % 3 != 1 for i in range(4))
+    got = rule_ensemble.scored(docs, rule_ensemble.fit(spark, docs, labels))
+    assert got.columns == ["doc_id", "text", "__statistics", "a.b", "score"]
+    assert all(r["__statistics"] == r["a.b"] == "kept" and 0 <= r.score <= 1 for r in got.collect())
+
+
 def test_rules_are_filed_under_their_rarest_token(spark):
     tokens = spark.createDataFrame([("net",)] * 5 + [("example",)] * 9 + [("en",)] * 2, "token string")
     filed = {r.name: r.token for r in url_filters.indexed(spark, tokens, url_filters.RULES[:2]).collect()}
