@@ -6,15 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbline.llm import decontaminate, mixing, ngram_join, rule_ensemble, token_files
-from ebbline.llm.common import keep_copies, per_key, stage
+from ebbline.llm.common import docs_column, keep_copies, per_key, stage
 from ebbline.llm.queries import table, tokenizer_path
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the rule ensemble scores 0.5 or more; the ensemble is fitted on the labels of the stage's own input."""
     model = rule_ensemble.fit(spark, docs, table(spark, sf_dir, "labels"))
-    held = docs.withColumn("__statistics", rule_ensemble.statistics())
-    return held.where(model.score("__statistics") >= 0.5).select(*docs.columns)
+    held, name = rule_ensemble.with_statistics(docs)
+    return held.where(model.score(name) >= 0.5).select(*map(docs_column, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
