@@ -58,18 +58,18 @@ def expired_levels(source: DataFrame, entity: Entity, tenants: DataFrame, max_le
     return old.join(ids, entity.tenant, "left_semi")
 
 
-def preview(source: DataFrame, entity: Entity, cutoff) -> DataFrame:
+def preview(source: DataFrame, entity: Entity, cutoff, below_id=None) -> DataFrame:
     """Dry run: rows that would go, per day."""
     return (
-        removed(source, entity, cutoff)
+        removed(source, entity, cutoff, below_id)
         .groupBy(F.to_date(entity.time).alias("day"))
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(entity.name).alias("entity"), "day", "row_count")
     )
 
 
-def totals(source: DataFrame, entity: Entity, cutoff) -> DataFrame:
+def totals(source: DataFrame, entity: Entity, cutoff, below_id=None) -> DataFrame:
     """Rows removed and the last id among them."""
-    return removed(source, entity, cutoff).agg(
+    return removed(source, entity, cutoff, below_id).agg(
         F.count(F.lit(1)).alias("row_count"), F.max(entity.id).cast("string").alias("last_id"),
     ).select(F.lit(entity.name).alias("entity"), "row_count", "last_id")

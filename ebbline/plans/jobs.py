@@ -9,19 +9,22 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbline.entities import Entity
+from ebbline.entities import STATUS_CONTRACT, Entity
 from ebbline.functions.expressions import ts_ntz
 from ebbline.operators import archive as arc
+from ebbline.operators import cleanup
 from ebbline.operators.purge import ack_groups, acknowledged_status, due_groups, purge_finish, purge_ids, purge_status, resume_point
 from ebbline.operators.rollup import close_empty, group_rollup, trigger_rollup
 from ebbline.operators.selection import high_watermark, open_windows, select_rows, with_late_marker
 from ebbline.operators.sizing import budget_slices, profile_windows
 from ebbline.plans.policy import compile_policies, expand_keywords
 from ebbline.plans.requests import simple_retention_date
-from ebbline.plans.windows import plan_dates, plan_groups, plan_windows
+from ebbline.plans.windows import chain_roots, plan_counts, plan_dates, plan_groups, plan_windows, repeat_chain
+from ebbline.sources.archive_table import validate_objects
+from ebbline.sources.contract import contract_rows, contract_violations, schema_rows
 from ebbline.sources.store import read_run, read_table, run_label, run_path, write_run
 
 TAGS = ["trigger_id", "group_id", "delete_only", "no_delay", "is_late", "event_date"]
@@ -29,9 +32,14 @@ DATE, SOURCE = "event_date", "source"
 NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 LEDGER = "group_id bigint, id bigint, event_date date, run_id string"
 STATUS = "group_id bigint, is_deleted boolean, deleted_on timestamp_ntz, first_id bigint, last_id bigint"
-
-
-CONTROL = ("windows", "groups", "triggers")
+FLAGS = ", ".join(f"{c} boolean" for c in ("is_archived", "is_finished", "is_dry_run", "is_error"))
+CONTROL = {
+    "windows": "group_id bigint, tenant_id int, sub_id int, delete_only boolean, previous_ts timestamp_ntz, "
+               "target_ts timestamp_ntz, is_archived boolean, current_id bigint, target_id bigint",
+    "groups": "group_id bigint, trigger_id bigint, delete_after timestamp_ntz, is_archived boolean, is_deleted boolean, "
+              "is_synced boolean, first_id bigint, last_id bigint, id_count bigint",
+    "triggers": f"trigger_id bigint, trigger_time timestamp_ntz, {FLAGS}",
+}
 
 
 @dataclass(frozen=True)
@@ -41,19 +49,21 @@ class Store:
     The source tables are copy-on-write by date: the manifest of a run says which run wrote the
     files of each date, so a delete rewrites only the dates it touches. A child row lies under its
     parent's date. Every run leaves its full state under its id: manifests, control rows, status.
+    ``period`` makes the date the first day of a month or year, for tables with few rows a day.
     """
 
     spark: SparkSession
     root: str
     entity: Entity
+    period: str = "day"
 
     @property
     def tables(self) -> tuple[str, ...]:
         return (SOURCE, *(c.name for c in self.entity.children))
 
     def create(self, source: DataFrame, run_id: str, children: dict[str, DataFrame] | None = None, **control: DataFrame) -> None:
-        """First load: source and children by date, control tables ``windows``, ``groups``, ``triggers``."""
-        dated = source.withColumn(DATE, F.to_date(self.entity.time))
+        """First load: source and children by date, control tables ``windows``, ``groups``, ``triggers`` (empty where none is given)."""
+        dated = source.withColumn(DATE, F.to_date(F.date_trunc(self.period, self.entity.time)))
         days = dated.select(F.col(self.entity.id).alias("_parent"), DATE)
         for name in self.tables:
             rows = dated
@@ -64,8 +74,9 @@ class Store:
             write_run(rows, self.root, name, run_id, [DATE])
             self._write_manifest(name, None, run_id, None, rows)
         write_run(self.spark.createDataFrame([], STATUS), self.root, "status", run_id)
-        for name, df in control.items():
-            write_run(df, self.root, name, run_id)
+        for name, schema in CONTROL.items():
+            df = control.get(name)
+            write_run(self.spark.createDataFrame([], schema) if df is None else df, self.root, name, run_id)
 
     def source(self, run_id: str) -> DataFrame:
         return self.rows(SOURCE, run_id)
@@ -151,26 +162,89 @@ def add_trigger(store: Store, previous_run: str, run_id: str, trigger_id: int, t
     if codes:
         settings = settings.limit(0)
         log_run(store, run_id, f"Add trigger {store.entity.name}", trigger_time, [(16, f"policy has violations: {', '.join(codes)}")], status=1)
-    windows, groups, triggers = (store.control(n, previous_run) for n in ("windows", "groups", "triggers"))
-    timed = settings.withColumn("trigger_id", F.lit(trigger_id).cast("bigint")).withColumn("trigger_time", ts_ntz(trigger_time))
-    new = plan_windows(plan_dates(timed), windows)
+    new = spark.createDataFrame([(trigger_id,)], "trigger_id bigint").select(
+        "trigger_id", ts_ntz(trigger_time).alias("trigger_time"), F.lit(bool(codes)).alias("is_error"))
+    _plan(store, previous_run, run_id, new, settings.withColumn("trigger_id", F.lit(trigger_id).cast("bigint")))
+    return not codes
+
+
+def _plan(store: Store, previous_run: str, run_id: str, new: DataFrame, settings: DataFrame) -> None:
+    """Control tables with the triggers ``new(trigger_id, trigger_time, is_error, ..)`` and the windows of their ``settings``.
+
+    All triggers are planned at once, in id order, as if they were added one after the other.
+    """
+    windows, groups, triggers = (store.control(n, previous_run) for n in CONTROL)
+    planned = plan_dates(settings.join(new.select("trigger_id", "trigger_time"), "trigger_id"))
+    added = plan_windows(planned, windows)
     first_free = groups.agg(F.coalesce(F.max("group_id"), F.lit(0))).first()[0]
-    numbered = plan_groups(new).withColumn("group_id", (F.col("group_no") + first_free).cast("bigint"))
+    before = Window.orderBy("trigger_id").rowsBetween(Window.unboundedPreceding, -1)  # one row for each new trigger
+    dates = plan_groups(added)
+    offsets = dates.groupBy("trigger_id").agg(F.count("*").alias("n")).select(
+        "trigger_id", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_offset"))
+    numbered = dates.join(offsets, "trigger_id").withColumn("group_id", (F.col("group_no") + F.col("_offset") + first_free).cast("bigint"))
     null_id = F.lit(None).cast("bigint")
-    new_windows = new.join(numbered, ["trigger_id", "delete_after"]).select(
+    new_windows = added.join(numbered, ["trigger_id", "delete_after"]).select(
         "group_id", "tenant_id", "sub_id", "delete_only", "previous_ts", "target_ts", F.lit(False).alias("is_archived"),
         null_id.alias("current_id"), null_id.alias("target_id"))
-    flags = [F.lit(False).alias(c) for c in ("is_archived", "is_deleted", "is_synced")]
-    new_groups = numbered.select("group_id", "trigger_id", "delete_after", *flags,
+    new_groups = numbered.select("group_id", "trigger_id", "delete_after", *[F.lit(False).alias(c) for c in ("is_archived", "is_deleted", "is_synced")],
                                  *[null_id.alias(c) for c in ("first_id", "last_id", "id_count")])
-    new_trigger = spark.createDataFrame([(trigger_id,)], "trigger_id bigint").select(
-        "trigger_id", ts_ntz(trigger_time).alias("trigger_time"),
-        *[F.lit(False).alias(c) for c in ("is_archived", "is_finished", "is_dry_run")], F.lit(bool(codes)).alias("is_error"))
+    counts = plan_counts(planned, windows).select("trigger_id", "valid_windows", "target_ts")
+    new_triggers = new.join(counts, "trigger_id", "left").withColumns({
+        "valid_windows": F.coalesce("valid_windows", F.lit(0)), "target_ts": F.coalesce("target_ts", "trigger_time"),
+        **{c: F.lit(False) for c in ("is_archived", "is_finished", "is_dry_run")}})
     write_run(windows.unionByName(new_windows), store.root, "windows", run_id)
     write_run(groups.unionByName(new_groups), store.root, "groups", run_id)
-    write_run(triggers.unionByName(new_trigger, allowMissingColumns=True), store.root, "triggers", run_id)
+    write_run(triggers.unionByName(new_triggers, allowMissingColumns=True), store.root, "triggers", run_id)
     store.carry(previous_run, run_id, *CONTROL)
-    return not codes
+
+
+def add_repeats(store: Store, previous_run: str, run_id: str, now: str, settings: DataFrame) -> int:
+    """Plan the repeats of all repeating triggers that are due before ``now``, and the next one each chain waits for.
+
+    ``settings`` are compiled settings with the ``trigger_id`` of the first trigger of the chain they belong to. A
+    repeat is the child of the one before it. Returns the number of repeats; with none the state is carried over.
+    """
+    spark, triggers = store.spark, store.control("triggers", previous_run)
+    if not {"repeats", "repeat_hours", "repeat_until", "parent_id"} <= set(triggers.columns):
+        store.carry(previous_run, run_id)
+        return 0
+    write_run(repeat_chain(triggers, now, pending=True), store.root, "repeats", run_id)
+    due = read_run(spark, store.root, "repeats", run_id)
+    count = due.count()
+    if not count:
+        store.carry(previous_run, run_id)
+        return 0
+    rounds = iter(range(1_000_000))
+
+    def written(links: DataFrame) -> DataFrame:
+        label = f"{run_id}-{next(rounds)}"
+        write_run(links, store.root, "links", label)
+        return read_run(spark, store.root, "links", label)
+
+    roots = chain_roots(triggers, written).select(F.col("trigger_id").alias("root_id"), F.col("root_id").alias("_first"))
+    last_id = triggers.agg(F.max("trigger_id")).first()[0]
+    order = Window.orderBy("trigger_time", "root_id")  # one row for each repeat due: control rows, as few as triggers
+    new = due.withColumn("trigger_id", (F.row_number().over(order) + last_id).cast("bigint")).withColumn(
+        "parent_id", F.coalesce(F.lag("trigger_id").over(Window.partitionBy("root_id").orderBy("repeat_no")), "root_id").cast("bigint"))
+    new = new.join(roots, "root_id").select("trigger_id", "trigger_time", "parent_id", "repeat_hours", "repeat_until", "_first",
+                                            F.lit(True).alias("repeats"), F.lit(False).alias("is_error"))
+    write_run(new, store.root, "repeats_planned", run_id)  # the ids must not change if the plan is read twice
+    new = read_run(spark, store.root, "repeats_planned", run_id)
+    own = settings.withColumnRenamed("trigger_id", "_first").join(new.select("trigger_id", "_first"), "_first").drop("_first")
+    _plan(store, previous_run, run_id, new.drop("_first"), own)
+    return count
+
+
+def validate_store(store: Store, run_id: str, exclude: str | None = None) -> DataFrame:
+    """``object, code, detail``: source, child and status tables against their contracts, the archive against the source."""
+    spark, entity = store.spark, store.entity
+    source = store.source(run_id)
+    report = validate_objects(source, store.archived(source), store.control("status", run_id), contract_rows(spark, entity.name, entity.contract),
+                              contract_rows(spark, f"async_status_{entity.name}", STATUS_CONTRACT), exclude, entity.id)
+    for child in entity.children:
+        found = contract_violations(schema_rows(spark, child.name, store.rows(child.name, run_id)), contract_rows(spark, child.name, child.contract))
+        report = report.unionByName(found.select(F.lit(child.name).alias("object"), "code", F.coalesce("name", "table_name").alias("detail")))
+    return report
 
 
 def simple_archive_run(store: Store, tenants: DataFrame, previous_run: str, run_id: str, now: str, trigger_id: int, *,
@@ -191,13 +265,25 @@ def simple_archive_run(store: Store, tenants: DataFrame, previous_run: str, run_
 
 
 def archive_run(store: Store, previous_run: str, run_id: str, now: str, *,
-                delete_if_no_delay: bool = True, ignore_delay: bool = False, rows_per_slice: int | None = None) -> dict:
+                delete_if_no_delay: bool = True, ignore_delay: bool = False, rows_per_slice: int | None = None,
+                settings: DataFrame | None = None, validate: bool = True) -> dict:
     """Archive every due window: from the state of ``previous_run`` to the state of ``run_id``.
 
     Rows and their child rows are copied once; rows without delay leave the source, children first; the others
-    enter the ledger. With nothing to do the state is carried over.
+    enter the ledger. With nothing to do the state is carried over. Objects that differ from their contracts stop the
+    run before it reads a row: the state is carried over and the log says what was found. ``settings``, see
+    ``add_repeats``, plans the repeats due by now before the windows are opened.
     """
     spark, entity, key = store.spark, store.entity, store.entity.id
+    if validate:
+        found = sorted((r.object, r.code, r.detail or "") for r in validate_store(store, previous_run).collect())  # columns, not rows
+        if found:
+            store.carry(previous_run, run_id)
+            log_run(store, run_id, f"Archive {entity.name}", now, [(16, f"{o}: {code} {detail}".rstrip()) for o, code, detail in found], status=1)
+            return {"windows": 0, "rows": 0, "violations": found}
+    if settings is not None:
+        add_repeats(store, previous_run, f"{run_id}-repeats", now, settings)
+        previous_run = f"{run_id}-repeats"
     windows = store.control("windows", previous_run)
     groups, triggers = store.control("groups", previous_run), store.control("triggers", previous_run)
     source = store.source(previous_run)
@@ -324,3 +410,23 @@ def acknowledge_run(store: Store, previous_run: str, run_id: str, now: str) -> d
     count = acked.count()
     log_run(store, run_id, f"Acknowledge {store.entity.name}", now, [(10, f"groups: {count}")])
     return {"groups": count}
+
+
+def cleanup_run(store: Store, previous_run: str, run_id: str, now: str, cutoff, *, below_id=None, dry_run: bool = False) -> dict:
+    """Delete the rows older than ``cutoff`` (up to ``below_id``, if given) and, before them, their child rows.
+
+    Only dates that hold such rows are rewritten. The rows per day go to the table ``preview`` of the run in any case;
+    a dry run writes nothing else and carries the state over. Returns rows removed and the last id among them.
+    """
+    entity, source = store.entity, store.source(previous_run)
+    write_run(cleanup.preview(source, entity, cutoff, below_id), store.root, "preview", run_id)
+    total = cleanup.totals(source, entity, cutoff, below_id).first()
+    verb = "would be deleted" if dry_run else "deleted"
+    messages = [(10, f"older than: {cutoff}"), (10, f"rows {verb}: {total.row_count} (last id {total.last_id})")]
+    if dry_run or not total.row_count:
+        store.carry(previous_run, run_id)
+    else:
+        store.rewrite(cleanup.removed(source, entity, cutoff, below_id).select(F.col(entity.id).alias("id"), DATE), previous_run, run_id)
+        store.carry(previous_run, run_id, *(f"manifest_{t}" for t in store.tables))
+    log_run(store, run_id, f"Clean up {entity.name}", now, messages)
+    return {"rows": total.row_count, "last_id": total.last_id}

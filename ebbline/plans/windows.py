@@ -89,22 +89,24 @@ def repeat_schedule(triggers: DataFrame) -> DataFrame:
         "trigger_id", F.posexplode(F.sequence("trigger_time", "repeat_until", step)).alias("repeat_no", "trigger_time"))
 
 
-def repeat_chain(triggers: DataFrame, now) -> DataFrame:
+def repeat_chain(triggers: DataFrame, now, pending: bool = False) -> DataFrame:
     """Every repeat due before ``now`` of each repeating trigger, in one run: ``root_id, repeat_no, trigger_time, ..``.
 
     Repeat 1 follows the stored trigger, repeat n follows repeat n - 1; a trigger that already has a later child leaves its
-    repeats to that child. ``is_last`` marks the repeat from which the next run goes on.
+    repeats to that child. ``is_last`` marks the repeat from which the next run goes on. ``pending`` adds the one repeat
+    after ``now`` that a chain waits for once all others are archived.
     """
     step = hours(F.col("repeat_hours"))
     repeating = with_to_do(triggers).where(F.col("to_do") & F.col("repeats") & (F.col("repeat_hours") > 0))
     children = triggers.where(F.col("trigger_id") > F.col("parent_id")).select(F.col("parent_id").alias("trigger_id"))
-    first, end = F.col("trigger_time") + step, F.least(F.coalesce("repeat_until", ts_ntz(now)), ts_ntz(now))
+    horizon = ts_ntz(now) + step if pending else ts_ntz(now)
+    first, end = F.col("trigger_time") + step, F.least(F.coalesce("repeat_until", horizon), horizon)
     return (
         repeating.join(children, "trigger_id", "left_anti").where(first <= end)
         .select(F.col("trigger_id").alias("root_id"), "repeat_hours", "repeat_until", F.posexplode(F.sequence(first, end, step)).alias("pos", "trigger_time"))
-        .where(F.col("trigger_time") < ts_ntz(now))
+        .where(F.col("trigger_time") < horizon)
         .select("root_id", (F.col("pos") + 1).alias("repeat_no"), "trigger_time", "repeat_hours", "repeat_until",
-                ((F.col("trigger_time") + step > end) | (F.col("trigger_time") + step >= ts_ntz(now))).alias("is_last")))
+                ((F.col("trigger_time") + step > end) | (F.col("trigger_time") + step >= horizon)).alias("is_last")))
 
 
 def chain_roots(triggers: DataFrame, written) -> DataFrame:

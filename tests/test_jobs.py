@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ebbline.entities import LOGS, QUEUE_ITEMS
 from ebbline.operators import purge as p
-from ebbline.plans.jobs import Store, acknowledge_run, add_trigger, archive_run, purge_run, simple_archive_run
+from ebbline.plans.jobs import Store, acknowledge_run, add_repeats, add_trigger, archive_run, cleanup_run, purge_run, simple_archive_run
 from ebbline.sources.store import read_run, read_table, write_run
 
 NOW = "2024-01-31 00:00:00"
@@ -204,3 +204,82 @@ def test_violations_stop_a_trigger(spark, views, store):
     assert add_trigger(store, "0", "good", 78, NOW, settings, found.limit(0))
     assert [r.is_error for r in store.control("triggers", "good").where("trigger_id = 78").collect()] == [False]
     assert store.control("windows", "good").count() == before + 1
+
+
+def repeating(spark, rows):
+    return spark.createDataFrame(rows, "trigger_id long, parent_id long, t string, repeats boolean, repeat_hours int, u string").select(
+        "trigger_id", "parent_id", F.col("t").cast("timestamp_ntz").alias("trigger_time"), "repeats", "repeat_hours",
+        F.col("u").cast("timestamp_ntz").alias("repeat_until"), *[F.lit(False).alias(c) for c in ("is_archived", "is_finished", "is_dry_run", "is_error")])
+
+
+def test_a_run_plans_its_repeats(spark, views, folder):
+    """One run over ten days ends as runs every few days; the chain goes on where the last run stopped."""
+    settings = spark.createDataFrame([(1, t, s, False, 24 * 4, 0) for t in range(25) for s in range(6)],
+                                     "trigger_id long, tenant_id int, sub_id int, delete_only boolean, after_hours int, delay_hours int")
+    ends = []
+    for name, days in (("once", [30]), ("often", (23, 26, 30))):
+        store = Store(spark, f"{folder}-{name}", LOGS)
+        store.create(views.logs, "r0", triggers=repeating(spark, [(1, None, "2024-01-20 00:00:00", True, 24, None)]))
+        before = "r0"
+        for day in days:
+            archive_run(store, before, f"r{day}", f"2024-01-{day} 12:00:00", settings=settings)
+            before = f"r{day}"
+        times = [str(r.trigger_time)[:10] for r in store.control("triggers", before).orderBy("trigger_id").collect()]
+        assert times == [f"2024-01-{d}" for d in range(20, 32)]  # ten due repeats and the one the chain waits for
+        open_ones = store.control("triggers", before).where("parent_id IS NOT NULL AND NOT is_archived").collect()
+        assert [str(r.trigger_time)[:10] for r in open_ones] == ["2024-01-31"]
+        parents = {r.trigger_id: r.parent_id for r in store.control("triggers", before).collect()}
+        assert all(parents[t] == t - 1 for t in parents if t > 1)
+        ends.append((ids(store.archived(None)), ids(store.source(before))))
+    assert ends[0] == ends[1]
+    assert ends[0][0] == ids(views.logs.where("ts < timestamp_ntz'2024-01-26 00:00:00'"))
+
+
+def test_repeats_end_with_repeat_until_and_keep_to_their_chain(spark, views, folder):
+    store = Store(spark, folder, LOGS)
+    store.create(views.logs, "0", triggers=repeating(spark, [
+        (1, None, "2024-01-10 00:00:00", True, 24, "2024-01-12 00:00:00"), (2, None, "2024-01-11 00:00:00", True, 100, None),
+        (3, None, "2024-01-11 00:00:00", False, None, None), (4, None, "2024-02-11 00:00:00", True, 24, None)]))
+    settings = spark.createDataFrame([(1, 1, 0, False, 24, 0), (2, 2, 0, False, 24, 0), (4, 4, 0, False, 24, 0)],
+                                     "trigger_id long, tenant_id int, sub_id int, delete_only boolean, after_hours int, delay_hours int")
+    assert add_repeats(store, "0", "1", "2024-01-15 00:00:00", settings) == 3
+    triggers = store.control("triggers", "1")
+    got = [(r.parent_id, str(r.trigger_time), r.valid_windows) for r in triggers.where("parent_id IS NOT NULL").orderBy("trigger_id").collect()]
+    assert got == [(1, "2024-01-11 00:00:00", 1), (5, "2024-01-12 00:00:00", 1), (2, "2024-01-15 04:00:00", 1)]
+    joined = store.control("windows", "1").join(store.control("groups", "1"), "group_id")
+    assert sorted((r.trigger_id, r.tenant_id) for r in joined.collect()) == [(5, 1), (6, 1), (7, 2)]
+    assert add_repeats(store, "1", "2", "2024-01-15 00:00:00", settings) == 0  # trigger 7 is not due yet
+    assert add_repeats(store, "1", "3", "2024-01-16 00:00:00", settings) == 1
+    assert add_repeats(store, "0", "1", "2024-01-15 00:00:00", settings) == 3  # again under its id, as after a crash
+    assert store.control("triggers", "1").count() == 7
+
+
+def test_objects_are_validated_before_a_run(spark, views, store, folder):
+    broken = Store(spark, folder + "-broken", LOGS)
+    broken.create(views.logs.withColumn("tenant_id", F.col("tenant_id").cast("string")).drop("machine_id"), "0",
+                  windows=views.log_windows, groups=views.log_groups, triggers=views.log_triggers)
+    out = archive_run(broken, "0", "1", NOW)
+    assert out == {"windows": 0, "rows": 0, "violations": [("source", "TS2", "machine_id"), ("source", "TS3", "tenant_id")]}
+    assert broken.control("windows", "1").count() == broken.control("windows", "0").count()
+    assert ids(broken.source("1")) == ids(views.logs)
+    assert [r.severity for r in read_run(spark, broken.root, "messages", "1").collect()] == [16, 16]
+    assert archive_run(store, "0", "1", NOW)["rows"] > 0
+
+
+def test_clean_up_run(spark, views, folder):
+    store = Store(spark, folder, QUEUE_ITEMS, period="year")
+    store.create(views.queue_items, "0", {c.name: getattr(views, c.name) for c in QUEUE_ITEMS.children})
+    cutoff = "1995-06-01 00:00:00"
+    old = views.queue_items.where(f"creation_time < timestamp_ntz'{cutoff}'")
+    out = cleanup_run(store, "0", "dry", NOW, cutoff, dry_run=True)
+    assert out["rows"] == old.count() and ids(store.source("dry")) == ids(views.queue_items)
+    assert read_run(spark, store.root, "preview", "dry").agg(F.sum("row_count")).first()[0] == out["rows"]
+    assert cleanup_run(store, "dry", "1", NOW, cutoff) == out
+    left = set(ids(store.source("1")))
+    assert left == set(ids(views.queue_items)) - set(ids(old))
+    for child in QUEUE_ITEMS.children:
+        expected = getattr(views, child.name).where(F.col(child.parent_id).isin(*left)).count()
+        assert store.rows(child.name, "1").count() == expected > 0
+    owners = {str(r.event_date)[:4]: r.owner for r in read_run(spark, store.root, "manifest_source", "1").collect()}
+    assert all((year <= "1995") == (owner == "1") for year, owner in owners.items())
+    assert cleanup_run(store, "1", "2", NOW, cutoff)["rows"] == 0 and set(ids(store.source("2"))) == left

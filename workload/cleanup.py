@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from ebbline.entities import LEDGER, LEDGER_DELIVERIES, LOGS, NOTIFICATIONS, QUEUE_ITEMS
 from ebbline.operators import cleanup as c
+from ebbline.plans.jobs import SOURCE, Store, cleanup_run
 from ebbline.plans.policy import split_tenant_list
+from ebbline.session import work_dir
+from ebbline.sources.store import read_run
 from ebbline.functions.lookups import level_id
 from workload.registry import query
 
@@ -150,3 +153,28 @@ def cleanup_preview(t):
     "SELECT '{name}' AS entity, COUNT(*) AS row_count, CAST(MAX({id}) AS VARCHAR) AS last_id FROM ${view} WHERE {time} < @'{cutoff}'"))
 def cleanup_totals(t):
     return _union([c.totals(getattr(t, name), entity, cutoff) for entity, name, cutoff in CUTOFFS])
+
+
+def _cleanup_run(entity, name, cutoff):
+    """The clean-up of one entity as a run on storage: what source and child tables hold after it, and what its log says."""
+    gone = f"(SELECT {entity.id} FROM ${name} WHERE {entity.time} < @'{cutoff}')"
+    parts = [f"SELECT '{name}' AS table_name, CAST({entity.id} AS VARCHAR) AS id FROM ${name} WHERE {entity.id} NOT IN {gone}"]
+    parts += [f"SELECT '{c.name}', CAST({c.parent_id} AS VARCHAR) FROM ${c.name} WHERE {c.parent_id} NOT IN {gone}" for c in entity.children]
+    parts.append(f"SELECT 'log', COUNT(*) || ' ' || MAX({entity.id}) FROM ${name} WHERE {entity.time} < @'{cutoff}'")
+
+    def run(t):
+        store = Store(t.spark, work_dir(t.spark, f"cleanup-{name}"), entity, period="month")
+        store.create(getattr(t, name), "0", {c.name: getattr(t, c.name) for c in entity.children})
+        cleanup_run(store, "0", "1", cutoff, cutoff)
+        keys = {SOURCE: (name, entity.id), **{c.name: (c.name, c.parent_id) for c in entity.children}}
+        log = read_run(t.spark, store.root, "messages", "1").where("seq = 1").select(
+            F.lit("log").alias("table_name"), F.regexp_replace("message", r".*: ([0-9]+) \(last id (.*)\)", "$1 $2").alias("id"))
+        return _union([store.rows(table, "1").select(F.lit(label).alias("table_name"), F.col(key).cast("string").alias("id"))
+                       for table, (label, key) in keys.items()] + [log])
+
+    run.__name__ = f"cleanup_run_{name}"
+    return query(" UNION ALL ".join(parts))(run)
+
+
+for _entity, _name, _cutoff in CUTOFFS:
+    _cleanup_run(_entity, _name, _cutoff)
