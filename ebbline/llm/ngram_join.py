@@ -101,24 +101,35 @@ def column_counts(docs: DataFrame, n: int) -> np.ndarray:
     return counts.reshape(2, size)
 
 
-def rarest(h: np.ndarray, n: int, counts: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray]:
+def rarity(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each column its level (0, or how far its count stands out) and for each word its weight: made once for a task."""
+    usual = 2 * counts[0].mean() + 16
+    return np.log2(np.maximum(counts[0] / usual, 1)).astype(np.int64), np.log2(np.maximum(counts[1], 1)).round(3)
+
+
+def rarest(h: np.ndarray, n: int, order: tuple[np.ndarray, np.ndarray], t: int) -> tuple[np.ndarray, np.ndarray]:
     """The set of a document, and its first columns in one order that all documents share, rarest first.
 
     Columns whose count stands out come last, by how far; among the others those of the rarest words come first.
-    Any shared order gives all links; this one keeps the postings that documents share few.
+    Any shared order gives all links; this one keeps the postings that documents share few. Only the columns
+    that are kept are sorted.
     """
+    levels, weights = order
     every = rolled(h, n)
     s, at = np.unique(every, return_index=True)
     m = len(s)
     if not m:
         return s, s
     # Words only: the estimate is the same in every document, as a shingle holds the same words.
-    weight = np.log2(counts[1][(h & COLUMN).astype(np.int64)]).round(3) if len(h) else h
+    weight = weights[(h & COLUMN).astype(np.int64)]
     width = min(n, len(h))
-    estimate = sum(weight[i:len(h) - width + 1 + i] for i in range(width))[at].round(2)
-    usual = 2 * counts[0].mean() + 16
-    level = np.log2(np.maximum(counts[0][(s & COLUMN).astype(np.int64)] / usual, 1)).astype(np.int64)
-    return s, s[np.lexsort((s, estimate, level))[:m + (-t * m) // 100 + 1]]
+    estimate = sum(weight[i:len(h) - width + 1 + i] for i in range(width))[at]
+    key = (levels[(s & COLUMN).astype(np.int64)] << 40) + np.rint(estimate * 100).astype(np.int64)
+    wanted = m + (-t * m) // 100 + 1
+    if wanted < m:
+        near = np.flatnonzero(key <= np.partition(key, wanted - 1)[wanted - 1])
+        return s, s[near[np.lexsort((s[near], key[near]))[:wanted]]]
+    return s, s[np.lexsort((s, key))]
 
 
 def incidence(spark: SparkSession, docs: DataFrame, n: int, t: int) -> DataFrame:
@@ -129,11 +140,11 @@ def incidence(spark: SparkSession, docs: DataFrame, n: int, t: int) -> DataFrame
     shared = spark.sparkContext.broadcast(column_counts(docs, n))
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table, counts = WordHashes(), shared.value
+        table, order = WordHashes(), rarity(shared.value)
         for batch in batches:
             out = []
             for doc_id, raw, key in zip(batch.doc_id, batch.raw, batch.text_key):
-                s, first = rarest(word_hashes(raw, table), n, counts, t)
+                s, first = rarest(word_hashes(raw, table), n, order, t)
                 out.append((doc_id, key, hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None, len(s), first.view(np.int64)))
             yield pd.DataFrame(out, columns=["doc_id", "text_key", "cls", "m", "head"]).astype({"doc_id": "Int64"})
 
