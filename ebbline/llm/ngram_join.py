@@ -3,7 +3,8 @@
 Documents with equal n-gram sets form one class, a row of the incidence. Its columns are ordered by
 rarity (fixed-size tables of column and word counts, taken over all documents), so two rows that reach the
 similarity must meet in the first, rarest, columns of both: only these enter the postings. Rows that
-meet are checked by the product itself: overlap counts grow block of columns by block of columns,
+meet are first compared by a few bits for each column, which bound their overlap from above. Pairs that may
+still reach it are checked by the product itself: overlap counts grow block of columns by block of columns,
 and a pair is dropped as soon as what is left cannot reach the bound its sizes imply.
 
 Within a posting list not all pairs are formed. First every row is compared with the list's most
@@ -132,8 +133,38 @@ def rarest(h: np.ndarray, n: int, order: tuple[np.ndarray, np.ndarray], t: int)
     return s, s[np.lexsort((s, key))]
 
 
+def signature(s: np.ndarray) -> bytes:
+    """One bit for each remainder of the columns of a set modulo a power of two, which is twice their number or more."""
+    bits = np.zeros(max(64, 1 << (2 * len(s) - 1).bit_length()), bool)
+    bits[(s & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def can_reach(xs: np.ndarray, ys: np.ndarray, sx: np.ndarray, sy: np.ndarray, t: int) -> np.ndarray:
+    """False only for pairs whose sets, of sizes ``sx`` and ``sy``, cannot reach the similarity.
+
+    A bit that only one signature of a pair has stands for at least one column that the other set lacks. A longer
+    signature is folded to the length of the shorter one.
+    """
+    reach = np.empty(len(xs), bool)
+    wx, wy = np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
+
+    def folded(some: np.ndarray, width: int) -> np.ndarray:
+        bits = np.frombuffer(b"".join(some), np.uint8).reshape(len(some), -1)
+        while bits.shape[1] > width:
+            bits = bits[:, :bits.shape[1] // 2] | bits[:, bits.shape[1] // 2:]
+        return bits
+
+    for a, b in set(zip(wx.tolist(), wy.tolist())):
+        at = np.flatnonzero((wx == a) & (wy == b))
+        x, y = folded(xs[at], min(a, b)), folded(ys[at], min(a, b))
+        most = np.minimum(sx[at] - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), sy[at] - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
+        reach[at] = most >= needed(t, sx[at], sy[at])
+    return reach
+
+
 def incidence(spark: SparkSession, docs: DataFrame, n: int, t: int) -> DataFrame:
-    """One row for each document: id, text key, class (128-bit digest of its set), size and rarest columns.
+    """One row for each document: id, text key, class (128-bit digest of its set), size, rarest columns and signature.
 
     ``head`` holds the columns that the prefix bound asks for, rarest first.
     """
@@ -145,11 +176,11 @@ def incidence(spark: SparkSession, docs: DataFrame, n: int, t: int) -> DataFrame
             out = []
             for doc_id, raw, key in zip(batch.doc_id, batch.raw, batch.text_key):
                 s, first = rarest(word_hashes(raw, table), n, order, t)
-                out.append((doc_id, key, hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None, len(s), first.view(np.int64)))
-            yield pd.DataFrame(out, columns=["doc_id", "text_key", "cls", "m", "head"]).astype({"doc_id": "Int64"})
+                out.append((doc_id, key, hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None, len(s), first.view(np.int64), signature(s) if len(s) else None))
+            yield pd.DataFrame(out, columns=["doc_id", "text_key", "cls", "m", "head", "bits"]).astype({"doc_id": "Int64"})
 
     with batches_of(spark, BATCH_ROWS):
-        return stage(spark, _texts(docs).mapInPandas(rows, "doc_id long, text_key long, cls string, m int, head array<long>"), "incidence")
+        return stage(spark, _texts(docs).mapInPandas(rows, "doc_id long, text_key long, cls string, m int, head array<long>, bits binary"), "incidence")
 
 
 def class_sets(docs: DataFrame, n: int, classes: DataFrame, rows: int) -> DataFrame:
@@ -208,11 +239,29 @@ def overlaps(xs: list[np.ndarray], ys: list[np.ndarray], t: int) -> np.ndarray:
     return accumulate(xs, ys, np.zeros(len(xs)), needed(t, a, b), a, b)[1]
 
 
-def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, pairs: DataFrame, n: int, t: int) -> DataFrame:
+def reachable(spark: SparkSession, marks: DataFrame, pairs: DataFrame, t: int) -> DataFrame:
+    """The pairs ``(a, b)`` of classes whose signatures in ``marks(cls, m, bits)`` leave a link possible."""
+    def check(batches):
+        for batch in batches:
+            reach = can_reach(batch.x.to_numpy(), batch.y.to_numpy(), batch.sx.to_numpy(np.int64), batch.sy.to_numpy(np.int64), t)
+            yield batch.loc[reach, ["a", "b"]]
+
+    def side(key: str, size: str, bits: str) -> DataFrame:
+        return marks.select(F.col("cls").alias(key), F.col("m").alias(size), F.col("bits").alias(bits))
+
+    with batches_of(spark, 8 * BATCH_ROWS):
+        return stage(spark, pairs.join(side("a", "sx", "x"), "a").join(side("b", "sy", "y"), "b").mapInPandas(check, "a long, b long"), "reachable")
+
+
+def verified(spark: SparkSession, docs: DataFrame, classes: DataFrame, marks: DataFrame, pairs: DataFrame, n: int, t: int) -> DataFrame:
     """The pairs ``(a, b)`` of classes that link.
 
-    All pairs get the first blocks of both sets; only those that can still reach their bound get the others.
+    Only pairs whose signatures leave a link possible get whole sets: all of these the first blocks of both,
+    and those that can still reach their bound the others.
     """
+    pairs = reachable(spark, marks, pairs, t)
+    if not pairs.limit(1).count():
+        return pairs
     asked = pairs.select(F.col("a").alias("cls")).union(pairs.select(F.col("b").alias("cls"))).distinct()
     asked = stage(spark, classes.join(asked, "cls", "left_semi"), "asked")
     with batches_of(spark, BATCH_ROWS):
@@ -262,18 +311,19 @@ def ngram_join(spark: SparkSession, docs: DataFrame, n: int = 5, t: int = 80) ->
     """
     whole = incidence(spark, docs, n, t)
     heads = numbered(spark, whole.where("cls is not null").groupBy("cls").agg(
-        F.min(F.struct(F.col("doc_id"), F.col("text_key"))).alias("one"), F.min("doc_id").alias("least_id"), F.first("m").alias("m"), F.first("head").alias("head"),
-    ).select(F.col("cls").alias("digest"), "one.*", "least_id", "m", "head"), "classes", "cls")
+        F.min(F.struct(F.col("doc_id"), F.col("text_key"))).alias("one"), F.min("doc_id").alias("least_id"), F.first("m").alias("m"), F.first("head").alias("head"), F.first("bits").alias("bits"),
+    ).select(F.col("cls").alias("digest"), "one.*", "least_id", "m", "head", "bits"), "classes", "cls")
     # The columns are read from the classes only, and once: what stays on disk is narrow.
-    rows = stage(spark, whole.drop("head"), "rows")
+    rows = stage(spark, whole.drop("head", "bits"), "rows")
     discard(spark, whole)
     again = rows.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.lit(True).alias("repeated"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key"))
-    classes = stage(spark, heads.drop("head").join(again, same, "left").drop("__id", "__key").withColumn("repeated", F.col("repeated").isNotNull()), "keys")
+    classes = stage(spark, heads.drop("head", "bits").join(again, same, "left").drop("__id", "__key").withColumn("repeated", F.col("repeated").isNotNull()), "keys")
+    marks = stage(spark, heads.select("cls", "m", "bits"), "signatures")
     posted = heads.select("cls", "m", F.posexplode("head").alias("place", "col"))
     # Columns are counted alone first, so that the many that one class holds travel as two numbers and no further.
     shared = stage(spark, posted.groupBy("col").agg(F.count("*").alias("n")).where("n > 1").select("col"), "shared_columns")
-    posted = stage(spark, posted.join(small(shared, shared.count()), "col"), "postings")
+    posted = stage(spark, posted.join(shared, "col"), "postings")
     discard(spark, heads)
     hubs = posted.groupBy("col").agg(F.min(F.struct("place", "m", "cls")).alias("hub"))
     lists = stage(spark, posted.join(hubs, "col"), "lists")
@@ -283,7 +333,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, n: int = 5, t: int = 80) ->
         (F.col("x.cls") != F.col("y.cls")) & _bounded("x", "y", t))
     discard(spark, shared, posted)
     pairs = stage(spark, first.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct(), "pairs")
-    links = verified(spark, docs, keys, pairs, n, t)
+    links = verified(spark, docs, keys, marks, pairs, n, t)
     labels = components(spark, links)
     named = stage(spark, lists.join(labels.withColumnRenamed("node", "cls"), "cls", "left").join(
         labels.select(F.col("node").alias("__hub"), F.col("component").alias("hub_component")), F.col("hub.cls") == F.col("__hub"), "left").select(
@@ -296,8 +346,11 @@ def ngram_join(spark: SparkSession, docs: DataFrame, n: int = 5, t: int = 80) ->
     more = crossed.select(F.least("x.cls", "y.cls").alias("a"), F.greatest("x.cls", "y.cls").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
     more = stage(spark, more, "pairs")
     discard(spark, named, pairs)
-    more = verified(spark, docs, keys, more, n, t)
-    labels = components(spark, links.union(more))
+    more = verified(spark, docs, keys, marks, more, n, t)
+    discard(spark, marks)
+    # The labels are links enough for what is joined already.
+    if more.limit(1).count():
+        labels = components(spark, labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
 
     reached = classes.select("digest", "cls", "least_id").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("component", F.coalesce("component", "cls"))
     least = reached.groupBy("component").agg(F.min("least_id").alias("least"))

@@ -159,6 +159,32 @@ def test_blocked_product_equals_sets():
     assert got.any() and not got.all()
 
 
+def test_signatures_never_rule_out_a_link():
+    draw = np.random.default_rng(8)
+    for t in (80, 90):
+        xs = [np.unique(draw.integers(0, 2**63, n).astype(np.uint64)) for n in (1, 2, 31, 32, 33, 64, 65, 257, 1000, 5000) for _ in range(20)]
+        ys = [np.unique(np.concatenate([x[draw.random(len(x)) > draw.choice([0.0, 0.05, 0.15, 0.6])], draw.integers(0, 2**63, draw.integers(0, 1 + len(x) // 8)).astype(np.uint64)])) for x in xs]
+        ys[::20] = [np.unique(draw.integers(0, 2**63, max(1, len(y))).astype(np.uint64)) for y in ys[::20]]
+        xs, ys = zip(*[(x, y) for x, y in zip(xs, ys) if len(y)])
+        signs = [np.array([ngram_join.signature(v) for v in side], object) for side in (xs, ys)]
+        got = ngram_join.can_reach(*signs, np.array([len(x) for x in xs]), np.array([len(y) for y in ys]), t)
+        linked = np.array([100 * len(np.intersect1d(x, y)) >= t * len(np.union1d(x, y)) for x, y in zip(xs, ys)])
+        assert got[linked].all() and linked.any() and got[~linked].mean() < 0.5
+
+
+def test_rows_that_share_a_passage_only_need_no_whole_sets(spark, monkeypatch):
+    draw = random.Random(12)
+    words = ["".join(draw.choice("abcdefghil") for _ in range(5)) for _ in range(90)]
+    texts = [" ".join(["one rare passage found in all of these texts", *(draw.choice(words) for _ in range(40))]) for _ in range(30)]
+    texts += [f"{texts[3]} end", f"{texts[3]} other"]
+    asked, whole = [], ngram_join.class_sets
+    monkeypatch.setattr(ngram_join, "class_sets", lambda s, n, classes, rows: asked.append(rows) or whole(s, n, classes, rows))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component for r in ngram_join.ngram_join(spark, docs, 5, 80).collect()}
+    assert got == {i: 3 if i >= 30 else i for i in range(32)}
+    assert 0 < sum(asked) < 12
+
+
 def test_long_texts_are_counted_once(monkeypatch):
     text = "".join(random.Random(6).choice("abcdé ") for _ in range(5000))
     whole = language_id.counts_of(text)
