@@ -102,6 +102,19 @@ def rules_of(tree: str) -> set[Rule]:
     return found
 
 
+def hits_of(rules: list[Rule], stats: str) -> Column:
+    """1 or 0 for each rule. Hundreds of candidate rules as column expressions would take much of the driver's memory to plan."""
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def hits(s: pd.DataFrame) -> pd.Series:
+        values, held = s.to_numpy(float), np.ones((len(s), len(rules)))
+        for k, rule in enumerate(rules):
+            for feature, low, high in rule.bounds:
+                held[:, k] *= (values[:, feature] > low) & (values[:, feature] <= high)
+        return pd.Series(list(held))
+
+    return hits(F.col(stats))
+
+
 @dataclass(frozen=True)
 class RuleEnsemble:
     bias: float
@@ -141,7 +154,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int =
     inputs = sample.select("label", "s", array_to_vector(F.array(*[f"s.{name}" for name in STATISTICS])).alias("features"))
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, maxBins=64, seed=seed, subsamplingRate=0.7, cacheNodeIds=False).fit(inputs)
     rules = sorted(set().union(*[rules_of(t.toDebugString) for t in forest.trees]), key=lambda r: r.bounds)
-    held = stage(spark, sample.select("label", F.array(*[r.column("s") for r in rules]).alias("hits")), "quality_rules")
+    held = stage(spark, sample.select("label", hits_of(rules, "s").alias("hits")), "quality_rules")
     fitted = LogisticRegression(regParam=penalty, elasticNetParam=1.0, maxIter=80, standardization=False).fit(held.select("label", array_to_vector("hits").alias("features")))
     weights = fitted.coefficients.toArray()
     return RuleEnsemble(float(fitted.intercept), tuple((r, float(w)) for r, w in zip(rules, weights) if w))

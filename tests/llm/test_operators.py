@@ -159,6 +159,15 @@ def test_blocked_product_equals_sets():
     assert got.any() and not got.all()
 
 
+def test_candidate_rules_are_tried_outside_the_plan(spark):
+    low = float("-inf")
+    rules = [rule_ensemble.Rule(b) for b in (((0, 2.0, 4.0),), ((0, low, 2.0), (1, 3.0, float("inf"))), ((14, low, 0.5),), ())]
+    texts = [(t,) for t in (None, "", "a b", "a bb ccc", "long words here only", "x\ny\nz", "one two three four five")]
+    sample = spark.createDataFrame(texts, "text string").select(rule_ensemble.statistics().alias("s"))
+    rows = sample.select(rule_ensemble.hits_of(rules, "s").alias("got"), F.array(*[r.column("s") for r in rules]).alias("want")).collect()
+    assert len(rows) == len(texts) and all(r.got == r.want for r in rows) and 0 < sum(sum(r.got[:3]) for r in rows) < 3 * len(rows)
+
+
 def test_signatures_never_rule_out_a_link():
     draw = np.random.default_rng(8)
     for t in (80, 90):
