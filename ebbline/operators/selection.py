@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ebbline.entities import Entity
 from ebbline.functions.expressions import to_do, ts_ntz
-from ebbline.operators.sizing import WindowProfile, bound_source, join_windows, profile_windows, running_number
+from ebbline.operators.sizing import (
+    WindowProfile, bound_source, join_windows, next_time, profile_windows, running_number, running_sum,
+)
 
 WINDOW_TAGS = ["trigger_id", "group_id", "delete_only", "no_delay", "is_late"]
 
@@ -109,3 +111,49 @@ def select_rows(source: DataFrame, windows: DataFrame, entity: Entity, *, waterm
     joined = join_windows(rows, w, keys, inside, late, profile, entity.id, entity.time)
     return joined.withColumn("is_late", before if entity.late else F.lit(False)).drop(
         "_tenant", "_sub", "_previous", "_target", "_cursor", "_last")
+
+
+def _window_key(entity: Entity) -> list[str]:
+    return ["tenant_id", "sub_id"] if entity.sub else ["tenant_id"]
+
+
+def _whole(windows: DataFrame) -> DataFrame:
+    """The windows that can hold a row; a late marker or a cursor is one window's own and does not go with pieces."""
+    if own := {"last_id", "current_id"} & set(windows.columns):
+        raise ValueError(f"windows with {', '.join(sorted(own))} have no common pieces")
+    return windows.where(F.col("previous_ts") < F.col("target_ts"))
+
+
+def window_pieces(windows: DataFrame, entity: Entity) -> DataFrame:
+    """The time that windows cover, per key, cut at every bound of a window of the key: windows for ``select_rows``.
+
+    A row lies in one piece at most, however many windows cover it, so a selection by pieces is no larger than its
+    source. A piece is known by its key and its start, which is its ``group_id``.
+    """
+    key = _window_key(entity)
+    ends = F.array(F.struct(F.col("previous_ts").alias("at"), F.lit(1).alias("step")), F.struct(F.col("target_ts").alias("at"), F.lit(-1).alias("step")))
+    bounds = _whole(windows).select(*key, F.explode(ends).alias("b")).groupBy(*key, F.col("b.at").alias("previous_ts")).agg(F.sum("b.step").alias("step"))
+    pieces = next_time(running_sum(bounds, key, "previous_ts", "step", "_open"), key, "previous_ts", "target_ts").where("_open > 0")
+    sub = F.col("sub_id") if entity.sub else F.lit(0).alias("sub_id")
+    none = F.lit(None).cast("boolean")
+    return pieces.select("tenant_id", sub, "previous_ts", "target_ts", F.col("previous_ts").alias("group_id"), F.lit(None).cast("bigint").alias("trigger_id"),
+                         none.alias("delete_only"), none.alias("no_delay"))
+
+
+def count_by_window(selected: DataFrame, pieces: DataFrame, windows: DataFrame, entity: Entity, by: list[str]) -> DataFrame:
+    """``by, row_count``: selected rows of each window, summed over the windows with the same ``by``; none without a row.
+
+    ``selected`` are rows by the ``pieces`` of the windows. The rows of a window are those before its target less those
+    before its start, so no row is made for each pair of a row and a window.
+    """
+    key = _window_key(entity)
+    names = [F.col(entity.tenant).alias("tenant_id")] + ([F.col(entity.sub).alias("sub_id")] if entity.sub else [])
+    held = selected.groupBy(*names, F.col("group_id").alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    bounds = pieces.select(*key, F.explode(F.array("previous_ts", "target_ts")).alias("at")).distinct()
+    counted = bounds.join(held, [*key, "at"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    reached = running_sum(counted, key, "at", "n", "_upto").select(*key, "at", (F.col("_upto") - F.col("n")).alias("_before"))
+    spans = _whole(windows).select(*key, "previous_ts", "target_ts").distinct()
+    spans = spans.join(reached.withColumnsRenamed({"at": "previous_ts", "_before": "_low"}), [*key, "previous_ts"])
+    spans = spans.join(reached.withColumnsRenamed({"at": "target_ts", "_before": "_high"}), [*key, "target_ts"])
+    spans = spans.withColumn("row_count", F.col("_high") - F.col("_low")).where("row_count > 0").drop("_low", "_high")
+    return windows.join(spans, [*key, "previous_ts", "target_ts"]).groupBy(*by).agg(F.sum("row_count").alias("row_count"))

@@ -123,6 +123,33 @@ def running_number(df: DataFrame, keys: list[str], time: str, then: str, out: st
     return numbered.withColumn(out, (F.col("_inside") + F.col("_before")).cast("int")).drop("_bucket", "_inside", "_before")
 
 
+def _day_buckets(df: DataFrame, keys: list[str], time: str, days: int) -> DataFrame:
+    """``df`` by key and bucket of ``days``: one exchange that windows, aggregates and joins over it share."""
+    return df.withColumn("_bucket", F.floor(F.datediff(F.col(time), F.lit("1900-01-01")) / F.lit(days))).repartition(*keys, "_bucket")
+
+
+def running_sum(df: DataFrame, keys: list[str], time: str, value: str, out: str, days: int = 16) -> DataFrame:
+    """``value`` summed over the rows of the key up to and with ``time``, by buckets as in ``running_number``."""
+    tagged = _day_buckets(df, keys, time, days)
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(time)
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = tagged.groupBy(*keys, "_bucket").agg(F.sum(value).alias("_n")).select(
+        *keys, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    summed = tagged.withColumn("_inside", F.sum(value).over(inside)).join(earlier, [*keys, "_bucket"])
+    return summed.withColumn(out, F.col("_inside") + F.col("_before")).drop("_bucket", "_inside", "_before")
+
+
+def next_time(df: DataFrame, keys: list[str], time: str, out: str, days: int = 16) -> DataFrame:
+    """The next ``time`` of the key, which holds each time once; null for its last one. By buckets as in ``running_number``."""
+    tagged = _day_buckets(df, keys, time, days)
+    inside = Window.partitionBy(*keys, "_bucket").orderBy(time)
+    after = Window.partitionBy(*keys).orderBy("_bucket")
+    later = tagged.groupBy(*keys, "_bucket").agg(F.min(time).alias("_first")).select(
+        *keys, "_bucket", F.lead("_first").over(after).alias("_after"))
+    led = tagged.withColumn("_inside", F.lead(time).over(inside)).join(later, [*keys, "_bucket"])
+    return led.withColumn(out, F.coalesce("_inside", "_after")).drop("_bucket", "_inside", "_after")
+
+
 def id_slices(df: DataFrame, id_col: str, width: int) -> DataFrame:
     """Slices of a fixed id width: ``(slice_no, first_id, last_id, row_count)``.
 

@@ -1,11 +1,12 @@
 """Window edges, late rows and the two join paths."""
 
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
-from ebbline.entities import JOBS, LOGS, QUEUE_ITEMS
+from ebbline.entities import AUDIT_LOGS, JOBS, LOGS, QUEUE_ITEMS
 from ebbline.operators import selection as s
 from ebbline.operators import sizing
 
@@ -93,3 +94,51 @@ def test_every_open_window_is_taken_in_order(views):
     for r in rows:
         keys.setdefault((r.tenant_id, r.sub_id), []).append((r.target_ts, r.group_id, r.order_no))
     assert all([n for _, _, n in sorted(v)] == list(range(1, len(v) + 1)) for v in keys.values())
+
+
+def overlapping(spark, n, draw):
+    """Windows of a few keys that lie on top of each other, some twice, some empty, some without bounds or key."""
+    at = lambda: datetime(2024, 1, 1) + timedelta(hours=draw.randint(0, 24 * 40))
+    data = [(i % 7, 1, draw.choice((1, 1, 2, None)), draw.choice((3, 4)), draw.random() < 0.5, False, draw.choice((datetime(1900, 1, 1), at())),
+             draw.choice((at(), at(), at(), None))) for i in range(n)]
+    return spark.createDataFrame(data + data[:5], WINDOW.partition(", current_id")[0])
+
+
+@pytest.mark.parametrize("entity", [LOGS, JOBS, AUDIT_LOGS])
+def test_counts_by_pieces_equal_those_of_pairs(spark, entity):
+    draw = random.Random(3)
+    windows = overlapping(spark, 120, draw)
+    if not entity.sub:
+        windows = windows.withColumn("sub_id", F.lit(0))
+    data = [(i, draw.choice((1, 1, 2, 3, None)), draw.choice((3, 4)), datetime(2024, 1, 1) + timedelta(hours=draw.randint(-50, 1000))) for i in range(400)]
+    source = spark.createDataFrame([*data, (400, 1, 4, None)], f"id long, tenant_id int, {entity.sub or 'other'} int, {entity.time} timestamp_ntz")
+    by = ["trigger_id", "tenant_id", "delete_only"]
+    pairs = s.select_rows(source, windows, entity).groupBy(*by).agg(F.count("*").alias("row_count"))
+    pieces = s.window_pieces(windows, entity)
+    chosen = s.select_rows(source, pieces, entity)
+    assert sorted(chosen.select("id").collect()) == sorted(s.select_rows(source, windows, entity).select("id").distinct().collect())
+    want = sorted(map(tuple, pairs.collect()))
+    assert sorted(map(tuple, s.count_by_window(chosen, pieces, windows, entity, by).collect())) == want and len(want) > 10
+
+
+def test_windows_with_a_marker_or_cursor_have_no_pieces(spark):
+    with pytest.raises(ValueError, match="current_id, last_id"):
+        s.window_pieces(window(spark), LOGS)
+
+
+def test_flagship_selects_a_row_once_for_all_policies(spark, tmp_path, monkeypatch):
+    """Selected rows grow with the logs, not with logs times policies."""
+    from workload import archive
+    from workload.registry import QUERIES
+
+    nation = [(0, "NATION_0", 0), (1, "NATION_1", 1), (2, "NATION_2", 4)]
+    spark.createDataFrame(nation, "n_nationkey int, n_name string, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    # keys 1 + 36 n take the template of one tenant and all levels, with other hours each
+    spark.createDataFrame([(1 + 36 * n, 1) for n in range(30)], "c_custkey long, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(i, datetime(2024, 1, 1), 1, "view", 1.0, "x") for i in range(1, 21)],
+                          "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    seen = []
+    monkeypatch.setattr(archive.s, "select_rows", lambda *a, f=s.select_rows, **b: seen.append(f(*a, **b)) or seen[-1])
+    got = {(r.policy_id, r.tenant_id, r.level_id, r.delete_only, r.row_count) for r in QUERIES["flagship"](spark, str(tmp_path)).collect()}
+    assert got == {(1 + 36 * n, 1, 0, False, 20) for n in range(30)}
+    assert [df.count() for df in seen] == [20]

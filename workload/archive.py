@@ -376,7 +376,9 @@ def flagship(t):
                                                              F.expr(f"timestamp_ntz'{NOW_LOGS}'").alias("trigger_time"))
     # Each policy on its own: none has an earlier window, so all of them begin in 1900.
     plan = w.plan_dates(settings.join(trigger, "policy_id")).withColumn("previous_ts", ts_ntz(EPOCH))
-    windows = plan.withColumn("group_id", F.lit(1)).withColumn("no_delay", F.lit(False))
-    chosen = s.select_rows(t.logs, windows, LOGS)
-    return chosen.groupBy(F.col("trigger_id").alias("policy_id"), "tenant_id", "level_id", "delete_only").agg(
-        F.count(F.lit(1)).alias("row_count"))
+    windows = t.store("flagship_windows", plan.withColumn("group_id", F.lit(1)).withColumn("no_delay", F.lit(False)))
+    # The windows of all policies lie on top of each other: a row is selected once, by the piece of time it lies in.
+    pieces = t.store("flagship_pieces", s.window_pieces(windows, LOGS))
+    chosen = s.select_rows(t.logs, pieces, LOGS)
+    counts = s.count_by_window(chosen, pieces, windows, LOGS, ["trigger_id", "tenant_id", "sub_id", "delete_only"])
+    return counts.select(F.col("trigger_id").alias("policy_id"), "tenant_id", F.col("sub_id").alias("level_id"), "delete_only", "row_count")
