@@ -72,16 +72,29 @@ def gram_candidates(patterns: DataFrame, names: DataFrame, name: str) -> DataFra
 def like_matches(patterns: DataFrame, names: DataFrame, name: str) -> DataFrame:
     """``(pattern, <names columns>)`` for the names each distinct pattern is LIKE, by equality joins.
 
-    ``name LIKE pattern`` alone would compare all pairs. The head of a pattern (up to its first
-    ``%``) fixes every character except at its ``_`` places, so names are keyed by their prefixes of
-    the lengths that heads have, masked at those places: head = masked prefix is an equality. Patterns
-    without ``%`` need the whole name and nothing else; the rest is checked with LIKE. Patterns that
-    start with ``%`` have no head: they meet the names that hold their rarest piece.
+    ``name LIKE pattern`` alone would compare all pairs.
     """
+    return head_matches(patterns, names, name).unionByName(piece_matches(patterns, names, name))
+
+
+def _headless() -> Column:
+    return F.startswith(F.col("pattern"), F.lit("%"))
+
+
+def piece_matches(patterns: DataFrame, names: DataFrame, name: str) -> DataFrame:
+    """The matches of patterns that start with ``%``: they have no head and meet the names that hold their rarest piece."""
     distinct = patterns.select("pattern").distinct()
-    headless = F.startswith(F.col("pattern"), F.lit("%"))
-    found = gram_candidates(distinct.where(headless), names, name).where(like(F.lower(name), F.col("pattern")))
-    shaped = distinct.where(~headless).select(
+    return gram_candidates(distinct.where(_headless()), names, name).where(like(F.lower(name), F.col("pattern")))
+
+
+def head_matches(patterns: DataFrame, names: DataFrame, name: str) -> DataFrame:
+    """The matches of the other patterns.
+
+    The head of a pattern (up to its first ``%``) fixes every character except at its ``_`` places, so names
+    are keyed by their prefixes of the lengths that heads have, masked at those places: head = masked prefix
+    is an equality. Patterns without ``%`` need the whole name and nothing else; the rest is checked with LIKE.
+    """
+    shaped = patterns.select("pattern").distinct().where(~_headless()).select(
         "pattern", F.regexp_extract("pattern", "(?s)^([^%]*)", 1).alias("_head"), F.contains("pattern", F.lit("%")).alias("_open"))
     shaped = shaped.withColumn("_mask", F.regexp_replace("_head", "(?s)[^_]", "x"))
     masks = shaped.select("_mask", "_open").distinct().withColumn("_length", F.length("_mask"))
@@ -95,4 +108,4 @@ def like_matches(patterns: DataFrame, names: DataFrame, name: str) -> DataFrame:
     keyed = whole.unionByName(headed).select(*names.columns, F.col("_open").alias("_nopen"), F.col("_mask").alias("_nmask"),
                                              _masked(prefix, F.col("_mask")).alias("_key"))
     hits = shaped.join(keyed, (F.col("_head") == F.col("_key")) & (F.col("_open") == F.col("_nopen")) & (F.col("_mask") == F.col("_nmask")))
-    return hits.where(~F.col("_open") | like(F.lower(name), F.col("pattern"))).select("pattern", *names.columns).unionByName(found)
+    return hits.where(~F.col("_open") | like(F.lower(name), F.col("pattern"))).select("pattern", *names.columns)

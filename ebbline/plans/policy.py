@@ -17,7 +17,7 @@ from ebbline.entities import LOGS, Entity
 from ebbline.functions.expressions import (
     entries_sql, items_sql, json_items, json_kind, json_text, kind_sql, like_pattern, mark_json_strings, text_sql,
 )
-from ebbline.functions.lookups import like_matches
+from ebbline.functions.lookups import head_matches, like_matches, piece_matches
 from ebbline.operators.idsets import bit_of, expanded, word_of
 from ebbline.session import work_dir
 
@@ -136,6 +136,7 @@ class PolicyCompiler:
     def _staged(self, df: DataFrame, name: str) -> DataFrame:
         """Written once and read back: parsed rules and matches feed many branches.
 
+        It also keeps the driver small: it plans a step from files instead of a step with all steps below it.
         Without ``stage_root`` the step stays lazy, which suits a caller that needs one branch.
         """
         if self.stage_root is None:
@@ -223,7 +224,7 @@ class PolicyCompiler:
             F.explode(F.expr(_of_key("archive", "delete"))).alias("e"))
         values = F.when(F.col("e.kind") == "array", json_items("e.text")).otherwise(F.array("e.text"))
         text = json_text("text")
-        return (
+        return self._staged(
             entry.select("policy_id", "rule_no", "sub_no", "use_after", "use_delay", F.col("e.key").alias("action"),
                          F.explode(values).alias("text"))
             .withColumn("kind", json_kind("text")).where(F.col("kind").isin("string", "number"))
@@ -231,7 +232,7 @@ class PolicyCompiler:
                     F.when(F.col("kind") == "string", F.lower(text)).alias("name"),
                     F.when(F.col("kind") == "number", text.try_cast("int")).alias("id"))
             .withColumn("is_all", F.coalesce(F.col("name") == "all", F.lit(False)))
-            .withColumn("sub_id", self._sub_id()))
+            .withColumn("sub_id", self._sub_id()), "sub_values")
 
     def _sub_id(self):
         names = dict(self.entity.sub_names)
@@ -254,12 +255,12 @@ class PolicyCompiler:
         entry = self.live_rules.select("policy_id", "rule_no", F.explode(F.expr(_of_key("tenants", "exclude"))).alias("e"))
         values = F.when(F.col("e.kind") == "array", json_items("e.text")).otherwise(F.array("e.text"))
         text, kind = json_text("text"), json_kind("text")
-        return entry.select("policy_id", "rule_no", F.col("e.key").alias("role"), F.explode(values).alias("text")).where(
+        return self._staged(entry.select("policy_id", "rule_no", F.col("e.key").alias("role"), F.explode(values).alias("text")).where(
             kind.isin("string", "number")).select(
             "policy_id", "rule_no", "role", F.when(kind == "string", like_pattern(text)).alias("pattern"),
             F.when(kind == "number", text.try_cast("int")).alias("sel_id")).distinct().select(
             "*", F.col("sel_id").isNotNull().alias("is_id"),
-            F.coalesce("pattern", F.col("sel_id").cast("string")).alias("text"))
+            F.coalesce("pattern", F.col("sel_id").cast("string")).alias("text")), "selectors")
 
     @cached_property
     def selectors(self) -> DataFrame:
@@ -273,9 +274,11 @@ class PolicyCompiler:
     def selector_matches(self) -> DataFrame:
         """``(is_id, text, tenant)``: distinct patterns are matched once, ids are the tenants' own."""
         names = self.tenants.select("tenant_id", "name", "is_deleted")
-        patterns = self._all_selectors.where(~F.col("is_id") & ~F.col("pattern").isin(ACTIVE, DELETED, OTHER))
-        by_name = like_matches(patterns, names, "name").select(
-            F.lit(False).alias("is_id"), F.col("pattern").alias("text"), *names.columns)
+        patterns = self._staged(
+            self._all_selectors.where(~F.col("is_id") & ~F.col("pattern").isin(ACTIVE, DELETED, OTHER)).select("pattern").distinct(), "patterns")
+        matches = self._staged(head_matches(patterns, names, "name"), "head_matches").unionByName(
+            self._staged(piece_matches(patterns, names, "name"), "piece_matches"))
+        by_name = matches.select(F.lit(False).alias("is_id"), F.col("pattern").alias("text"), *names.columns)
         by_id = names.select(F.lit(True).alias("is_id"), F.col("tenant_id").cast("string").alias("text"), "*")
         return self._staged(by_name.unionByName(by_id), "selector_matches")
 
@@ -298,7 +301,8 @@ class PolicyCompiler:
     def excluded_words(self) -> DataFrame:
         """``(policy_id, rule_no, word, excluded)``: tenants a rule excludes, by name pattern or id."""
         asked = self._all_selectors.where(F.col("role") == "exclude")
-        return asked.join(self.selector_words, ["is_id", "text"]).groupBy("policy_id", "rule_no", "word").agg(F.bit_or("bits").alias("excluded"))
+        return self._staged(asked.join(self.selector_words, ["is_id", "text"]).groupBy("policy_id", "rule_no", "word").agg(
+            F.bit_or("bits").alias("excluded")), "excluded_words")
 
     @cached_property
     def keyword_uses(self) -> DataFrame:
@@ -306,8 +310,8 @@ class PolicyCompiler:
 
         The list is no longer than the document has rules.
         """
-        return self.selectors.where(F.col("kind") == "keyword").groupBy("policy_id", "pattern").agg(
-            F.sort_array(F.collect_set("rule_no")).alias("rules"))
+        return self._staged(self.selectors.where(F.col("kind") == "keyword").groupBy("policy_id", "pattern").agg(
+            F.sort_array(F.collect_set("rule_no")).alias("rules")), "keyword_uses")
 
     @cached_property
     def _keyword_selectors(self) -> DataFrame:
@@ -351,8 +355,8 @@ class PolicyCompiler:
         taken = self.resolved_words.groupBy("policy_id", "word").agg(F.bit_or("keep").alias("taken"))
         free = self._all_words(self._keyword_selectors.where(F.col("pattern") == OTHER)).join(taken, ["policy_id", "word"], "left")
         rest = F.col("active").bitwiseAND(F.bitwise_not(F.coalesce("taken", F.lit(0).cast("bigint"))))
-        return self._with_keep(free.withColumn("bits", rest).where("bits <> 0").select(
-            "policy_id", "rule_no", "pattern", "sel_id", "kind", "word", "bits", "active"))
+        return self._staged(self._with_keep(free.withColumn("bits", rest).where("bits <> 0").select(
+            "policy_id", "rule_no", "pattern", "sel_id", "kind", "word", "bits", "active")), "other_words")
 
     @cached_property
     def rule_words(self) -> DataFrame:
@@ -380,13 +384,25 @@ class PolicyCompiler:
     @cached_property
     def violations(self) -> DataFrame:
         """One row per violation: ``(policy_id, rule_no, sub_no, code, detail)``."""
-        parts = [
-            self._document_checks(), self._rule_checks(), self._unknown_tenants(), self._repeated_keywords(),
-            self._shared_tenants(),
-        ]
+        return reduce(DataFrame.unionByName, self._checks.values())
+
+    @cached_property
+    def _checks(self) -> dict[str, DataFrame]:
+        """The violations of each group of checks, by its name."""
+        parts = {"document": self._document_checks(), "rule": self._rule_checks(), "unknown_tenants": self._unknown_tenants(),
+                 "repeated_keywords": self._repeated_keywords(), "shared_tenants": self._shared_tenants()}
         if self.entity.sub_rule:
-            parts += [self._sub_rule_checks(), self._sub_value_checks(), self._shared_sub_keys()]
-        return reduce(DataFrame.unionByName, parts)
+            parts |= {"sub_rule": self._sub_rule_checks(), "sub_values": self._sub_value_checks(), "shared_sub_keys": self._shared_sub_keys()}
+        return parts
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        """``policy_id`` of the policies with a violation, once for each group of checks they fail.
+
+        Each group is written by itself: the driver plans it alone, and plans it again after each of its own stages only.
+        """
+        ids = [self._staged(part.select("policy_id").distinct(), f"rejected_{name}") for name, part in self._checks.items()]
+        return reduce(DataFrame.unionByName, ids)
 
     @staticmethod
     def _rows(df: DataFrame, found, rule="rule_no", sub="sub_no") -> DataFrame:
@@ -397,10 +413,8 @@ class PolicyCompiler:
                          F.explode(found).alias("v")).select("policy_id", "rule_no", "sub_no", "v.code", "v.detail")
 
     def _document_checks(self) -> DataFrame:
-        empty = self.items.where(F.col("rule_no") == 0)
-        bad = self.items.where(F.col("kind") != "object")
-        return self._rows(empty, F.expr(f"array({_violation('JSON', ARRAY_EXPECTED)})")).unionByName(
-            self._rows(bad, F.expr(f"array({_violation('J0', 'kind')})")))
+        bad = self.items.where((F.col("rule_no") == 0) | (F.col("kind") != "object"))
+        return self._rows(bad, F.expr(f"array(IF(rule_no = 0, {_violation('JSON', ARRAY_EXPECTED)}, {_violation('J0', 'kind')}))"))
 
     def _rule_checks(self) -> DataFrame:
         """J1-J5 and T0 of a rule in one projection."""
@@ -504,26 +518,33 @@ class PolicyCompiler:
 
     # ---- result ------------------------------------------------------------------
     @cached_property
-    def settings_of_all(self) -> DataFrame:
-        """Flat settings without the validity check: sub-rule over rule over default hours."""
+    def _rule_actions(self) -> DataFrame:
+        """What each rule does with its tenants: sub-rule over rule over default hours."""
         if self.entity.sub_rule:
-            subs = self.sub_keys.select("policy_id", "rule_no", "sub_id", (F.col("action") == "delete").alias("delete_only"),
+            return self.sub_keys.select("policy_id", "rule_no", "sub_id", (F.col("action") == "delete").alias("delete_only"),
                                         F.col("use_after").alias("after_hours"), F.col("use_delay").alias("delay_hours"))
-        else:
-            subs = self.live_rules.select(
-                "policy_id", "rule_no", F.lit(0).alias("sub_id"), F.lit(False).alias("delete_only"),
-                F.coalesce("after_hours", "p_after").alias("after_hours"),
-                F.coalesce("delete_delay_hours", "p_delay").alias("delay_hours"))
+        return self.live_rules.select(
+            "policy_id", "rule_no", F.lit(0).alias("sub_id"), F.lit(False).alias("delete_only"),
+            F.coalesce("after_hours", "p_after").alias("after_hours"),
+            F.coalesce("delete_delay_hours", "p_delay").alias("delay_hours"))
+
+    def _with_tenants(self, subs: DataFrame) -> DataFrame:
+        """Flat settings: the tenants of a rule as rows."""
         by = ["policy_id", "sub_id", "delete_only", "after_hours", F.coalesce("delay_hours", F.lit(0)).alias("delay_hours"), "word"]
         words = subs.join(self.rule_words, ["policy_id", "rule_no"]).groupBy(*by).agg(F.bit_or("bits").alias("bits"))
         return expanded(words, "tenant_id").select(
             "policy_id", F.col("tenant_id").cast("int").alias("tenant_id"), "sub_id", "delete_only", "after_hours", "delay_hours")
 
+    @cached_property
+    def settings_of_all(self) -> DataFrame:
+        """Settings without the validity check."""
+        return self._with_tenants(self._rule_actions)
+
     @cached_property
     def settings(self) -> DataFrame:
-        """Compiled settings of the policies without a violation."""
-        return self._staged(
-            self.settings_of_all.join(self.violations.select("policy_id"), "policy_id", "left_anti"), "settings")
+        """Compiled settings of the policies without a violation; the others leave before their tenants become rows."""
+        valid = self._staged(self._rule_actions.join(self.rejected, "policy_id", "left_anti"), "valid")
+        return self._staged(self._with_tenants(valid), "settings")
 
 
 def compile_policies(policies: DataFrame, tenants: DataFrame, entity: Entity = LOGS,

@@ -5,6 +5,7 @@ import pytest
 from ebbline.entities import AUDIT_LOGS, JOBS, LOGS
 from ebbline.plans.policy import PolicyCompiler, compile_policies, expand_keywords
 from ebbline.session import work_dir
+from tests.conftest import plan
 
 DOC = """[
   {"tenants": ["NATION_1*", 3], "exclude": "NATION_12", "after_hours": 240, "delete_delay_hours": 48,
@@ -121,3 +122,27 @@ def test_report_is_cut_per_policy(spark, views):
     doc = "[" + ", ".join("1" for _ in range(150)) + "]"
     c = staged(policies(spark, doc, DOC), views)
     assert c.violations.count() == 150 and c.report().count() == 150
+
+
+@pytest.mark.parametrize("name", ["policy_compiled", "policy_compiled_queues"])
+def test_every_step_is_planned_alone(spark, monkeypatch, name):
+    """The driver plans a step again after each of its stages, so no step may hold all the steps below it."""
+    from tests.conftest import SMALL
+    from workload import load
+
+    sizes, real = {}, PolicyCompiler._staged
+    monkeypatch.setattr(PolicyCompiler, "_staged", lambda self, df, step: sizes.update({step: len(plan(df, "simple"))}) or real(self, df, step))
+    assert load().QUERIES[name](spark, SMALL).count() > 50
+    assert max(sizes.values()) < 25_000, sizes
+
+
+def test_a_policy_that_fails_any_check_has_no_settings(spark, views):
+    good = '{"tenants": 1, "after_hours": 1, "delete_delay_hours": 2, "levels": [{"archive": "all"}]}'
+    every, unknown = good.replace("1", '"#ACTIVE_TENANTS#"', 1), good.replace("1", "99", 1)
+    extra = good.replace('"levels"', '"x": 1, "levels"')
+    subs = ['{"keep": 1}', '{"archive": 9}', '{"archive": 1}, {"delete": 1}']
+    bad = ["none", *(f"[{x}]" for x in (f"{good}, 5", extra, unknown, f"{good}, {good}", f"{every}, {every}")),
+           *(f"[{good.replace('{"archive": "all"}', x)}]" for x in subs)]
+    c = staged(policies(spark, f"[{good}]", *bad), views)
+    assert {r.policy_id for r in c.rejected.collect()} == set(range(1, 1 + len(bad)))
+    assert {(r.policy_id, r.tenant_id) for r in c.settings.collect()} == {(0, 1)}
